@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference reads bounded files only (a corpus folder and a topic
+file) and has no stream, watermark, window or state, so there is no
+streaming operator to rebuild here.  Indexing and ranking are batch jobs.
+"""
