@@ -79,17 +79,19 @@ def tfidf_idf(n_docs: Column, df: Column) -> Column:
     return F.when(df > 0, F.log(F.lit(1.0) + quotient)).otherwise(0.0)
 
 
-def tfidf_term(tf: Column, dl: Column, idf: Column, norm_mode: str = "quantized") -> Column:
+def tfidf_term(tf: Column, nrm: Column, idf: Column) -> Column:
     """(tf / norm) * idf with the division done in single precision.
 
     The norm is ~1/sqrt(dl), so dividing by it *multiplies* by sqrt(dl):
     long documents score higher.  That is what the reference computes and
     is kept on purpose; the usual definition would divide by a length.
     """
-    return _f32(tf.cast("double") / norm(dl, norm_mode)) * idf
+    return _f32(tf.cast("double") / nrm) * idf
 
 
 # -- library models --------------------------------------------------------
+# ``nrm`` is the (quantised) norm of the document and ``length`` the
+# length it decodes to (1/nrm^2); both are computed once per match row.
 
 @dataclass(frozen=True)
 class ModelParams:
@@ -104,8 +106,7 @@ def bm25_idf(n_docs: Column, df: Column) -> Column:
     return F.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
 
 
-def bm25_term(tf, dl, df, qtf, n_docs, avgdl, p: ModelParams = ModelParams()) -> Column:
-    length = decoded_length(dl, p.norm_mode)
+def bm25_term(tf, length, df, qtf, n_docs, avgdl, p: ModelParams = ModelParams()) -> Column:
     sat = tf * (p.k1 + 1.0) / (tf + p.k1 * ((1.0 - p.b) + p.b * length / avgdl))
     return qtf * bm25_idf(n_docs, df) * sat
 
@@ -114,23 +115,21 @@ def vsm_idf(n_docs: Column, df: Column) -> Column:
     return F.log(n_docs.cast("double") / (df + 1.0)) + 1.0
 
 
-def vsm_term(tf, dl, df, qtf, n_docs, p: ModelParams = ModelParams()) -> Column:
+def vsm_term(tf, nrm, df, qtf, n_docs) -> Column:
     """sqrt(tf) * idf^2 * norm per clause; coord and queryNorm come later."""
     idf = vsm_idf(n_docs, df)
-    return qtf * F.sqrt(tf.cast("double")) * idf * idf * norm(dl, p.norm_mode)
+    return qtf * F.sqrt(tf.cast("double")) * idf * idf * nrm
 
 
 def collection_prob(cf: Column, n_tokens: Column) -> Column:
     return (cf + 1.0) / (n_tokens + 1.0)
 
 
-def lm_dirichlet_term(tf, dl, cf, qtf, n_tokens, p: ModelParams = ModelParams()) -> Column:
-    length = decoded_length(dl, p.norm_mode)
+def lm_dirichlet_term(tf, length, cf, qtf, n_tokens, p: ModelParams = ModelParams()) -> Column:
     s = (F.log(1.0 + tf / (p.mu * collection_prob(cf, n_tokens)))
          + F.log(F.lit(p.mu) / (length + p.mu)))
     return qtf * F.greatest(s, F.lit(0.0))
 
 
-def lm_jm_term(tf, dl, cf, qtf, n_tokens, p: ModelParams = ModelParams()) -> Column:
-    length = decoded_length(dl, p.norm_mode)
+def lm_jm_term(tf, length, cf, qtf, n_tokens, p: ModelParams = ModelParams()) -> Column:
     return qtf * F.log(1.0 + ((1.0 - p.lam) * tf / length) / (p.lam * collection_prob(cf, n_tokens)))

@@ -61,8 +61,22 @@ class Index:
         return self._stats
 
 
+def spread(corpus: DataFrame) -> DataFrame:
+    """Use every core on a corpus read as only a few splits.
+
+    A large corpus arrives in many more splits than there are cores and is
+    returned unchanged (no shuffle); a small one is spread round-robin so
+    tokenising, the costly step, is not limited to a handful of tasks.
+    """
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    if corpus.rdd.getNumPartitions() < cores:
+        return corpus.repartition(cores)
+    return corpus
+
+
 def doc_lengths(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
     """doc_id, docno, dl — narrow, no shuffle."""
+    corpus = spread(corpus)
     docno = F.col("docno") if "docno" in corpus.columns else F.col("doc_id").cast("string")
     return corpus.select("doc_id", docno.alias("docno"),
                          F.size(analyze("text", analyzer)).cast("long").alias("dl"))
@@ -70,9 +84,16 @@ def doc_lengths(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
 
 def build_postings(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
     """term, doc_id, tf, dl — one row per (term, document)."""
-    tokens = corpus.select("doc_id", analyze("text", analyzer).alias("toks"))
-    exploded = tokens.select("doc_id", F.size("toks").cast("long").alias("dl"),
-                             F.explode("toks").alias("term"))
+    # The length is taken in its own select: an array expression next to
+    # the generator would carry (and copy) the whole array into every
+    # exploded row, quadratic in document length.
+    # explode_outer: an inner explode makes the optimizer add a
+    # ``size(tokens) > 0`` filter with the whole tokenizer copied into it,
+    # which would run the regex twice per document.
+    tokens = spread(corpus).select("doc_id", analyze("text", analyzer).alias("toks"))
+    sized = tokens.select("doc_id", F.size("toks").cast("long").alias("dl"), "toks")
+    exploded = sized.select("doc_id", "dl", F.explode_outer("toks").alias("term")) \
+        .filter(F.col("term").isNotNull())
     return exploded.groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")) \
         .select("term", "doc_id", "tf", "dl")
 

@@ -41,6 +41,8 @@ ALL_SCORES = ("tfidf",) + MODELS
 BROADCAST_MAX_ROWS = 2_000_000
 # Up to this many distinct query terms are pushed into the parquet scans.
 PUSHDOWN_MAX_TERMS = 512
+# Query-term tables up to this many rows are fetched and re-used locally.
+COLLECT_MAX_ROWS = 200_000
 
 
 FORM_TAGS = {field: (tag, suffix) for field, tag, suffix in FORMS}
@@ -67,23 +69,47 @@ def adhoc_queries(spark, text: str, query_id: int = 0) -> DataFrame:
 
 def query_terms(queries: DataFrame, analyzer: str = "standard") -> DataFrame:
     """(query_id, form, term, qtf): distinct terms with their repetitions."""
-    toks = queries.select("query_id", "form", F.explode(analyze("text", analyzer)).alias("term"))
+    toks = queries.select("query_id", "form", F.explode_outer(analyze("text", analyzer)).alias("term")) \
+        .filter(F.col("term").isNotNull())
     return toks.groupBy("query_id", "form", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
 class QuerySide:
-    """Query terms with corpus statistics, sized once for join planning."""
+    """Query terms with corpus statistics, sized once for join planning.
+
+    A query set is small next to the corpus (topics × distinct terms).
+    Up to ``COLLECT_MAX_ROWS`` rows it is fetched in one job and re-used
+    as a local relation: its size is then known exactly, the broadcast
+    needs no further job, and a short distinct-term list is pushed into
+    the parquet scans of the term and postings tables (row-group skipping
+    on the term-sorted files).  A larger query set stays distributed: it
+    is persisted, sized by one aggregate, and broadcast only within
+    ``BROADCAST_MAX_ROWS``; beyond that the joins shuffle on ``term``.
+    """
 
     def __init__(self, index: Index, queries: DataFrame):
         self.index = index
-        self.terms = query_terms(queries, index.analyzer)
-        self.rows = self.terms.count()
-        self.broadcast = self.rows <= BROADCAST_MAX_ROWS
-        self.pushdown: list[str] | None = None
-        if self.broadcast:
-            distinct = self.terms.select("term").distinct()
-            if distinct.count() <= PUSHDOWN_MAX_TERMS:
-                self.pushdown = [r["term"] for r in distinct.collect()]
+        qt = query_terms(queries, index.analyzer)
+        fetched = qt.limit(COLLECT_MAX_ROWS + 1).collect()
+        if len(fetched) <= COLLECT_MAX_ROWS:
+            spark = queries.sparkSession
+            self.terms = spark.createDataFrame(fetched, qt.schema) if fetched else \
+                spark.createDataFrame([], qt.schema)
+            self.rows = len(fetched)
+            self.n_queries = len({(r["query_id"], r["form"]) for r in fetched})
+            distinct = {r["term"] for r in fetched}
+            self.broadcast = True
+            self.pushdown = sorted(distinct) if len(distinct) <= PUSHDOWN_MAX_TERMS else None
+        else:
+            self.terms = qt.persist()
+            size = self.terms.agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.count_distinct("query_id", "form").alias("queries")).first()
+            self.rows = int(size["rows"])
+            self.n_queries = int(size["queries"])
+            self.broadcast = self.rows <= BROADCAST_MAX_ROWS
+            self.pushdown = None
+        self._weighted: DataFrame | None = None
 
     def small(self, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.broadcast else df
@@ -93,14 +119,16 @@ class QuerySide:
 
     def weighted(self) -> DataFrame:
         """query_id, form, term, qtf, df, cf, clauses, vsm_qnorm (unseen terms kept, df = 0)."""
-        n = F.lit(self.index.stats.n_docs)
-        found = self._scan(self.index.terms).join(self.small(self.terms.select("term").distinct()), "term")
-        w = self.terms.join(found, "term", "left").fillna(0, ["df", "cf"])
-        idf = S.vsm_idf(n, F.col("df"))
-        per_query = w.groupBy("query_id", "form").agg(
-            F.sum("qtf").alias("clauses"),
-            (F.lit(1.0) / F.sqrt(F.sum(F.col("qtf") * idf * idf))).alias("vsm_qnorm"))
-        return w.join(per_query, ["query_id", "form"])
+        if self._weighted is None:
+            n = F.lit(self.index.stats.n_docs)
+            found = self._scan(self.index.terms).join(self.small(self.terms.select("term").distinct()), "term")
+            w = self.terms.join(found, "term", "left").fillna(0, ["df", "cf"])
+            idf = S.vsm_idf(n, F.col("df"))
+            per_query = w.groupBy("query_id", "form").agg(
+                F.sum("qtf").alias("clauses"),
+                (F.lit(1.0) / F.sqrt(F.sum(F.col("qtf") * idf * idf))).alias("vsm_qnorm"))
+            self._weighted = w.join(per_query, ["query_id", "form"])
+        return self._weighted
 
     def matches(self) -> DataFrame:
         """One row per (query, form, term, doc) where the doc holds the term."""
@@ -108,20 +136,23 @@ class QuerySide:
         return self._scan(self.index.postings).join(self.small(right), "term")
 
 
-def score_columns(index: Index, params: S.ModelParams = S.ModelParams()) -> dict:
-    """Aggregate expressions over the match table, one per model."""
+def score_columns(index: Index, models: Sequence[str], params: S.ModelParams = S.ModelParams()) -> list:
+    """Aggregate expressions over the match table (with ``nrm`` and
+    ``length`` columns), one per requested model."""
     st = index.stats
     n, c, avgdl = F.lit(st.n_docs), F.lit(st.tokens), F.lit(st.avgdl)
-    tf, dl, df, cf, qtf = (F.col(x) for x in ("tf", "dl", "df", "cf", "qtf"))
-    return {
+    tf, df, cf, qtf = (F.col(x) for x in ("tf", "df", "cf", "qtf"))
+    nrm, length = F.col("nrm"), F.col("length")
+    build = {
         # Distinct query terms: repetitions do not count in the home-made model.
-        "tfidf": F.sum(S.tfidf_term(tf, dl, S.tfidf_idf(n, df), params.norm_mode)),
-        "bm25": F.sum(S.bm25_term(tf, dl, df, qtf, n, avgdl, params)),
-        "vsm": (F.sum(S.vsm_term(tf, dl, df, qtf, n, params)) * F.sum(qtf)
-                / F.max("clauses") * F.max("vsm_qnorm")),
-        "lm_dirichlet": F.sum(S.lm_dirichlet_term(tf, dl, cf, qtf, c, params)),
-        "lm_jm": F.sum(S.lm_jm_term(tf, dl, cf, qtf, c, params)),
+        "tfidf": lambda: F.sum(S.tfidf_term(tf, nrm, S.tfidf_idf(n, df))),
+        "bm25": lambda: F.sum(S.bm25_term(tf, length, df, qtf, n, avgdl, params)),
+        "vsm": lambda: (F.sum(S.vsm_term(tf, nrm, df, qtf, n)) * F.sum(qtf)
+                        / F.max("clauses") * F.max("vsm_qnorm")),
+        "lm_dirichlet": lambda: F.sum(S.lm_dirichlet_term(tf, length, cf, qtf, c, params)),
+        "lm_jm": lambda: F.sum(S.lm_jm_term(tf, length, cf, qtf, c, params)),
     }
+    return [build[m]().alias(m) for m in models]
 
 
 def score(index: Index, queries: DataFrame, models: Sequence[str] = ALL_SCORES,
@@ -130,10 +161,15 @@ def score(index: Index, queries: DataFrame, models: Sequence[str] = ALL_SCORES,
     unknown = set(models) - set(ALL_SCORES)
     if unknown:
         raise ValueError(f"unknown models {sorted(unknown)}; known: {ALL_SCORES}")
-    cols = score_columns(index, params)
-    side = QuerySide(index, queries)
-    return side.matches().groupBy("query_id", "form", "doc_id").agg(
-        *[cols[m].alias(m) for m in models])
+    return _score(index, QuerySide(index, queries), models, params)
+
+
+def _score(index: Index, side: QuerySide, models: Sequence[str], params: S.ModelParams) -> DataFrame:
+    m = side.matches()
+    nrm = S.norm(F.col("dl"), params.norm_mode)
+    m = m.select("query_id", "form", "doc_id", "tf", "df", "cf", "qtf", "clauses", "vsm_qnorm",
+                 nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
+    return m.groupBy("query_id", "form", "doc_id").agg(*score_columns(index, models, params))
 
 
 def candidate_docs(index: Index, queries: DataFrame) -> DataFrame:
@@ -159,7 +195,11 @@ def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int
     if k <= 0:
         raise ValueError("k must be positive")
     prefixes = dict(MODEL_RUN_PREFIX, tfidf=TFIDF_RUN_PREFIX, **(run_prefix or {}))
-    scored = score(index, queries, models, params)
+    unknown = set(models) - set(ALL_SCORES)
+    if unknown:
+        raise ValueError(f"unknown models {sorted(unknown)}; known: {ALL_SCORES}")
+    side = QuerySide(index, queries)
+    scored = _score(index, side, models, params)
     if len(models) == 1:
         long = scored.select("query_id", "form", "doc_id", F.lit(models[0]).alias("model"),
                              F.col(models[0]).alias("score"))
@@ -168,7 +208,7 @@ def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int
         long = scored.selectExpr("query_id", "form", "doc_id",
                                  f"stack({len(models)}, {pairs}) as (model, score)")
     top = top_k_per_group(long, k, ["model", "query_id", "form"])
-    bound = queries.count() * k * len(models)
+    bound = side.n_queries * k * len(models)
     run = with_docno(index, top, bound).withColumn("q", _form_tag(0))
     prefix = F.create_map(*[x for m in models for x in (F.lit(m), F.lit(prefixes[m]))])
     return _run_rows(run, F.concat(prefix[F.col("model")], F.lit("_"), _form_tag(1)))

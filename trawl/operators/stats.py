@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.analyzers import analyze
-from trawl.operators.index import Index
+from trawl.operators.index import Index, spread
 
 # Analyzers of the comparison report, in report order.
 COMPARED_ANALYZERS = ("standard", "keyword", "simple", "stop")
@@ -74,7 +74,7 @@ def compare_analyzers(corpus: DataFrame, term: str,
                       analyzers: Sequence[str] = COMPARED_ANALYZERS) -> DataFrame:
     """One row per analyzer: analyzer, n_docs, df_term, cf_term, vocabulary,
     docs_with_terms, tokens, postings — one read of the corpus for all."""
-    per_doc = corpus.select(F.explode(F.array(*[
+    per_doc = spread(corpus).select(F.explode_outer(F.array(*[
         F.struct(F.lit(a).alias("analyzer"), analyze("text", a).alias("toks")) for a in analyzers
     ])).alias("a")).select("a.analyzer", "a.toks")
     # Per-document figures are computed *before* the explode: an expression
@@ -85,10 +85,10 @@ def compare_analyzers(corpus: DataFrame, term: str,
         F.size("toks").cast("long").alias("dl"),
         F.array_contains("toks", term).cast("long").alias("has"),
         F.size(F.filter("toks", lambda t: t == term)).cast("long").alias("cft"),
-        F.array_distinct("toks").alias("dt"))
+        F.array_distinct("toks").alias("dt")).withColumn("nd", F.size("dt").cast("long"))
     # Every document emits its distinct terms; its own figures ride on the
     # first of them (or on a null term when it has none).
-    rows = doc.select("analyzer", "dl", "has", "cft", F.size("dt").cast("long").alias("nd"),
+    rows = doc.select("analyzer", "dl", "has", "cft", "nd",
                       F.posexplode_outer("dt").alias("pos", "term"))
     first = F.coalesce(F.col("pos"), F.lit(0)) == 0
 

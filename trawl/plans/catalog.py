@@ -45,8 +45,9 @@ def _analyze_q(name: str):
     def q(spark, sf):
         d = tables.read_table(spark, sf, "documents")
         return d.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.posexplode(analyze("text", name)).alias("pos", "term")
-                        ).select("doc_id", F.col("pos").cast("long").alias("pos"), "term")
+                        F.posexplode_outer(analyze("text", name)).alias("pos", "term")
+                        ).filter(F.col("term").isNotNull()).select(
+                            "doc_id", F.col("pos").cast("long").alias("pos"), "term")
     return q
 
 

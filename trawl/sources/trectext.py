@@ -44,11 +44,10 @@ def _records_from_chunks(chunks: DataFrame, line_join: str, drop_prefix: str,
 def _cut(raw: DataFrame, close_line: str) -> DataFrame:
     """(path, value) -> (path, rec_pos, chunk, is_tail)."""
     parts = raw.select("path", F.split("value", close_line).alias("parts"))
-    return parts.select(
-        "path",
-        F.posexplode("parts").alias("rec_pos", "chunk"),
-        (F.size("parts") - 1).alias("_last"),
-    ).select("path", "rec_pos", "chunk", (F.col("rec_pos") == F.col("_last")).alias("is_tail"))
+    # The last index is taken before the explode (see build_postings).
+    parts = parts.select("path", (F.size("parts") - 1).alias("_last"), "parts")
+    return parts.select("path", "_last", F.posexplode("parts").alias("rec_pos", "chunk")) \
+        .select("path", "rec_pos", "chunk", (F.col("rec_pos") == F.col("_last")).alias("is_tail"))
 
 
 def _read_whole(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +110,13 @@ def to_records(corpus: DataFrame) -> DataFrame:
     return corpus.select(F.concat(*parts).alias("value"))
 
 
-def write_trectext(corpus: DataFrame, path: str) -> str:
-    """Write records as text files, one file per partition."""
-    to_records(corpus).write.mode("overwrite").text(path)
+# Records per written file: whole-file reading needs files that fit a task.
+RECORDS_PER_FILE = 1000
+
+
+def write_trectext(corpus: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> str:
+    """Write records as text files of at most ``records_per_file`` records."""
+    from trawl.operators.index import spread
+    (to_records(spread(corpus)).write.mode("overwrite")
+     .option("maxRecordsPerFile", records_per_file).text(path))
     return path
