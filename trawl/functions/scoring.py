@@ -133,3 +133,18 @@ def lm_dirichlet_term(tf, length, cf, qtf, n_tokens, p: ModelParams = ModelParam
 
 def lm_jm_term(tf, length, cf, qtf, n_tokens, p: ModelParams = ModelParams()) -> Column:
     return qtf * F.log(1.0 + ((1.0 - p.lam) * tf / length) / (p.lam * collection_prob(cf, n_tokens)))
+
+
+# -- per-row parts, with the per-term weights factored out ----------------
+
+def bm25_saturation(tf, length, avgdl, p: ModelParams = ModelParams()) -> Column:
+    return tf * (p.k1 + 1.0) / (tf + p.k1 * ((1.0 - p.b) + p.b * length / avgdl))
+
+
+def lm_dirichlet_weight(tf, length, p_coll, p: ModelParams = ModelParams()) -> Column:
+    s = F.log(1.0 + tf / (p.mu * p_coll)) + F.log(F.lit(p.mu) / (length + p.mu))
+    return F.greatest(s, F.lit(0.0))
+
+
+def lm_jm_weight(tf, length, p_coll, p: ModelParams = ModelParams()) -> Column:
+    return F.log(1.0 + ((1.0 - p.lam) * tf / length) / (p.lam * p_coll))

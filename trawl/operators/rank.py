@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import scoring as S
@@ -58,6 +58,26 @@ def query_forms(topics: DataFrame, forms: Sequence[str] = ("title", "desc")) ->
     return topics.select("query_id", F.explode(F.array(*structs)).alias("f")).select("query_id", "f.*")
 
 
+# Query key: query id and form packed in one long, so the per-(query, doc)
+# aggregation and the per-query window hash fixed-width keys only.
+FORM_CODES = {"title": 0, "desc": 1, "adhoc": 2}
+_FORM_SLOTS = 4
+
+
+def _form_code() -> Column:
+    return F.create_map(*[x for f, c in FORM_CODES.items() for x in (F.lit(f), F.lit(c))])[F.col("form")]
+
+
+def qkey() -> Column:
+    return F.col("query_id").cast("long") * _FORM_SLOTS + _form_code()
+
+
+def unpack_qkey(c: str = "qkey") -> list:
+    forms = F.array(*[F.lit(f) for f, _ in sorted(FORM_CODES.items(), key=lambda x: x[1])])
+    form = F.element_at(forms, (F.col(c) % _FORM_SLOTS).cast("int") + 1)
+    return [(F.col(c) / _FORM_SLOTS).cast("long").cast("int").alias("query_id"), form.alias("form")]
+
+
 def _form_tag(i: int):
     return F.create_map(*[x for form, tags in FORM_TAGS.items() for x in (F.lit(form), F.lit(tags[i]))])[F.col("form")]
 
@@ -93,8 +113,7 @@ class QuerySide:
         fetched = qt.limit(COLLECT_MAX_ROWS + 1).collect()
         if len(fetched) <= COLLECT_MAX_ROWS:
             spark = queries.sparkSession
-            self.terms = spark.createDataFrame(fetched, qt.schema) if fetched else \
-                spark.createDataFrame([], qt.schema)
+            self.terms = spark.createDataFrame(fetched, qt.schema)
             self.rows = len(fetched)
             self.n_queries = len({(r["query_id"], r["form"]) for r in fetched})
             distinct = {r["term"] for r in fetched}
@@ -118,69 +137,98 @@ class QuerySide:
         return df.filter(F.col("term").isin(self.pushdown)) if self.pushdown is not None else df
 
     def weighted(self) -> DataFrame:
-        """query_id, form, term, qtf, df, cf, clauses, vsm_qnorm (unseen terms kept, df = 0)."""
+        """Per (query, term): qkey, query_id, form, term, qtf, df, cf, the
+        per-term model weights and the per-query VSM facts.  Terms absent
+        from the corpus are kept with df = 0 (they count in VSM's norm)."""
         if self._weighted is None:
-            n = F.lit(self.index.stats.n_docs)
+            st = self.index.stats
+            n, c = F.lit(st.n_docs), F.lit(st.tokens)
             found = self._scan(self.index.terms).join(self.small(self.terms.select("term").distinct()), "term")
             w = self.terms.join(found, "term", "left").fillna(0, ["df", "cf"])
-            idf = S.vsm_idf(n, F.col("df"))
-            per_query = w.groupBy("query_id", "form").agg(
+            df, cf, qtf = F.col("df"), F.col("cf"), F.col("qtf")
+            vidf = S.vsm_idf(n, df)
+            w = w.select(qkey().alias("qkey"), "query_id", "form", "term", "qtf", "df", "cf",
+                         S.tfidf_idf(n, df).alias("w_tfidf"),
+                         (qtf * S.bm25_idf(n, df)).alias("w_bm25"),
+                         (qtf * vidf * vidf).alias("w_vsm"),
+                         S.collection_prob(cf, c).alias("p_coll"))
+            per_query = w.groupBy("qkey").agg(
                 F.sum("qtf").alias("clauses"),
-                (F.lit(1.0) / F.sqrt(F.sum(F.col("qtf") * idf * idf))).alias("vsm_qnorm"))
-            self._weighted = w.join(per_query, ["query_id", "form"])
+                (F.lit(1.0) / F.sqrt(F.sum("w_vsm"))).alias("vsm_qnorm"))
+            self._weighted = w.join(per_query, "qkey")
         return self._weighted
 
     def matches(self) -> DataFrame:
-        """One row per (query, form, term, doc) where the doc holds the term."""
-        right = self.weighted().filter(F.col("df") > 0)
+        """One row per (query, term, doc) where the doc holds the term."""
+        right = self.weighted().filter(F.col("df") > 0).drop("query_id", "form", "df", "cf")
         return self._scan(self.index.postings).join(self.small(right), "term")
 
 
 def score_columns(index: Index, models: Sequence[str], params: S.ModelParams = S.ModelParams()) -> list:
-    """Aggregate expressions over the match table (with ``nrm`` and
-    ``length`` columns), one per requested model."""
+    """Aggregate expressions over the match table, one per requested model.
+
+    Per-term weights come from the query side; per row only the parts that
+    depend on tf and the document's norm/length are computed.
+    """
     st = index.stats
-    n, c, avgdl = F.lit(st.n_docs), F.lit(st.tokens), F.lit(st.avgdl)
-    tf, df, cf, qtf = (F.col(x) for x in ("tf", "df", "cf", "qtf"))
-    nrm, length = F.col("nrm"), F.col("length")
+    avgdl = F.lit(st.avgdl)
+    tf, qtf, nrm, length, p = (F.col(x) for x in ("tf", "qtf", "nrm", "length", "p_coll"))
+    tfd = tf.cast("double")
     build = {
         # Distinct query terms: repetitions do not count in the home-made model.
-        "tfidf": lambda: F.sum(S.tfidf_term(tf, nrm, S.tfidf_idf(n, df))),
-        "bm25": lambda: F.sum(S.bm25_term(tf, length, df, qtf, n, avgdl, params)),
-        "vsm": lambda: (F.sum(S.vsm_term(tf, nrm, df, qtf, n)) * F.sum(qtf)
+        "tfidf": lambda: F.sum(S.tfidf_term(tf, nrm, F.col("w_tfidf"))),
+        "bm25": lambda: F.sum(F.col("w_bm25") * S.bm25_saturation(tfd, length, avgdl, params)),
+        "vsm": lambda: (F.sum(F.col("w_vsm") * F.sqrt(tfd) * nrm) * F.sum(qtf)
                         / F.max("clauses") * F.max("vsm_qnorm")),
-        "lm_dirichlet": lambda: F.sum(S.lm_dirichlet_term(tf, length, cf, qtf, c, params)),
-        "lm_jm": lambda: F.sum(S.lm_jm_term(tf, length, cf, qtf, c, params)),
+        "lm_dirichlet": lambda: F.sum(qtf * S.lm_dirichlet_weight(tfd, length, p, params)),
+        "lm_jm": lambda: F.sum(qtf * S.lm_jm_weight(tfd, length, p, params)),
     }
     return [build[m]().alias(m) for m in models]
 
 
+def _check_models(models: Sequence[str]) -> None:
+    unknown = set(models) - set(ALL_SCORES)
+    if unknown or not models:
+        raise ValueError(f"unknown models {sorted(unknown)}; known: {ALL_SCORES}")
+
+
 def score(index: Index, queries: DataFrame, models: Sequence[str] = ALL_SCORES,
           params: S.ModelParams = S.ModelParams()) -> DataFrame:
     """(query_id, form, doc_id, <one column per model>) for every candidate document."""
-    unknown = set(models) - set(ALL_SCORES)
-    if unknown:
-        raise ValueError(f"unknown models {sorted(unknown)}; known: {ALL_SCORES}")
-    return _score(index, QuerySide(index, queries), models, params)
+    _check_models(models)
+    scored = _score(index, QuerySide(index, queries), models, params)
+    return scored.select(*unpack_qkey(), "doc_id", *models)
 
 
 def _score(index: Index, side: QuerySide, models: Sequence[str], params: S.ModelParams) -> DataFrame:
+    """(qkey, doc_id, <models>): one hash aggregate, partial then final."""
     m = side.matches()
     nrm = S.norm(F.col("dl"), params.norm_mode)
-    m = m.select("query_id", "form", "doc_id", "tf", "df", "cf", "qtf", "clauses", "vsm_qnorm",
-                 nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
-    return m.groupBy("query_id", "form", "doc_id").agg(*score_columns(index, models, params))
+    m = m.select("qkey", "doc_id", "tf", "qtf", "w_tfidf", "w_bm25", "w_vsm", "p_coll", "clauses",
+                 "vsm_qnorm", nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
+    return m.groupBy("qkey", "doc_id").agg(*score_columns(index, models, params))
 
 
 def candidate_docs(index: Index, queries: DataFrame) -> DataFrame:
     """Distinct (query_id, form, doc_id) holding at least one query term."""
-    return QuerySide(index, queries).matches().select("query_id", "form", "doc_id").distinct()
+    m = QuerySide(index, queries).matches().select("qkey", "doc_id").distinct()
+    return m.select(*unpack_qkey(), "doc_id")
 
 
 def with_docno(index: Index, top: DataFrame, bound_rows: int) -> DataFrame:
-    """Late fetch of the stored document number, after top-k."""
-    left = F.broadcast(top) if bound_rows <= BROADCAST_MAX_ROWS else top
-    return left.join(index.docs.select("doc_id", "docno"), "doc_id")
+    """Late fetch of the stored document number, after top-k.
+
+    Broadcasts whichever side is provably smaller: the top-k rows (at most
+    queries × k × models) or the documents table (its size is in the index
+    statistics); with neither under the limit the join shuffles.
+    """
+    docs = index.docs.select("doc_id", "docno")
+    n_docs = index.stats.n_docs
+    if n_docs <= min(bound_rows, BROADCAST_MAX_ROWS):
+        return top.join(F.broadcast(docs), "doc_id")
+    if bound_rows <= BROADCAST_MAX_ROWS:
+        return F.broadcast(top).join(docs, "doc_id")
+    return top.join(docs, "doc_id")
 
 
 def _run_rows(df: DataFrame, run_id) -> DataFrame:
@@ -194,22 +242,18 @@ def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int
     """Run table for each model × form: query_id, q, docno, rank, score, run_id."""
     if k <= 0:
         raise ValueError("k must be positive")
+    _check_models(models)
     prefixes = dict(MODEL_RUN_PREFIX, tfidf=TFIDF_RUN_PREFIX, **(run_prefix or {}))
-    unknown = set(models) - set(ALL_SCORES)
-    if unknown:
-        raise ValueError(f"unknown models {sorted(unknown)}; known: {ALL_SCORES}")
     side = QuerySide(index, queries)
     scored = _score(index, side, models, params)
     if len(models) == 1:
-        long = scored.select("query_id", "form", "doc_id", F.lit(models[0]).alias("model"),
-                             F.col(models[0]).alias("score"))
+        long = scored.select("qkey", "doc_id", F.lit(models[0]).alias("model"), F.col(models[0]).alias("score"))
     else:
         pairs = ", ".join(f"'{m}', `{m}`" for m in models)
-        long = scored.selectExpr("query_id", "form", "doc_id",
-                                 f"stack({len(models)}, {pairs}) as (model, score)")
-    top = top_k_per_group(long, k, ["model", "query_id", "form"])
+        long = scored.selectExpr("qkey", "doc_id", f"stack({len(models)}, {pairs}) as (model, score)")
+    top = top_k_per_group(long, k, ["model", "qkey"])
     bound = side.n_queries * k * len(models)
-    run = with_docno(index, top, bound).withColumn("q", _form_tag(0))
+    run = with_docno(index, top, bound).select("*", *unpack_qkey()).withColumn("q", _form_tag(0))
     prefix = F.create_map(*[x for m in models for x in (F.lit(m), F.lit(prefixes[m]))])
     return _run_rows(run, F.concat(prefix[F.col("model")], F.lit("_"), _form_tag(1)))
 
@@ -221,8 +265,10 @@ def score_all_docs(index: Index, text: str, model: str = "tfidf",
     Documents ⟕ scores is an equi-join on doc_id; AQE turns it into a
     broadcast when the measured score side is small, else it shuffles.
     """
+    _check_models([model])
     queries = adhoc_queries(index.docs.sparkSession, text)
-    scored = score(index, queries, [model], params).select("doc_id", F.col(model).alias("score"))
+    scored = _score(index, QuerySide(index, queries), [model], params).select(
+        "doc_id", F.col(model).alias("score"))
     return index.docs.select("doc_id").join(scored, "doc_id", "left").select(
         "doc_id", F.coalesce(F.col("score"), F.lit(0.0)).alias("score"))
 

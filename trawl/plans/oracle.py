@@ -127,7 +127,7 @@ def model_sums() -> dict[str, str]:
                   "CASE WHEN df > 0 THEN ln(1e0 + CAST(n_docs // df AS DOUBLE)) ELSE 0e0 END)"),
         "bm25": (f"sum(qtf * ln(1e0 + (n_docs - df + 0.5e0) / (df + 0.5e0)) * "
                  f"(tf * ({k1} + 1e0) / (tf + {k1} * ((1e0 - {b}) + {b} * dlq / avgdl))))"),
-        "vsm": (f"sum(qtf * sqrt(tf) * {vidf} * {vidf} * qn) * sum(qtf) / max(clauses) * max(vsm_qnorm)"),
+        "vsm": (f"sum(qtf * {vidf} * {vidf} * sqrt(tf) * qn) * sum(qtf) / max(clauses) * max(vsm_qnorm)"),
         "lm_dirichlet": (f"sum(qtf * greatest(ln(1e0 + tf / ({mu} * {pc})) + ln({mu} / (dlq + {mu})), 0e0))"),
         "lm_jm": f"sum(qtf * ln(1e0 + ((1e0 - {lam}) * tf / dlq) / ({lam} * {pc})))",
     }
