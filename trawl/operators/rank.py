@@ -84,7 +84,8 @@ def _form_tag(i: int):
 
 def adhoc_queries(spark, text: str, query_id: int = 0) -> DataFrame:
     """A one-row query table for an ad-hoc query string."""
-    return spark.createDataFrame([(query_id, "adhoc", text)], "query_id int, form string, text string")
+    return _local(spark, {"query_id": [query_id], "form": ["adhoc"], "text": [text]},
+                  "query_id int, form string, text string")
 
 
 def query_terms(queries: DataFrame, analyzer: str = "standard") -> DataFrame:
@@ -94,6 +95,16 @@ def query_terms(queries: DataFrame, analyzer: str = "standard") -> DataFrame:
     return toks.groupBy("query_id", "form", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
+def _local(spark, columns: dict, schema: str) -> DataFrame:
+    """A local relation (LocalTableScan) from small driver-side columns.
+
+    Built through Arrow, so it stays in the JVM: no Python worker reads it
+    and a broadcast of it needs no job.
+    """
+    import pandas as pd
+    return spark.createDataFrame(pd.DataFrame(columns), schema)
+
+
 class QuerySide:
     """Query terms with corpus statistics, sized once for join planning.
 
@@ -109,25 +120,37 @@ class QuerySide:
 
     def __init__(self, index: Index, queries: DataFrame):
         self.index = index
+        spark = queries.sparkSession
         qt = query_terms(queries, index.analyzer)
         fetched = qt.limit(COLLECT_MAX_ROWS + 1).collect()
-        if len(fetched) <= COLLECT_MAX_ROWS:
-            spark = queries.sparkSession
-            self.terms = spark.createDataFrame(fetched, qt.schema)
+        self.local = len(fetched) <= COLLECT_MAX_ROWS
+        if self.local:
             self.rows = len(fetched)
             self.n_queries = len({(r["query_id"], r["form"]) for r in fetched})
-            distinct = {r["term"] for r in fetched}
+            distinct = sorted({r["term"] for r in fetched})
             self.broadcast = True
-            self.pushdown = sorted(distinct) if len(distinct) <= PUSHDOWN_MAX_TERMS else None
+            self.pushdown = distinct if len(distinct) <= PUSHDOWN_MAX_TERMS else None
+            # df and cf of the distinct query terms: one scan of the term table
+            # (pushed-down term list, else a broadcast semi-join), then the
+            # query side is a local relation with its statistics attached.
+            wanted = _local(spark, {"term": distinct}, "term string")
+            stats = {r["term"]: (r["df"], r["cf"]) for r in
+                     self._scan(index.terms).join(F.broadcast(wanted), "term").select("term", "df", "cf").collect()}
+            cols = {"query_id": [r["query_id"] for r in fetched], "form": [r["form"] for r in fetched],
+                    "term": [r["term"] for r in fetched], "qtf": [r["qtf"] for r in fetched],
+                    "df": [stats.get(r["term"], (0, 0))[0] for r in fetched],
+                    "cf": [stats.get(r["term"], (0, 0))[1] for r in fetched]}
+            self.terms = _local(spark, cols, "query_id int, form string, term string, qtf long, df long, cf long")
         else:
-            self.terms = qt.persist()
-            size = self.terms.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count_distinct("query_id", "form").alias("queries")).first()
+            qt = qt.persist()
+            size = qt.agg(F.count(F.lit(1)).alias("rows"),
+                          F.count_distinct("query_id", "form").alias("queries")).first()
             self.rows = int(size["rows"])
             self.n_queries = int(size["queries"])
             self.broadcast = self.rows <= BROADCAST_MAX_ROWS
             self.pushdown = None
+            found = index.terms.join(self.small(qt.select("term").distinct()), "term")
+            self.terms = qt.join(found, "term", "left").fillna(0, ["df", "cf"])
         self._weighted: DataFrame | None = None
 
     def small(self, df: DataFrame) -> DataFrame:
@@ -143,8 +166,7 @@ class QuerySide:
         if self._weighted is None:
             st = self.index.stats
             n, c = F.lit(st.n_docs), F.lit(st.tokens)
-            found = self._scan(self.index.terms).join(self.small(self.terms.select("term").distinct()), "term")
-            w = self.terms.join(found, "term", "left").fillna(0, ["df", "cf"])
+            w = self.terms
             df, cf, qtf = F.col("df"), F.col("cf"), F.col("qtf")
             vidf = S.vsm_idf(n, df)
             w = w.select(qkey().alias("qkey"), "query_id", "form", "term", "qtf", "df", "cf",
@@ -246,16 +268,18 @@ def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int
     prefixes = dict(MODEL_RUN_PREFIX, tfidf=TFIDF_RUN_PREFIX, **(run_prefix or {}))
     side = QuerySide(index, queries)
     scored = _score(index, side, models, params)
+    # Models are numbered 0..n-1 for the window key (cheaper to sort than
+    # names) and turned into run ids after top-k.
     if len(models) == 1:
-        long = scored.select("qkey", "doc_id", F.lit(models[0]).alias("model"), F.col(models[0]).alias("score"))
+        long = scored.select("qkey", "doc_id", F.lit(0).alias("model"), F.col(models[0]).alias("score"))
     else:
-        pairs = ", ".join(f"'{m}', `{m}`" for m in models)
+        pairs = ", ".join(f"{i}, `{m}`" for i, m in enumerate(models))
         long = scored.selectExpr("qkey", "doc_id", f"stack({len(models)}, {pairs}) as (model, score)")
     top = top_k_per_group(long, k, ["model", "qkey"])
     bound = side.n_queries * k * len(models)
     run = with_docno(index, top, bound).select("*", *unpack_qkey()).withColumn("q", _form_tag(0))
-    prefix = F.create_map(*[x for m in models for x in (F.lit(m), F.lit(prefixes[m]))])
-    return _run_rows(run, F.concat(prefix[F.col("model")], F.lit("_"), _form_tag(1)))
+    prefix = F.array(*[F.lit(prefixes[m]) for m in models])
+    return _run_rows(run, F.concat(F.element_at(prefix, F.col("model") + 1), F.lit("_"), _form_tag(1)))
 
 
 def score_all_docs(index: Index, text: str, model: str = "tfidf",
