@@ -105,3 +105,11 @@ def test_bad_k_and_model_rejected(index, queries):
         rank.ranked_runs(index, queries, ["tfidf"], k=0)
     with pytest.raises(ValueError):
         rank.ranked_runs(index, queries, ["nope"], k=5)
+
+
+def test_excluded_documents_are_not_ranked(spark, index, queries):
+    gone = spark.createDataFrame([(2,)], "doc_id long")
+    run = rank.ranked_runs(index, queries, ["bm25"], k=10, exclude=gone).collect()
+    assert run and all(r["docno"] != "2" for r in run)
+    full = rank.ranked_runs(index, queries, ["bm25"], k=10).collect()
+    assert any(r["docno"] == "2" for r in full)

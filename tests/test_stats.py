@@ -68,3 +68,8 @@ def test_compare_analyzers_brute_force(spark):
 
     for name in ("standard", "keyword", "simple", "stop"):
         assert got[name] == brute(name), name
+
+
+def test_approximate_vocabulary(spark):
+    idx = in_memory_index(corpus(spark))
+    assert stats.vocabulary_size(idx, approx=True).first()[0] == 3

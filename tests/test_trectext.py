@@ -71,3 +71,10 @@ def test_split_mode_reads_same_complete_records(spark, tmp_path):
     whole, _ = docs_of(spark, folder)
     split, _ = docs_of(spark, folder, mode="split")
     assert whole == split == [("d1", "", "one"), ("d2", "", "twolines")]
+
+
+def test_auto_mode_reads_small_files_whole(spark, tmp_path):
+    folder = write_files(tmp_path / "c", {"a.txt": "<DOC>\n<DOCNO>d1</DOCNO>\n<TEXT>x</TEXT>\n</DOC>\nleft over"})
+    docs, rejected = read_trectext(spark, folder, mode="auto")
+    assert [r["docno"] for r in docs.collect()] == ["d1"]
+    assert rejected.count() == 1

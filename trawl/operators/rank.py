@@ -118,8 +118,9 @@ class QuerySide:
     ``BROADCAST_MAX_ROWS``; beyond that the joins shuffle on ``term``.
     """
 
-    def __init__(self, index: Index, queries: DataFrame):
+    def __init__(self, index: Index, queries: DataFrame, exclude: DataFrame | None = None):
         self.index = index
+        self.exclude = exclude
         spark = queries.sparkSession
         qt = query_terms(queries, index.analyzer)
         fetched = qt.limit(COLLECT_MAX_ROWS + 1).collect()
@@ -181,9 +182,19 @@ class QuerySide:
         return self._weighted
 
     def matches(self) -> DataFrame:
-        """One row per (query, term, doc) where the doc holds the term."""
+        """One row per (query, term, doc) where the doc holds the term.
+
+        With ``exclude`` set (a table of deleted doc ids) those documents are
+        dropped with an anti-join before scoring; statistics are unchanged,
+        as with deletions that are not yet merged away.
+        """
         right = self.weighted().filter(F.col("df") > 0).drop("query_id", "form", "df", "cf")
-        return self._scan(self.index.postings).join(self.small(right), "term")
+        m = self._scan(self.index.postings).join(self.small(right), "term")
+        if self.exclude is not None:
+            ex = self.exclude.select("doc_id").distinct()
+            small = ex.count() <= BROADCAST_MAX_ROWS
+            m = m.join(F.broadcast(ex) if small else ex, "doc_id", "left_anti")
+        return m
 
 
 def score_columns(index: Index, models: Sequence[str], params: S.ModelParams = S.ModelParams()) -> list:
@@ -260,13 +271,17 @@ def _run_rows(df: DataFrame, run_id) -> DataFrame:
 
 
 def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int = DEFAULT_K,
-                params: S.ModelParams = S.ModelParams(), run_prefix: dict | None = None) -> DataFrame:
-    """Run table for each model × form: query_id, q, docno, rank, score, run_id."""
+                params: S.ModelParams = S.ModelParams(), run_prefix: dict | None = None,
+                exclude: DataFrame | None = None) -> DataFrame:
+    """Run table for each model × form: query_id, q, docno, rank, score, run_id.
+
+    ``exclude``: optional table with a ``doc_id`` column of deleted documents.
+    """
     if k <= 0:
         raise ValueError("k must be positive")
     _check_models(models)
     prefixes = dict(MODEL_RUN_PREFIX, tfidf=TFIDF_RUN_PREFIX, **(run_prefix or {}))
-    side = QuerySide(index, queries)
+    side = QuerySide(index, queries, exclude)
     scored = _score(index, side, models, params)
     # Models are numbered 0..n-1 for the window key (cheaper to sort than
     # names) and turned into run ids after top-k.

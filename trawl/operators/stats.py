@@ -24,7 +24,11 @@ def num_docs(index: Index) -> DataFrame:
     return index.docs.agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def vocabulary_size(index: Index) -> DataFrame:
+def vocabulary_size(index: Index, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Distinct terms: the row count of the term table, or a HyperLogLog
+    estimate over the postings (no term table needed) when ``approx``."""
+    if approx:
+        return index.postings.agg(F.approx_count_distinct("term", rsd).alias("vocabulary"))
     return index.terms.agg(F.count(F.lit(1)).alias("vocabulary"))
 
 

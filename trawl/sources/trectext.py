@@ -55,13 +55,28 @@ def _read_whole(spark: SparkSession, path: str) -> DataFrame:
             .select(F.input_file_name().alias("path"), "value"))
 
 
+# Files above this size are read with the splittable reader in "auto" mode.
+WHOLE_FILE_MAX_BYTES = 256 * 1024 * 1024
+
+
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Size of the largest input file (a distributed listing; contents are not read)."""
+    row = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("m")).first()
+    return int(row["m"] or 0)
+
+
 def read_records(spark: SparkSession, path: str, line_join: str = "",
                  mode: str = "whole") -> tuple[DataFrame, DataFrame]:
     """Return ``(records, rejected)``.
 
     records:  path, rec_pos, record (the joined lines of one ``<DOC>``)
     rejected: path, raw, reason
+
+    ``mode="auto"`` picks "whole" unless a file is larger than
+    ``WHOLE_FILE_MAX_BYTES`` (a whole file must fit in one string/task).
     """
+    if mode == "auto":
+        mode = "split" if largest_file(spark, path) > WHOLE_FILE_MAX_BYTES else "whole"
     if mode == "whole":
         chunks = _cut(_read_whole(spark, path), _CLOSE_LINE)
         complete = chunks.filter(~F.col("is_tail"))
