@@ -113,3 +113,14 @@ def test_excluded_documents_are_not_ranked(spark, index, queries):
     assert run and all(r["docno"] != "2" for r in run)
     full = rank.ranked_runs(index, queries, ["bm25"], k=10).collect()
     assert any(r["docno"] == "2" for r in full)
+
+
+def test_vsm_factors_and_avgdl_switches(index, queries):
+    base = {(r[0], r[1], r[2]): r[3] for r in rank.score(index, queries, ["vsm"]).collect()}
+    bare = {(r[0], r[1], r[2]): r[3] for r in
+            rank.score(index, queries, ["vsm"], rank.S.ModelParams(coord=False, query_norm=False)).collect()}
+    assert base.keys() == bare.keys()
+    assert any(abs(base[k] - bare[k]) > 1e-9 for k in base)
+    b1 = rank.score(index, queries, ["bm25"]).collect()
+    b2 = rank.score(index, queries, ["bm25"], rank.S.ModelParams(avgdl_over="with_terms")).collect()
+    assert len(b1) == len(b2) and {r[3] for r in b1} != {r[3] for r in b2}

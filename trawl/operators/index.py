@@ -41,6 +41,13 @@ class CollectionStats:
         # Average over *all* documents, as the library's BM25 does.
         return self.tokens / self.n_docs if self.n_docs and self.tokens > 0 else 1.0
 
+    def avgdl_over(self, over: str = "all") -> float:
+        if over == "all":
+            return self.avgdl
+        if over == "with_terms":
+            return self.tokens / self.docs_with_terms if self.docs_with_terms else 1.0
+        raise ValueError(f"avgdl_over must be 'all' or 'with_terms', not {over!r}")
+
 
 @dataclass
 class Index:

@@ -35,7 +35,7 @@ MODEL_RUN_PREFIX = {"bm25": "BM25", "vsm": "VSM", "lm_dirichlet": "LMDS", "lm_jm
 DEFAULT_K = 1000
 # ---------------------------------------------------------------------------
 MODELS = tuple(MODEL_RUN_PREFIX)
-ALL_SCORES = ("tfidf",) + MODELS
+ALL_SCORES = ("tfidf",) + MODELS  # keys of RANKERS
 
 # Largest query-side table that is broadcast (rows are a few dozen bytes).
 BROADCAST_MAX_ROWS = 2_000_000
@@ -197,26 +197,49 @@ class QuerySide:
         return m
 
 
-def score_columns(index: Index, models: Sequence[str], params: S.ModelParams = S.ModelParams()) -> list:
-    """Aggregate expressions over the match table, one per requested model.
+def _tfidf(st, p: S.ModelParams) -> Column:
+    # Distinct query terms: repetitions do not count in the home-made model.
+    return F.sum(S.tfidf_term(F.col("tf"), F.col("nrm"), F.col("w_tfidf")))
 
-    Per-term weights come from the query side; per row only the parts that
-    depend on tf and the document's norm/length are computed.
-    """
-    st = index.stats
-    avgdl = F.lit(st.avgdl)
-    tf, qtf, nrm, length, p = (F.col(x) for x in ("tf", "qtf", "nrm", "length", "p_coll"))
-    tfd = tf.cast("double")
-    build = {
-        # Distinct query terms: repetitions do not count in the home-made model.
-        "tfidf": lambda: F.sum(S.tfidf_term(tf, nrm, F.col("w_tfidf"))),
-        "bm25": lambda: F.sum(F.col("w_bm25") * S.bm25_saturation(tfd, length, avgdl, params)),
-        "vsm": lambda: (F.sum(F.col("w_vsm") * F.sqrt(tfd) * nrm) * F.sum(qtf)
-                        / F.max("clauses") * F.max("vsm_qnorm")),
-        "lm_dirichlet": lambda: F.sum(qtf * S.lm_dirichlet_weight(tfd, length, p, params)),
-        "lm_jm": lambda: F.sum(qtf * S.lm_jm_weight(tfd, length, p, params)),
-    }
-    return [build[m]().alias(m) for m in models]
+
+def _bm25(st, p: S.ModelParams) -> Column:
+    sat = S.bm25_saturation(F.col("tf").cast("double"), F.col("length"), F.lit(st.avgdl_over(p.avgdl_over)), p)
+    return F.sum(F.col("w_bm25") * sat)
+
+
+def _vsm(st, p: S.ModelParams) -> Column:
+    s = F.sum(F.col("w_vsm") * F.sqrt(F.col("tf").cast("double")) * F.col("nrm"))
+    if p.coord:
+        s = s * F.sum("qtf") / F.max("clauses")
+    if p.query_norm:
+        s = s * F.max("vsm_qnorm")
+    return s
+
+
+def _lm_dirichlet(st, p: S.ModelParams) -> Column:
+    return F.sum(F.col("qtf") * S.lm_dirichlet_weight(F.col("tf").cast("double"), F.col("length"), F.col("p_coll"), p))
+
+
+def _lm_jm(st, p: S.ModelParams) -> Column:
+    return F.sum(F.col("qtf") * S.lm_jm_weight(F.col("tf").cast("double"), F.col("length"), F.col("p_coll"), p))
+
+
+# Plug point for similarities: name -> (collection stats, params) -> an
+# aggregate over the match table.  Per-term weights (w_tfidf, w_bm25, w_vsm,
+# p_coll, clauses, vsm_qnorm) come from the query side; per row only the
+# parts that depend on tf and the document's norm/length are computed.
+RANKERS = {
+    "tfidf": _tfidf,
+    "bm25": _bm25,
+    "vsm": _vsm,
+    "lm_dirichlet": _lm_dirichlet,
+    "lm_jm": _lm_jm,
+}
+
+
+def score_columns(index: Index, models: Sequence[str], params: S.ModelParams = S.ModelParams()) -> list:
+    """Aggregate expressions over the match table, one per requested model."""
+    return [RANKERS[m](index.stats, params).alias(m) for m in models]
 
 
 def _check_models(models: Sequence[str]) -> None:
