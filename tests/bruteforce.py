@@ -41,7 +41,7 @@ def byte_norm(b: int) -> float:
 
 
 def qnorm(dl: int) -> float:
-    return byte_norm(norm_byte(f32(1.0 / f32(math.sqrt(dl)))))
+    return byte_norm(norm_byte(f32(1.0 / math.sqrt(dl))))
 
 
 def tokens(text: str) -> list[str]:

@@ -38,7 +38,10 @@ def queries(spark):
 
 
 def test_quantized_norm_matches_bit_coding(spark):
-    dls = list(range(0, 3000)) + [4095, 4096, 4097, 65535, 65536, 1_000_000, 123_456_789]
+    import random
+    rnd = random.Random(7)
+    dls = (list(range(0, 3000)) + [4095, 4096, 4097, 65535, 65536, 1_000_000, 123_456_789]
+           + [rnd.randrange(3000, 10**9) for _ in range(20000)])
     df = spark.createDataFrame([(d,) for d in dls], "dl long")
     got = {r["dl"]: r["n"] for r in df.select("dl", quantized_norm(F.col("dl")).alias("n")).collect()}
     assert got[0] is None

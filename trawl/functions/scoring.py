@@ -42,12 +42,13 @@ def exact_norm(dl: Column) -> Column:
 def quantized_norm(dl: Column) -> Column:
     """Length norm as stored in one byte and decoded again.
 
-    The stored value is the float 1/sqrt(dl) cut down to 3 significant
+    The stored value is the float (1/sqrt(dl), computed in double and
+    rounded once to single precision) cut down to 3 significant
     bits (leading 1 plus two mantissa bits, truncated).  Written with
     exact power-of-two arithmetic so Spark and the SQL oracle agree;
     null for a document without tokens.
     """
-    x = _f32(F.lit(1.0) / _f32(F.sqrt(_positive(dl))))
+    x = _f32(F.lit(1.0) / F.sqrt(_positive(dl)))
     e0 = F.floor(F.log2(x))
     e = (e0 - F.when(F.pow(F.lit(2.0), e0) > x, 1).otherwise(0)
          + F.when(F.pow(F.lit(2.0), e0 + 1) <= x, 1).otherwise(0))

@@ -70,7 +70,7 @@ cstats AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(dl) AS BIGINT) AS
 
 def norm_ctes() -> str:
     """dnorm (doc_id, dl, qn, dlq): quantised norm and the length it decodes to."""
-    x = "CAST(CAST(1e0 / CAST(CAST(sqrt(CASE WHEN dl > 0 THEN CAST(dl AS DOUBLE) END) AS FLOAT) AS DOUBLE) AS FLOAT) AS DOUBLE)"
+    x = "CAST(CAST(1e0 / sqrt(CASE WHEN dl > 0 THEN CAST(dl AS DOUBLE) END) AS FLOAT) AS DOUBLE)"
     return f"""
 nx AS (SELECT doc_id, dl, {x} AS x FROM docs),
 ne AS (SELECT doc_id, dl, x, floor(log2(x)) AS e0 FROM nx),
