@@ -1,22 +1,22 @@
 """Inverted index as four parquet tables.
 
 postings  term STRING, doc_id LONG, tf LONG, dl LONG
-          range-partitioned on (term, doc_id) and sorted, so a term filter
-          skips row groups and one very common term still spreads over
-          several files; the document length rides along so ranking
-          needs no join with the documents table.
+          bucketed by doc_id and sorted by term inside each bucket (see
+          write_index); the document length rides along so ranking needs
+          no join with the documents table.
 docs      doc_id LONG, docno STRING, dl LONG  (every document, dl may be 0)
 terms     term STRING, df LONG, cf LONG
 stats     one row: n_docs, docs_with_terms, tokens, postings, vocabulary
 
-Build cost: two narrow passes over the text (document lengths; postings)
-and one shuffle of postings (partial counts per document are combined
-map-side, so the shuffle carries postings, not tokens), plus one range
-shuffle to cluster postings by term.
+Build cost: two narrow passes over the text (document lengths; postings),
+one shuffle of postings (partial counts per document are combined
+map-side, so the shuffle carries postings, not tokens) and one shuffle
+that places each document's postings in its bucket.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -130,34 +130,104 @@ def in_memory_index(corpus: DataFrame, analyzer: str = "standard") -> Index:
     return Index(postings, docs, terms, stats_frame(docs, postings, terms), analyzer)
 
 
+# Upper bound on the number of doc-id buckets of a written index.
+MAX_BUCKETS = 16384
+
+_POSTINGS_COLS = "term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT"
+_DOCS_COLS = "doc_id BIGINT, docno STRING, dl BIGINT"
+
+
+def default_buckets(corpus: DataFrame) -> int:
+    """One bucket per input split of the corpus, at least one per shuffle
+    partition, at most ``MAX_BUCKETS``."""
+    spark = corpus.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(MAX_BUCKETS, max(shuffle, corpus.rdd.getNumPartitions())))
+
+
+def _table_name(kind: str) -> str:
+    return f"trawl_{kind}_{uuid.uuid4().hex[:12]}"
+
+
+def _save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str]) -> str | None:
+    """Write ``df`` bucketed by doc_id (one file per bucket) as an external
+    table at ``path``; returns the table name, or None when the catalog
+    refuses it (the files are then written doc-partitioned without metadata)."""
+    name = _table_name("t")
+    writer = (df.repartition(buckets, "doc_id").write.mode("overwrite")
+              .bucketBy(buckets, "doc_id").sortBy(*sort_cols).option("path", path))
+    try:
+        writer.saveAsTable(name)
+        return name
+    except Exception:  # noqa: BLE001 - catalog without table support: plain files
+        (df.repartition(buckets, "doc_id").sortWithinPartitions(*sort_cols)
+         .write.mode("overwrite").parquet(path))
+        return None
+
+
+def _register_bucketed(spark: SparkSession, path: str, cols: str, buckets: int, sort_cols: list[str]) -> DataFrame:
+    """Re-attach the bucket spec of files written by :func:`_save_bucketed`."""
+    name = _table_name("t")
+    try:
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (doc_id) "
+                  f"SORTED BY ({', '.join(sort_cols)}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        return spark.table(name)
+    except Exception:  # noqa: BLE001
+        return spark.read.parquet(path)
+
+
 def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
-                partitions: int | None = None) -> Index:
-    """Build and write the four tables under ``path`` (overwrite), then open."""
+                layout: str = "bucketed", buckets: int | None = None) -> Index:
+    """Build and write the four tables under ``path`` (overwrite), then open.
+
+    layout="bucketed" (default): a document-partitioned index.  postings and
+    docs are bucketed by doc_id (postings sorted by term inside each bucket,
+    so term filters still skip row groups).  A ranking scan then reports
+    hash partitioning on doc_id: the per-(query, doc) aggregate needs no
+    shuffle, each bucket yields its own top-k per query, and only those
+    partial top-k rows are shuffled.
+    layout="range": postings range-partitioned and sorted on (term, doc_id)
+    (a term-partitioned index: narrower scans for single-term look-ups,
+    but ranking shuffles every partial (query, doc) score).
+    """
     spark = corpus.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or default_buckets(corpus)
     postings = build_postings(corpus, analyzer)
-    (postings.repartitionByRange(n, "term", "doc_id")
-     .sortWithinPartitions("term", "doc_id")
-     .write.mode("overwrite").parquet(f"{path}/postings"))
-    doc_lengths(corpus, analyzer).write.mode("overwrite").parquet(f"{path}/docs")
+    docs_df = doc_lengths(corpus, analyzer)
+    if layout == "bucketed":
+        _save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"])
+        _save_bucketed(docs_df, f"{path}/docs", n, ["doc_id"])
+    elif layout == "range":
+        (postings.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
+         .write.mode("overwrite").parquet(f"{path}/postings"))
+        docs_df.write.mode("overwrite").parquet(f"{path}/docs")
+    else:
+        raise ValueError(f"layout must be 'bucketed' or 'range', not {layout!r}")
     stored = spark.read.parquet(f"{path}/postings")
     term_stats(stored).write.mode("overwrite").parquet(f"{path}/terms")
     docs = spark.read.parquet(f"{path}/docs")
     terms = spark.read.parquet(f"{path}/terms")
-    stats_frame(docs, stored, terms).withColumn("analyzer", F.lit(analyzer)) \
-        .coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+    (stats_frame(docs, stored, terms)
+     .withColumn("analyzer", F.lit(analyzer)).withColumn("layout", F.lit(layout))
+     .withColumn("buckets", F.lit(n)).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats"))
     return open_index(spark, path)
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
     stats_df = spark.read.parquet(f"{path}/stats")
-    analyzer = stats_df.select("analyzer").first()["analyzer"]
+    meta = stats_df.select("analyzer", "layout", "buckets").first()
+    if meta["layout"] == "bucketed":
+        postings = _register_bucketed(spark, f"{path}/postings", _POSTINGS_COLS, meta["buckets"], ["term", "doc_id"])
+        docs = _register_bucketed(spark, f"{path}/docs", _DOCS_COLS, meta["buckets"], ["doc_id"])
+    else:
+        postings = spark.read.parquet(f"{path}/postings")
+        docs = spark.read.parquet(f"{path}/docs")
     return Index(
-        postings=spark.read.parquet(f"{path}/postings"),
-        docs=spark.read.parquet(f"{path}/docs"),
+        postings=postings,
+        docs=docs,
         terms=spark.read.parquet(f"{path}/terms"),
         stats_df=stats_df.select(*STATS_COLUMNS),
-        analyzer=analyzer,
+        analyzer=meta["analyzer"],
         path=path,
     )
 
