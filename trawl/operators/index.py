@@ -89,8 +89,14 @@ def doc_lengths(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
                          F.size(analyze("text", analyzer)).cast("long").alias("dl"))
 
 
-def build_postings(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
-    """term, doc_id, tf, dl — one row per (term, document)."""
+def build_postings(corpus: DataFrame, analyzer: str = "standard", by_doc: int | None = None) -> DataFrame:
+    """term, doc_id, tf, dl — one row per (term, document).
+
+    ``by_doc=n`` hash-partitions the tokens on doc_id into n partitions
+    before counting: the count then needs no further exchange and its
+    output is already laid out as n doc-id buckets (one shuffle of tokens
+    instead of a shuffle of postings plus a bucketing shuffle).
+    """
     # The length is taken in its own select: an array expression next to
     # the generator would carry (and copy) the whole array into every
     # exploded row, quadratic in document length.
@@ -101,6 +107,8 @@ def build_postings(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
     sized = tokens.select("doc_id", F.size("toks").cast("long").alias("dl"), "toks")
     exploded = sized.select("doc_id", "dl", F.explode_outer("toks").alias("term")) \
         .filter(F.col("term").isNotNull())
+    if by_doc:
+        exploded = exploded.repartition(by_doc, "doc_id")
     return exploded.groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")) \
         .select("term", "doc_id", "tf", "dl")
 
@@ -149,12 +157,16 @@ def _table_name(kind: str) -> str:
     return f"trawl_{kind}_{uuid.uuid4().hex[:12]}"
 
 
-def _save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str]) -> str | None:
+def _save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str],
+                   prepartitioned: bool = False) -> str | None:
     """Write ``df`` bucketed by doc_id (one file per bucket) as an external
     table at ``path``; returns the table name, or None when the catalog
-    refuses it (the files are then written doc-partitioned without metadata)."""
+    refuses it (the files are then written doc-partitioned without metadata).
+    ``prepartitioned``: ``df`` is already hash-partitioned on doc_id into
+    ``buckets`` partitions (partition i holds bucket i)."""
     name = _table_name("t")
-    writer = (df.repartition(buckets, "doc_id").write.mode("overwrite")
+    laid = df if prepartitioned else df.repartition(buckets, "doc_id")
+    writer = (laid.write.mode("overwrite")
               .bucketBy(buckets, "doc_id").sortBy(*sort_cols).option("path", path))
     try:
         writer.saveAsTable(name)
@@ -192,12 +204,13 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
     """
     spark = corpus.sparkSession
     n = buckets or default_buckets(corpus)
-    postings = build_postings(corpus, analyzer)
     docs_df = doc_lengths(corpus, analyzer)
     if layout == "bucketed":
-        _save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"])
+        postings = build_postings(corpus, analyzer, by_doc=n)
+        _save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"], prepartitioned=True)
         _save_bucketed(docs_df, f"{path}/docs", n, ["doc_id"])
     elif layout == "range":
+        postings = build_postings(corpus, analyzer)
         (postings.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
          .write.mode("overwrite").parquet(f"{path}/postings"))
         docs_df.write.mode("overwrite").parquet(f"{path}/docs")
