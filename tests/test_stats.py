@@ -73,3 +73,22 @@ def test_compare_analyzers_brute_force(spark):
 def test_approximate_vocabulary(spark):
     idx = in_memory_index(corpus(spark))
     assert stats.vocabulary_size(idx, approx=True).first()[0] == 3
+
+
+def test_index_without_table_catalog_falls_back_to_plain_files(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    def refuse(self, *a, **k):
+        raise RuntimeError("no catalog")
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
+    idx = write_index(corpus(spark), str(tmp_path / "plain"))
+    assert spark.read.parquet(str(tmp_path / "plain" / "stats")).first()["layout"] == "docpart"
+    assert {r["term"]: r["df"] for r in idx.terms.collect()} == {"fox": 1, "dog": 2, "zebra": 1}
+    assert sorted(tuple(r) for r in stats.term_postings(idx, "dog").collect()) == [("dog", 1, 1), ("dog", 2, 3)]
+
+
+def test_range_layout(spark, tmp_path):
+    idx = write_index(corpus(spark), str(tmp_path / "range"), layout="range")
+    assert idx.stats.postings == 4
+    assert sorted(tuple(r) for r in stats.term_postings(idx, "dog").collect()) == [("dog", 1, 1), ("dog", 2, 3)]

@@ -207,8 +207,10 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
     docs_df = doc_lengths(corpus, analyzer)
     if layout == "bucketed":
         postings = build_postings(corpus, analyzer, by_doc=n)
-        _save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"], prepartitioned=True)
-        _save_bucketed(docs_df, f"{path}/docs", n, ["doc_id"])
+        saved = [_save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"], prepartitioned=True),
+                 _save_bucketed(docs_df, f"{path}/docs", n, ["doc_id"])]
+        if None in saved:
+            layout = "docpart"  # doc-partitioned files without bucket metadata
     elif layout == "range":
         postings = build_postings(corpus, analyzer)
         (postings.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
@@ -254,7 +256,7 @@ def index_for(spark: SparkSession, corpus: DataFrame, key: str, analyzer: str =
     ``key`` names the corpus (for the driver tables: the folder they were
     read from).  Later calls with the same key and analyzer reopen it.
     """
-    cache_key = (id(spark.sparkContext), key, analyzer)
+    cache_key = (spark.sparkContext.applicationId, key, analyzer)
     if cache_key not in _OPENED:
         _OPENED[cache_key] = write_index(corpus, scratch_dir(spark, f"index-{analyzer}"), analyzer)
     return _OPENED[cache_key]

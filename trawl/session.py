@@ -37,7 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-_SCRATCH: dict[int, str] = {}
+_SCRATCH: dict[str, str] = {}
 
 
 def _checkpoint_base(spark: SparkSession) -> str:
@@ -62,7 +62,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     The checkpoint dir is the folder every executor can read, so written
     tables survive the loss of the executor that wrote them.
     """
-    key = id(spark.sparkContext)
+    key = spark.sparkContext.applicationId
     if key not in _SCRATCH:
         _SCRATCH[key] = _checkpoint_base(spark).rstrip("/") + "/trawl"
     return f"{_SCRATCH[key]}/{name}-{uuid.uuid4().hex[:12]}"
