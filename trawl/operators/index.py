@@ -250,13 +250,16 @@ def open_index(spark: SparkSession, path: str) -> Index:
 _OPENED: dict[tuple, Index] = {}
 
 
-def index_for(spark: SparkSession, corpus: DataFrame, key: str, analyzer: str = "standard") -> Index:
+def index_for(spark: SparkSession, corpus, key: str, analyzer: str = "standard") -> Index:
     """Index of ``corpus`` built once per session and kept in the scratch folder.
 
-    ``key`` names the corpus (for the driver tables: the folder they were
-    read from).  Later calls with the same key and analyzer reopen it.
+    ``corpus`` is a DataFrame or a function returning one (only called when
+    the index must be built).  ``key`` names the corpus (for the driver
+    tables: the folder they were read from); later calls with the same key
+    and analyzer reuse the written index.
     """
     cache_key = (spark.sparkContext.applicationId, key, analyzer)
     if cache_key not in _OPENED:
-        _OPENED[cache_key] = write_index(corpus, scratch_dir(spark, f"index-{analyzer}"), analyzer)
+        df = corpus() if callable(corpus) else corpus
+        _OPENED[cache_key] = write_index(df, scratch_dir(spark, f"index-{analyzer}"), analyzer)
     return _OPENED[cache_key]

@@ -32,7 +32,7 @@ PAGE_TAGS = ("title", "p", "li")
 
 
 def _index(spark: SparkSession, sf: str, analyzer: str = "standard"):
-    return index_for(spark, tables.corpus(spark, sf), sf.rstrip("/"), analyzer)
+    return index_for(spark, lambda: tables.corpus(spark, sf), sf.rstrip("/"), analyzer)
 
 
 def _queries(spark: SparkSession, sf: str) -> DataFrame:
