@@ -78,3 +78,11 @@ def test_auto_mode_reads_small_files_whole(spark, tmp_path):
     docs, rejected = read_trectext(spark, folder, mode="auto")
     assert [r["docno"] for r in docs.collect()] == ["d1"]
     assert rejected.count() == 1
+
+
+def test_other_encoding(spark, tmp_path):
+    folder = tmp_path / "l1"
+    folder.mkdir()
+    (folder / "a.txt").write_bytes("<DOC>\n<DOCNO>d1</DOCNO>\n<TEXT>café naïve</TEXT>\n</DOC>\n".encode("latin-1"))
+    rows, _ = docs_of(spark, str(folder), encoding="ISO-8859-1")
+    assert rows == [("d1", "", "café naïve")]

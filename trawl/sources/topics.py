@@ -22,9 +22,9 @@ DESC_FIELD = ("<desc>", "Description:", "<smry>")
 _TOP_CLOSE_LINE = r"(?<![^\r\n])</top>[^\r\n]*(?:\r\n|\r|\n)?"
 
 
-def topic_blocks(spark: SparkSession, path: str) -> DataFrame:
+def topic_blocks(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
     """path, rec_pos, block (non-blank lines, each followed by one space)."""
-    chunks = _cut(_read_whole(spark, path), _TOP_CLOSE_LINE).filter(~F.col("is_tail"))
+    chunks = _cut(_read_whole(spark, path, encoding), _TOP_CLOSE_LINE).filter(~F.col("is_tail"))
     lines = F.filter(split_lines(F.col("chunk")), lambda l: F.length(java_trim(l)) > 0)
     block = F.concat(F.array_join(lines, " "), F.when(F.size(lines) > 0, F.lit(" ")).otherwise(F.lit("")))
     return chunks.select("path", "rec_pos", block.alias("block"))
@@ -48,8 +48,8 @@ def parse_topic_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def read_topics(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return parse_topic_blocks(topic_blocks(spark, path))
+def read_topics(spark: SparkSession, path: str, encoding: str = "utf-8") -> tuple[DataFrame, DataFrame]:
+    return parse_topic_blocks(topic_blocks(spark, path, encoding))
 
 
 def to_topic_blocks(topics: DataFrame, domain: str = "Retrieval") -> DataFrame:

@@ -50,9 +50,14 @@ def _cut(raw: DataFrame, close_line: str) -> DataFrame:
         .select("path", "rec_pos", "chunk", (F.col("rec_pos") == F.col("_last")).alias("is_tail"))
 
 
-def _read_whole(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.text(path, wholetext=True)
-            .select(F.input_file_name().alias("path"), "value"))
+def _read_whole(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+    """(path, value): one row per file.  UTF-8 through the text source;
+    other charsets through the binaryFile source and ``decode``."""
+    if encoding.lower().replace("-", "") in ("utf8",):
+        return (spark.read.text(path, wholetext=True)
+                .select(F.input_file_name().alias("path"), "value"))
+    return (spark.read.format("binaryFile").load(path)
+            .select("path", F.decode("content", encoding).alias("value")))
 
 
 # Files above this size are read with the splittable reader in "auto" mode.
@@ -66,7 +71,7 @@ def largest_file(spark: SparkSession, path: str) -> int:
 
 
 def read_records(spark: SparkSession, path: str, line_join: str = "",
-                 mode: str = "whole") -> tuple[DataFrame, DataFrame]:
+                 mode: str = "whole", encoding: str = "utf-8") -> tuple[DataFrame, DataFrame]:
     """Return ``(records, rejected)``.
 
     records:  path, rec_pos, record (the joined lines of one ``<DOC>``)
@@ -78,7 +83,7 @@ def read_records(spark: SparkSession, path: str, line_join: str = "",
     if mode == "auto":
         mode = "split" if largest_file(spark, path) > WHOLE_FILE_MAX_BYTES else "whole"
     if mode == "whole":
-        chunks = _cut(_read_whole(spark, path), _CLOSE_LINE)
+        chunks = _cut(_read_whole(spark, path, encoding), _CLOSE_LINE)
         complete = chunks.filter(~F.col("is_tail"))
         tail = chunks.filter(F.col("is_tail") & (F.length(java_trim(F.col("chunk"))) > 0))
         records = _records_from_chunks(complete, line_join, DOC_OPEN, keep_blank=True)
@@ -86,6 +91,8 @@ def read_records(spark: SparkSession, path: str, line_join: str = "",
                                F.lit("record not closed by </DOC> before end of file").alias("reason"))
         return records, rejected
     if mode == "split":
+        if encoding.lower().replace("-", "") != "utf8":
+            raise ValueError("the splittable reader reads UTF-8 only; use mode='whole' for other charsets")
         raw = (spark.read.option("lineSep", "\n" + DOC_CLOSE).text(path)
                .select(F.input_file_name().alias("path"), "value"))
         # Every piece but a file's first starts with the rest of a </DOC> line.
@@ -110,9 +117,10 @@ def documents_from_records(records: DataFrame, text_only: bool = False) -> DataF
 
 
 def read_trectext(spark: SparkSession, path: str, line_join: str = "",
-                  mode: str = "whole", text_only: bool = False) -> tuple[DataFrame, DataFrame]:
+                  mode: str = "whole", text_only: bool = False,
+                  encoding: str = "utf-8") -> tuple[DataFrame, DataFrame]:
     """``(documents, rejected)`` of a TREC-text folder."""
-    records, rejected = read_records(spark, path, line_join, mode)
+    records, rejected = read_records(spark, path, line_join, mode, encoding)
     return documents_from_records(records, text_only), rejected
 
 
