@@ -1,16 +1,19 @@
 """Ranking a whole query set against an index in one job.
 
 queries (query_id, form, text)
-  -> query_terms   (query_id, form, term, qtf)          analyzer, count
-  -> weighted      (+ df, cf and per-query VSM facts)   ⋈ terms (stream terms, broadcast query side)
-  -> matches       (+ doc_id, tf, dl)                   ⋈ postings (stream postings, broadcast query side)
-  -> scores        one row per (query, form, doc)       hash aggregate, partial + final
-  -> runs          top-k per (run, query)               WindowGroupLimit
-  -> docno         late fetch after top-k               ⋈ docs
-
-The query side is broadcast only after its row count is checked against
-``BROADCAST_MAX_ROWS``; beyond it the joins shuffle on ``term`` and AQE
-splits a skewed (very common) term's partition.
+  -> query terms   (qkey, term, qtf, df, cf, per-term weights, per-query VSM facts)
+                   analyzer + count; df/cf from one pushed-down scan of the term table;
+                   small: a local relation (size known exactly)
+  -> matches       postings ⋈ broadcast(query side)       the postings stream, no shuffle
+  -> scores        one row per (qkey, doc)                 hash aggregate inside each doc-id
+                                                           bucket (no exchange on a bucketed index)
+  -> runs          top-k per (model, qkey)                 WindowGroupLimit, partial then final:
+                                                           the one shuffle carries partial top-k rows
+  -> docno         late fetch after top-k                  ⋈ docs, smaller side broadcast
+
+The query side is broadcast only after its size is checked; above
+``BROADCAST_MAX_ROWS`` the joins shuffle on ``term`` and AQE splits a
+skewed (very common) term's partition.
 """
 
 from __future__ import annotations
@@ -37,8 +40,8 @@ DEFAULT_K = 1000
 MODELS = tuple(MODEL_RUN_PREFIX)
 ALL_SCORES = ("tfidf",) + MODELS  # keys of RANKERS
 
-# Largest query-side table that is broadcast (rows are a few dozen bytes).
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest query-side table that is broadcast (~80 bytes a row: ~80 MB).
+BROADCAST_MAX_ROWS = 1_000_000
 # Up to this many distinct query terms are pushed into the parquet scans.
 PUSHDOWN_MAX_TERMS = 512
 # Query-term tables up to this many rows are fetched and re-used locally.
