@@ -8,10 +8,10 @@ docs      doc_id LONG, docno STRING, dl LONG  (every document, dl may be 0)
 terms     term STRING, df LONG, cf LONG
 stats     one row: n_docs, docs_with_terms, tokens, postings, vocabulary
 
-Build cost: two narrow passes over the text (document lengths; postings),
-one shuffle of postings (partial counts per document are combined
-map-side, so the shuffle carries postings, not tokens) and one shuffle
-that places each document's postings in its bucket.
+Build cost (bucketed layout): the text is shuffled once into doc-id
+buckets, then tokenised and counted inside each bucket (no exchange) and
+written one file per bucket; document lengths are a second narrow pass,
+and term statistics one aggregate over the written postings.
 """
 
 from __future__ import annotations
@@ -82,20 +82,19 @@ def spread(corpus: DataFrame) -> DataFrame:
 
 
 def doc_lengths(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
-    """doc_id, docno, dl — narrow, no shuffle."""
+    """doc_id, docno, dl — narrow (a small input is only spread over the cores)."""
     corpus = spread(corpus)
     docno = F.col("docno") if "docno" in corpus.columns else F.col("doc_id").cast("string")
     return corpus.select("doc_id", docno.alias("docno"),
                          F.size(analyze("text", analyzer)).cast("long").alias("dl"))
 
 
-def build_postings(corpus: DataFrame, analyzer: str = "standard", by_doc: int | None = None) -> DataFrame:
+def build_postings(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
     """term, doc_id, tf, dl — one row per (term, document).
 
-    ``by_doc=n`` hash-partitions the tokens on doc_id into n partitions
-    before counting: the count then needs no further exchange and its
-    output is already laid out as n doc-id buckets (one shuffle of tokens
-    instead of a shuffle of postings plus a bucketing shuffle).
+    On a corpus hash-partitioned by doc_id the count needs no exchange at
+    all (the partitioning already clusters every (term, doc) key), and its
+    output stays laid out as doc-id buckets.
     """
     # The length is taken in its own select: an array expression next to
     # the generator would carry (and copy) the whole array into every
@@ -107,8 +106,6 @@ def build_postings(corpus: DataFrame, analyzer: str = "standard", by_doc: int |
     sized = tokens.select("doc_id", F.size("toks").cast("long").alias("dl"), "toks")
     exploded = sized.select("doc_id", "dl", F.explode_outer("toks").alias("term")) \
         .filter(F.col("term").isNotNull())
-    if by_doc:
-        exploded = exploded.repartition(by_doc, "doc_id")
     return exploded.groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")) \
         .select("term", "doc_id", "tf", "dl")
 
@@ -206,7 +203,10 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
     n = buckets or default_buckets(corpus)
     docs_df = doc_lengths(corpus, analyzer)
     if layout == "bucketed":
-        postings = build_postings(corpus, analyzer, by_doc=n)
+        # The text is the cheapest form to move into doc-id buckets (token
+        # rows are several times larger); tokenising and counting then run
+        # inside each bucket with no further exchange.
+        postings = build_postings(corpus.repartition(n, "doc_id"), analyzer)
         saved = [_save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"], prepartitioned=True),
                  _save_bucketed(docs_df, f"{path}/docs", n, ["doc_id"])]
         if None in saved:
