@@ -10,8 +10,8 @@ stats     one row: n_docs, docs_with_terms, tokens, postings, vocabulary
 
 Build cost (bucketed layout): the text is shuffled once into doc-id
 buckets, then tokenised and counted inside each bucket (no exchange) and
-written one file per bucket; document lengths are a second narrow pass,
-and term statistics one aggregate over the written postings.
+written one file per bucket; document lengths are a per-bucket aggregate
+over the written postings, and term statistics one aggregate over them.
 """
 
 from __future__ import annotations
@@ -201,17 +201,27 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
     """
     spark = corpus.sparkSession
     n = buckets or default_buckets(corpus)
-    docs_df = doc_lengths(corpus, analyzer)
     if layout == "bucketed":
         # The text is the cheapest form to move into doc-id buckets (token
         # rows are several times larger); tokenising and counting then run
         # inside each bucket with no further exchange.
         postings = build_postings(corpus.repartition(n, "doc_id"), analyzer)
-        saved = [_save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"], prepartitioned=True),
-                 _save_bucketed(docs_df, f"{path}/docs", n, ["doc_id"])]
-        if None in saved:
+        name = _save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"], prepartitioned=True)
+        # Document lengths without a second pass over the text: every
+        # posting carries dl, so a per-bucket aggregate over the written
+        # postings gives it; documents without terms come from the id and
+        # docno columns (dl = 0).
+        stored = spark.table(name) if name else spark.read.parquet(f"{path}/postings")
+        lengths = stored.groupBy("doc_id").agg(F.max("dl").alias("dl"))
+        docno = F.col("docno") if "docno" in corpus.columns else F.col("doc_id").cast("string")
+        ids = corpus.select("doc_id", docno.alias("docno")).repartition(n, "doc_id")
+        docs_df = ids.join(lengths, "doc_id", "left").select(
+            "doc_id", "docno", F.coalesce(F.col("dl"), F.lit(0)).cast("long").alias("dl"))
+        docs_name = _save_bucketed(docs_df, f"{path}/docs", n, ["doc_id"])
+        if name is None or docs_name is None:
             layout = "docpart"  # doc-partitioned files without bucket metadata
     elif layout == "range":
+        docs_df = doc_lengths(corpus, analyzer)
         postings = build_postings(corpus, analyzer)
         (postings.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
          .write.mode("overwrite").parquet(f"{path}/postings"))
