@@ -163,10 +163,10 @@ class QuerySide:
     def _scan(self, df: DataFrame) -> DataFrame:
         return df.filter(F.col("term").isin(self.pushdown)) if self.pushdown is not None else df
 
-    def weighted(self) -> DataFrame:
+    def weighted(self, vsm: bool = True) -> DataFrame:
         """Per (query, term): qkey, query_id, form, term, qtf, df, cf, the
-        per-term model weights and the per-query VSM facts.  Terms absent
-        from the corpus are kept with df = 0 (they count in VSM's norm)."""
+        per-term model weights and (``vsm``) the per-query VSM facts.  Terms
+        absent from the corpus are kept with df = 0 (they count in VSM's norm)."""
         if self._weighted is None:
             st = self.index.stats
             n, c = F.lit(st.n_docs), F.lit(st.tokens)
@@ -178,20 +178,22 @@ class QuerySide:
                          (qtf * S.bm25_idf(n, df)).alias("w_bm25"),
                          (qtf * vidf * vidf).alias("w_vsm"),
                          S.collection_prob(cf, c).alias("p_coll"))
-            per_query = w.groupBy("qkey").agg(
-                F.sum("qtf").alias("clauses"),
-                (F.lit(1.0) / F.sqrt(F.sum("w_vsm"))).alias("vsm_qnorm"))
-            self._weighted = w.join(per_query, "qkey")
-        return self._weighted
-
-    def matches(self) -> DataFrame:
+            self._weighted = w
+        if not vsm:
+            return self._weighted
+        per_query = self._weighted.groupBy("qkey").agg(
+            F.sum("qtf").alias("clauses"),
+            (F.lit(1.0) / F.sqrt(F.sum("w_vsm"))).alias("vsm_qnorm"))
+        return self._weighted.join(per_query, "qkey")
+
+    def matches(self, vsm: bool = True) -> DataFrame:
         """One row per (query, term, doc) where the doc holds the term.
 
         With ``exclude`` set (a table of deleted doc ids) those documents are
         dropped with an anti-join before scoring; statistics are unchanged,
         as with deletions that are not yet merged away.
         """
-        right = self.weighted().filter(F.col("df") > 0).drop("query_id", "form", "df", "cf")
+        right = self.weighted(vsm).filter(F.col("df") > 0).drop("query_id", "form", "df", "cf")
         m = self._scan(self.index.postings).join(self.small(right), "term")
         if self.exclude is not None:
             ex = self.exclude.select("doc_id").distinct()
@@ -261,16 +263,18 @@ def score(index: Index, queries: DataFrame, models: Sequence[str] = ALL_SCORES,
 
 def _score(index: Index, side: QuerySide, models: Sequence[str], params: S.ModelParams) -> DataFrame:
     """(qkey, doc_id, <models>): one hash aggregate, partial then final."""
-    m = side.matches()
+    vsm = "vsm" in models
+    m = side.matches(vsm)
     nrm = S.norm(F.col("dl"), params.norm_mode)
-    m = m.select("qkey", "doc_id", "tf", "qtf", "w_tfidf", "w_bm25", "w_vsm", "p_coll", "clauses",
-                 "vsm_qnorm", nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
+    extra = ["clauses", "vsm_qnorm"] if vsm else []
+    m = m.select("qkey", "doc_id", "tf", "qtf", "w_tfidf", "w_bm25", "w_vsm", "p_coll", *extra,
+                 nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
     return m.groupBy("qkey", "doc_id").agg(*score_columns(index, models, params))
 
 
 def candidate_docs(index: Index, queries: DataFrame) -> DataFrame:
     """Distinct (query_id, form, doc_id) holding at least one query term."""
-    m = QuerySide(index, queries).matches().select("qkey", "doc_id").distinct()
+    m = QuerySide(index, queries).matches(vsm=False).select("qkey", "doc_id").distinct()
     return m.select(*unpack_qkey(), "doc_id")
 
 

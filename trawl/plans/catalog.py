@@ -182,7 +182,7 @@ def _runs(models, k=RUN_K):
 def q_query_term_idf(spark, sf):
     idx = _index(spark, sf)
     side = rank.QuerySide(idx, _queries(spark, sf))
-    w = side.weighted()
+    w = side.weighted(vsm=False)
     return w.select(F.col("query_id").cast("int").alias("query_id"), "form", "term", "df",
                     F.round(tfidf_idf(F.lit(idx.stats.n_docs), F.col("df")), 9).alias("idf"))
 
