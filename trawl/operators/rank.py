@@ -105,7 +105,13 @@ def _local(spark, columns: dict, schema: str) -> DataFrame:
     and a broadcast of it needs no job.
     """
     import pandas as pd
-    return spark.createDataFrame(pd.DataFrame(columns), schema)
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        return spark.createDataFrame(pd.DataFrame(columns), schema)
+    finally:
+        spark.conf.set(key, before)
 
 
 class QuerySide:
