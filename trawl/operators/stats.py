@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.analyzers import analyze
+from trawl.functions.analyzers import ENGLISH_STOP_WORDS, analyze
 from trawl.operators.index import Index, spread
 
 # Terms longer than this are counted by their SHA-256 in the comparison.
@@ -84,8 +84,18 @@ def compare_analyzers(corpus: DataFrame, term: str,
                       analyzers: Sequence[str] = COMPARED_ANALYZERS) -> DataFrame:
     """One row per analyzer: analyzer, n_docs, df_term, cf_term, vocabulary,
     docs_with_terms, tokens, postings — one read of the corpus for all."""
-    per_doc = spread(corpus).select(F.explode_outer(F.array(*[
-        F.struct(F.lit(a).alias("analyzer"), analyze("text", a).alias("toks")) for a in analyzers
+    # Simple and Stop share one letter-run pass; Stop only filters its output.
+    base = spread(corpus).select("text", analyze("text", "simple").alias("letters"))
+
+    def tokens_of(a: str):
+        if a == "simple":
+            return F.col("letters")
+        if a == "stop":
+            return F.filter("letters", lambda t: ~t.isin(*ENGLISH_STOP_WORDS))
+        return analyze("text", a)
+
+    per_doc = base.select(F.explode_outer(F.array(*[
+        F.struct(F.lit(a).alias("analyzer"), tokens_of(a).alias("toks")) for a in analyzers
     ])).alias("a")).select("a.analyzer", "a.toks")
     # Per-document figures are computed *before* the explode: an expression
     # over the token array in the same select as the generator would be
