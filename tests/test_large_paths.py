@@ -41,3 +41,16 @@ def test_candidates_and_idf_on_distributed_side(index, queries, monkeypatch):
     expected = sorted(tuple(r) for r in rank.candidate_docs(index, queries).collect())
     monkeypatch.setattr(rank, "COLLECT_MAX_ROWS", 1)
     assert sorted(tuple(r) for r in rank.candidate_docs(index, queries).collect()) == expected
+
+
+def test_salted_join_for_hot_terms(index, queries, monkeypatch):
+    expected = runs(index, queries)
+    monkeypatch.setattr(rank, "COLLECT_MAX_ROWS", 1)
+    monkeypatch.setattr(rank, "BROADCAST_MAX_ROWS", 1)
+    monkeypatch.setattr(rank, "HOT_MIN_DF", 1)
+    monkeypatch.setattr(rank, "HOT_DF_FRACTION", 0.5)   # "fox" (df 3 of 5) counts as hot
+    monkeypatch.setattr(rank, "SALT_BUCKETS", 4)
+    side = rank.QuerySide(index, queries)
+    assert not side.broadcast
+    assert "salt" in side.matches()._jdf.queryExecution().optimizedPlan().toString()
+    assert runs(index, queries) == expected

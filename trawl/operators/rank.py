@@ -46,6 +46,13 @@ BROADCAST_MAX_ROWS = 1_000_000
 PUSHDOWN_MAX_TERMS = 512
 # Query-term tables up to this many rows are fetched and re-used locally.
 COLLECT_MAX_ROWS = 200_000
+# Shuffle-join fallback: terms in at least this share of the documents are
+# salted over SALT_BUCKETS partitions.
+HOT_DF_FRACTION = 0.01
+HOT_MIN_DF = 1000
+SALT_BUCKETS = 64
+# Largest hot-term list that is broadcast (at most postings / cut terms exist).
+HOT_TERMS_MAX_ROWS = 1_000_000
 
 
 FORM_TAGS = {field: (tag, suffix) for field, tag, suffix in FORMS}
@@ -192,6 +199,31 @@ class QuerySide:
             (F.lit(1.0) / F.sqrt(F.sum("w_vsm"))).alias("vsm_qnorm"))
         return self._weighted.join(per_query, "qkey")
 
+    def _salted_join(self, postings: DataFrame, right: DataFrame) -> DataFrame:
+        """Shuffle join on term for a query side too large to broadcast.
+
+        A very common term would put a large share of all postings into one
+        partition.  Terms with df >= HOT_DF_FRACTION of the documents are
+        split: their postings get a salt (a hash of doc_id, SALT_BUCKETS
+        values) and their query rows are repeated once per salt, so the join
+        on (term, salt) spreads each hot term over SALT_BUCKETS partitions.
+        The hot-term list is bounded (postings / cut) and size-checked before
+        it is broadcast; without it the plain join is left to AQE skew-join.
+        """
+        cut = max(HOT_MIN_DF, int(self.index.stats.n_docs * HOT_DF_FRACTION))
+        hot = self.index.terms.filter(F.col("df") >= cut).select("term", F.lit(True).alias("hot"))
+        if hot.count() > HOT_TERMS_MAX_ROWS:
+            return postings.join(right.drop("df"), "term")
+        p = postings.join(F.broadcast(hot), "term", "left").select(
+            *postings.columns,
+            F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALT_BUCKETS))).otherwise(0)
+            .cast("long").alias("salt"))
+        q = right.drop("df").join(F.broadcast(hot), "term", "left")
+        q = q.select(*[c for c in right.columns if c != "df"], F.explode(
+            F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1)).cast("array<long>"))
+            .otherwise(F.array(F.lit(0).cast("long")))).alias("salt"))
+        return p.join(q, ["term", "salt"]).drop("salt")
+
     def matches(self, vsm: bool = True) -> DataFrame:
         """One row per (query, term, doc) where the doc holds the term.
 
@@ -199,8 +231,12 @@ class QuerySide:
         dropped with an anti-join before scoring; statistics are unchanged,
         as with deletions that are not yet merged away.
         """
-        right = self.weighted(vsm).filter(F.col("df") > 0).drop("query_id", "form", "df", "cf")
-        m = self._scan(self.index.postings).join(self.small(right), "term")
+        right = self.weighted(vsm).filter(F.col("df") > 0).drop("query_id", "form", "cf")
+        postings = self._scan(self.index.postings)
+        if self.broadcast:
+            m = postings.join(F.broadcast(right.drop("df")), "term")
+        else:
+            m = self._salted_join(postings, right)
         if self.exclude is not None:
             ex = self.exclude.select("doc_id").distinct()
             small = ex.count() <= BROADCAST_MAX_ROWS
