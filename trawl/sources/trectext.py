@@ -55,7 +55,7 @@ def _read_whole(spark: SparkSession, path: str, encoding: str = "utf-8") -> Data
     other charsets through the binaryFile source and ``decode``."""
     if encoding.lower().replace("-", "") in ("utf8",):
         return (spark.read.text(path, wholetext=True)
-                .select(F.input_file_name().alias("path"), "value"))
+                .select(F.col("_metadata.file_path").alias("path"), "value"))
     return (spark.read.format("binaryFile").load(path)
             .select("path", F.decode("content", encoding).alias("value")))
 
@@ -94,7 +94,7 @@ def read_records(spark: SparkSession, path: str, line_join: str = "",
         if encoding.lower().replace("-", "") != "utf8":
             raise ValueError("the splittable reader reads UTF-8 only; use mode='whole' for other charsets")
         raw = (spark.read.option("lineSep", "\n" + DOC_CLOSE).text(path)
-               .select(F.input_file_name().alias("path"), "value"))
+               .select(F.col("_metadata.file_path").alias("path"), "value"))
         # Every piece but a file's first starts with the rest of a </DOC> line.
         body = F.when(F.col("value").startswith(DOC_OPEN), F.col("value")).otherwise(
             F.regexp_replace("value", r"^[^\r\n]*(?:\r\n|\r|\n)?", ""))
