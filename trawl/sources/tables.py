@@ -16,8 +16,17 @@ from trawl.functions.text import first_words
 TITLE_WORDS = 3
 
 
+_READ: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table, resolved once per session (file listing and
+    footer schema are read once; the frame stays a lazy scan)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)  # the cached frame keeps its session alive
+    if key not in _READ:
+        _READ[key] = spark.read.parquet(path)
+    return _READ[key]
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
