@@ -36,8 +36,8 @@ def vocabulary_size(index: Index, approx: bool = False, rsd: float = 0.01) -> Da
 
 def docs_with_terms(index: Index) -> DataFrame:
     """Documents holding at least one term: a narrow count over the docs
-    table (dl > 0 exactly when a document has postings), not a distinct
-    over postings, which range partitioning on term would scatter."""
+    table (dl > 0 exactly when a document has postings) instead of a
+    distinct over the far larger postings table."""
     return index.docs.agg(F.count(F.when(F.col("dl") > 0, 1)).alias("docs_with_terms"))
 
 
