@@ -86,3 +86,14 @@ def test_other_encoding(spark, tmp_path):
     (folder / "a.txt").write_bytes("<DOC>\n<DOCNO>d1</DOCNO>\n<TEXT>café naïve</TEXT>\n</DOC>\n".encode("latin-1"))
     rows, _ = docs_of(spark, str(folder), encoding="ISO-8859-1")
     assert rows == [("d1", "", "café naïve")]
+
+
+def test_number_documents_dense_and_ordered(spark, tmp_path):
+    from trawl.sources.trectext import number_documents
+    folder = write_files(tmp_path / "c", {
+        "a.txt": "".join(f"<DOC>\n<DOCNO>a{i}</DOCNO>\n<TEXT>x</TEXT>\n</DOC>\n" for i in range(3)),
+        "b.txt": "".join(f"<DOC>\n<DOCNO>b{i}</DOCNO>\n<TEXT>y</TEXT>\n</DOC>\n" for i in range(2)),
+    })
+    docs, _ = read_trectext(spark, folder)
+    got = sorted((r["doc_id"], r["docno"]) for r in number_documents(docs).collect())
+    assert got == [(0, "a0"), (1, "a1"), (2, "a2"), (3, "b0"), (4, "b1")]

@@ -143,3 +143,19 @@ def write_trectext(corpus: DataFrame, path: str, records_per_file: int = RECORDS
     (to_records(spread(corpus)).write.mode("overwrite")
      .option("maxRecordsPerFile", records_per_file).text(path))
     return path
+
+
+def number_documents(docs: DataFrame) -> DataFrame:
+    """Give whole-file-read documents a dense, stable ``doc_id``.
+
+    Ids follow (file path, record position).  Only the per-file record
+    counts (one row per file) are ordered to get each file's offset; the
+    documents themselves are never sorted or moved to one task.
+    """
+    if "rec_pos" not in docs.columns:
+        raise ValueError("needs path and rec_pos (read with mode='whole')")
+    counts = docs.groupBy("path").agg((F.max("rec_pos") + 1).cast("long").alias("n"))
+    from pyspark.sql import Window
+    offsets = counts.select("path", (F.sum("n").over(Window.orderBy("path")) - F.col("n")).alias("offset"))
+    return docs.join(offsets, "path").withColumn(
+        "doc_id", (F.col("offset") + F.col("rec_pos")).cast("long")).drop("offset")
