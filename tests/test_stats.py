@@ -92,3 +92,9 @@ def test_range_layout(spark, tmp_path):
     idx = write_index(corpus(spark), str(tmp_path / "range"), layout="range")
     assert idx.stats.postings == 4
     assert sorted(tuple(r) for r in stats.term_postings(idx, "dog").collect()) == [("dog", 1, 1), ("dog", 2, 3)]
+
+
+def test_compare_analyzers_approximate_vocabulary(spark):
+    exact = {r["analyzer"]: r.asDict() for r in stats.compare_analyzers(corpus(spark), "the").collect()}
+    approx = {r["analyzer"]: r.asDict() for r in stats.compare_analyzers(corpus(spark), "the", approx=True).collect()}
+    assert exact == approx  # HyperLogLog is exact on a handful of terms

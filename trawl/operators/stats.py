@@ -81,9 +81,15 @@ def index_stats(index: Index, term: str) -> DataFrame:
 
 
 def compare_analyzers(corpus: DataFrame, term: str,
-                      analyzers: Sequence[str] = COMPARED_ANALYZERS) -> DataFrame:
+                      analyzers: Sequence[str] = COMPARED_ANALYZERS,
+                      approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row per analyzer: analyzer, n_docs, df_term, cf_term, vocabulary,
-    docs_with_terms, tokens, postings — one read of the corpus for all."""
+    docs_with_terms, tokens, postings — one read of the corpus for all.
+
+    ``approx``: vocabulary as a HyperLogLog estimate (relative error
+    ``rsd``); the report is then a single aggregate whose shuffle carries
+    per-partition sketches only.  All other figures stay exact.
+    """
     # Simple and Stop share one letter-run pass; Stop only filters its output.
     base = spread(corpus).select("text", analyze("text", "simple").alias("letters"))
 
@@ -119,6 +125,17 @@ def compare_analyzers(corpus: DataFrame, term: str,
     def on_first(c):
         return F.sum(F.when(first, c).otherwise(0))
 
+    if approx:
+        return rows.groupBy("analyzer").agg(
+            on_first(F.lit(1)).cast("long").alias("n_docs"),
+            on_first(F.col("has")).cast("long").alias("df_term"),
+            on_first(F.col("cft")).cast("long").alias("cf_term"),
+            F.approx_count_distinct("term", rsd).alias("vocabulary"),
+            on_first(F.when(F.col("dl") > 0, 1).otherwise(0)).cast("long").alias("docs_with_terms"),
+            on_first(F.col("dl")).cast("long").alias("tokens"),
+            on_first(F.col("nd")).cast("long").alias("postings"),
+        ).withColumn("term", F.lit(term))
+
     per_term = rows.groupBy("analyzer", "term").agg(
         on_first(F.lit(1)).alias("docs"),
         on_first(F.when(F.col("dl") > 0, 1).otherwise(0)).alias("dwt"),
