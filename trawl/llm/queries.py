@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import tokens
-from trawl.llm.common import table
+from trawl.llm import chat, tokens
+from trawl.llm.common import table, written
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -15,12 +15,23 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that consists of control strings, read back from the written output."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.sql(
+        "SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"))
+    return chat.conversation_digests(written(chat.format_conversations(turns), "chat"))
+
+
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_chat_format": chat.ORACLE_SQL,
+}
