@@ -8,7 +8,9 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trawl.session import scratch_dir
 
@@ -146,3 +148,59 @@ def batches(values: list, weight, limit: int):
         total += w
     if run:
         yield run
+
+
+# --- sorted groups in mapInPandas -------------------------------------------
+
+def whole_groups(parts, keys: list[str]):
+    """Frames of complete groups from a stream sorted by ``keys``.
+
+    Groups may cross batch bounds; only the last, perhaps unfinished one is
+    held back, so memory is a batch and the largest group.
+    """
+    held: list[pd.DataFrame] = []
+    for part in parts:
+        if not len(part):
+            continue
+        change = np.zeros(len(part), dtype=bool)
+        for k in keys:
+            v = part[k].to_numpy()
+            change[1:] |= v[1:] != v[:-1]
+        cut = int(np.flatnonzero(change)[-1]) if change.any() else 0
+        new = bool(held) and any(held[-1][k].iloc[-1] != part[k].iloc[0] for k in keys)
+        if cut or new:
+            done = pd.concat([*held, part.iloc[:cut]], ignore_index=True) if held else part.iloc[:cut].reset_index(drop=True)
+            if len(done):
+                yield done
+            held = [part.iloc[cut:]]
+        else:
+            held.append(part)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def run_bounds(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """First row of each group, and the number of rows."""
+    change = np.ones(len(frame), dtype=bool)
+    change[1:] = False
+    for k in keys:
+        v = frame[k].to_numpy()
+        change[1:] |= v[1:] != v[:-1]
+    return np.append(np.flatnonzero(change), len(frame))
+
+
+def block_pairs(df: DataFrame, key: str, blocks: Column, spread_by: str) -> DataFrame:
+    """Deal groups out so that every two rows of a group meet in a task.
+
+    ``blocks`` is the number of blocks of the row's group: one block means one
+    task (bi = bj = 0); of more, every two blocks meet in a task of their own,
+    so no task holds more than two blocks however large the group is.
+    """
+    own = F.pmod(F.xxhash64(spread_by), F.col("_blocks"))
+    other = F.explode(F.when(F.col("_blocks") == 1, F.array(F.lit(0).cast("bigint")))
+                      .otherwise(F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1), lambda o: o != F.col("_own"))))
+    dealt = (df.withColumn("_blocks", blocks.cast("bigint")).withColumn("_own", own).withColumn("_other", other)
+             .withColumn("bi", F.least("_own", "_other")).withColumn("bj", F.greatest("_own", "_other"))
+             .drop("_blocks", "_own", "_other"))
+    return (dealt.repartition(partitions(df.sparkSession), key, "bi", "bj")
+            .sortWithinPartitions(key, "bi", "bj"))

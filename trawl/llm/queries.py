@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import chat, tokens
+from trawl.llm import chat, neardup, tokens
 from trawl.llm.common import table, written
 
 
@@ -27,9 +27,14 @@ def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=2)
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {
