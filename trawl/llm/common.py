@@ -85,6 +85,9 @@ _POW = powers(_P, _CHUNK)
 _POWINV = powers(_PINV, _CHUNK)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+# Everything in ASCII but letters and digits.
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[[b for b in range(128) if not chr(b).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -104,14 +107,15 @@ def run_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased) of each
-    text, one after the other, and the number of words per text."""
+def word_hashes(texts: list[str], between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (A-Z lower-cased) of each text, one after the
+    other, and the number of words per text.  ``between`` marks the bytes that
+    separate words: white space, or all ASCII punctuation too."""
     raws = [t.encode("utf-8", "surrogatepass") for t in texts]
     # A separator after each text keeps words from touching.
     buf = np.frombuffer(b"\n".join(raws) + b"\n", dtype=np.uint8)
     lens = np.fromiter((len(r) + 1 for r in raws), dtype=np.int64, count=len(raws))
-    space = SPACE[buf]
+    space = between[buf]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if not space[0]:
         edge = np.concatenate(([0], edge))
@@ -136,6 +140,16 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def flat_shingles(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of texts given one after the other, and their number per text;
+    texts with fewer words than ``size`` have none."""
+    found = np.maximum(counts - size + 1, 0)
+    if not found.any():
+        return np.empty(0, np.uint64), found
+    starts = np.arange(found.sum()) + np.repeat(np.cumsum(counts) - counts - (np.cumsum(found) - found), found)
+    return shingles(words, size)[starts], found
+
+
 def batches(values: list, weight, limit: int):
     """Runs of ``values`` whose summed weight stays near ``limit`` (at least one each)."""
     run, total = [], 0

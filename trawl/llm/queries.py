@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import chat, neardup, tokens
+from trawl.llm import chat, decontam, neardup, tokens
 from trawl.llm.common import table, written
 
 
@@ -31,12 +31,19 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                 shingle=5, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
     "op4_chat_format": chat.ORACLE_SQL,
+    "op10_decontaminate": decontam.ORACLE_SQL,
 }
