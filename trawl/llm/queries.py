@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import chat, decontam, neardup, tokens
+from trawl.llm import chat, decontam, langid, neardup, tokens
 from trawl.llm.common import table, written
 
 
@@ -15,6 +15,10 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that consists of control strings, read back from the written output."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.sql(
@@ -37,6 +41,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
     "op9_near_duplicates": op9_near_duplicates,
