@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import chat, decontam, langid, neardup, tokens
+from trawl.llm import chat, decontam, langid, mixing, neardup, tokens
 from trawl.llm.common import table, written
 
 
@@ -19,6 +19,13 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents drawn for the target weights, with the number of epochs of each."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), mixing.document_levels(),
+                       {"domain": mixing.DOMAIN_TARGETS, "lang": mixing.LANG_TARGETS}, seed=17)
+    return mixed.select("doc_id", "domain", "lang", "source", "tokens", "copies")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that consists of control strings, read back from the written output."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.sql(
@@ -42,6 +49,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op2_mixing": op2_mixing,
     "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
     "op9_near_duplicates": op9_near_duplicates,
@@ -49,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE_SQL,
     "op4_chat_format": chat.ORACLE_SQL,
     "op10_decontaminate": decontam.ORACLE_SQL,
 }
