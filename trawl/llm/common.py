@@ -31,16 +31,27 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_BYTES = 32 << 20
+
 _SHIPPED: set[str] = set()
 
 
 def map_pandas(df: DataFrame, fn, schema) -> DataFrame:
-    """``df.mapInPandas`` with this package's sources on every executor.
+    """``df.mapInPandas`` with this package's sources on every executor."""
+    ship_sources(df.sparkSession)
+    return df.mapInPandas(fn, schema)
 
-    The sources go out once per application as a zip through Spark's own
-    file distribution, so no executor needs the package installed.
-    """
-    sc = df.sparkSession.sparkContext
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package's sources on every executor."""
+    ship_sources(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def ship_sources(spark: SparkSession) -> None:
+    """Hand this package out once per application, as a zip through Spark's own
+    file distribution, so no executor needs it installed."""
+    sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         folder = tempfile.mkdtemp(prefix="trawl-src-")       # on the driver, which hands it out
         root = Path(__file__).resolve().parents[1]
@@ -49,7 +60,17 @@ def map_pandas(df: DataFrame, fn, schema) -> DataFrame:
                 z.write(file, file.relative_to(root.parent))
         sc.addPyFile(f"{folder}/trawl-src.zip")
         _SHIPPED.add(sc.applicationId)
-    return df.mapInPandas(fn, schema)
+
+
+def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is not among the (distinct, non-null) ``ids``.
+
+    The ids are broadcast while they are small, so the rows stay where
+    they are; beyond that both sides are shuffled.
+    """
+    ids = written(ids.select(F.col(ids.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct(), "ids")
+    small = ids.count() * 32 <= BROADCAST_BYTES
+    return rows.join(F.broadcast(ids) if small else ids, key, "left_anti").select(*rows.columns)
 
 
 def partitions(spark: SparkSession) -> int:

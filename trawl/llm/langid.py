@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -230,6 +231,29 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return common.map_pandas(texts, score, "doc_id bigint, lang_pred string, score double, bits_per_byte double")
 
 
+def keep_identified(docs: DataFrame, model: Model, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language is ``und``; ``lang_col`` becomes the language found.
+
+    The rows pass through the tasks as Arrow batches, other columns untouched,
+    so nothing is joined or moved.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    columns, types = docs.columns, dict(docs.dtypes)
+
+    def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            texts = [t or "" for t in part.column(columns.index(text_col)).to_pylist()]
+            found = [o[0] for run in common.batches(texts, len, BATCH_BYTES) for o in sent.value.predict(run)]
+            arrays = list(part.columns)
+            arrays[columns.index(lang_col)] = pa.array(found, pa.string())
+            out = pa.RecordBatch.from_arrays(arrays, names=columns)
+            yield out.filter(pa.array([f != UNKNOWN for f in found], pa.bool_()))
+
+    if types[lang_col] != "string":
+        raise ValueError(f"{lang_col} must be a string column")
+    return common.map_arrow(docs, keep, docs.schema)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, bits_per_byte; learned from the documents not held out."""
     model = train(docs.where("doc_id is not null").where(~held_out(F.col("doc_id"))))

@@ -23,8 +23,8 @@ Cases: a null level value is the value ``(none)``; null or empty text has no
 tokens and such rows are never drawn; a leaf without tokens has no
 capacity; a budget beyond all capacity draws every epoch of everything; null
 ids have the order key of the word null; an empty table gives an
-empty result; a clash of column names is the caller's only for the level
-columns and the added ``tokens`` and ``copies``.
+empty result; columns named ``tokens`` or ``copies`` are replaced, all
+others stay as they are.
 """
 
 from __future__ import annotations
@@ -122,7 +122,7 @@ def _sized(leaves: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, levels: dict[str, Column], targets: dict[str, dict[str, float] | None],
         budget_share: float = 1.0, max_epochs: int = 2, seed: int = 17, id_col: str = "doc_id",
         text_col: str = "text", tokens: Column | None = None) -> DataFrame:
-    """The drawn rows of ``docs`` with the level columns, ``tokens`` and ``copies`` (epochs drawn).
+    """The drawn rows of ``docs`` with ``tokens`` and ``copies`` (epochs drawn) added or replaced.
 
     ``levels`` names the tree's levels from the root down, each with the
     expression that gives a row's value.
@@ -140,11 +140,10 @@ def mix(docs: DataFrame, levels: dict[str, Column], targets: dict[str, dict[str,
     drawn = docs.select("*", *[v.alias(n) for n, v in zip(names, values, strict=True)]).join(_sized(plan), names)
     key = order_key(F.col(id_col), F.col("_epochs") + 1, seed)
     more = (F.col("_rest") > 0) & (F.col("_cut").isNull() | (key <= F.col("_cut")))
-    own = [c for c in docs.columns if c not in levels and c not in ("tokens", "copies")]
+    own = [c for c in docs.columns if c not in ("tokens", "copies")]
     return (drawn.withColumn("_copies", F.col("_epochs") + more.cast("bigint")).where("_copies > 0")
-            .select(*own, *[F.col(n).alias(x) for n, x in zip(names, levels, strict=True)],
-                    counted.alias("tokens"), F.col("_copies").alias("copies"))
-            .where("tokens > 0"))
+            .withColumn("_tokens", counted).where("_tokens > 0")
+            .select(*own, F.col("_tokens").alias("tokens"), F.col("_copies").alias("copies")))
 
 
 # Production parameters of the registered query and of the pipeline.

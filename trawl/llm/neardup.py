@@ -238,3 +238,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest id.
+
+    Of repeated rows with one id one stays; rows with a null id all stay.
+    """
+    found = common.written(near_duplicates(docs, shingle, percent, id_col, text_col), "near-duplicates")
+    kept = common.without(docs, found.where("not kept").select("doc_id"), id_col)
+    repeated = common.written(found.where("kept and doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias(id_col)), "repeated")
+    if repeated.isEmpty():
+        return kept
+    single = common.without(kept, repeated, id_col)
+    return single.unionByName(kept.join(repeated, id_col).dropDuplicates([id_col]).select(*docs.columns))
