@@ -167,8 +167,14 @@ def flat_shingles(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.
     found = np.maximum(counts - size + 1, 0)
     if not found.any():
         return np.empty(0, np.uint64), found
+    return flat_positions(counts, size, shingles(words, size)), found
+
+
+def flat_positions(counts: np.ndarray, size: int, values: np.ndarray) -> np.ndarray:
+    """``values`` (one per word) at the first word of every shingle inside a text."""
+    found = np.maximum(counts - size + 1, 0)
     starts = np.arange(found.sum()) + np.repeat(np.cumsum(counts) - counts - (np.cumsum(found) - found), found)
-    return shingles(words, size)[starts], found
+    return values[starts]
 
 
 def batches(values: list, weight, limit: int):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import ann, chat, decontam, html, langid, mixing, neardup, tokens
+from trawl.llm import ann, chat, decontam, html, langid, mixing, neardup, quality, tokens
 from trawl.llm.common import table, written
 
 
@@ -41,6 +41,11 @@ def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=2)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its weight and whether the draw keeps it."""
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
+    "op6_quality": op6_quality,
     "op7_main_text": op7_main_text,
     "op8_neighbours": op8_neighbours,
     "op9_near_duplicates": op9_near_duplicates,
