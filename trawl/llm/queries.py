@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import ann, chat, decontam, html, langid, mixing, neardup, quality, tokens
+from trawl.llm import ann, chat, decontam, html, langid, mixing, neardup, pii, quality, tokens
 from trawl.llm.common import table, written
 
 
@@ -29,6 +29,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "tokens", "copies")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that consists of control strings, read back from the written output."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.sql(
@@ -66,6 +70,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_mixing": op2_mixing,
+    "op3_personal_data": op3_personal_data,
     "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
     "op6_quality": op6_quality,
