@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from trawl.llm import common
 
 COORDS = 64
-SMALLEST = 8                   # shingles in the finest block
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 16 << 20
 BATCH_CHARS = 1 << 20
@@ -78,7 +77,7 @@ class Items:
         for (item, _), w in zip(items, np.split(words, np.cumsum(counts)[:-1]) if items else [], strict=True):
             found = np.unique(common.shingles(w, shingle))
             if len(found):
-                width = max(SMALLEST, 1 << (len(found) - 1).bit_length())
+                width = 1 << (len(found) - 1).bit_length()
                 self.parts.setdefault((min(shingle, len(w)), width), []).append(len(self.ids))
                 self.ids.append(item)
                 self.sets.append(found)
@@ -113,11 +112,11 @@ class Items:
 
     def _collisions(self, found, sizes, firsts, length) -> Iterator[np.ndarray]:
         """Candidate pairs as text * items + item, partition by partition."""
-        blocks = -(-sizes // SMALLEST)
+        width = min(w for n, w in self.parts if n == length)
+        blocks = -(-sizes // width)
         doc = np.repeat(np.arange(len(sizes)), blocks)
         local = np.arange(len(doc)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        minima = block_minima(found, firsts[doc] + local * SMALLEST)
-        width = SMALLEST
+        minima = block_minima(found, firsts[doc] + local * width)
         for part_length, part_width in sorted(self.parts):
             if part_length != length:
                 continue

@@ -113,7 +113,7 @@ class Model:
             part = counts[counts["ord"] == order]
             keys, row = np.unique(part["gram"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
             n = np.zeros((len(keys), len(langs)))
-            n[row, part["lang"].to_numpy()] = part["n"].to_numpy()
+            n[row, part["lang"].to_numpy(np.int64)] = part["n"].to_numpy(np.float64)
             contexts, of = np.unique(keys >> np.uint64(8), return_inverse=True)
             total, distinct = np.zeros((2, len(contexts), len(langs)))
             np.add.at(total, of, n)
