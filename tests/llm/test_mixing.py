@@ -1,0 +1,109 @@
+import random
+import re
+from collections import defaultdict
+from hashlib import md5
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from trawl.llm import mixing
+
+RNG = random.Random(4)
+SCHEMA = "doc_id long, text string, lang string, source string, tokens string"
+
+
+def _rows():
+    rows = []
+    for i in range(400):
+        source = RNG.choice(["src0"] * 10 + ["src1", "src2", "src3", "src5", "other", None])
+        rows.append((i, " ".join(["w"] * RNG.choice([0, 1, 5, 40, 200])), RNG.choice(["en"] * 6 + ["de", "fr", "es", "xx", None]), source, "t"))
+    return rows + [(None, "a b c", "en", "src1", None), (7, None, "en", "src1", None), (8, "a b", "de", "src2", None), (8, "a b", "de", "src2", None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(_ROWS, SCHEMA)
+
+
+_ROWS = _rows()
+
+
+def _fill(budget, children):
+    """Water level by repeated filling: {name: (weight, capacity)} -> {name: share}."""
+    got, left = {}, dict(children)
+    while left:
+        total = sum(w for w, _ in left.values())
+        full = {n: c for n, (w, c) in left.items() if c <= budget * w / total}
+        if not full:
+            return got | {n: budget * w / total for n, (w, _) in left.items()}
+        got |= full
+        budget -= sum(full.values())
+        left = {n: v for n, v in left.items() if n not in full}
+    return got
+
+
+def _brute(share, epochs, targets):
+    leaf = defaultdict(list)
+    for d, t, lang, source, _ in _ROWS:
+        m = re.search("([0-9]+)$", source or "")
+        key = (f"domain{int(m[1]) % 4}" if m else "(none)", lang or "(none)", source or "(none)")
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        if n:
+            leaf[key].append((d, n))
+    tokens = {k: sum(n for _, n in v) for k, v in leaf.items()}
+    budget = {(): share * sum(tokens.values())}
+    for depth, level in enumerate(("domain", "lang", "source")):
+        for up, amount in [(k, v) for k, v in budget.items() if len(k) == depth]:
+            size = defaultdict(int)
+            for k, n in tokens.items():
+                if k[:depth] == up:
+                    size[k[:depth + 1]] += n
+            want = targets.get(level)
+            budget |= _fill(amount, {k: (want.get(k[-1], 1.0) if want else n, epochs * n) for k, n in size.items()})
+    out = []
+    for k, docs in leaf.items():
+        quota = int(budget[k] + 1e-6)
+        whole, rest = divmod(quota, tokens[k])
+        keyed = defaultdict(list)
+        for d, n in docs:
+            keyed[md5(f"17:{whole + 1}:{'null' if d is None else d}".encode()).hexdigest()].append((d, n))
+        run = 0
+        for key in sorted(keyed):
+            run += sum(n for _, n in keyed[key])
+            out += [(d, *k, n, whole + (run <= rest)) for d, n in keyed[key] if whole + (run <= rest)]
+    return sorted(out, key=str)
+
+
+TARGETS = {"domain": mixing.DOMAIN_TARGETS, "lang": mixing.LANG_TARGETS}
+
+
+def _mixed(docs, share=1.0, epochs=2, targets=TARGETS):
+    named = docs.select("doc_id", "text", *[F.coalesce(c, F.lit(mixing.NONE)).alias(n) for n, c in mixing.document_levels().items()])
+    got = mixing.mix(named, {n: F.col(n) for n in ("domain", "lang", "source")}, targets, share, epochs)
+    return sorted((tuple(r) for r in got.select("doc_id", "domain", "lang", "source", "tokens", "copies").collect()), key=str)
+
+
+@pytest.mark.parametrize("share,epochs,targets", [(1.0, 2, TARGETS), (0.4, 1, TARGETS), (1.9, 2, {"lang": mixing.LANG_TARGETS}),
+                                                  (1.0, 3, {}), (5.0, 2, TARGETS)])
+def test_matches_brute_force(docs, share, epochs, targets):
+    assert _mixed(docs, share, epochs, targets) == _brute(share, epochs, targets)
+
+
+def test_shuffled_leaf_joins(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", 0)
+    assert _mixed(docs) == _brute(1.0, 2, TARGETS)
+
+
+def test_matches_sql(docs):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", [r[:4] for r in _ROWS])
+    assert sorted(con.execute(mixing.ORACLE_SQL).fetchall(), key=str) == _mixed(docs)
+
+
+def test_columns_and_empty(spark, docs):
+    got = mixing.mix(docs, mixing.document_levels(), {})
+    assert got.columns == ["doc_id", "text", "lang", "source", "tokens", "copies"] and dict(got.dtypes)["tokens"] == "bigint"
+    assert {r.copies for r in got.collect()} == {1}            # natural weights and a full budget: all once
+    assert mixing.mix(docs.limit(0), mixing.document_levels(), TARGETS).collect() == []

@@ -124,7 +124,8 @@ def blocks(page: str) -> tuple[list[str], list[str], list[int]]:
         elif name == "hr":
             flush()
         elif name in BLOCK:
-            flush()
+            if not closing or name == "p" or name in names:
+                flush()
             if closing:
                 if name in names:
                     keep = len(names) - 1 - names[::-1].index(name)

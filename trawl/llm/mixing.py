@@ -153,7 +153,7 @@ DOMAIN_TARGETS = {"domain0": 3.0, "domain1": 2.0, "domain2": 2.0, "domain3": 1.0
 
 def document_levels() -> dict[str, Column]:
     """Domain (sources by the remainder of their number), language, source."""
-    number = F.regexp_extract("source", r"([0-9]+)$", 1).cast("int")
+    number = F.regexp_extract("source", r"([0-9]+)$", 1).try_cast("int")
     return {"domain": F.concat(F.lit("domain"), (number % 4).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
 
 
