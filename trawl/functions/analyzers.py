@@ -22,21 +22,16 @@ ENGLISH_STOP_WORDS: tuple[str, ...] = (
     "the", "their", "then", "there", "these", "they", "this", "to", "was",
     "will", "with",
 )
-# Longest token the Standard analyzer keeps; longer ones are skipped.
-MAX_TOKEN_LEN = 255
-# Letter-run tokenizers cut runs into pieces of at most this many letters.
-MAX_LETTER_RUN = 255
+# Marks that join two letters, and marks that join two digits.
+LETTER_JOINERS = "'.:·’"
+DIGIT_JOINERS = "'.,;’"
 # ---------------------------------------------------------------------------
 
-# Word-break approximation: runs of letters, digits and '_' joined by one
-# inner punctuation mark.  Same syntax in Java regex and RE2, so the oracle
-# SQL can use it verbatim.
-STANDARD_TOKEN = r"[\p{L}\p{N}_]+(?:['.:,;·’][\p{L}\p{N}_]+)*"
-# Closer to the Unicode word-break rules: letters join only across ' . : · ’
-# and digits only across ' . , ; ’ (needs look-around, Java regex only).
-UAX29_TOKEN = (r"[\p{L}\p{M}\p{N}_]+(?:(?:(?<=\p{L})['.:·’](?=\p{L})"
-               r"|(?<=\p{N})['.,;’](?=\p{N}))[\p{L}\p{M}\p{N}_]+)*")
-LETTER_TOKEN = r"\p{L}{1,%d}" % MAX_LETTER_RUN
+# Word breaks by class: runs of letters, marks, digits and '_'; a joining mark
+# keeps a run together only between two letters or between two digits.
+STANDARD_TOKEN = (rf"[\p{{L}}\p{{M}}\p{{N}}_]+(?:(?:(?<=[\p{{L}}\p{{M}}])[{LETTER_JOINERS}](?=\p{{L}})"
+                  rf"|(?<=\p{{N}})[{DIGIT_JOINERS}](?=\p{{N}}))[\p{{L}}\p{{M}}\p{{N}}_]+)*")
+LETTER_TOKEN = r"\p{L}+"
 
 
 def _find_all(c: Column, pattern: str) -> Column:
@@ -61,17 +56,12 @@ def _null_safe(c: Column, tokens: Column) -> Column:
 
 
 def standard(c: Column, stopwords: Sequence[str] | None = ENGLISH_STOP_WORDS,
-             max_token_len: int = MAX_TOKEN_LEN) -> Column:
-    """Word-break tokens, lower case, stop words removed, long tokens skipped."""
+             max_token_len: int | None = None) -> Column:
+    """Word-break tokens, lower case, stop words removed; tokens above
+    ``max_token_len`` are skipped where a limit is asked for."""
     return _null_safe(c, _keep(_find_all(c, STANDARD_TOKEN), stopwords, max_token_len))
 
 
-def standard_uax29(c: Column, stopwords: Sequence[str] | None = ENGLISH_STOP_WORDS,
-                   max_token_len: int = MAX_TOKEN_LEN) -> Column:
-    """Like :func:`standard`, with class-aware joining punctuation."""
-    return _null_safe(c, _keep(_find_all(c, UAX29_TOKEN), stopwords, max_token_len))
-
-
 def keyword(c: Column) -> Column:
     """The whole value is one term (no lower-casing)."""
     return _null_safe(c, F.array(c))
@@ -92,7 +82,6 @@ ANALYZERS: dict[str, Callable[[Column], Column]] = {
     "keyword": keyword,
     "simple": simple,
     "stop": stop,
-    "standard_uax29": standard_uax29,
 }
 
 

@@ -38,8 +38,8 @@ def extract_labelled(c: Column, start: str, label: str, end: str) -> Column:
     Every match is kept, concatenated with no separator, then trimmed;
     used for topic fields such as ``<num> Number: 051 <dom>``.
     """
-    pattern = rf"(?is){start}\s*({label})(.+?){end}"
-    return java_trim(F.array_join(F.regexp_extract_all(c, F.lit(pattern), 2), ""))
+    pattern = rf"(?is){start}\s*{label}(.+?){end}"
+    return java_trim(F.array_join(F.regexp_extract_all(c, F.lit(pattern), 1), ""))
 
 
 def split_lines(c: Column) -> Column:
@@ -51,8 +51,3 @@ def split_lines(c: Column) -> Column:
 def is_blank(c: Column) -> Column:
     return F.length(java_trim(c)) == 0
 
-
-def first_words(c: Column, n: int) -> Column:
-    """The first ``n`` whitespace-separated words, joined by one space."""
-    words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    return F.array_join(F.slice(words, 1, n), " ")

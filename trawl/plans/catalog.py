@@ -291,16 +291,12 @@ SQL_FIELD_EQUALS = f"""SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(doc_id AS V
   lang AS byline, CAST(n_chars AS VARCHAR) AS dateline FROM documents WHERE source = {O.lit(FIELD_VALUE)}"""
 
 
-def _tag_sql(t: str) -> str:
-    bodies = f"regexp_extract_all(html, {O.lit(f'(?is)<{t}>(.+?)</{t}>')}, 1)"
-    return O.java_trim(f"array_to_string(list_transform({bodies}, lambda b: {O.java_trim('b')}), ' ')")
-
-
-SQL_EXTRACT_TAG = ("SELECT page_id, " + ", ".join(f"{_tag_sql(t)} AS {t}_text" for t in PAGE_TAGS)
+SQL_EXTRACT_TAG = ("SELECT page_id, " + ", ".join(f"{O.tag_text('html', t)} AS {t}_text" for t in PAGE_TAGS)
                    + " FROM pages")
-_DESC_LINES = f"list_filter(string_split(text, chr(10)), lambda l: {O.java_trim('l')} <> '')"
-SQL_TOPICS_PARSE = f"""SELECT CAST(item_id AS INTEGER) AS query_id, {O.title_of('text')} AS title,
-  {O.java_trim(f"array_to_string({_DESC_LINES}, ' ')")} AS "desc" FROM benchmark"""
+_DESC_LINES = f"list_filter(string_split(\"desc\", chr(10)), lambda l: {O.java_trim('l')} <> '')"
+_TOPICS_READ = f"""SELECT query_id, title, {O.java_trim(f"array_to_string({_DESC_LINES}, ' ')")} AS "desc"
+FROM ({O.TOPICS_SQL})"""
+SQL_TOPICS_PARSE = _TOPICS_READ
 
 
 # -- registry ---------------------------------------------------------------------

@@ -8,12 +8,10 @@ SQL and rounds differently.
 
 from __future__ import annotations
 
-from trawl.functions.analyzers import (ENGLISH_STOP_WORDS, LETTER_TOKEN, MAX_TOKEN_LEN,
-                                       STANDARD_TOKEN)
+from trawl.functions.analyzers import DIGIT_JOINERS, ENGLISH_STOP_WORDS, LETTER_JOINERS, LETTER_TOKEN
 from trawl.functions.scoring import BM25_B, BM25_K1, DIRICHLET_MU, JM_LAMBDA
 from trawl.operators.rank import FORMS, MODEL_RUN_PREFIX, TFIDF_RUN_PREFIX
 from trawl.operators.topk import SCORE_DIGITS
-from trawl.sources.tables import TITLE_WORDS
 
 
 def lit(s: str) -> str:
@@ -32,10 +30,23 @@ def java_trim(expr: str) -> str:
     return f"regexp_replace({expr}, {JAVA_TRIM_RE}, '', 'g')"
 
 
+# The word breaks in two steps, without look-around: a private-use character is
+# put behind every joining mark that joins (twice, as neighbours share a
+# letter), then only marks followed by it keep a token together.
+_MARK = "\ue000"
+_JOINS = (rf"([\p{{L}}\p{{M}}])([{LETTER_JOINERS}])(\p{{L}})|(\p{{N}})([{DIGIT_JOINERS}])(\p{{N}})")
+_JOINED_TOKEN = rf"[\p{{L}}\p{{M}}\p{{N}}_]+(?:['.:,;·’]{_MARK}[\p{{L}}\p{{M}}\p{{N}}_]+)*"
+
+
+def _marked(expr: str) -> str:
+    return rf"regexp_replace({expr}, {lit(_JOINS)}, '\1\2\4\5{_MARK}\3\6', 'g')"
+
+
 def tokens(expr: str, analyzer: str = "standard") -> str:
     if analyzer == "standard":
-        return (f"list_filter(regexp_extract_all(lower({expr}), {lit(STANDARD_TOKEN)}), "
-                f"lambda t: length(t) <= {MAX_TOKEN_LEN} AND NOT list_contains({STOP_LIST}, t))")
+        found = f"regexp_extract_all({_marked(_marked(f"replace(lower({expr}), '{_MARK}', ' ')"))}, {lit(_JOINED_TOKEN)})"
+        return (f"list_filter(list_transform({found}, lambda t: replace(t, '{_MARK}', '')), "
+                f"lambda t: NOT list_contains({STOP_LIST}, t))")
     if analyzer == "keyword":
         return f"[{expr}]"
     if analyzer == "simple":
@@ -46,9 +57,15 @@ def tokens(expr: str, analyzer: str = "standard") -> str:
     raise ValueError(analyzer)
 
 
-def title_of(expr: str) -> str:
-    return (f"array_to_string(list_filter(regexp_split_to_array({expr}, '\\s+'), "
-            f"lambda w: w <> '')[1:{TITLE_WORDS}], ' ')")
+def tag_text(expr: str, tag: str) -> str:
+    bodies = f"regexp_extract_all({expr}, {lit(f'(?is)<{tag}>(.+?)</{tag}>')}, 1)"
+    return java_trim(f"array_to_string(list_transform({bodies}, lambda b: {java_trim('b')}), ' ')")
+
+
+# Topics: the short form is the title of the page with the item's number.
+TOPICS_SQL = f"""SELECT CAST(item_id AS INTEGER) AS query_id,
+  coalesce({tag_text('html', 'title')}, '') AS title, text AS "desc"
+FROM benchmark LEFT JOIN pages ON page_id = item_id"""
 
 
 # -- common table expressions ----------------------------------------------
@@ -85,8 +102,7 @@ def topic_ctes(analyzer: str = "standard", forms=("title", "desc")) -> str:
     """topics, queries (query_id, form, text), qterms (query_id, form, term, qtf)."""
     parts = [f"SELECT query_id, '{f}' AS form, \"{f}\" AS text FROM topics" for f in forms]
     return f"""
-topics AS (SELECT CAST(item_id AS INTEGER) AS query_id, {title_of('text')} AS title, text AS "desc"
-           FROM benchmark),
+topics AS ({TOPICS_SQL}),
 queries AS ({' UNION ALL '.join(parts)}),
 qterms AS (SELECT query_id, form, term, CAST(count(*) AS BIGINT) AS qtf
            FROM (SELECT query_id, form, unnest({tokens('text', analyzer)}) AS term FROM queries)

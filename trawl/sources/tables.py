@@ -2,8 +2,8 @@
 
 corpus  <- documents  (docno = doc_id as text, head = source, byline = lang,
                        dateline = n_chars as text, text = text)
-topics  <- benchmark  (query_id = item_id, title = first three words,
-                       desc = whole text)
+topics  <- benchmark  (query_id = item_id, desc = whole text; title = the
+           + pages      <title> of the page whose page_id is the item_id)
 """
 
 from __future__ import annotations
@@ -11,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.functions.text import first_words
-
-TITLE_WORDS = 3
+from trawl.functions.text import extract_tag
 
 
 _READ: dict[tuple, DataFrame] = {}
@@ -44,9 +42,10 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id INT, title STRING, desc STRING."""
-    b = read_table(spark, sf_dir, "benchmark")
-    return b.select(
+    b = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
+    p = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("item_id"), "html")
+    return b.join(p, "item_id", "left").select(
         F.col("item_id").cast("int").alias("query_id"),
-        first_words(F.col("text"), TITLE_WORDS).alias("title"),
+        F.coalesce(extract_tag(F.col("html"), "title"), F.lit("")).alias("title"),
         F.col("text").alias("desc"),
     )
