@@ -33,6 +33,19 @@ def test_tfidf_run_file(spark, tmp_path):
     assert sorted(tuple(r) for r in read_tfidf_run(spark, path).collect()) == sorted(ROWS)
 
 
+def test_parts_in_name_order_are_the_run_file(spark, tmp_path):
+    rows = [(q, "Q0", f"d{r}", r, 100.0 / r, f"m{m}_short") for m in range(3) for q in range(40) for r in range(1, 30)]
+    run = spark.createDataFrame(rows, "query_id int, q string, docno string, rank int, score double, run_id string").repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = first_lines(write_tfidf_run(run, str(tmp_path / "r")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for m in range(3):
+        want = ["\t".join(map(str, r)) for r in sorted((r for r in rows if r[-1] == f"m{m}_short"), key=lambda r: (r[0], r[3]))]
+        assert files[f"_run=m{m}_short"] == ["QueryId\tQ\tDocID\tRank\tScore\tRunID", *want]
+
+
 def test_models_run_file(spark, tmp_path):
     path = write_models_run(run_df(spark), str(tmp_path / "m"))
     files = first_lines(path)

@@ -1,5 +1,6 @@
 """Index statistics: invariants and the analyzer comparison by brute force."""
 
+import pytest
 from collections import Counter
 
 import regex
@@ -75,13 +76,20 @@ def test_approximate_vocabulary(spark):
     assert stats.vocabulary_size(idx, approx=True).first()[0] == 3
 
 
-def test_index_without_table_catalog_falls_back_to_plain_files(spark, tmp_path, monkeypatch):
+def test_write_errors_are_not_hidden(spark, tmp_path, monkeypatch):
     from pyspark.sql import DataFrameWriter
 
     def refuse(self, *a, **k):
-        raise RuntimeError("no catalog")
+        raise RuntimeError("disk full")
 
     monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
+    with pytest.raises(RuntimeError, match="disk full"):
+        write_index(corpus(spark), str(tmp_path / "broken"))
+
+
+def test_index_without_table_catalog_is_plain_files(spark, tmp_path, monkeypatch):
+    from trawl.operators import index
+    monkeypatch.setattr(index, "has_table_catalog", lambda spark: False)
     idx = write_index(corpus(spark), str(tmp_path / "plain"))
     assert spark.read.parquet(str(tmp_path / "plain" / "stats")).first()["layout"] == "docpart"
     assert {r["term"]: r["df"] for r in idx.terms.collect()} == {"fox": 1, "dog": 2, "zebra": 1}

@@ -64,27 +64,44 @@ def test_record_lines_drop_doc_open_lines(spark, tmp_path):
     assert [r["record"] for r in recs.collect()] == ["<DOCNO>d1</DOCNO>"]
 
 
-def test_split_mode_reads_same_complete_records(spark, tmp_path):
-    folder = write_files(tmp_path / "c", {
-        "a.txt": ("<DOC>\n<DOCNO>d1</DOCNO>\n<TEXT>one</TEXT>\n</DOC> junk\n"
-                  "<DOC>\n<DOCNO>d2</DOCNO>\n<TEXT>two\nlines</TEXT>\n</DOC>\n")})
-    whole, _ = docs_of(spark, folder)
-    split, _ = docs_of(spark, folder, mode="split")
-    assert whole == split == [("d1", "", "one"), ("d2", "", "twolines")]
-
-
-def test_auto_mode_reads_small_files_whole(spark, tmp_path):
-    folder = write_files(tmp_path / "c", {"a.txt": "<DOC>\n<DOCNO>d1</DOCNO>\n<TEXT>x</TEXT>\n</DOC>\nleft over"})
-    docs, rejected = read_trectext(spark, folder, mode="auto")
-    assert [r["docno"] for r in docs.collect()] == ["d1"]
-    assert rejected.count() == 1
+FILES = {
+    "no_docno.txt": "<DOC>\n<DOCNO>d1</DOCNO>\n</DOC>\n<DOC>\n<HEAD>h</HEAD>\n</DOC>\n<DOC>\n<DOCNO>d2</DOCNO>\n</DOC>\n",
+    "unfinished.txt": "<DOC>\n<DOCNO>d3</DOCNO>\n</DOC> junk\n<DOC>\n<DOCNO>d4</DOCNO>\nnever closed",
+    "crlf.txt": "<DOC>\r\n<DOCNO>d5</DOCNO>\r\n<TEXT>\r\nx\r\ny\r\n</TEXT>\r\n</DOC>\r\n<DOC>\r\n<DOCNO>d6</DOCNO>\r\n</DOC>\r\n",
+    "no_newline.txt": "<DOC>\n<DOCNO>d7</DOCNO>\n</DOC>\n<DOC>\n<DOCNO>d8 é</DOCNO>\n</DOC>",
+    "blank_tail.txt": "<DOC>\n<DOCNO>d9</DOCNO>\n</DOC>\n \n\n",
+    "only_tail.txt": "<DOC>\n<DOCNO>d10</DOCNO>\n",
+    "many.txt": "".join(f"<DOC>\n<DOCNO>m{i}</DOCNO>\n<TEXT>{'word ' * (i % 50)}</TEXT>\n</DOC>\n" for i in range(400)),
+}
+
+
+def test_split_and_whole_give_the_same(spark, tmp_path):
+    from trawl.sources.trectext import number_documents
+    folder = write_files(tmp_path / "c", FILES)
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, "700")                      # many splits in a file
+    try:
+        got = {}
+        for mode in ("whole", "split"):
+            records, rejected = read_records(spark, folder, mode=mode)
+            docs, _ = read_trectext(spark, folder, mode=mode)
+            name = lambda p: p.rsplit("/", 1)[1]
+            got[mode] = (sorted((name(r.path), r.rec_pos, r.record) for r in records.collect()),
+                         sorted((name(r.path), r.raw, r.reason) for r in rejected.collect()),
+                         sorted((r.doc_id, r.docno, r.head, r.text) for r in number_documents(docs).collect()))
+    finally:
+        spark.conf.set(key, old)
+    assert got["split"] == got["whole"]
+    records, rejected, docs = got["split"]
+    assert len(records) == 3 + 1 + 2 + 2 + 1 + 400 and [r[0] for r in rejected] == ["only_tail.txt", "unfinished.txt"]
+    assert [d[0] for d in docs] == list(range(len(records)))
 
 
 def test_other_encoding(spark, tmp_path):
     folder = tmp_path / "l1"
     folder.mkdir()
     (folder / "a.txt").write_bytes("<DOC>\n<DOCNO>d1</DOCNO>\n<TEXT>café naïve</TEXT>\n</DOC>\n".encode("latin-1"))
-    rows, _ = docs_of(spark, str(folder), encoding="ISO-8859-1")
+    rows, _ = docs_of(spark, str(folder), encoding="ISO-8859-1", mode="whole")
     assert rows == [("d1", "", "café naïve")]
 
 

@@ -4,6 +4,7 @@
   python -m trawl.cli compare-analyzers CORPUS_DIR [--term new]
   python -m trawl.cli tfidf-runs INDEX_DIR TOPICS OUT_DIR [--k 1000]
   python -m trawl.cli model-runs INDEX_DIR TOPICS OUT_DIR [--k 1000]
+  python -m trawl.cli all-docs INDEX_DIR "query text" OUT_DIR
   python -m trawl.cli adhoc INDEX_DIR "query text" [--k 10] [--model tfidf]
 """
 
@@ -17,8 +18,8 @@ from trawl.session import build_session
 from trawl.sources import runfiles, topics, trectext
 
 
-def _corpus(spark, folder: str):
-    docs, rejected = trectext.read_trectext(spark, folder, mode="whole")
+def _corpus(spark, a):
+    docs, rejected = trectext.read_trectext(spark, a.corpus, mode=a.mode, encoding=a.encoding)
     return trectext.number_documents(docs), rejected
 
 
@@ -27,22 +28,27 @@ def main(argv=None) -> None:
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("index"); p.add_argument("corpus"); p.add_argument("index")
     p.add_argument("--analyzer", default="standard"); p.add_argument("--term", default="new")
+    reads = [p]
     p = sub.add_parser("compare-analyzers"); p.add_argument("corpus"); p.add_argument("--term", default="new")
+    for p in [*reads, p]:
+        p.add_argument("--mode", choices=("split", "whole"), default="split")
+        p.add_argument("--encoding", default="utf-8")
     for name in ("tfidf-runs", "model-runs"):
         p = sub.add_parser(name); p.add_argument("index"); p.add_argument("topics"); p.add_argument("out")
         p.add_argument("--k", type=int, default=rank.DEFAULT_K)
     p = sub.add_parser("adhoc"); p.add_argument("index"); p.add_argument("query")
     p.add_argument("--k", type=int, default=10); p.add_argument("--model", default="tfidf")
+    p = sub.add_parser("all-docs"); p.add_argument("index"); p.add_argument("query"); p.add_argument("out")
     a = ap.parse_args(argv)
 
     spark = build_session()
     if a.cmd == "index":
-        docs, rejected = _corpus(spark, a.corpus)
+        docs, rejected = _corpus(spark, a)
         index = write_index(docs, a.index, a.analyzer)
         rejected.show(truncate=80)
         stats.index_stats(index, a.term).show(truncate=False)
     elif a.cmd == "compare-analyzers":
-        docs, _ = _corpus(spark, a.corpus)
+        docs, _ = _corpus(spark, a)
         stats.compare_analyzers(docs, a.term).show(truncate=False)
     elif a.cmd in ("tfidf-runs", "model-runs"):
         index = open_index(spark, a.index)
@@ -53,6 +59,8 @@ def main(argv=None) -> None:
             runfiles.write_tfidf_run(rank.ranked_runs(index, queries, ["tfidf"], a.k), a.out)
         else:
             runfiles.write_models_run(rank.ranked_runs(index, queries, list(rank.MODELS), a.k), a.out)
+    elif a.cmd == "all-docs":
+        rank.tfidf_all_docs(open_index(spark, a.index), a.query).write.option("header", True).csv(a.out)
     elif a.cmd == "adhoc":
         index = open_index(spark, a.index)
         if a.model == "tfidf":

@@ -64,12 +64,6 @@ def norm(dl: Column, mode: str = "quantized") -> Column:
     raise ValueError(f"norm_mode must be 'quantized' or 'exact', not {mode!r}")
 
 
-def decoded_length(dl: Column, mode: str = "quantized") -> Column:
-    """Document length the library models see: 1/norm^2 of the stored norm."""
-    n = norm(dl, mode)
-    return F.lit(1.0) / (n * n)
-
-
 # -- home-made TF-IDF ------------------------------------------------------
 
 def tfidf_idf(n_docs: Column, df: Column) -> Column:
@@ -116,35 +110,14 @@ def bm25_idf(n_docs: Column, df: Column) -> Column:
     return F.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
 
 
-def bm25_term(tf, length, df, qtf, n_docs, avgdl, p: ModelParams = ModelParams()) -> Column:
-    sat = tf * (p.k1 + 1.0) / (tf + p.k1 * ((1.0 - p.b) + p.b * length / avgdl))
-    return qtf * bm25_idf(n_docs, df) * sat
-
-
 def vsm_idf(n_docs: Column, df: Column) -> Column:
     return F.log(n_docs.cast("double") / (df + 1.0)) + 1.0
 
 
-def vsm_term(tf, nrm, df, qtf, n_docs) -> Column:
-    """sqrt(tf) * idf^2 * norm per clause; coord and queryNorm come later."""
-    idf = vsm_idf(n_docs, df)
-    return qtf * F.sqrt(tf.cast("double")) * idf * idf * nrm
-
-
 def collection_prob(cf: Column, n_tokens: Column) -> Column:
     return (cf + 1.0) / (n_tokens + 1.0)
 
 
-def lm_dirichlet_term(tf, length, cf, qtf, n_tokens, p: ModelParams = ModelParams()) -> Column:
-    s = (F.log(1.0 + tf / (p.mu * collection_prob(cf, n_tokens)))
-         + F.log(F.lit(p.mu) / (length + p.mu)))
-    return qtf * F.greatest(s, F.lit(0.0))
-
-
-def lm_jm_term(tf, length, cf, qtf, n_tokens, p: ModelParams = ModelParams()) -> Column:
-    return qtf * F.log(1.0 + ((1.0 - p.lam) * tf / length) / (p.lam * collection_prob(cf, n_tokens)))
-
-
 # -- per-row parts, with the per-term weights factored out ----------------
 
 def bm25_saturation(tf, length, avgdl, p: ModelParams = ModelParams()) -> Column:

@@ -8,7 +8,7 @@ docs      doc_id LONG, docno STRING, dl LONG  (every document, dl may be 0)
 terms     term STRING, df LONG, cf LONG
 stats     one row: n_docs, docs_with_terms, tokens, postings, vocabulary
 
-Build cost (bucketed layout): the text is shuffled once into doc-id
+Build cost (bucketed layout): the text is read and shuffled once into doc-id
 buckets, then tokenised and counted inside each bucket (no exchange) and
 written one file per bucket; document lengths are a per-bucket aggregate
 over the written postings, and term statistics one aggregate over them.
@@ -16,7 +16,8 @@ over the written postings, and term statistics one aggregate over them.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,7 @@ class Index:
     stats_df: DataFrame
     analyzer: str = "standard"
     path: str | None = None
+    buckets: int = 1
     _stats: CollectionStats | None = field(default=None, repr=False)
 
     @property
@@ -68,17 +70,28 @@ class Index:
         return self._stats
 
 
+UNKNOWN_BYTES = 1 << 60
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a plan's inputs as the optimizer knows it (file sizes for
+    scans), at least ``UNKNOWN_BYTES`` where it does not; runs nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def spread(corpus: DataFrame) -> DataFrame:
-    """Use every core on a corpus read as only a few splits.
+    """Use every core on a corpus that one split could hold.
 
-    A large corpus arrives in many more splits than there are cores and is
-    returned unchanged (no shuffle); a small one is spread round-robin so
-    tokenising, the costly step, is not limited to a handful of tasks.
+    A corpus estimated at a split or less per core is spread round-robin, so
+    that tokenising, the costly step, is not left to a handful of tasks; a larger
+    one arrives in enough splits and is not moved.  Where the rows are has no
+    effect on results, and the decision starts no job.
     """
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    if corpus.rdd.getNumPartitions() < cores:
-        return corpus.repartition(cores)
-    return corpus
+    spark = corpus.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return corpus.repartition(cores) if estimated_bytes(corpus) < cores * split else corpus
 
 
 def doc_lengths(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
@@ -89,9 +102,11 @@ def doc_lengths(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
                          F.size(analyze("text", analyzer)).cast("long").alias("dl"))
 
 
-def build_postings(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
+def build_postings(corpus: DataFrame, analyzer: str = "standard", placed: bool = False) -> DataFrame:
     """term, doc_id, tf, dl — one row per (term, document).
 
+    ``placed``: the rows are already where they should be tokenised.
+
     On a corpus hash-partitioned by doc_id the count needs no exchange at
     all (the partitioning already clusters every (term, doc) key), and its
     output stays laid out as doc-id buckets.
@@ -102,7 +117,7 @@ def build_postings(corpus: DataFrame, analyzer: str = "standard") -> DataFrame:
     # explode_outer: an inner explode makes the optimizer add a
     # ``size(tokens) > 0`` filter with the whole tokenizer copied into it,
     # which would run the regex twice per document.
-    tokens = spread(corpus).select("doc_id", analyze("text", analyzer).alias("toks"))
+    tokens = (corpus if placed else spread(corpus)).select("doc_id", analyze("text", analyzer).alias("toks"))
     sized = tokens.select("doc_id", F.size("toks").cast("long").alias("dl"), "toks")
     exploded = sized.select("doc_id", "dl", F.explode_outer("toks").alias("term")) \
         .filter(F.col("term").isNotNull())
@@ -135,54 +150,58 @@ def in_memory_index(corpus: DataFrame, analyzer: str = "standard") -> Index:
     return Index(postings, docs, terms, stats_frame(docs, postings, terms), analyzer)
 
 
-# Upper bound on the number of doc-id buckets of a written index.
-MAX_BUCKETS = 16384
+# Estimated corpus bytes per doc-id bucket of a written index.
+BUCKET_BYTES = 256 << 20
 
 _POSTINGS_COLS = "term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT"
 _DOCS_COLS = "doc_id BIGINT, docno STRING, dl BIGINT"
 
 
 def default_buckets(corpus: DataFrame) -> int:
-    """One bucket per input split of the corpus, at least one per shuffle
-    partition, at most ``MAX_BUCKETS``."""
-    spark = corpus.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MAX_BUCKETS, max(shuffle, corpus.rdd.getNumPartitions())))
-
-
-def _table_name(kind: str) -> str:
-    return f"trawl_{kind}_{uuid.uuid4().hex[:12]}"
-
-
-def _save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str],
-                   prepartitioned: bool = False) -> str | None:
-    """Write ``df`` bucketed by doc_id (one file per bucket) as an external
-    table at ``path``; returns the table name, or None when the catalog
-    refuses it (the files are then written doc-partitioned without metadata).
-    ``prepartitioned``: ``df`` is already hash-partitioned on doc_id into
-    ``buckets`` partitions (partition i holds bucket i)."""
-    name = _table_name("t")
-    laid = df if prepartitioned else df.repartition(buckets, "doc_id")
-    writer = (laid.write.mode("overwrite")
-              .bucketBy(buckets, "doc_id").sortBy(*sort_cols).option("path", path))
-    try:
-        writer.saveAsTable(name)
-        return name
-    except Exception:  # noqa: BLE001 - catalog without table support: plain files
-        (df.repartition(buckets, "doc_id").sortWithinPartitions(*sort_cols)
-         .write.mode("overwrite").parquet(path))
-        return None
+    """As many buckets as the corpus has ``BUCKET_BYTES``, at least one per
+    shuffle partition; from the optimizer's estimate, so without a job."""
+    shuffle = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(corpus)
+    return max(1, shuffle, math.ceil(size / BUCKET_BYTES) if size < UNKNOWN_BYTES else 0)
+
+
+def _table_name(path: str) -> str:
+    """One catalog name per path, so reopening replaces and never adds."""
+    return "trawl_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+
+
+def _drop_table(spark: SparkSession, path: str) -> None:
+    """Forget the external table of ``path``; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+
+
+def has_table_catalog(spark: SparkSession) -> bool:
+    """Whether bucketed tables can be registered: the session catalog is Spark's own."""
+    return spark.conf.get("spark.sql.catalog.spark_catalog", "builtin") == "builtin"
+
+
+def _save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str]) -> None:
+    """Write ``df``, hash-partitioned on doc_id into ``buckets`` partitions, one
+    file per bucket, as an external table at ``path``.  Errors are the caller's."""
+    _drop_table(df.sparkSession, path)
+    (df.write.mode("overwrite").bucketBy(buckets, "doc_id").sortBy(*sort_cols)
+     .option("path", path).saveAsTable(_table_name(path)))
 
 
 def _register_bucketed(spark: SparkSession, path: str, cols: str, buckets: int, sort_cols: list[str]) -> DataFrame:
-    """Re-attach the bucket spec of files written by :func:`_save_bucketed`."""
-    name = _table_name("t")
-    try:
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (doc_id) "
-                  f"SORTED BY ({', '.join(sort_cols)}) INTO {buckets} BUCKETS LOCATION '{path}'")
-        return spark.table(name)
-    except Exception:  # noqa: BLE001
-        return spark.read.parquet(path)
+    """Attach the bucket spec of files written by :func:`_save_bucketed`."""
+    _drop_table(spark, path)
+    where = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {_table_name(path)} ({cols}) USING parquet CLUSTERED BY (doc_id) "
+              f"SORTED BY ({', '.join(sort_cols)}) INTO {buckets} BUCKETS LOCATION '{where}'")
+    return spark.table(_table_name(path))
+
+
+def _save(df: DataFrame, path: str, buckets: int, sort_cols: list[str], layout: str) -> None:
+    if layout == "bucketed":
+        _save_bucketed(df, path, buckets, sort_cols)
+    else:
+        df.sortWithinPartitions(*sort_cols).write.mode("overwrite").parquet(path)
 
 
 def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
@@ -201,25 +220,25 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
     """
     spark = corpus.sparkSession
     n = buckets or default_buckets(corpus)
-    if layout == "bucketed":
+    if layout == "bucketed" and not has_table_catalog(spark):
+        layout = "docpart"  # the same files, without bucket metadata
+    if layout in ("bucketed", "docpart"):
         # The text is the cheapest form to move into doc-id buckets (token
         # rows are several times larger); tokenising and counting then run
         # inside each bucket with no further exchange.
-        postings = build_postings(corpus.repartition(n, "doc_id"), analyzer)
-        name = _save_bucketed(postings, f"{path}/postings", n, ["term", "doc_id"], prepartitioned=True)
+        postings = build_postings(corpus.repartition(n, "doc_id"), analyzer, placed=True)
+        _save(postings, f"{path}/postings", n, ["term", "doc_id"], layout)
         # Document lengths without a second pass over the text: every
         # posting carries dl, so a per-bucket aggregate over the written
         # postings gives it; documents without terms come from the id and
         # docno columns (dl = 0).
-        stored = spark.table(name) if name else spark.read.parquet(f"{path}/postings")
+        stored = spark.table(_table_name(f"{path}/postings")) if layout == "bucketed" else spark.read.parquet(f"{path}/postings")
         lengths = stored.groupBy("doc_id").agg(F.max("dl").alias("dl"))
         docno = F.col("docno") if "docno" in corpus.columns else F.col("doc_id").cast("string")
         ids = corpus.select("doc_id", docno.alias("docno")).repartition(n, "doc_id")
         docs_df = ids.join(lengths, "doc_id", "left").select(
             "doc_id", "docno", F.coalesce(F.col("dl"), F.lit(0)).cast("long").alias("dl"))
-        docs_name = _save_bucketed(docs_df, f"{path}/docs", n, ["doc_id"])
-        if name is None or docs_name is None:
-            layout = "docpart"  # doc-partitioned files without bucket metadata
+        _save(docs_df if layout == "bucketed" else docs_df.repartition(n, "doc_id"), f"{path}/docs", n, ["doc_id"], layout)
     elif layout == "range":
         docs_df = doc_lengths(corpus, analyzer)
         postings = build_postings(corpus, analyzer)
@@ -240,7 +259,7 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
 
 def open_index(spark: SparkSession, path: str) -> Index:
     stats_df = spark.read.parquet(f"{path}/stats")
-    meta = stats_df.select("analyzer", "layout", "buckets").first()
+    meta = stats_df.first()                         # one row
     if meta["layout"] == "bucketed":
         postings = _register_bucketed(spark, f"{path}/postings", _POSTINGS_COLS, meta["buckets"], ["term", "doc_id"])
         docs = _register_bucketed(spark, f"{path}/docs", _DOCS_COLS, meta["buckets"], ["doc_id"])
@@ -254,22 +273,35 @@ def open_index(spark: SparkSession, path: str) -> Index:
         stats_df=stats_df.select(*STATS_COLUMNS),
         analyzer=meta["analyzer"],
         path=path,
+        buckets=int(meta["buckets"]),
+        _stats=CollectionStats(*[int(meta[c] or 0) for c in STATS_COLUMNS]),
     )
 
 
-_OPENED: dict[tuple, Index] = {}
+_OPENED: dict[tuple, tuple[tuple, Index]] = {}
 
 
 def index_for(spark: SparkSession, corpus, key: str, analyzer: str = "standard") -> Index:
     """Index of ``corpus`` built once per session and kept in the scratch folder.
 
-    ``corpus`` is a DataFrame or a function returning one (only called when
-    the index must be built).  ``key`` names the corpus (for the driver
-    tables: the folder they were read from); later calls with the same key
-    and analyzer reuse the written index.
+    ``corpus`` is a DataFrame or a function returning one.  ``key`` names the corpus (for the driver
+    tables: the folder they were read from); later calls reuse the written
+    index while the corpus has the same files, sizes and modification times.
     """
+    df = corpus() if callable(corpus) else corpus
     cache_key = (spark.sparkContext.applicationId, key, analyzer)
-    if cache_key not in _OPENED:
-        df = corpus() if callable(corpus) else corpus
-        _OPENED[cache_key] = write_index(df, scratch_dir(spark, f"index-{analyzer}"), analyzer)
-    return _OPENED[cache_key]
+    state = _file_state(spark, df)
+    if _OPENED.get(cache_key, (None,))[0] != state:
+        _OPENED[cache_key] = (state, write_index(df, scratch_dir(spark, f"index-{analyzer}"), analyzer))
+    return _OPENED[cache_key][1]
+
+
+def _file_state(spark: SparkSession, df: DataFrame) -> tuple:
+    """Input files with length and modification time (a listing, no job)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for file in sorted(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(file)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        out.append((file, status.getLen(), status.getModificationTime()))
+    return tuple(out)

@@ -2,8 +2,7 @@
 
 queries (query_id, form, text)
   -> query terms   (qkey, term, qtf, df, cf, per-term weights, per-query VSM facts)
-                   analyzer + count; df/cf from one pushed-down scan of the term table;
-                   small: a local relation (size known exactly)
+                   analyzer + count; df/cf from one scan of the term table
   -> matches       postings ⋈ broadcast(query side)       the postings stream, no shuffle
   -> scores        one row per (qkey, doc)                 hash aggregate inside each doc-id
                                                            bucket (no exchange on a bucketed index)
@@ -11,13 +10,14 @@ queries (query_id, form, text)
                                                            the one shuffle carries partial top-k rows
   -> docno         late fetch after top-k                  ⋈ docs, smaller side broadcast
 
-The query side is broadcast only after its size is checked; above
-``BROADCAST_MAX_ROWS`` the joins shuffle on ``term`` and AQE splits a
-skewed (very common) term's partition.
+The query side is broadcast while its estimated size is within
+``BROADCAST_QUERY_BYTES``; above it the joins shuffle on ``term``, with very common
+terms salted.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions import scoring as S
 from trawl.functions.analyzers import analyze
-from trawl.operators.index import Index
+from trawl.operators.index import Index, estimated_bytes
 from trawl.operators.topk import top_k, top_k_per_group
 
 # ---------------------------------------------------------------------------
@@ -40,12 +40,13 @@ DEFAULT_K = 1000
 MODELS = tuple(MODEL_RUN_PREFIX)
 ALL_SCORES = ("tfidf",) + MODELS  # keys of RANKERS
 
-# Largest query-side table that is broadcast (~80 bytes a row: ~80 MB).
-BROADCAST_MAX_ROWS = 1_000_000
-# Up to this many distinct query terms are pushed into the parquet scans.
+# Query texts up to this size (estimated) are broadcast as term rows, which take
+# about ten times the bytes of the texts.
+BROADCAST_QUERY_BYTES = 8 << 20
+# Documents tables and deleted-id tables up to this size (estimated) are broadcast.
+BROADCAST_TABLE_BYTES = 32 << 20
+# Up to this many distinct terms of an ad-hoc query are pushed into the parquet scans.
 PUSHDOWN_MAX_TERMS = 512
-# Query-term tables up to this many rows are fetched and re-used locally.
-COLLECT_MAX_ROWS = 200_000
 # Shuffle-join fallback: terms in at least this share of the documents are
 # salted over SALT_BUCKETS partitions.
 HOT_DF_FRACTION = 0.01
@@ -53,6 +54,8 @@ HOT_MIN_DF = 1000
 SALT_BUCKETS = 64
 # Largest hot-term list that is broadcast (at most postings / cut terms exist).
 HOT_TERMS_MAX_ROWS = 1_000_000
+# Buckets whose top-k rows are merged in one step.
+MERGE_AT_ONCE = 256
 
 
 FORM_TAGS = {field: (tag, suffix) for field, tag, suffix in FORMS}
@@ -75,7 +78,9 @@ _FORM_SLOTS = 4
 
 
 def _form_code() -> Column:
-    return F.create_map(*[x for f, c in FORM_CODES.items() for x in (F.lit(f), F.lit(c))])[F.col("form")]
+    code = F.create_map(*[x for f, c in FORM_CODES.items() for x in (F.lit(f), F.lit(c))])[F.col("form")]
+    unknown = F.raise_error(F.concat(F.lit("unknown query form: "), F.coalesce("form", F.lit("null"))))
+    return F.coalesce(code, unknown.cast("int"))
 
 
 def qkey() -> Column:
@@ -84,8 +89,9 @@ def qkey() -> Column:
 
 def unpack_qkey(c: str = "qkey") -> list:
     forms = F.array(*[F.lit(f) for f, _ in sorted(FORM_CODES.items(), key=lambda x: x[1])])
-    form = F.element_at(forms, (F.col(c) % _FORM_SLOTS).cast("int") + 1)
-    return [(F.col(c) / _FORM_SLOTS).cast("long").cast("int").alias("query_id"), form.alias("form")]
+    form = F.element_at(forms, F.pmod(F.col(c), F.lit(_FORM_SLOTS)).cast("int") + 1)
+    query_id = (F.col(c) - F.pmod(F.col(c), F.lit(_FORM_SLOTS))) / _FORM_SLOTS     # exact, also below zero
+    return [query_id.cast("int").alias("query_id"), form.alias("form")]
 
 
 def _form_tag(i: int):
@@ -94,8 +100,8 @@ def _form_tag(i: int):
 
 def adhoc_queries(spark, text: str, query_id: int = 0) -> DataFrame:
     """A one-row query table for an ad-hoc query string."""
-    return _local(spark, {"query_id": [query_id], "form": ["adhoc"], "text": [text]},
-                  "query_id int, form string, text string")
+    return spark.range(1).select(F.lit(query_id).cast("int").alias("query_id"), F.lit("adhoc").alias("form"),
+                                 F.lit(text).alias("text"))
 
 
 def query_terms(queries: DataFrame, analyzer: str = "standard") -> DataFrame:
@@ -105,69 +111,31 @@ def query_terms(queries: DataFrame, analyzer: str = "standard") -> DataFrame:
     return toks.groupBy("query_id", "form", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def _local(spark, columns: dict, schema: str) -> DataFrame:
-    """A local relation (LocalTableScan) from small driver-side columns.
-
-    Built through Arrow, so it stays in the JVM: no Python worker reads it
-    and a broadcast of it needs no job.
-    """
-    import pandas as pd
-    key = "spark.sql.execution.arrow.pyspark.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        return spark.createDataFrame(pd.DataFrame(columns), schema)
-    finally:
-        spark.conf.set(key, before)
+class QuerySide:
+    """Query terms with corpus statistics, as lazy joins.
 
+    A query set is small next to the corpus (topics × distinct terms), and it is
+    broadcast while the optimizer's size estimate of its texts is within
+    ``BROADCAST_QUERY_BYTES`` (term rows are bounded by the texts); beyond
+    that the joins shuffle on ``term``.  Building it starts no job.
 
-class QuerySide:
-    """Query terms with corpus statistics, sized once for join planning.
-
-    A query set is small next to the corpus (topics × distinct terms).
-    Up to ``COLLECT_MAX_ROWS`` rows it is fetched in one job and re-used
-    as a local relation: its size is then known exactly, the broadcast
-    needs no further job, and a short distinct-term list is pushed into
-    the parquet scans of the term and postings tables (row-group skipping
-    on the term-sorted files).  A larger query set stays distributed: it
-    is persisted, sized by one aggregate, and broadcast only within
-    ``BROADCAST_MAX_ROWS``; beyond that the joins shuffle on ``term``.
+    ``fetch``: for a single ad-hoc query, fetch its few distinct terms first and
+    push them into the parquet scans of the term and postings tables
+    (row-group skipping on the term-sorted files).
     """
 
-    def __init__(self, index: Index, queries: DataFrame, exclude: DataFrame | None = None):
+    def __init__(self, index: Index, queries: DataFrame, exclude: DataFrame | None = None, fetch: bool = False):
         self.index = index
         self.exclude = exclude
-        spark = queries.sparkSession
+        self.pushdown = None
         qt = query_terms(queries, index.analyzer)
-        fetched = qt.limit(COLLECT_MAX_ROWS + 1).collect()
-        self.local = len(fetched) <= COLLECT_MAX_ROWS
-        if self.local:
-            self.rows = len(fetched)
-            self.n_queries = len({(r["query_id"], r["form"]) for r in fetched})
-            distinct = sorted({r["term"] for r in fetched})
-            self.broadcast = True
-            self.pushdown = distinct if len(distinct) <= PUSHDOWN_MAX_TERMS else None
-            # df and cf of the distinct query terms: one scan of the term table
-            # (pushed-down term list, else a broadcast semi-join), then the
-            # query side is a local relation with its statistics attached.
-            wanted = _local(spark, {"term": distinct}, "term string")
-            stats = {r["term"]: (r["df"], r["cf"]) for r in
-                     self._scan(index.terms).join(F.broadcast(wanted), "term").select("term", "df", "cf").collect()}
-            cols = {"query_id": [r["query_id"] for r in fetched], "form": [r["form"] for r in fetched],
-                    "term": [r["term"] for r in fetched], "qtf": [r["qtf"] for r in fetched],
-                    "df": [stats.get(r["term"], (0, 0))[0] for r in fetched],
-                    "cf": [stats.get(r["term"], (0, 0))[1] for r in fetched]}
-            self.terms = _local(spark, cols, "query_id int, form string, term string, qtf long, df long, cf long")
-        else:
-            qt = qt.persist()
-            size = qt.agg(F.count(F.lit(1)).alias("rows"),
-                          F.count_distinct("query_id", "form").alias("queries")).first()
-            self.rows = int(size["rows"])
-            self.n_queries = int(size["queries"])
-            self.broadcast = self.rows <= BROADCAST_MAX_ROWS
-            self.pushdown = None
-            found = index.terms.join(self.small(qt.select("term").distinct()), "term")
-            self.terms = qt.join(found, "term", "left").fillna(0, ["df", "cf"])
+        self.broadcast = estimated_bytes(queries) <= BROADCAST_QUERY_BYTES
+        if fetch:
+            rows = qt.select("term").distinct().limit(PUSHDOWN_MAX_TERMS + 1).collect()
+            if len(rows) <= PUSHDOWN_MAX_TERMS:
+                self.pushdown = sorted(r["term"] for r in rows)
+        found = self._scan(index.terms).join(self.small(qt.select("term").distinct()), "term").select("term", "df", "cf")
+        self.terms = qt.join(self.small(found), "term", "left").fillna(0, ["df", "cf"])
         self._weighted: DataFrame | None = None
 
     def small(self, df: DataFrame) -> DataFrame:
@@ -207,12 +175,12 @@ class QuerySide:
         split: their postings get a salt (a hash of doc_id, SALT_BUCKETS
         values) and their query rows are repeated once per salt, so the join
         on (term, salt) spreads each hot term over SALT_BUCKETS partitions.
-        The hot-term list is bounded (postings / cut) and size-checked before
-        it is broadcast; without it the plain join is left to AQE skew-join.
+        There are at most postings / cut such terms, which is checked before
+        they are broadcast; above the bound the plain join is left to AQE skew-join.
         """
         cut = max(HOT_MIN_DF, int(self.index.stats.n_docs * HOT_DF_FRACTION))
         hot = self.index.terms.filter(F.col("df") >= cut).select("term", F.lit(True).alias("hot"))
-        if hot.count() > HOT_TERMS_MAX_ROWS:
+        if self.index.stats.postings // cut > HOT_TERMS_MAX_ROWS:       # no more terms can be that common
             return postings.join(right.drop("df"), "term")
         p = postings.join(F.broadcast(hot), "term", "left").select(
             *postings.columns,
@@ -239,7 +207,7 @@ class QuerySide:
             m = self._salted_join(postings, right)
         if self.exclude is not None:
             ex = self.exclude.select("doc_id").distinct()
-            small = ex.count() <= BROADCAST_MAX_ROWS
+            small = estimated_bytes(ex) <= BROADCAST_TABLE_BYTES
             m = m.join(F.broadcast(ex) if small else ex, "doc_id", "left_anti")
         return m
 
@@ -320,20 +288,15 @@ def candidate_docs(index: Index, queries: DataFrame) -> DataFrame:
     return m.select(*unpack_qkey(), "doc_id")
 
 
-def with_docno(index: Index, top: DataFrame, bound_rows: int) -> DataFrame:
+def with_docno(index: Index, top: DataFrame) -> DataFrame:
     """Late fetch of the stored document number, after top-k.
 
-    Broadcasts whichever side is provably smaller: the top-k rows (at most
-    queries × k × models) or the documents table (its size is in the index
-    statistics); with neither under the limit the join shuffles.
+    A small documents table is broadcast.  Otherwise the join is on the
+    table's bucket key: the documents stay where they are, and adaptive execution
+    broadcasts the top-k rows instead when they turn out small.
     """
     docs = index.docs.select("doc_id", "docno")
-    n_docs = index.stats.n_docs
-    if n_docs <= min(bound_rows, BROADCAST_MAX_ROWS):
-        return top.join(F.broadcast(docs), "doc_id")
-    if bound_rows <= BROADCAST_MAX_ROWS:
-        return F.broadcast(top).join(docs, "doc_id")
-    return top.join(docs, "doc_id")
+    return top.join(F.broadcast(docs) if estimated_bytes(docs) <= BROADCAST_TABLE_BYTES else docs, "doc_id")
 
 
 def _run_rows(df: DataFrame, run_id) -> DataFrame:
@@ -344,16 +307,17 @@ def _run_rows(df: DataFrame, run_id) -> DataFrame:
 
 def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int = DEFAULT_K,
                 params: S.ModelParams = S.ModelParams(), run_prefix: dict | None = None,
-                exclude: DataFrame | None = None) -> DataFrame:
+                exclude: DataFrame | None = None, fetch: bool = False) -> DataFrame:
     """Run table for each model × form: query_id, q, docno, rank, score, run_id.
 
-    ``exclude``: optional table with a ``doc_id`` column of deleted documents.
+    ``exclude``: optional table with a ``doc_id`` column of deleted documents;
+    ``fetch``: see :class:`QuerySide`.
     """
     if k <= 0:
         raise ValueError("k must be positive")
     _check_models(models)
     prefixes = dict(MODEL_RUN_PREFIX, tfidf=TFIDF_RUN_PREFIX, **(run_prefix or {}))
-    side = QuerySide(index, queries, exclude)
+    side = QuerySide(index, queries, exclude, fetch)
     scored = _score(index, side, models, params)
     # Models are numbered 0..n-1 for the window key (cheaper to sort than
     # names) and turned into run ids after top-k.
@@ -362,9 +326,9 @@ def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int
     else:
         pairs = ", ".join(f"{i}, `{m}`" for i, m in enumerate(models))
         long = scored.selectExpr("qkey", "doc_id", f"stack({len(models)}, {pairs}) as (model, score)")
-    top = top_k_per_group(long, k, ["model", "qkey"])
-    bound = side.n_queries * k * len(models)
-    run = with_docno(index, top, bound).select("*", *unpack_qkey()).withColumn("q", _form_tag(0))
+    # Every bucket yields up to k rows per query: with many buckets they meet in two steps.
+    top = top_k_per_group(long, k, ["model", "qkey"], parts=math.isqrt(index.buckets) if index.buckets > MERGE_AT_ONCE else 1)
+    run = with_docno(index, top).select("*", *unpack_qkey()).withColumn("q", _form_tag(0))
     prefix = F.array(*[F.lit(prefixes[m]) for m in models])
     return _run_rows(run, F.concat(F.element_at(prefix, F.col("model") + 1), F.lit("_"), _form_tag(1)))
 
@@ -378,7 +342,7 @@ def score_all_docs(index: Index, text: str, model: str = "tfidf",
     """
     _check_models([model])
     queries = adhoc_queries(index.docs.sparkSession, text)
-    scored = _score(index, QuerySide(index, queries), [model], params).select(
+    scored = _score(index, QuerySide(index, queries, fetch=True), [model], params).select(
         "doc_id", F.col(model).alias("score"))
     return index.docs.select("doc_id").join(scored, "doc_id", "left").select(
         "doc_id", F.coalesce(F.col("score"), F.lit(0.0)).alias("score"))

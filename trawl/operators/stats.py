@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from trawl.functions.analyzers import ENGLISH_STOP_WORDS, analyze
 from trawl.operators.index import Index, spread
 
-# Terms longer than this are counted by their SHA-256 in the comparison.
-HASH_TERMS_LONGER_THAN = 32
 # Analyzers of the comparison report, in report order.
 COMPARED_ANALYZERS = ("standard", "keyword", "simple", "stop")
 
@@ -116,10 +114,10 @@ def compare_analyzers(corpus: DataFrame, term: str,
     # first of them (or on a null term when it has none).
     rows = doc.select("analyzer", "dl", "has", "cft", "nd",
                       F.posexplode_outer("dt").alias("pos", "term"))
-    # Long terms (a keyword analyzer emits whole documents) are shuffled as
-    # their SHA-256 hex: 64 characters, so never equal to a kept short term.
-    rows = rows.withColumn("term", F.when(F.length("term") > HASH_TERMS_LONGER_THAN,
-                                          F.sha2(F.col("term"), 256)).otherwise(F.col("term")))
+    # Only distinctness counts from here on, and a keyword analyzer emits whole
+    # documents, so every term is shuffled as two 64-bit hashes.
+    rows = rows.withColumn("term", F.when(F.col("term").isNotNull(), F.struct(
+        F.xxhash64("term").alias("a"), F.xxhash64(F.lit(1), F.col("term")).alias("b"))))
     first = F.coalesce(F.col("pos"), F.lit(0)) == 0
 
     def on_first(c):

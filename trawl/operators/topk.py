@@ -3,6 +3,10 @@
 Per-group top-k is ``row_number() <= k`` over a window; Spark plans it as
 a partial ``WindowGroupLimit`` before the shuffle and a final one after,
 so at most k rows per group leave each map task, however large a group.
+Spark leaves the partial limit out for k above a session setting
+(``spark.sql.optimizer.windowGroupLimitThreshold``), so the setting is raised to k
+where it is lower.  With ``parts`` above 1 a group is first cut to its best k in
+that many parts, and only their winners meet in one task.
 Ties: score descending, then doc id ascending, on the score rounded to
 ``digits`` places (float sums have no fixed order, so unrounded ties may
 swap between engines).
@@ -22,13 +26,24 @@ def rounded(score: str = "score", digits: int | None = SCORE_DIGITS):
     return F.round(F.col(score), digits) if digits is not None else F.col(score)
 
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def top_k_per_group(scored: DataFrame, k: int, group: Sequence[str], score: str = "score",
-                    tie: str = "doc_id", digits: int | None = SCORE_DIGITS) -> DataFrame:
+                    tie: str = "doc_id", digits: int | None = SCORE_DIGITS, parts: int = 1) -> DataFrame:
     """Keep the best ``k`` rows of every group, numbered 1…k in ``rank``."""
     if k <= 0:
         raise ValueError("k must be positive")
+    spark = scored.sparkSession
+    if 0 <= int(spark.conf.get(GROUP_LIMIT)) < k:
+        spark.conf.set(GROUP_LIMIT, str(k))
     s = scored.withColumn(score, rounded(score, digits))
-    w = Window.partitionBy(*group).orderBy(F.col(score).desc(), F.col(tie).asc())
+    best = [F.col(score).desc(), F.col(tie).asc()]
+    if parts > 1:
+        s = s.withColumn("_part", F.pmod(F.xxhash64(tie), F.lit(parts)))
+        first = Window.partitionBy(*group, "_part").orderBy(*best)
+        s = s.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k).drop("_part", "rank")
+    w = Window.partitionBy(*group).orderBy(*best)
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

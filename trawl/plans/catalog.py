@@ -16,7 +16,7 @@ from trawl.functions.analyzers import analyze
 from trawl.functions.scoring import quantized_norm, tfidf_idf
 from trawl.functions.text import extract_tag
 from trawl.operators import rank, stats
-from trawl.operators.index import build_postings, index_for
+from trawl.operators.index import build_postings, index_for, open_index
 from trawl.plans import oracle as O
 from trawl.session import scratch_dir
 from trawl.sources import runfiles, tables, topics as topic_files, trectext
@@ -29,6 +29,7 @@ COMPARE_TERM = "the"            # term of the analyzer comparison (a stop word)
 ADHOC_QUERY = "from der rewh"   # ad-hoc query text
 FIELD_VALUE = "src3"            # value of the keyword-field filter
 PAGE_TAGS = ("title", "p", "li")
+FILE_DOCS = 200                 # documents of a written TREC-text file with a broken end
 
 
 def _index(spark: SparkSession, sf: str, analyzer: str = "standard"):
@@ -36,7 +37,11 @@ def _index(spark: SparkSession, sf: str, analyzer: str = "standard"):
 
 
 def _queries(spark: SparkSession, sf: str) -> DataFrame:
-    return rank.query_forms(tables.topics(spark, sf))
+    """The topics' query forms, from a small stored topics table (its size is
+    then known to the planner, whatever the tables it was joined from)."""
+    path = scratch_dir(spark, "topics-table")
+    tables.topics(spark, sf).write.parquet(path)
+    return rank.query_forms(spark.read.schema("query_id int, title string, `desc` string").parquet(path))
 
 
 # -- analyzers -------------------------------------------------------------
@@ -127,8 +132,22 @@ def q_compare_analyzers(spark, sf):
 
 
 def q_index_roundtrip(spark, sf):
-    """Write the four index tables, reopen them, and read the term table back."""
-    return _index(spark, sf).terms.select("term", "df", "cf")
+    """All four tables of a reopened index, stacked."""
+    again = open_index(spark, _index(spark, sf).path)
+    none, no_id = F.lit(None).cast("string"), F.lit(None).cast("long")
+    return (again.postings.select(F.lit("postings").alias("part"), "term", "doc_id", F.col("tf").alias("a"), F.col("dl").alias("b"))
+            .unionAll(again.docs.select(F.lit("docs"), "docno", "doc_id", "dl", no_id))
+            .unionAll(again.terms.select(F.lit("terms"), "term", no_id, "df", "cf"))
+            .unionAll(again.stats_df.select(F.lit("stats"), none, no_id, "n_docs", "tokens")))
+
+
+def q_index_per_analyzer(spark, sf):
+    """The report of a stored index of each analyzer."""
+    out = None
+    for name in stats.COMPARED_ANALYZERS:
+        report = stats.index_stats(_index(spark, sf, name), COMPARE_TERM).withColumn("analyzer", F.lit(name))
+        out = report if out is None else out.unionByName(report)
+    return out
 
 
 _C = f"WITH {O.corpus_ctes()} "
@@ -149,7 +168,10 @@ SQL_INDEX_STATS = _C + f"""SELECT {O.lit(PROBE_TERM)} AS term,
   (SELECT CAST(count(*) AS BIGINT) FROM docs WHERE dl > 0) AS docs_with_terms,
   (SELECT n_tokens FROM cstats) AS tokens,
   (SELECT CAST(count(*) AS BIGINT) FROM postings) AS postings"""
-SQL_INDEX_ROUNDTRIP = _C + "SELECT term, df, cf FROM terms"
+SQL_INDEX_ROUNDTRIP = _C + """SELECT 'postings' AS part, term, p.doc_id, tf AS a, dl AS b FROM postings p JOIN docs d ON p.doc_id = d.doc_id
+UNION ALL SELECT 'docs', docno, doc_id, dl, NULL FROM docs
+UNION ALL SELECT 'terms', term, NULL, df, cf FROM terms
+UNION ALL SELECT 'stats', NULL, NULL, n_docs, n_tokens FROM cstats"""
 
 
 def _compare_sql() -> str:
@@ -225,7 +247,7 @@ SQL_TFIDF_TOPK_ALL_DOCS = (f"SELECT doc_id, score FROM ({_all_docs_sql(ADHOC_QUE
 
 def q_adhoc_search(spark, sf):
     idx = _index(spark, sf)
-    return rank.ranked_runs(idx, rank.adhoc_queries(spark, ADHOC_QUERY), ["bm25"], ADHOC_K)
+    return rank.ranked_runs(idx, rank.adhoc_queries(spark, ADHOC_QUERY), ["bm25"], ADHOC_K, fetch=True)
 
 
 # -- sources and sinks ----------------------------------------------------------
@@ -245,9 +267,44 @@ def q_corpus_documents(spark, sf):
     return trectext.documents_from_records(records).drop("path", "rec_pos")
 
 
+def _broken_corpus(spark, sf):
+    """Files of up to ``FILE_DOCS`` documents by id, the last record of each never closed."""
+    docs = tables.corpus(spark, sf).withColumn("file", F.floor(F.col("doc_id") / FILE_DOCS))
+    last = docs.groupBy("file").agg(F.max("doc_id").alias("last"))
+    lines = trectext.to_records(docs.join(last, "file"), keep=("file", "doc_id", "last"))
+    closed = F.col("doc_id") < F.col("last")
+    value = F.when(closed, F.col("value")).otherwise(F.regexp_replace("value", "\n</DOC>$", ""))
+    path = scratch_dir(spark, "trectext-broken")
+    (lines.select("file", "doc_id", value.alias("value")).repartition("file").sortWithinPartitions("file", "doc_id")
+     .select("file", "value").write.partitionBy("file").text(path))
+    return trectext.read_records(spark, path)
+
+
 def q_corpus_rejected(spark, sf):
-    _, rejected = _trec_corpus(spark, sf)
-    return rejected
+    _, rejected = _broken_corpus(spark, sf)
+    return rejected.select("raw", "reason")
+
+
+def q_corpus_kept(spark, sf):
+    """The records before the broken ones, with their positions in their files."""
+    records, _ = _broken_corpus(spark, sf)
+    return records.select(extract_tag(F.col("record"), "DOCNO").alias("docno"), F.col("rec_pos").cast("long").alias("rec_pos"))
+
+
+def q_topics_rejected(spark, sf):
+    """Topics of which every third has a broken number: good ones and rejects."""
+    blocks = topic_files.to_topic_blocks(tables.topics(spark, sf), keep=("query_id",))
+    broken = F.when(F.col("query_id") % 3 == 0, F.regexp_replace("value", "<num> Number: ", "<num> Number: x")).otherwise(F.col("value"))
+    path = scratch_dir(spark, "topics-broken")
+    blocks.select(broken.alias("value")).write.text(path)
+    good, bad = topic_files.read_topics(spark, path)
+    return good.unionByName(bad.select("reason"), allowMissingColumns=True)
+
+
+def q_ranked_without_deleted(spark, sf):
+    """BM25 runs over the documents that are not deleted (every seventh is)."""
+    gone = tables.corpus(spark, sf).where(F.col("doc_id") % 7 == 0).select("doc_id")
+    return rank.ranked_runs(_index(spark, sf), _queries(spark, sf), ["bm25"], RUN_K, exclude=gone)
 
 
 def q_field_equals(spark, sf):
@@ -285,8 +342,15 @@ SQL_CORPUS_RECORDS = f"""SELECT CAST(doc_id AS VARCHAR) AS docno,
 FROM documents"""
 SQL_CORPUS_DOCUMENTS = f"""SELECT CAST(doc_id AS VARCHAR) AS docno, source AS head, lang AS byline,
   CAST(n_chars AS VARCHAR) AS dateline, {_GLUED_TEXT} AS text FROM documents"""
-SQL_CORPUS_REJECTED = ("SELECT CAST(NULL AS VARCHAR) AS path, CAST(NULL AS VARCHAR) AS raw, "
-                       "CAST(NULL AS VARCHAR) AS reason FROM documents WHERE false")
+SQL_CORPUS_REJECTED = f"""SELECT '<DOC>' || chr(10) || '<DOCNO> ' || CAST(doc_id AS VARCHAR) || ' </DOCNO>' || chr(10)
+  || '<HEAD> ' || source || ' </HEAD>' || chr(10) || '<BYLINE> ' || lang || ' </BYLINE>' || chr(10)
+  || '<DATELINE> ' || CAST(n_chars AS VARCHAR) || ' </DATELINE>' || chr(10)
+  || '<TEXT>' || chr(10) || text || chr(10) || '</TEXT>' || chr(10) AS raw,
+  'record not closed by </DOC> before end of file' AS reason
+FROM documents WHERE doc_id IN (SELECT max(doc_id) FROM documents GROUP BY doc_id // {FILE_DOCS})"""
+SQL_CORPUS_KEPT = f"""SELECT CAST(doc_id AS VARCHAR) AS docno, pos - 1 AS rec_pos FROM (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id // {FILE_DOCS} ORDER BY doc_id) AS pos,
+         max(doc_id) OVER (PARTITION BY doc_id // {FILE_DOCS}) AS last FROM documents) WHERE doc_id < last"""
 SQL_FIELD_EQUALS = f"""SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(doc_id AS VARCHAR) AS docno, source AS head,
   lang AS byline, CAST(n_chars AS VARCHAR) AS dateline FROM documents WHERE source = {O.lit(FIELD_VALUE)}"""
 
@@ -297,6 +361,9 @@ _DESC_LINES = f"list_filter(string_split(\"desc\", chr(10)), lambda l: {O.java_t
 _TOPICS_READ = f"""SELECT query_id, title, {O.java_trim(f"array_to_string({_DESC_LINES}, ' ')")} AS "desc"
 FROM ({O.TOPICS_SQL})"""
 SQL_TOPICS_PARSE = _TOPICS_READ
+SQL_TOPICS_REJECTED = f"""SELECT query_id, title, "desc", CAST(NULL AS VARCHAR) AS reason FROM ({_TOPICS_READ}) WHERE query_id % 3 <> 0
+UNION ALL SELECT NULL, NULL, NULL, concat('topic number is not an integer: ', chr(39), 'x', lpad(CAST(item_id AS VARCHAR), 3, '0'), chr(39))
+FROM benchmark WHERE item_id % 3 = 0"""
 
 
 # -- registry ---------------------------------------------------------------------
@@ -321,6 +388,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_stats": q_index_stats,
     "compare_analyzers": q_compare_analyzers,
     "index_roundtrip": q_index_roundtrip,
+    "index_per_analyzer": q_index_per_analyzer,
     "query_term_idf": q_query_term_idf,
     "candidate_docs": q_candidate_docs,
     "tfidf_topk": _runs(["tfidf"]),
@@ -335,9 +403,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_records": q_corpus_records,
     "corpus_documents": q_corpus_documents,
     "corpus_rejected": q_corpus_rejected,
+    "corpus_kept": q_corpus_kept,
     "field_equals": q_field_equals,
     "extract_tag": q_extract_tag,
     "topics_parse": q_topics_parse,
+    "topics_rejected": q_topics_rejected,
+    "ranked_without_deleted": q_ranked_without_deleted,
     "run_file_tfidf": q_run_file_tfidf,
     "run_file_models": q_run_file_models,
 }
@@ -362,6 +433,7 @@ ORACLES: dict[str, str] = {
     "index_stats": SQL_INDEX_STATS,
     "compare_analyzers": SQL_COMPARE_ANALYZERS,
     "index_roundtrip": SQL_INDEX_ROUNDTRIP,
+    "index_per_analyzer": SQL_COMPARE_ANALYZERS,
     "query_term_idf": SQL_QUERY_TERM_IDF,
     "candidate_docs": SQL_CANDIDATE_DOCS,
     "tfidf_topk": O.runs_sql(["tfidf"], RUN_K),
@@ -376,9 +448,12 @@ ORACLES: dict[str, str] = {
     "corpus_records": SQL_CORPUS_RECORDS,
     "corpus_documents": SQL_CORPUS_DOCUMENTS,
     "corpus_rejected": SQL_CORPUS_REJECTED,
+    "corpus_kept": SQL_CORPUS_KEPT,
     "field_equals": SQL_FIELD_EQUALS,
     "extract_tag": SQL_EXTRACT_TAG,
     "topics_parse": SQL_TOPICS_PARSE,
+    "topics_rejected": SQL_TOPICS_REJECTED,
+    "ranked_without_deleted": O.runs_sql(["bm25"], RUN_K, exclude="doc_id % 7 = 0"),
     "run_file_tfidf": O.runs_sql(["tfidf"], RUN_K),
     "run_file_models": O.runs_sql(list(rank.MODELS), RUN_K),
 }

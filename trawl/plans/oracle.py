@@ -150,8 +150,9 @@ def model_sums() -> dict[str, str]:
 
 
 def runs_sql(models, k: int, topics: str | None = None, adhoc: str | None = None,
-             run_suffix: dict | None = None) -> str:
-    """Ranked run table for the given models over topics (both forms) or one ad-hoc query."""
+             exclude: str = "false") -> str:
+    """Ranked run table for the given models over topics (both forms) or one
+    ad-hoc query; documents for which ``exclude`` holds are not ranked."""
     sums = model_sums()
     prefix = dict(MODEL_RUN_PREFIX, tfidf=TFIDF_RUN_PREFIX)
     q_ctes = adhoc_ctes(adhoc) if adhoc is not None else topic_ctes()
@@ -164,7 +165,7 @@ def runs_sql(models, k: int, topics: str | None = None, adhoc: str | None = None
     s_case = "CASE form " + " ".join(f"WHEN '{f}' THEN '{s}'" for f, (_, s) in tags.items()) + " END"
     p_case = "CASE model " + " ".join(f"WHEN '{mname}' THEN '{prefix[mname]}'" for mname in models) + " END"
     return f"""WITH {corpus_ctes()}, {norm_ctes()}, {q_ctes}, {weighted_ctes()},
-sc AS (SELECT query_id, form, doc_id, {scores} FROM m GROUP BY query_id, form, doc_id),
+sc AS (SELECT query_id, form, doc_id, {scores} FROM m WHERE NOT ({exclude}) GROUP BY query_id, form, doc_id),
 lg AS ({longs}),
 rk AS (SELECT query_id, form, doc_id, model, round(score, {SCORE_DIGITS}) AS score,
               row_number() OVER (PARTITION BY model, query_id, form

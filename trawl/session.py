@@ -50,7 +50,9 @@ def _checkpoint_base(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    # Only when the cluster names no shared folder (local runs and tests).
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    # One machine, as in tests: a local folder is shared by definition.
     local = tempfile.mkdtemp(prefix="trawl-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -52,9 +52,9 @@ def read_topics(spark: SparkSession, path: str, encoding: str = "utf-8") -> tupl
     return parse_topic_blocks(topic_blocks(spark, path, encoding))
 
 
-def to_topic_blocks(topics: DataFrame, domain: str = "Retrieval") -> DataFrame:
+def to_topic_blocks(topics: DataFrame, domain: str = "Retrieval", keep: tuple[str, ...] = ()) -> DataFrame:
     """One ``<top>`` block per row of (query_id, title, desc)."""
-    return topics.select(F.concat(
+    return topics.select(*keep, F.concat(
         F.lit("<top>\n\n<head> Tipster Topic Description\n<num> Number: "),
         F.lpad(F.col("query_id").cast("string"), 3, "0"),
         F.lit(f"\n<dom> Domain: {domain}\n\n<title> Topic: "), F.coalesce("title", F.lit("")),

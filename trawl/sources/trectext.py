@@ -10,15 +10,18 @@ Record rules (line based, as a line reader sees the file):
 * a non-blank tail after the last ``</DOC>`` line is an unfinished record:
   it goes to the reject table and the file's earlier records are kept.
 
-``mode="whole"`` reads one file per row (exact rules above; files must fit
-in a task, as corpus files do).  ``mode="split"`` cuts files on
-``\\n</DOC>`` with the splittable line reader, for files too large for one
-row; it cannot see an unfinished tail, so it has no reject output.
+``mode="split"`` (default) reads files of any size in splits, cut on
+``\\n</DOC>``; one row per split (its records and bytes) is summed to give every
+record its position in its file, and the bytes against the file's size tell
+whether the last record is closed.  ``mode="whole"`` reads a file as
+one row: for other charsets than UTF-8, for files with bare carriage returns as
+line ends and for files that begin with a ``</DOC>`` line; files must then fit in
+a task.  Both give the same records, rejects and positions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.text import extract_tag, java_trim, split_lines
@@ -60,51 +63,56 @@ def _read_whole(spark: SparkSession, path: str, encoding: str = "utf-8") -> Data
             .select("path", F.decode("content", encoding).alias("value")))
 
 
-# Files above this size are read with the splittable reader in "auto" mode.
-WHOLE_FILE_MAX_BYTES = 256 * 1024 * 1024
-
-
-def largest_file(spark: SparkSession, path: str) -> int:
-    """Size of the largest input file (a distributed listing; contents are not read)."""
-    row = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("m")).first()
-    return int(row["m"] or 0)
+def _read_split(spark: SparkSession, path: str) -> DataFrame:
+    """(path, rec_pos, chunk, is_tail) from splittable pieces."""
+    meta = F.col("_metadata")
+    pieces = (spark.read.option("lineSep", "\n" + DOC_CLOSE).text(path)
+              .select(meta["file_path"].alias("path"), meta["file_block_start"].alias("block"),
+                      meta["file_size"].alias("size"), "value", F.monotonically_increasing_id().alias("at")))
+    # A split's pieces are numbered in a row, whichever task reads it.  One
+    # row per split: at 128 MB a split, a million rows for 128 TB.
+    splits = pieces.groupBy("path", "block").agg(
+        F.min("at").alias("first"), F.count("*").alias("n"), F.max("size").alias("size"),
+        F.sum(F.octet_length("value") + len(DOC_CLOSE) + 1).alias("bytes"))
+    in_file = Window.partitionBy("path")
+    before = in_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("bytes").over(in_file)
+    # All pieces are closed when their bytes and separators make up the file
+    # (but for the reader's skipped byte order mark).
+    closed = (total == F.col("size")) | (total == F.col("size") - 3)
+    splits = splits.select("path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"),
+                           F.sum("n").over(in_file).alias("pieces"), closed.alias("closed"))
+    placed = pieces.drop("size").join(F.broadcast(splits), ["path", "block"])
+    pos = F.col("base") + F.col("at") - F.col("first")
+    placed = placed.select("path", pos.alias("pos"), (~F.col("closed") & (pos == F.col("pieces") - 1)).alias("is_tail"), "value")
+    # Every piece but a file's first starts with the rest of a </DOC> line.
+    rest = F.regexp_replace("value", r"^[^\r\n]*(?:\r\n|\r|\n)?", "")
+    chunk = F.when(F.col("pos") > 0, rest).otherwise(F.col("value"))
+    chunk = F.concat(chunk, F.when(F.col("is_tail"), F.lit("")).otherwise(F.lit("\n")))
+    return placed.select("path", F.col("pos").alias("rec_pos"), chunk.alias("chunk"), "is_tail")
 
 
 def read_records(spark: SparkSession, path: str, line_join: str = "",
-                 mode: str = "whole", encoding: str = "utf-8") -> tuple[DataFrame, DataFrame]:
+                 mode: str = "split", encoding: str = "utf-8") -> tuple[DataFrame, DataFrame]:
     """Return ``(records, rejected)``.
 
     records:  path, rec_pos, record (the joined lines of one ``<DOC>``)
     rejected: path, raw, reason
-
-    ``mode="auto"`` picks "whole" unless a file is larger than
-    ``WHOLE_FILE_MAX_BYTES`` (a whole file must fit in one string/task).
     """
-    if mode == "auto":
-        mode = "split" if largest_file(spark, path) > WHOLE_FILE_MAX_BYTES else "whole"
     if mode == "whole":
         chunks = _cut(_read_whole(spark, path, encoding), _CLOSE_LINE)
-        complete = chunks.filter(~F.col("is_tail"))
-        tail = chunks.filter(F.col("is_tail") & (F.length(java_trim(F.col("chunk"))) > 0))
-        records = _records_from_chunks(complete, line_join, DOC_OPEN, keep_blank=True)
-        rejected = tail.select("path", F.col("chunk").alias("raw"),
-                               F.lit("record not closed by </DOC> before end of file").alias("reason"))
-        return records, rejected
-    if mode == "split":
+    elif mode == "split":
         if encoding.lower().replace("-", "") != "utf8":
             raise ValueError("the splittable reader reads UTF-8 only; use mode='whole' for other charsets")
-        raw = (spark.read.option("lineSep", "\n" + DOC_CLOSE).text(path)
-               .select(F.col("_metadata.file_path").alias("path"), "value"))
-        # Every piece but a file's first starts with the rest of a </DOC> line.
-        body = F.when(F.col("value").startswith(DOC_OPEN), F.col("value")).otherwise(
-            F.regexp_replace("value", r"^[^\r\n]*(?:\r\n|\r|\n)?", ""))
-        chunks = raw.select("path", F.lit(None).cast("long").alias("rec_pos"),
-                            F.concat(body, F.lit("\n")).alias("chunk"))
-        records = _records_from_chunks(chunks, line_join, DOC_OPEN, keep_blank=True)
-        records = records.filter(F.col("record").rlike(r"(?is)<DOCNO>.+?</DOCNO>"))
-        empty = spark.createDataFrame([], "path string, raw string, reason string")
-        return records, empty
-    raise ValueError(f"mode must be 'whole' or 'split', not {mode!r}")
+        chunks = _read_split(spark, path)
+    else:
+        raise ValueError(f"mode must be 'whole' or 'split', not {mode!r}")
+    complete = chunks.filter(~F.col("is_tail"))
+    tail = chunks.filter(F.col("is_tail") & (F.length(java_trim(F.col("chunk"))) > 0))
+    records = _records_from_chunks(complete, line_join, DOC_OPEN, keep_blank=True)
+    rejected = tail.select("path", F.col("chunk").alias("raw"),
+                           F.lit("record not closed by </DOC> before end of file").alias("reason"))
+    return records, rejected
 
 
 def documents_from_records(records: DataFrame, text_only: bool = False) -> DataFrame:
@@ -117,45 +125,40 @@ def documents_from_records(records: DataFrame, text_only: bool = False) -> DataF
 
 
 def read_trectext(spark: SparkSession, path: str, line_join: str = "",
-                  mode: str = "whole", text_only: bool = False,
+                  mode: str = "split", text_only: bool = False,
                   encoding: str = "utf-8") -> tuple[DataFrame, DataFrame]:
     """``(documents, rejected)`` of a TREC-text folder."""
     records, rejected = read_records(spark, path, line_join, mode, encoding)
     return documents_from_records(records, text_only), rejected
 
 
-def to_records(corpus: DataFrame) -> DataFrame:
+def to_records(corpus: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One ``<DOC>`` record string per row of (docno, head, byline, dateline, text)."""
     parts = [F.lit(DOC_OPEN + "\n")]
     for tag in FIELDS[:-1]:
         parts += [F.lit(f"<{tag}> "), F.coalesce(F.col(tag.lower()), F.lit("")), F.lit(f" </{tag}>\n")]
     parts += [F.lit("<TEXT>\n"), F.coalesce(F.col("text"), F.lit("")), F.lit("\n</TEXT>\n" + DOC_CLOSE)]
-    return corpus.select(F.concat(*parts).alias("value"))
-
-
-# Records per written file: whole-file reading needs files that fit a task.
-RECORDS_PER_FILE = 1000
+    return corpus.select(*keep, F.concat(*parts).alias("value"))
 
 
-def write_trectext(corpus: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> str:
-    """Write records as text files of at most ``records_per_file`` records."""
+def write_trectext(corpus: DataFrame, path: str) -> str:
+    """Write records as text files, one per task."""
     from trawl.operators.index import spread
-    (to_records(spread(corpus)).write.mode("overwrite")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    to_records(spread(corpus)).write.mode("overwrite").text(path)
     return path
 
 
 def number_documents(docs: DataFrame) -> DataFrame:
-    """Give whole-file-read documents a dense, stable ``doc_id``.
+    """Give documents a dense, stable ``doc_id`` in (file path, record position) order.
 
-    Ids follow (file path, record position).  Only the per-file record
-    counts (one row per file) are ordered to get each file's offset; the
-    documents themselves are never sorted or moved to one task.
+    Only the per-file record counts (one row per file) are ordered to get
+    each file's offset; the documents themselves are never sorted or moved.
     """
-    if "rec_pos" not in docs.columns:
-        raise ValueError("needs path and rec_pos (read with mode='whole')")
+    if not {"path", "rec_pos"} <= set(docs.columns):
+        raise ValueError("needs path and rec_pos, as the readers give them")
     counts = docs.groupBy("path").agg((F.max("rec_pos") + 1).cast("long").alias("n"))
-    from pyspark.sql import Window
-    offsets = counts.select("path", (F.sum("n").over(Window.orderBy("path")) - F.col("n")).alias("offset"))
-    return docs.join(offsets, "path").withColumn(
+    before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    # One short row per file; a file's documents stay in their splits.
+    return docs.join(F.broadcast(offsets), "path").withColumn(
         "doc_id", (F.col("offset") + F.col("rec_pos")).cast("long")).drop("offset")
