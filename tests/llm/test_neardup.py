@@ -81,9 +81,11 @@ def test_empty(spark):
     assert neardup.drop_near_duplicates(docs).collect() == []
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [0, 3, 1000])
+def test_components(spark, monkeypatch, hub):
+    monkeypatch.setattr(graph, "HUB", hub)
     rng = random.Random(5)
-    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)] + [(3, 3), (None, 4)]
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)] + [(3, 3), (None, 4)] + [(200, 300 + i) for i in range(40)]
     got = {r.id: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     label = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
     for _ in label:
@@ -94,10 +96,10 @@ def test_components(spark):
 
 
 def test_needed_matches():
-    assert neardup.matches_needed(80) in range(30, 40)
     rng = np.random.default_rng(1)
-    worst = min((rng.random((20_000, neardup.COORDS)) < 0.8).sum(axis=1))
-    assert worst >= neardup.matches_needed(80)
+    for p, n in ((0.8, neardup.COORDS), (0.8 ** neardup.WIDTH, neardup.POSTED)):
+        worst = min((rng.random((50_000, n)) < p).sum(axis=1))
+        assert n / 5 <= neardup.matches_needed(p, n) <= worst
 
 
 def test_word_hashes_tell_words_apart():

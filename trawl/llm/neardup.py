@@ -3,14 +3,16 @@
 1. Every text becomes its set of hashed word shingles, a 128-bit key of the
    set and a signature of ``COORDS`` minima.  Equal sets are one class, kept by
    its smallest id, so exact copies cost one row each and no pairs.
-2. Every class is posted under its (coordinate, value) pairs.  Two sets at the
-   wanted similarity agree in at least ``matches_needed`` coordinates but for a
-   chance of ``MISS``; a pair that agrees that often shares a pair among the
-   ``COORDS - needed + 1`` rarest of each side, so only those postings are kept.
-   Values seen once never make a posting.
-3. In each posting list collisions are counted over the whole signatures, and
-   members found to belong to a seen member's group are skipped as partners of
-   it.  Each list gives one row per member and group, never its pairs.
+2. The signature's coordinates are its ``POSTED`` runs of ``WIDTH`` minima, and every
+   class is posted under its (coordinate, value) pairs.  Two sets at the wanted
+   similarity s agree in a coordinate with chance ``s ** WIDTH``, so in at least
+   ``matches_needed`` coordinates but for a chance of ``MISS``; two that do share a pair
+   among the ``POSTED - needed + 1`` rarest of each side, so only those postings
+   are kept.  Values seen once never make a posting.
+3. In each posting list collisions are counted minimum by minimum over the
+   whole signatures, against a threshold missed as rarely, and members found to
+   belong to a seen member's group are skipped as partners of it.  Each list gives
+   one row per member and group, never its pairs.
 4. Each group of candidates is read again as whole texts and all its
    pairs are decided on exact intersections of full shingle sets (a
    blocked matrix product); the links leave as a spanning forest.
@@ -41,7 +43,9 @@ from pyspark.sql import functions as F
 from trawl.llm import common
 from trawl.llm.graph import components
 
-COORDS = 64
+COORDS = 64                    # minima of a signature
+WIDTH = 2                      # minima of a posted coordinate
+POSTED = COORDS // WIDTH
 MISS = 1e-6                    # chance that a pair exactly at the threshold is not a candidate
 LIST_BLOCK = 4096              # members of a posting list per block
 GROUP_BLOCK_DOCS = 1500        # members of a candidate group per block
@@ -52,9 +56,9 @@ BATCH_CHARS = 1 << 20
 _SEEDS = np.random.default_rng(20240917).integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def matches_needed(percent: int, coords: int = COORDS, miss: float = MISS) -> int:
-    """Largest t with P(Binomial(coords, percent%) < t) <= miss."""
-    p, below = percent / 100, 0.0
+def matches_needed(p: float, coords: int, miss: float = MISS) -> int:
+    """Largest t with P(Binomial(coords, p) < t) <= miss."""
+    below = 0.0
     for t in range(coords + 1):
         below += math.comb(coords, t) * p ** t * (1 - p) ** (coords - t)
         if below > miss:
@@ -94,11 +98,13 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
 
 def _prefixes(classes: DataFrame, needed: int) -> DataFrame:
     """(token, members, id, n, sig): each class under its rarest shared coordinate values."""
-    tokens = classes.select("id", F.posexplode("sig").alias("coord", "value")).select(
-        "id", (F.shiftleft(F.col("coord").cast("bigint"), 32) + F.col("value")).alias("token"))
+    def posting(c):
+        return F.xxhash64(c, *[F.get("sig", c * WIDTH + i) for i in range(WIDTH)])
+
+    tokens = classes.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(POSTED - 1)), posting)).alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
     own = tokens.join(shared, "token").groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("members", "token"))).alias("t"))         # at most COORDS
+        F.sort_array(F.collect_list(F.struct("members", "token"))).alias("t"))         # at most POSTED
     kept = own.where(F.size("t") >= needed).select(
         "id", F.explode(F.slice("t", F.lit(1), F.size("t") - (needed - 1))).alias("t"))
     return kept.select("id", "t.*").join(classes.select("id", "n", "sig"), "id")
@@ -216,14 +222,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
     their shingle sets; a component's smallest id is kept.
     """
     spark = docs.sparkSession
-    needed = matches_needed(percent)
+    share = percent / 100
+    needed, posted = matches_needed(share, COORDS), matches_needed(share ** WIDTH, POSTED)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = common.written(_signed(texts, shingle), "signatures")
     classes = common.written(
         signed.where("set_key is not null and id is not null").groupBy("set_key").agg(
             F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
 
-    coarse = components(_candidates(_prefixes(classes, needed), needed, percent))
+    coarse = components(_candidates(_prefixes(classes, posted), needed, percent))
     sized = coarse.join(classes.select("id", "n"), "id")
     totals = sized.groupBy("component").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
     members = common.written(sized.join(totals, "component").select("id", "component", "docs", "shingles"), "members")
