@@ -48,10 +48,18 @@ def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+ARROW_BATCH_BYTES = 8 << 20
+ARROW_DEFAULT = "67108864b"    # Spark's own default
+
+
 def ship_sources(spark: SparkSession) -> None:
     """Hand this package out once per application, as a zip through Spark's own
-    file distribution, so no executor needs it installed."""
+    file distribution, so no executor needs it installed.  Batches to Python are
+    bounded in bytes, so that long texts do not add up."""
     sc = spark.sparkContext
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit) == ARROW_DEFAULT:               # a limit set by the user stays
+        spark.conf.set(limit, str(ARROW_BATCH_BYTES))
     if sc.applicationId not in _SHIPPED:
         folder = tempfile.mkdtemp(prefix="trawl-src-")       # on the driver, which hands it out
         root = Path(__file__).resolve().parents[1]

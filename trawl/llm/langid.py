@@ -38,7 +38,7 @@ from trawl.llm import common
 ORDER = 4
 SAMPLE_DOCS = 1500
 MAX_GRAMS = 60_000
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -210,8 +210,8 @@ def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
         "lang", "ord", "gram").agg(F.sum("n").alias("n"))
     common_first = Window.partitionBy("lang", "ord").orderBy(F.desc("n"), "gram")
     kept = counted.withColumn("r", F.row_number().over(common_first)).where(F.col("r") <= MAX_GRAMS).drop("r")
-    # At most languages * (ORDER + 1) * MAX_GRAMS rows of four numbers, by construction.
-    return Model(langs, pd.DataFrame([tuple(r) for r in kept.collect()], columns=["lang", "ord", "gram", "n"]))
+    # At most languages * (ORDER + 1) * MAX_GRAMS rows of four numbers, by construction, as Arrow columns.
+    return Model(langs, kept.select("lang", "ord", "gram", "n").toArrow().to_pandas())
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
