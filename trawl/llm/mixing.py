@@ -78,14 +78,14 @@ def budgets(facts: DataFrame, levels: list[str], targets: dict[str, dict[str, fl
     The budget is ``budget_share`` of all tokens.
     """
     leaves = common.written(facts.groupBy(*levels).agg(F.sum("tokens").alias("tokens")), "leaves")
-    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("double").alias("all"))
     above = None
     for depth, level in enumerate(levels):
         path = levels[:depth + 1]
         nodes = leaves.groupBy(*path).agg(F.sum("tokens").alias("tokens")).withColumn(
             "capacity", F.col("tokens") * F.lit(float(max_epochs)))
         if above is None:
-            nodes = nodes.crossJoin(F.broadcast(total)).withColumn("budget", F.col("all") * budget_share).drop("all")  # one row
+            every = Window.partitionBy(F.lit(0))                # the few nodes below the root
+            nodes = nodes.withColumn("budget", F.sum("tokens").over(every).cast("double") * budget_share)
         else:
             nodes = nodes.join(above.select(*levels[:depth], "budget"), levels[:depth])
         above = _split(nodes, levels[:depth], level, targets.get(level))
