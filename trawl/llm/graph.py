@@ -2,7 +2,9 @@
 
 Each step is a min per vertex (combined before the shuffle) and a join; every
 round is written to the shared folder, so neither lineage nor driver memory
-grows.  Rounds end when the edge set stays the same.
+grows.  Rounds end when the edge set stays the same.  A vertex with very many
+neighbours is not a key that one task joins: the minima of such hubs, of
+which there can only be few, are broadcast, and their edges stay where they are.
 """
 
 from __future__ import annotations
@@ -10,19 +12,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import written
+from trawl.llm.common import BROADCAST_BYTES, written
 
+HUB = 200_000                  # neighbours of a hub, at least: fewer are no load for a task
+ROW_BYTES = 32
 
-def _round(edges: DataFrame) -> DataFrame:
+
+def _hub_size(edges: int) -> int:
+    """Neighbours that make a hub: all hubs together then fit a broadcast."""
+    return max(HUB, 2 * edges * ROW_BYTES // BROADCAST_BYTES)
+
+
+def _least(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+
+
+def _told(rows: DataFrame, least: DataFrame, hub: int | None) -> DataFrame:
+    """``rows`` (u, v) with the ``m`` of their u; ``hub`` if there may be hubs."""
+    if hub is None:
+        return rows.join(least.select("u", "m"), "u").select("u", "v", "m")
+    hubs = least.where(F.col("n") > hub).select("u", F.col("m").alias("h"))
+    marked = rows.join(F.broadcast(hubs), "u", "left")
+    rest = marked.where("h is null").select("u", "v").join(least.select("u", "m"), "u")
+    return marked.where("h is not null").select("u", "v", F.col("h").alias("m")).unionAll(rest.select("u", "v", "m"))
+
+
+def _round(edges: DataFrame, hub: int | None) -> DataFrame:
     """One large-star and one small-star step on edges (u > v)."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(least, "u").select("v", "m").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = _least(both).select("u", F.least("u", "m").alias("m"), "n")
+    large = _told(both.where("v > u"), least, hub).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = _least(large)
+    small = _told(large, least, hub).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _most(edges: DataFrame) -> int:
+    """Most neighbours on one side of any vertex."""
+    ends = [edges.groupBy(c).count().agg(F.max("count")) for c in ("u", "v")]
+    return max(r[0] or 0 for r in ends[0].unionAll(ends[1]).collect())
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
     return tuple(row)
@@ -38,7 +68,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         F.greatest(a, b).cast("bigint").alias("u"), F.least(a, b).cast("bigint").alias("v")).distinct(), "edges")
     state = _state(now)
     while True:
-        now = written(_round(now), "stars")
+        hub = _hub_size(state[0])
+        hubs = 2 * state[0] > hub and 2 * _most(now) > hub      # no vertex has more neighbours than edges
+        now = written(_round(now, hub if hubs else None), "stars")
         before, state = state, _state(now)
         if state == before:
             break
