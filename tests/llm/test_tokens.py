@@ -35,6 +35,18 @@ def test_pieces_equal_the_library():
         assert [g.tolist() for g in got] == [x.tolist() for x in encoder._library(TEXTS)]
 
 
+LINES = ["foo\n\nbar", "a \n\nb", "a\n\n\n\nb", "\n\nx", "a\t\nb", "a\n b", "a\r\n\r\nb.", "a\n\n", "b", "a\n\n\n", "", "\n", "\n\n.b"]
+
+
+def test_line_feeds_before_text_equal_the_library():
+    encoder = tokens.PieceEncoder(tokenizer_file())
+    rng = np.random.default_rng(4)
+    mixed = ["".join(rng.choice(list("ab1. ,\n\n\n\t\r\x0b'é"), n)) for n in rng.integers(0, 30, 3000)]
+    for texts in (LINES, LINES[::-1], mixed):
+        assert [g.tolist() for g in encoder.encode(texts)] == [x.tolist() for x in encoder._library(texts)]
+    assert encoder.encode(["foo\n\nbar"])[0].tolist() == [21943, 198, 198, 5657]
+
+
 def _expected(rows, end=2):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_file())

@@ -93,9 +93,10 @@ class PieceEncoder:
     """The tokenizers library behind a cache of text pieces.
 
     Texts are cut where byte-level pre-tokenising always cuts: before white
-    space that follows a visible character, after a line feed before a visible
-    character, and before a full stop or comma that follows an ASCII letter.  So
-    the pieces' ids in a row are the text's ids.  The pieces of a batch are
+    space that follows a visible character, before and after a line feed that
+    stands before a visible character (the last of a run of white space is a
+    pre-token of its own there), and before a full stop or comma that follows
+    an ASCII letter.  So the pieces' ids in a row are the text's ids.  The pieces of a batch are
     told apart by 64-bit hashes; the library sees each new one once.  Texts
     with other white space or with an added token's string go to it whole.
     """
@@ -155,10 +156,12 @@ class PieceEncoder:
         if not len(buf):
             return np.empty(0, self.dtype), np.zeros(len(texts), np.int64)
         space = common.SPACE[buf]
-        start = np.empty(len(buf), dtype=bool)
+        start = np.zeros(len(buf), dtype=bool)
         after = buf[:-1]
-        start[1:] = (space[1:] & ~space[:-1] | (after == 10) & ~space[1:]
-                     | ((buf[1:] == 46) | (buf[1:] == 44)) & _LETTER[after])
+        line = (after == 10) & ~space[1:]
+        line[firsts[(sizes > 0) & (firsts > 0)] - 1] = False      # the next byte is another text's
+        start[1:] = space[1:] & ~space[:-1] | line | ((buf[1:] == 46) | (buf[1:] == 44)) & _LETTER[after]
+        start[:-1] |= line
         start[firsts[sizes > 0]] = True
         starts = np.flatnonzero(start)
         ends = np.append(starts[1:], len(buf))
