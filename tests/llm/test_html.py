@@ -64,3 +64,16 @@ def test_empty_and_extra_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<article>x</article>", "t", 3)], "page_id long, url string, html string, text string, labels int")
     assert [tuple(r) for r in html.extract(pages).collect()] == [(1, "u", "x", 1)]
     assert html.extract(pages.limit(0)).collect() == []
+
+
+def test_article_teasers_beside_a_div_body(spark):
+    cards = "".join(f"<article class='card'><a href='/{{i}}/{j}'>Teaser {{i}} {j}</a></article>" for j in range(3))
+    page = "<body><div class='post'><p>Body of {i}</p></div>" + cards + "</body>"
+    assert _texts(spark, [(i, "http://t.example/", page.format(i=i)) for i in range(5)]) == {
+        i: (f"Body of {i}", 9) for i in range(5)}
+
+
+def test_template_text_inside_an_article_goes(spark):
+    page = "<body><article><div class='box'>Read our offers</div><p>Own {i}</p></article><div class='more'><p>Second {i}</p></div></body>"
+    assert _texts(spark, [(i, "http://t.example/", page.format(i=i)) for i in range(5)]) == {
+        i: (f"Own {i}\nSecond {i}", 14) for i in range(5)}

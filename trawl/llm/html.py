@@ -12,12 +12,14 @@
    path of its own or of a class that occurs on at least as many pages; valid
    classes nest into the host's template.  Paths of invalid classes are markup inside a slot of the
    template and get that slot's label.
-4. A slot's label: not content under a boilerplate tag or cue (menus, headers, footers,
-   sidebars, notices, adverts, forms, comments); content inside an article or
-   main element; otherwise content if its text varies between the pages and
-   is not mostly links.
-5. A page's text is its content blocks in page order.  Pages without
-   article or main content fall back to the deduced slots.
+4. A slot is content if its text varies between the host's distinct pages and
+   is not mostly links.  An article or main element that a page has once is
+   evidence: links do not count against it, and where too few distinct pages
+   show a slot to judge it, it decides.  A path of an invalid class that lies in a
+   constant slot is judged by itself.
+5. A page's text is its content blocks in page order, without those under
+   a boilerplate tag or cue (menus, headers, footers, sidebars, notices,
+   adverts, forms, comments).
 
 Cases: null or empty html gives the empty text; a null url is the host ``""``; pages on
 a host of their own are their own template (nothing varies, so no
@@ -68,6 +70,7 @@ _TAG = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_ARTICLE = re.compile(r"(?:article|main)(?![a-z])")
 
 
 def _component(name: str, attrs: str, inside_article: bool) -> str:
@@ -81,9 +84,12 @@ def _component(name: str, attrs: str, inside_article: bool) -> str:
     return name + ("!" if bad else "") + "".join("." + w for w in words)
 
 
-def blocks(page: str) -> tuple[list[str], list[str], list[int]]:
-    """Paths, texts and linked characters of a page's blocks, in order."""
+def blocks(page: str) -> tuple[list[str], list[str], list[int], set[str]]:
+    """Paths, texts and linked characters of a page's blocks, in order, and the
+    paths of the article and main elements that the page has more than once."""
     paths, texts, links = [], [], []
+    articles: set[str] = set()
+    repeated: set[str] = set()
     names: list[str] = []
     stack: list[str] = []           # paths of the open block elements
     buf: list[str] = []
@@ -145,8 +151,19 @@ def blocks(page: str) -> tuple[list[str], list[str], list[int]]:
                 part = _component(name, m[3] or m[6] or "", inside)
                 names.append(name)
                 stack.append(f"{stack[-1]}/{part}" if stack else part)
+                if _ARTICLE.match(part):
+                    (repeated if stack[-1] in articles else articles).add(stack[-1])
     flush()
-    return paths, texts, links
+    return paths, texts, links, repeated
+
+
+def _in_article(path: str, repeated: set[str]) -> bool:
+    """Whether the outermost article or main element around a block occurs once on its page."""
+    parts = path.split("/")
+    for i, part in enumerate(parts):
+        if _ARTICLE.match(part):
+            return "/".join(parts[:i + 1]) not in repeated
+    return False
 
 
 def host_of(url: Column) -> Column:
@@ -155,7 +172,8 @@ def host_of(url: Column) -> Column:
 
 
 PARSED = ("page_id bigint, url string, host string, paths array<string>, texts array<string>, "
-          "slot array<string>, times array<int>, chars array<bigint>, linked array<bigint>, said array<bigint>")
+          "slot array<string>, times array<int>, chars array<bigint>, linked array<bigint>, said array<bigint>, "
+          "article array<boolean>")
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -165,7 +183,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         for part in parts:
             rows = []
             for page in part["html"]:
-                paths, texts, links = blocks(page)
+                paths, texts, links, repeated = blocks(page)
                 own: dict[str, list] = {}
                 for p, t, n in zip(paths, texts, links, strict=True):
                     s = own.setdefault(p, [0, 0, 0, []])
@@ -175,8 +193,8 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                     s[3].append(t)
                 words, _ = common.word_hashes(["".join(s[3]).replace(" ", "") for s in own.values()])
                 rows.append((paths, texts, list(own), [s[0] for s in own.values()], [s[1] for s in own.values()],
-                             [s[2] for s in own.values()], words.view("int64")))
-            out = pd.DataFrame(rows, columns=["paths", "texts", "slot", "times", "chars", "linked", "said"])
+                             [s[2] for s in own.values()], words.view("int64"), [_in_article(p, repeated) for p in own]))
+            out = pd.DataFrame(rows, columns=["paths", "texts", "slot", "times", "chars", "linked", "said", "article"])
             yield pd.concat([part[["page_id", "url", "host"]].astype({"page_id": "Int64"}).reset_index(drop=True), out], axis=1)
 
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", host_of(F.col("url")).alias("host"),
@@ -185,9 +203,10 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def template(rows: list[dict]) -> dict[str, int]:
-    """Label of each path of one host: 2 inside an article, 1 a deduced slot, 0 no content.
+    """Label of each path of one host, cues aside: 0 no content, 1 content by its text
+    on the pages, 2 content in the pages' article, 3 perhaps content (too few distinct pages).
 
-    ``rows``: path, pages, times, vector, chars, linked, constant; and the host's pages.
+    ``rows``: path, pages, distinct, times, vector, chars, linked, constant, article; and the host's pages.
     """
     by_path = {r["path"]: r for r in rows}
     classes: dict[tuple, list[str]] = {}
@@ -208,27 +227,24 @@ def template(rows: list[dict]) -> dict[str, int]:
             valid.update(members)
     label: dict[str, int] = {}
     for path in sorted(by_path, key=lambda p: p.count("/")):
-        parts = path.split("/")
         r, up = by_path[path], parent(path)
-        if any("!" in p for p in parts):
-            label[path] = 0
-        elif any(p.split(".")[0] in ("article", "main") for p in parts):
-            label[path] = 2
-        elif path not in valid and up is not None:
+        if path not in valid and up is not None and label[up] and by_path[up]["article"] == r["article"]:
             label[path] = label[up]
+        elif r["constant"] and r["distinct"] >= LEAST_PAGES or r["linked"] > LINK_SHARE * r["chars"] and not r["article"]:
+            label[path] = 0
         else:
-            constant = r["constant"] and r["pages"] >= LEAST_PAGES
-            label[path] = int(not constant and r["linked"] <= LINK_SHARE * r["chars"])
+            label[path] = 2 if r["article"] else 1 if r["distinct"] >= LEAST_PAGES else 3
     return label
 
 
 def templates(parsed: DataFrame) -> DataFrame:
     """(host, labels map<path, label>)."""
-    slots = parsed.select("host", "page_id", F.explode(F.arrays_zip("slot", "times", "chars", "linked", "said")).alias("s"))
+    slots = parsed.select("host", "page_id", F.explode(
+        F.arrays_zip("slot", "times", "chars", "linked", "said", "article")).alias("s"))
     token = slots.groupBy("host", F.col("s.slot").alias("path")).agg(
-        F.count("*").alias("pages"), F.sum("s.times").alias("times"), F.sum("s.chars").alias("chars"),
+        F.count("*").alias("pages"), F.count("*").alias("distinct"), F.sum("s.times").alias("times"), F.sum("s.chars").alias("chars"),
         F.sum("s.linked").alias("linked"), F.bit_xor(F.xxhash64("page_id", "s.times")).alias("vector"),
-        (F.min("s.said") == F.max("s.said")).alias("constant"))
+        (F.min("s.said") == F.max("s.said")).alias("constant"), F.min("s.article").alias("article"))
     sizes = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
     # One row per path of the host's template, not per page.
     rows = token.join(sizes, "host").repartition(common.partitions(parsed.sparkSession), "host").sortWithinPartitions("host")
@@ -250,9 +266,11 @@ def extract(pages: DataFrame) -> DataFrame:
     by_host = labels.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("path", "label"))).alias("labels"))
     joined = parsed.select("page_id", "url", "host", "paths", "texts").join(
         F.broadcast(by_host) if size <= BROADCAST_BYTES else by_host, "host", "left")
-    marked = joined.withColumn("b", F.transform("paths", lambda p, i: F.struct(
-        F.try_element_at("labels", p).alias("label"), F.get("texts", i).alias("text"))))
-    semantic = F.exists("b", lambda b: b["label"] == 2)
-    kept = F.filter("b", lambda b: b["label"] == F.when(semantic, 2).otherwise(1))
+    marked = joined.withColumn("b", F.filter(F.transform("paths", lambda p, i: F.struct(
+        F.try_element_at("labels", p).alias("label"), F.get("texts", i).alias("text"), p.alias("path"),
+        F.regexp_extract(p, "^(.*[!~][^/]*)", 1).alias("cue"))), lambda b: b["label"] > 0))
+    marked = marked.withColumn("b", F.filter("b", lambda b: b["cue"] == ""))
+    article = F.exists("b", lambda b: b["label"] == 2)
+    kept = F.filter("b", lambda b: ~article | (b["label"] < 3))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return marked.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
