@@ -77,3 +77,25 @@ def test_template_text_inside_an_article_goes(spark):
     page = "<body><article><div class='box'>Read our offers</div><p>Own {i}</p></article><div class='more'><p>Second {i}</p></div></body>"
     assert _texts(spark, [(i, "http://t.example/", page.format(i=i)) for i in range(5)]) == {
         i: (f"Own {i}\nSecond {i}", 14) for i in range(5)}
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='layout with-sidebar'><article><p>Text</p></article><aside>Side</aside></div><div class='ad'>Buy</div>",
+    "<article class='post has-share'><p>Text</p><div class='share'>Share</div></article>",
+    "<form><nav>Menu</nav><article><p>Text</p></article><div class='comments'><article>Nice</article></div></form>",
+    "<form><div class='post'><p>Text</p></div></form><div class='ad'>Buy</div>",
+    "<h1 class='site-nav'>Site</h1><div class='layout with-sidebar'><p>Text</p></div><footer>Foot</footer>",
+    "<div class='post'>Text</div><div class='comments'><article>Nice post</article></div>",
+])
+def test_a_cued_wrapper_that_holds_the_content(spark, page):
+    assert _texts(spark, [(1, "http://w.example/", f"<body>{page}</body>")])[1][0] == "Text"
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    copy = "<body><nav>{i}</nav><article><p>Same text</p></article><div class='own'>Only here</div></body>"
+    rows = [(i, "http://c.example/", copy.format(i=i)) for i in range(4)]
+    others = [(i, "http://c.example/", f"<body><article><h2>Other {i}</h2></article></body>") for i in range(10, 20)]
+    got = _texts(spark, rows + others)
+    assert all(got[i][0] == "Same text" for i in range(4)) and got[12][0] == "Other 12"
+    plain = [(i, "http://d.example/", "<body><div class='own'>Only here</div></body>") for i in range(4)]
+    assert {t for t, _ in _texts(spark, plain).values()} == {"Only here"}

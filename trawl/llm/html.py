@@ -19,12 +19,16 @@
    constant slot is judged by itself.
 5. A page's text is its content blocks in page order, without those under
    a boilerplate tag or cue (menus, headers, footers, sidebars, notices,
-   adverts, forms, comments).
+   adverts, forms, comments).  A cue is undone for the wrapper that holds the
+   page's content: a weak one (a form, a cue word in a compound such as
+   ``with-sidebar``) if the only article is below it or nothing else but headings is
+   left, a strong one if the only article is below it and nothing else is left.
 
 Cases: null or empty html gives the empty text; a null url is the host ``""``; pages on
 a host of their own are their own template (nothing varies, so no
 slot is dropped as constant); unclosed and misnested tags, comments and
-quotes are read leniently; repeated pages count once each; an empty table
+quotes are read leniently; copies of a page, which differ in boilerplate at
+most, count as one page when constancy is judged; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -74,14 +78,15 @@ _ARTICLE = re.compile(r"(?:article|main)(?![a-z])")
 
 
 def _component(name: str, attrs: str, inside_article: bool) -> str:
-    """A tag's token: its name, ``!`` if it is no main text, and its class, id and role."""
-    words = [w for m in _ATTR.finditer(attrs) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())] if attrs else []
-    bad = name in BOILERPLATE_TAGS or name == "header" and not inside_article
-    if not bad and words and name not in ("html", "body"):
-        bad = any(w in CUES for w in words)
+    """A tag's token: its name, ``!`` or ``~`` (weak) if it is no main text, and its class, id and role."""
+    values = [v for m in _ATTR.finditer(attrs) for v in (m[2] or m[3] or m[4] or "").lower().split()] if attrs else []
+    words = [w for v in values for w in _WORD.findall(v)]
+    cue = "!" if name in BOILERPLATE_TAGS - {"form"} or name == "header" and not inside_article else ""
+    if not cue and name not in ("html", "body"):
+        cue = "!" if any(v.strip("-_0123456789") in CUES for v in values) else "~" if name == "form" or any(w in CUES for w in words) else ""
     if "main" in words and any(m[1].lower() == "role" for m in _ATTR.finditer(attrs)):
         name = "main"
-    return name + ("!" if bad else "") + "".join("." + w for w in words)
+    return name + cue + "".join("." + w for w in words)
 
 
 def blocks(page: str) -> tuple[list[str], list[str], list[int], set[str]]:
@@ -239,10 +244,13 @@ def template(rows: list[dict]) -> dict[str, int]:
 
 def templates(parsed: DataFrame) -> DataFrame:
     """(host, labels map<path, label>)."""
-    slots = parsed.select("host", "page_id", F.explode(
+    # Copies of a page have one fingerprint: that of its slots outside boilerplate.
+    told = F.filter(F.arrays_zip("slot", "said"), lambda s: ~F.contains(s["slot"], F.lit("!")))
+    page = F.xxhash64(F.when(F.size(told) > 0, told).otherwise(F.arrays_zip("slot", "said")))
+    slots = parsed.select("host", "page_id", page.alias("page"), F.explode(
         F.arrays_zip("slot", "times", "chars", "linked", "said", "article")).alias("s"))
     token = slots.groupBy("host", F.col("s.slot").alias("path")).agg(
-        F.count("*").alias("pages"), F.count("*").alias("distinct"), F.sum("s.times").alias("times"), F.sum("s.chars").alias("chars"),
+        F.count("*").alias("pages"), F.count_distinct("page").alias("distinct"), F.sum("s.times").alias("times"), F.sum("s.chars").alias("chars"),
         F.sum("s.linked").alias("linked"), F.bit_xor(F.xxhash64("page_id", "s.times")).alias("vector"),
         (F.min("s.said") == F.max("s.said")).alias("constant"), F.min("s.article").alias("article"))
     sizes = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
@@ -258,6 +266,29 @@ def templates(parsed: DataFrame) -> DataFrame:
     return common.map_pandas(rows, deduce, "host string, path string, label int")
 
 
+def _undone(content: Column) -> Column:
+    """The cued wrapper of a page that holds its content after all, or the empty path."""
+    def some(test) -> Column:
+        return F.filter(content, test)
+
+    def wrapper(found: Column) -> Column:            # of the fewest cues, then of the longest block
+        cues = F.transform(found, lambda b: F.struct(
+            F.length(F.translate(b["cue"], "!~", "")) - F.length(b["cue"]), F.length(b["text"]), b["cue"].alias("cue")))
+        return F.array_max(cues)["cue"]
+
+    def head(b: Column) -> Column:
+        return b["path"].rlike("(^|/)h[1-6][^/]*$")
+
+    weak = some(lambda b: (b["cue"] != "") & ~F.contains(b["cue"], F.lit("!")) & ~head(b))
+    weak_article = F.filter(weak, lambda b: b["label"] == 2)
+    article = some(lambda b: F.contains(b["cue"], F.lit("!")) & (b["label"] == 2))
+    return (F.when(F.exists(content, lambda b: (b["cue"] == "") & (b["label"] == 2) & ~head(b)), "")
+            .when(F.size(weak_article) > 0, wrapper(weak_article))
+            .when(F.exists(content, lambda b: (b["cue"] == "") & ~head(b)), "")
+            .when(F.size(weak) > 0, wrapper(weak))
+            .when(F.size(article) > 0, wrapper(article)).otherwise(""))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     parsed = common.written(parse_pages(pages), "pages")
@@ -269,7 +300,9 @@ def extract(pages: DataFrame) -> DataFrame:
     marked = joined.withColumn("b", F.filter(F.transform("paths", lambda p, i: F.struct(
         F.try_element_at("labels", p).alias("label"), F.get("texts", i).alias("text"), p.alias("path"),
         F.regexp_extract(p, "^(.*[!~][^/]*)", 1).alias("cue"))), lambda b: b["label"] > 0))
-    marked = marked.withColumn("b", F.filter("b", lambda b: b["cue"] == ""))
+    marked = marked.withColumn("undone", _undone(F.col("b")))
+    marked = marked.withColumn("b", F.filter("b", lambda b: (b["cue"] == "") | F.startswith(
+        F.concat("undone", F.lit("/")), F.concat(b["cue"], F.lit("/")))))
     article = F.exists("b", lambda b: b["label"] == 2)
     kept = F.filter("b", lambda b: ~article | (b["label"] < 3))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
