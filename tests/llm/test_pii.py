@@ -75,6 +75,21 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[50].n_card == 0 and got[50].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_contexts_find_other_shapes_and_several_tokens(spark):
+    rows = [(i, f"please call me on +1-555-{100 + i}-{4000 + i} today") for i in range(30)]
+    rows += [(50, "please call me on 555-123-4567 today"), (51, "and 555-123-4567, again"), (52, "please call me on (555) 123 9999 today"),
+             (53, "now ring 555-123-4567 maybe"), (54, "item 555-000-1111 sold"), (55, "please call me on 12 today")]
+    rows += [(60 + i, f"my address is user{i}@mail.example ok") for i in range(30)]
+    rows += [(95, "my address is jo at mail dot example ok"), (96, "meet at noon")]
+    # Found strings seed the next rounds: a phrase that only they have leads on.
+    rows += [(100 + i, f"please call me on 555-77{i}-4567 today") for i in range(6)]
+    rows += [(110 + i, f"fax line: 555-77{i}-4567 here") for i in range(6)] + [(120, "fax line: 444 333 2222 here")]
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_found}
+    want = {50: "phone:18:30", 51: "phone:4:16", 52: "phone:18:32", 53: "phone:9:21", 95: "email:14:36", 120: "phone:10:22"}
+    want |= {100 + i: "phone:18:30" for i in range(6)} | {110 + i: "phone:10:22" for i in range(6)}
+    assert got == want
+
+
 def _cards(n):
     out, x = [], 4000000000000000
     while len(out) < n:

@@ -2,14 +2,17 @@
 
 Base spans come from fixed expressions (email, ip, card, phone), leftmost and
 non-overlapping per kind, each match checked once.  They are the seeds of the
-bootstrap: a mention's lexical pattern is the two words before it with
-the shape of the mention.  Tokens that hold a digit are candidates.  In rounds,
-Spark scores the bipartite graph of patterns and mentioned strings: a
-pattern's confidence for a kind is the mean score of the strings it
-mentions, a string's score is one minus the product of its patterns' doubts, and
-strings that reach ``LEAST_SCORE`` seed the next round.  Patterns need
-``LEAST_SUPPORT`` different known strings.  All mentions of the strings found this
-way are added as spans of the pattern's kind; base spans stay.
+bootstrap: a mention's lexical patterns are the two words before it, and the
+word before with the word after it.  Candidates are tokens with a digit, runs
+of numbers and addresses with the signs written out.  Until a round finds
+nothing new, Spark scores the bipartite graph of patterns and mentioned strings: a
+pattern's confidence for a kind is the score of its known strings of the kind
+against that of the strings that contradict it (strings of other kinds, and by half
+those whose shape does not fit the kind); other unknown strings do not count.  A string's
+score is one minus the product of its patterns' doubts, where a shape that does not
+fit halves a confidence, and strings that reach ``LEAST_SCORE`` seed the next round.
+Patterns need ``LEAST_SUPPORT`` different known strings.  All mentions of the strings
+found this way are added as spans of the pattern's kind; base spans stay.
 
 Only DataFrame functions are used.  The texts are read once; spans,
 candidates and contexts are written, and every later step works on those.
@@ -40,12 +43,18 @@ _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone")
 
 _TOKEN = "[0-9A-Za-z._%+@/-]"
-CANDIDATE = rf"(?<!{_TOKEN})(?=[A-Za-z._%+@/-]*+[0-9]){_TOKEN}{{6,64}}+(?!{_TOKEN})"
+_AT, _DOT = (rf"(?:\x20?+[\[({{<]\x20?+{w}\x20?+[\])}}>]\x20?+|\x20{w}\x20)" for w in ("[aA][tT]", "[dD][oO][tT]"))
+_DIGIT_INSIDE = "(?=[A-Za-z._%+@/-]*+[0-9])"
+CANDIDATE = "|".join((
+    rf"(?<!{_LOCAL}){_LOCAL}++{_AT}[A-Za-z0-9-]++(?:(?:\.|{_DOT})[A-Za-z0-9-]++)++",
+    rf"(?<!{_TOKEN}){_DIGIT_INSIDE}(?=[0-9._%+@/-]*+[A-Za-z])[._%+@/-]*+[0-9A-Za-z]++(?:[._%+@/-]++[0-9A-Za-z]++)*+",
+    rf"(?<!{_TOKEN})[(]?+[+]?+[0-9]++(?:[\x20().-]{{1,3}}+[0-9]++(?![A-Za-z]))++",
+    rf"(?<!{_TOKEN}){_DIGIT_INSIDE}[._%+@/-]*+[0-9]++(?:[._%+@/-]++[0-9]++)*+"))
 CONTEXT_CHARS = 48
 LEAST_SUPPORT = 5
 LEAST_CONFIDENCE = 0.9
 LEAST_SCORE = 0.9
-ROUNDS = 3
+MISFIT = 0.5           # weight of a string whose shape does not fit the kind
 BLOCK = 128
 
 
@@ -84,18 +93,30 @@ def _sums(values: Column) -> Column:
     return F.when(F.size(values) > 0, F.flatten(F.transform(numbers, run))).otherwise(F.array().cast("array<int>"))
 
 
-def _shape(said: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(said, "[0-9]+", "9"), "[A-Za-z]+", "a")
+def _fits(said: Column) -> Column:
+    """Whether a candidate has the kinds' shapes, as a bit per kind."""
+    numbers = F.length(_digits(said))
+    plain = ~said.rlike("[A-Za-z@]")
+    shapes = (said.rlike("@|(?i)\\bat\\b"), plain & said.rlike("^[^0-9]*+(?:[0-9]++[^0-9]*+){4,}+$"),
+              plain & numbers.between(12, 19), plain & numbers.between(7, 15))
+    return sum((F.when(c, F.lit(1 << i)).otherwise(0) for i, c in enumerate(shapes)), F.lit(0))
 
 
-def _context(before: Column) -> Column:
-    """The two words before a mention, lower-cased, digits as 0."""
-    tail = F.right(before, F.lit(CONTEXT_CHARS))
-    return F.lower(F.regexp_replace(F.regexp_extract(tail, r"(?:^|\s)((?:\S+\s+)?\S*\s*)$", 1), "[0-9]", "0"))
+def _contexts(before: Column, after: Column) -> Column:
+    """The lexical patterns of a mention, lower-cased, digits as 0; a side without a word makes none."""
+    def plain(words: Column) -> Column:
+        return F.lower(F.regexp_replace(words, "[0-9]", "0"))
+
+    tail, head = F.right(before, F.lit(CONTEXT_CHARS)), F.left(after, F.lit(CONTEXT_CHARS))
+    two = F.regexp_extract(tail, r"(?:^|\s)((?:\S+\s+)?\S*\s*)$", 1)
+    one, right = F.regexp_extract(tail, r"(\S+\s*)$", 1), F.regexp_extract(head, r"^(\s*\S+)", 1)
+    left = F.when(F.trim(two) != "", F.concat(F.lit("<\t"), plain(two)))
+    both = F.when((one != "") & (right != ""), F.concat(F.lit(">\t"), plain(one), F.lit("\t"), plain(right)))
+    return F.array_compact(F.array(left, both))
 
 
 def _mentions(df: DataFrame, name: str, pattern: str, guard: Column) -> DataFrame:
-    """Add ``name``: array<struct<start, end, said, pattern>> of all matches in ``text``."""
+    """Add ``name``: array<struct<start, end, said, patterns>> of all matches in ``text``."""
     none = F.array().cast("array<string>")
     df = df.withColumn("_m", F.when(guard, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none))
     df = df.withColumn("_p", F.when(F.size("_m") > 0, F.split("text", pattern, -1)).otherwise(none))
@@ -103,7 +124,7 @@ def _mentions(df: DataFrame, name: str, pattern: str, guard: Column) -> DataFram
     df = df.withColumn("_l", steps).withColumn("_s", _sums(F.col("_l")))
     mention = F.transform("_m", lambda m, i: F.struct(
         F.get("_s", i).alias("start"), (F.get("_s", i) + F.length(m)).alias("end"), m.alias("said"),
-        F.concat_ws("\t", _context(F.get("_p", i)), _shape(m)).alias("pattern")))
+        _contexts(F.get("_p", i), F.get("_p", i + 1)).alias("patterns")))
     return df.withColumn(name, mention).drop("_m", "_p", "_l", "_s")
 
 
@@ -115,11 +136,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     for kind, pattern in zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True):
         df = _mentions(df, kind, pattern, guards[kind])
         df = df.withColumn(kind, _passing(kind))
-    df = _mentions(df, "other", CANDIDATE, text.rlike("[0-9]"))
+    df = _mentions(df, "other", CANDIDATE, text.rlike(r"[0-9]|[\x20\[({<][aA][tT][\x20\])}>]"))
 
     def hashed(m: Column, kind: Column) -> Column:
         return F.struct(kind.alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
-                        F.xxhash64(F.lower(m["said"])).alias("said"), m["pattern"].alias("pattern"))
+                        F.xxhash64(F.lower(m["said"])).alias("said"), m["patterns"].alias("patterns"),
+                        F.when(kind.isNull(), _fits(m["said"])).otherwise(0).alias("fits"))
 
     def of_kind(number: int) -> Column:
         return F.transform(KINDS[number], lambda m: hashed(m, F.lit(number)))
@@ -132,25 +154,30 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def discover(mentions: DataFrame, least_support: int = LEAST_SUPPORT, least_confidence: float = LEAST_CONFIDENCE,
-             least_score: float = LEAST_SCORE, rounds: int = ROUNDS) -> DataFrame:
+             least_score: float = LEAST_SCORE) -> DataFrame:
     """(said, kind) of the strings found from contexts.
 
-    ``mentions``: pattern, said, kind (null for candidates), one row per mention.
+    ``mentions``: pattern, said, kind (null for candidates), fits, one row per mention and pattern.
     """
     # One row per pattern and string; a pattern with a third of all mentions is combined before it moves.
-    edges = common.written(mentions.groupBy("pattern", "said").agg(F.min("kind").alias("kind")), "pattern-graph")
+    edges = common.written(mentions.groupBy("pattern", "said").agg(F.min("kind").alias("kind"), F.max("fits").alias("fits")), "pattern-graph")
     known = edges.where("kind is not null").groupBy("said").agg(F.min("kind").alias("seed")).withColumn("score", F.lit(1.0))
     found = None
-    for _ in range(rounds):
-        told = edges.select("pattern", "said").join(known, "said", "left")
-        sizes = told.groupBy("pattern").agg(F.count("*").alias("strings"), F.count("seed").alias("support")).where(
-            (F.col("support") >= least_support) & (F.col("support") < F.col("strings")))
-        by_kind = told.where("seed is not null").groupBy("pattern", "seed").agg(F.sum("score").alias("score"), F.count("*").alias("n"))
-        patterns = by_kind.join(sizes, "pattern").where(F.col("n") >= least_support).select(
-            "pattern", "seed", (F.col("score") / F.col("strings")).alias("confidence")).where(
-            F.col("confidence") >= least_confidence)
-        unknown = told.where("seed is null").select("pattern", "said")
-        doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
+    fit = F.getbit("fits", F.col("seed")) == 1
+    while True:                                      # every round but the last finds a string
+        told = edges.select("pattern", "said", "fits").join(known, "said", "left")
+        sums = [F.count_if(F.col("seed").isNull()).alias("unknown"), F.sum("score").alias("all")]
+        for i in range(len(KINDS)):
+            of_kind = F.col("seed") == i
+            misfit = F.col("seed").isNull() & (F.col("fits").bitwiseAND(1 << i) == 0)
+            sums += [F.sum(F.when(of_kind, F.col("score"))).alias(f"score{i}"), F.count_if(of_kind).alias(f"n{i}"),
+                     F.count_if(misfit).alias(f"misfits{i}")]
+        kinds = F.array(*[F.struct(F.lit(i).alias("seed"), F.col(f"n{i}").alias("n"), (F.col(f"score{i}") / (
+            F.col("all") + MISFIT * F.col(f"misfits{i}"))).alias("confidence")) for i in range(len(KINDS))])
+        patterns = told.groupBy("pattern").agg(*sums).where("unknown > 0").select("pattern", F.inline(kinds)).where(
+            (F.col("n") >= least_support) & (F.col("confidence") >= least_confidence)).drop("n")
+        unknown = told.where("seed is null").select("pattern", "said", "fits")
+        doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence") * F.when(fit, 1.0).otherwise(MISFIT))))
         scored = unknown.join(patterns, "pattern").groupBy("said", "seed").agg((1 - F.exp(doubt)).alias("score")).groupBy("said").agg(
             F.max_by("seed", F.struct("score", -F.col("seed"))).alias("seed"), F.max("score").alias("score"))
         new = common.written(scored.where(F.col("score") >= least_score), "found-strings")
@@ -170,7 +197,8 @@ def _listed(spans: Column) -> Column:
 def find(docs: DataFrame, **limits) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found of every row."""
     scanned = common.written(scan(docs), "pii-scan")
-    mentions = scanned.select(F.explode(F.concat("base", "other")).alias("m")).select("m.pattern", "m.said", "m.kind")
+    mentions = scanned.select(F.explode(F.concat("base", "other")).alias("m")).select(
+        F.explode("m.patterns").alias("pattern"), "m.said", "m.kind", "m.fits")
     strings = common.written(discover(mentions, **limits), "pii-strings")
     small = strings.count() * 32 <= common.BROADCAST_BYTES
     other = scanned.where(F.size("other") > 0).select("doc_id", "row", F.explode("other").alias("m")).select(
