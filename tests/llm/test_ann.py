@@ -70,3 +70,20 @@ def test_recall(spark):
         d[q] = np.inf
         hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
     assert hits / 300 >= 0.9
+
+
+@pytest.mark.parametrize("n,window", [(12, 1000), (40, 41), (300, 290), (300, 3000)])
+def test_windows_beyond_a_curve(spark, n, window):
+    rng = np.random.default_rng(n)
+    some = [(i, rng.normal(size=6).tolist()) for i in range(n)]
+    table = spark.createDataFrame([(i, v, 0, "") for i, v in some], SCHEMA)
+    have = sorted(tuple(r)[:3] for r in ann.search(table, F.col("vec_id") % 10 == 0, k=10, window=window).collect())
+    assert have == [w[:3] for w in _brute(some, 10)]
+
+
+def test_huge_components_and_repeated_ids(spark):
+    big = [(0, [3e200, 0.0]), (1, [3e200, 4e200]), (2, [-1.0, 1e200]), (2, [5.0, 5.0]), (2, [-1.0, 1e200])]
+    table = spark.createDataFrame([(i, v, 0, "") for i, v in big], SCHEMA)
+    got = [tuple(r) for r in ann.search(table, F.col("vec_id") == 0, k=10).orderBy("rank").collect()]
+    assert [g[:3] for g in got] == [(0, 1, 2), (0, 2, 1)]
+    np.testing.assert_allclose([g[3] for g in got], [10 ** 0.5 * 1e200, 4e200], rtol=1e-12)

@@ -4,9 +4,9 @@ Equal vectors are one point.  Every point is projected ``CURVES`` times
 (random rotation, ``DIMS`` of the rotated axes, random shift), and each projection
 is put on a Hilbert curve.  Spark range-partitions and sorts the (curve,
 key) pairs, which gives every point one position per curve.  A query's candidates are the
-points within a window around each of its positions; blocks of
-neighbouring positions are scored together, and the best of all windows are
-merged and ranked by the exact distance in double precision.
+points within a window around each of its positions, clipped to the curve; blocks
+of neighbouring positions of one curve, which hold a point once, are scored together, and the
+best of all windows are merged, once each, and ranked by the exact distance in double precision.
 
 The window is not guessed: for ``CALIBRATION`` query points the true
 neighbours are found by brute force (a bounded set against all rows, in one
@@ -40,6 +40,7 @@ CALIBRATION = 64
 TARGET_RECALL = 0.96
 FIT_ROWS = 5000
 SLACK = 16                     # more than k are kept before the exact distance decides
+HUGE = 2.0 ** 480              # squares of components up to here can be summed
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -77,11 +78,11 @@ class Curves:
     def __init__(self, sample: np.ndarray, seed: int = 5):
         rng = np.random.default_rng(seed)
         d = sample.shape[1]
-        self.centre = sample.mean(axis=0)
+        self.centre = (sample / len(sample)).sum(axis=0)
         self.axes, self.low, self.width = [], [], []
         for _ in range(CURVES):
             turned = np.linalg.qr(rng.normal(size=(d, d)))[0][:, :min(DIMS, d)]
-            on = (sample - self.centre) @ turned
+            on = np.clip(sample - self.centre, -HUGE, HUGE) @ turned
             scale = np.maximum(on.std(axis=0), 1e-12) * 8
             self.axes.append(turned)
             self.low.append(-scale / 2 * (1 + 0.2 * (rng.random(len(scale)) - 0.5)))     # the shift
@@ -91,8 +92,9 @@ class Curves:
         """(n, CURVES) keys."""
         out = np.empty((len(points), CURVES), dtype=np.int64)
         for c in range(CURVES):
-            at = ((points - self.centre) @ self.axes[c] - self.low[c]) / self.width[c]
-            cells = np.clip(at * (1 << BITS), 0, (1 << BITS) - 1)
+            with np.errstate(over="ignore", invalid="ignore"):
+                at = ((points - self.centre) @ self.axes[c] - self.low[c]) / self.width[c]
+                cells = np.nan_to_num(np.clip(at * (1 << BITS), 0, (1 << BITS) - 1))
             out[:, c] = hilbert_keys(cells, BITS).astype(np.int64)
         return out
 
@@ -106,18 +108,24 @@ def nearest(points: np.ndarray, queries: np.ndarray, k: int, allowed: np.ndarray
     """(query, point, distance) of the k nearest allowed points of each query, by exact distance."""
     if not len(points) or not len(queries):
         return np.empty(0, int), np.empty(0, int), np.empty(0)
+    # Components too large to be squared are brought down by a power of two, which is exact.
+    largest = max(np.abs(points).max(), np.abs(queries).max())
+    scale = 2.0 ** max(0, int(np.frexp(largest)[1]) - 480)
+    points, queries = points / scale, queries / scale
     near = (queries ** 2).sum(axis=1)[:, None] + (points ** 2).sum(axis=1) - 2 * queries @ points.T
     if allowed is not None:
         near[~allowed] = np.inf
     m = min(k + SLACK, len(points))
     some = np.argpartition(near, m - 1, axis=1)[:, :m]
+    barred = np.isinf(np.take_along_axis(near, some, axis=1))
     exact = np.sqrt(((points[some] - queries[:, None]) ** 2).sum(axis=2))
-    exact[np.isinf(np.take_along_axis(near, some, axis=1))] = np.inf
+    exact[barred] = np.inf
     best = np.argsort(exact, axis=1, kind="stable")[:, :k]
     q = np.repeat(np.arange(len(queries)), best.shape[1])
     p, dist = np.take_along_axis(some, best, axis=1).ravel(), np.take_along_axis(exact, best, axis=1).ravel()
     keep = np.isfinite(dist)
-    return q[keep], p[keep], dist[keep]
+    with np.errstate(over="ignore"):
+        return q[keep], p[keep], dist[keep] * scale
 
 
 def usable(vector: Column) -> Column:
@@ -136,8 +144,8 @@ def _points(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return few.where("r = 1").select("u", "v", *same), few.select("u", "id")
 
 
-def _positions(points: DataFrame, curves: Curves) -> DataFrame:
-    """(u, curve, at): the position of each point on each curve, all curves end to end."""
+def _positions(points: DataFrame, curves: Curves, total: int) -> DataFrame:
+    """(u, curve, at): the position of each point on each curve, from 0 on every curve."""
     spark = points.sparkSession
     sent = spark.sparkContext.broadcast(curves)
 
@@ -156,7 +164,9 @@ def _positions(points: DataFrame, curves: Curves) -> DataFrame:
     sizes = ordered.groupBy("part").agg(F.count("*").alias("n"))           # one row per partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    return ordered.join(F.broadcast(starts), "part").select("u", "curve", (F.col("start") + F.col("local")).alias("at"))
+    # Each curve holds all points, so it begins at a multiple of their number.
+    at = F.col("start") + F.col("local") - F.col("curve") * F.lit(total)
+    return ordered.join(F.broadcast(starts), "part").select("u", "curve", at.alias("at"))
 
 
 def _window(points: DataFrame, positions: DataFrame, queries: DataFrame, k: int) -> int:
@@ -196,26 +206,29 @@ def search(table: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
     length = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     if length is None:
         return table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    rows = rows.where(F.size("v") == length["size"]).dropDuplicates(["id"])
+    one = Window.partitionBy("id").orderBy("v", F.desc("asks"))
+    rows = rows.where(F.size("v") == length["size"]).withColumn("r", F.row_number().over(one)).where("r = 1").drop("r")
     points, members = _points(rows.drop("asks"), k)
     total = points.count()
     sample = points.where(F.pmod(F.xxhash64("u", F.lit(7)), F.lit(1 << 20)) <= FIT_ROWS / total * (1 << 20)).select("v")
     curves = Curves(np.array([r.v for r in sample.collect()] or [points.first().v], dtype=np.float64))
-    positions = common.written(_positions(points, curves), "positions")
+    positions = common.written(_positions(points, curves, total), "positions")
     asking = common.written(rows.where("asks").select("id", "h1", "h2").join(points, ["h1", "h2"]).select("id", "u", "v"), "queries")
     queries = asking.dropDuplicates(["u"]).select("u", "v")
     w = window or _window(points, positions, queries, k)
 
     placed = positions.join(points.select("u", "v"), "u")
     block = F.floor(F.col("at") / BLOCK)
-    stay = placed.select(block.alias("block"), F.lit(False).alias("asks"), "at", "u", "v")
-    sides = F.sequence(F.floor((F.col("at") - w) / BLOCK), F.floor((F.col("at") + w) / BLOCK))
-    visit = positions.join(queries, "u").select(F.explode(sides).alias("block"), F.lit(True).alias("asks"), "at", "u", "v")
-    dealt = stay.unionAll(visit).repartition(common.partitions(table.sparkSession), "block").sortWithinPartitions("block")
+    stay = placed.select("curve", block.alias("block"), F.lit(False).alias("asks"), "at", "u", "v")
+    first = F.greatest(F.floor((F.col("at") - w) / BLOCK), F.lit(0).cast("bigint"))
+    last = F.least(F.floor((F.col("at") + w) / BLOCK), F.lit((total - 1) // BLOCK).cast("bigint"))
+    visit = positions.join(queries, "u").select("curve", F.explode(F.sequence(first, last)).alias("block"), F.lit(True).alias("asks"), "at", "u", "v")
+    cell = ["curve", "block"]
+    dealt = stay.unionAll(visit).repartition(common.partitions(table.sparkSession), *cell).sortWithinPartitions(*cell)
 
     def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in common.whole_groups(parts, ["block"]):
-            bounds = common.run_bounds(part, ["block"])
+        for part in common.whole_groups(parts, cell):
+            bounds = common.run_bounds(part, cell)
             for s, e in zip(bounds[:-1], bounds[1:], strict=True):
                 asks = part["asks"].to_numpy()[s:e]
                 at, u = part["at"].to_numpy()[s:e], part["u"].to_numpy()[s:e]
