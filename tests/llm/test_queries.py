@@ -18,11 +18,14 @@ COLUMNS = {
     "op7": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op8": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op9": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
+    "op11": {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint", "rank": "int"},
+    "op12": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
+    "op13": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
 }
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -33,7 +36,8 @@ def test_columns_and_rows(spark, key):
     want = COLUMNS.get(key.split("_")[0], {})
     assert {c: types.get(c) for c in want} == want
     rows = [tuple(r) for r in df.collect()]
-    per_row = {"op1": "documents", "op3": "documents", "op5": "documents", "op6": "documents", "op7": "pages", "op9": "documents"}
+    per_row = {"op1": "documents", "op3": "documents", "op5": "documents", "op6": "documents", "op7": "pages", "op9": "documents",
+               "op12": "documents", "op13": "documents"}
     if (table := per_row.get(key.split("_")[0])):
         assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
     if key in ORACLES:

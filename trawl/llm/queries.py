@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import ann, chat, decontam, html, langid, mixing, neardup, pii, quality, tokens
+from trawl.llm import ann, chat, decontam, divergence, html, importance, langid, linededup, mixing, neardup, pii, quality, tokens
 from trawl.llm.common import table, written
 
 
@@ -67,6 +67,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  shingle=5, percent=80)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_mixing": op2_mixing,
@@ -78,10 +92,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontaminate": op10_decontaminate,
+    "op11_divergence": op11_divergence,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_importance": op13_importance,
 }
 
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE_SQL,
     "op4_chat_format": chat.ORACLE_SQL,
     "op10_decontaminate": decontam.ORACLE_SQL,
+    "op11_divergence": divergence.ORACLE_SQL,
+    "op12_line_dedup": linededup.ORACLE_SQL,
+    "op13_importance": importance.ORACLE_SQL,
 }
