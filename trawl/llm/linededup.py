@@ -307,11 +307,11 @@ _WS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 
 ORACLE_SQL = f"""WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at FROM documents),
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS num FROM documents),
 keyed AS (SELECT *, translate(trim(line, {_WS}), '{_UPPER}', '{_LOWER}') AS key FROM lines),
 common AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= {MIN_CHARS}
            GROUP BY key HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
-marked AS (SELECT k.doc_id, k.line, k.at, c.key IS NOT NULL AND c.last <> k.doc_id AS gone FROM keyed k LEFT JOIN common c USING (key))
+marked AS (SELECT k.doc_id, k.line, k.num, c.key IS NOT NULL AND c.last <> k.doc_id AS gone FROM keyed k LEFT JOIN common c USING (key))
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY num) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
