@@ -1,17 +1,23 @@
-"""Inverted index as four parquet tables.
+"""Inverted index as five parquet tables.
 
 postings  term STRING, doc_id LONG, tf LONG, dl LONG
-          bucketed by doc_id and sorted by term inside each bucket (see
-          write_index); the document length rides along so ranking needs
+          of the common terms, bucketed by doc_id and sorted by term inside each bucket
+          (see write_index); the document length rides along so ranking needs
           no join with the documents table.
+lists     part INT, term STRING, docs ARRAY<STRUCT<doc_id, tf, dl>>
+          of all other terms, in folders by a hash of the term: a query reads the lists
+          of its own terms, and the postings of rare terms that no query
+          has (most terms are rare) are not read as rows
 docs      doc_id LONG, docno STRING, dl LONG  (every document, dl may be 0)
 terms     term STRING, df LONG, cf LONG
 stats     one row: n_docs, docs_with_terms, tokens, postings, vocabulary
 
 Build cost (bucketed layout): the text is read and shuffled once into doc-id
 buckets, then tokenised and counted inside each bucket (no exchange) and
-written one file per bucket; document lengths are a per-bucket aggregate
-over the written postings, and term statistics one aggregate over them.
+written to the scratch folder, one file per bucket; document lengths are a per-bucket aggregate
+over these postings, and term statistics one aggregate over them.  The
+postings of the common terms, a set of bounded size, are then copied inside their buckets, and
+only those of the other terms are shuffled, into lists.
 """
 
 from __future__ import annotations
@@ -59,6 +65,12 @@ class Index:
     analyzer: str = "standard"
     path: str | None = None
     buckets: int = 1
+    # Where the index is split: the postings of terms in more than ``cut`` documents,
+    # and the lists of the others.  ``postings`` is all of them in either case.
+    common: DataFrame | None = None
+    lists: DataFrame | None = None
+    cut: int = 0
+    list_parts: int = 1
     _stats: CollectionStats | None = field(default=None, repr=False)
 
     @property
@@ -153,6 +165,17 @@ def in_memory_index(corpus: DataFrame, analyzer: str = "standard") -> Index:
 # Estimated corpus bytes per doc-id bucket of a written index.
 BUCKET_BYTES = 256 << 20
 
+# Terms in at most this many documents are stored as lists.
+LIST_DF = 64
+# The most terms that are not lists: the cut is raised until no more can be above it,
+# as a set of them is broadcast.
+MAX_COMMON_TERMS = 500_000
+# Documents of one row of a list, and bytes of a folder of lists, about.
+LIST_ROWS = 4096
+LIST_PART_BYTES = 64 << 20
+_POSTING_BYTES = 24
+
+_LISTS_COLS = "term STRING, docs ARRAY<STRUCT<doc_id: BIGINT, tf: BIGINT, dl: BIGINT>>, part INT"
 _POSTINGS_COLS = "term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT"
 _DOCS_COLS = "doc_id BIGINT, docno STRING, dl BIGINT"
 
@@ -184,8 +207,8 @@ def _save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str])
     """Write ``df``, hash-partitioned on doc_id into ``buckets`` partitions, one
     file per bucket, as an external table at ``path``.  Errors are the caller's."""
     _drop_table(df.sparkSession, path)
-    (df.write.mode("overwrite").bucketBy(buckets, "doc_id").sortBy(*sort_cols)
-     .option("path", path).saveAsTable(_table_name(path)))
+    writer = df.write.mode("overwrite").bucketBy(buckets, "doc_id")
+    (writer.sortBy(*sort_cols) if sort_cols else writer).option("path", path).saveAsTable(_table_name(path))
 
 
 def _register_bucketed(spark: SparkSession, path: str, cols: str, buckets: int, sort_cols: list[str]) -> DataFrame:
@@ -201,15 +224,47 @@ def _save(df: DataFrame, path: str, buckets: int, sort_cols: list[str], layout:
     if layout == "bucketed":
         _save_bucketed(df, path, buckets, sort_cols)
     else:
-        df.sortWithinPartitions(*sort_cols).write.mode("overwrite").parquet(path)
+        (df.sortWithinPartitions(*sort_cols) if sort_cols else df).write.mode("overwrite").parquet(path)
+
+
+def list_part(term: str, parts: int):
+    """Folder of a term's list."""
+    return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
+
+
+def list_rows(lists: DataFrame) -> DataFrame:
+    """term, doc_id, tf, dl of lists."""
+    return lists.select("term", F.explode("docs").alias("d")).select("term", "d.doc_id", "d.tf", "d.dl")
+
+
+def _split_postings(stored: DataFrame, terms: DataFrame, path: str, buckets: int, layout: str) -> tuple[int, int]:
+    """Write the postings of common terms, in their buckets, and the lists of the others; the cut and the folders.
+
+    Fewer than postings / cut terms are above the cut, so their set can be broadcast at
+    any size of the corpus.  The buckets are not moved; the other terms' postings are
+    shuffled once.
+    """
+    spark = stored.sparkSession
+    total = int(terms.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"])
+    cut = max(LIST_DF, total // MAX_COMMON_TERMS)
+    above = F.broadcast(terms.where(F.col("df") > cut).select("term"))
+    _save(stored.join(above, "term", "left_semi"), f"{path}/postings", buckets, ["term", "doc_id"], layout)
+    tail = int(terms.where(F.col("df") <= cut).agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"])
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), tail * _POSTING_BYTES // LIST_PART_BYTES)
+    piece = F.pmod(F.xxhash64("doc_id"), F.lit(-(-cut // LIST_ROWS)))         # a long list is several rows
+    lists = (stored.join(above, "term", "left_anti").withColumn("part", list_part("term", parts)).repartition(parts, "part")
+             .groupBy("part", "term", piece.alias("piece")).agg(F.collect_list(F.struct("doc_id", "tf", "dl")).alias("docs")))
+    (lists.select("part", "term", "docs").sortWithinPartitions("part", "term").write.mode("overwrite")
+     .partitionBy("part").parquet(f"{path}/lists"))
+    return cut, parts
 
 
 def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
                 layout: str = "bucketed", buckets: int | None = None) -> Index:
-    """Build and write the four tables under ``path`` (overwrite), then open.
+    """Build and write the tables under ``path`` (overwrite), then open.
 
-    layout="bucketed" (default): a document-partitioned index.  postings and
-    docs are bucketed by doc_id (postings sorted by term inside each bucket,
+    layout="bucketed" (default): a document-partitioned index with lists of the
+    rare terms.  postings and docs are bucketed by doc_id (postings sorted by term inside each bucket,
     so term filters still skip row groups).  A ranking scan then reports
     hash partitioning on doc_id: the per-(query, doc) aggregate needs no
     shuffle, each bucket yields its own top-k per query, and only those
@@ -227,12 +282,13 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
         # rows are several times larger); tokenising and counting then run
         # inside each bucket with no further exchange.
         postings = build_postings(corpus.repartition(n, "doc_id"), analyzer, placed=True)
-        _save(postings, f"{path}/postings", n, ["term", "doc_id"], layout)
+        raw = scratch_dir(spark, "postings")
+        _save(postings, raw, n, [], layout)
         # Document lengths without a second pass over the text: every
         # posting carries dl, so a per-bucket aggregate over the written
         # postings gives it; documents without terms come from the id and
         # docno columns (dl = 0).
-        stored = spark.table(_table_name(f"{path}/postings")) if layout == "bucketed" else spark.read.parquet(f"{path}/postings")
+        stored = spark.table(_table_name(raw)) if layout == "bucketed" else spark.read.parquet(raw)
         lengths = stored.groupBy("doc_id").agg(F.max("dl").alias("dl"))
         docno = F.col("docno") if "docno" in corpus.columns else F.col("doc_id").cast("string")
         ids = corpus.select("doc_id", docno.alias("docno")).repartition(n, "doc_id")
@@ -245,15 +301,20 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
         (postings.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
          .write.mode("overwrite").parquet(f"{path}/postings"))
         docs_df.write.mode("overwrite").parquet(f"{path}/docs")
+        stored = spark.read.parquet(f"{path}/postings")
     else:
         raise ValueError(f"layout must be 'bucketed' or 'range', not {layout!r}")
-    stored = spark.read.parquet(f"{path}/postings")
     term_stats(stored).write.mode("overwrite").parquet(f"{path}/terms")
     docs = spark.read.parquet(f"{path}/docs")
     terms = spark.read.parquet(f"{path}/terms")
+    cut, parts = 0, 1
+    if layout != "range":
+        cut, parts = _split_postings(stored, terms, path, n, layout)
     (stats_frame(docs, stored, terms)
      .withColumn("analyzer", F.lit(analyzer)).withColumn("layout", F.lit(layout))
-     .withColumn("buckets", F.lit(n)).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats"))
+     .withColumn("buckets", F.lit(n)).withColumn("cut", F.lit(cut).cast("long")).withColumn("list_parts", F.lit(parts)).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats"))
+    if layout == "bucketed":
+        _drop_table(spark, raw)
     return open_index(spark, path)
 
 
@@ -266,8 +327,17 @@ def open_index(spark: SparkSession, path: str) -> Index:
     else:
         postings = spark.read.parquet(f"{path}/postings")
         docs = spark.read.parquet(f"{path}/docs")
+    common, lists = postings, None
+    if meta["layout"] != "range":
+        # No list, no file: the schema is stated.
+        lists = spark.read.schema(_LISTS_COLS).parquet(f"{path}/lists")
+        postings = common.unionByName(list_rows(lists))
     return Index(
         postings=postings,
+        common=common,
+        lists=lists,
+        cut=int(meta["cut"]),
+        list_parts=int(meta["list_parts"]),
         docs=docs,
         terms=spark.read.parquet(f"{path}/terms"),
         stats_df=stats_df.select(*STATS_COLUMNS),

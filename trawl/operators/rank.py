@@ -3,11 +3,15 @@
 queries (query_id, form, text)
   -> query terms   (qkey, term, qtf, df, cf, per-term weights, per-query VSM facts)
                    analyzer + count; df/cf from one scan of the term table
-  -> matches       postings ⋈ broadcast(query side)       the postings stream, no shuffle
+  -> postings      common terms' postings ∪ the query's   the buckets stream; only the rows of the
+                   rare terms' lists                       query's rare terms are moved, into the buckets
+  -> matches       postings ⋈ broadcast(query side)       no shuffle
   -> scores        one row per (qkey, doc)                 hash aggregate inside each doc-id
                                                            bucket (no exchange on a bucketed index)
-  -> runs          top-k per (model, qkey)                 WindowGroupLimit, partial then final:
-                                                           the one shuffle carries partial top-k rows
+  -> runs          top-k per (model, qkey)                 WindowGroupLimit, partial then final: the one
+                                                           shuffle carries partial top-k rows; with many
+                                                           buckets each sends its share of k, and one
+                                                           whose last row is a winner is asked again
   -> docno         late fetch after top-k                  ⋈ docs, smaller side broadcast
 
 The query side is broadcast while its estimated size is within
@@ -25,8 +29,8 @@ from pyspark.sql import functions as F
 
 from trawl.functions import scoring as S
 from trawl.functions.analyzers import analyze
-from trawl.operators.index import Index, estimated_bytes
-from trawl.operators.topk import top_k, top_k_per_group
+from trawl.operators.index import Index, estimated_bytes, list_part, list_rows
+from trawl.operators.topk import top_k, top_k_of_buckets, top_k_per_group, worth_two_passes
 
 # ---------------------------------------------------------------------------
 # Query forms of a topic (field, query tag, run suffix) and
@@ -134,8 +138,8 @@ class QuerySide:
             rows = qt.select("term").distinct().limit(PUSHDOWN_MAX_TERMS + 1).collect()
             if len(rows) <= PUSHDOWN_MAX_TERMS:
                 self.pushdown = sorted(r["term"] for r in rows)
-        found = self._scan(index.terms).join(self.small(qt.select("term").distinct()), "term").select("term", "df", "cf")
-        self.terms = qt.join(self.small(found), "term", "left").fillna(0, ["df", "cf"])
+        self.found = self._scan(index.terms).join(self.small(qt.select("term").distinct()), "term").select("term", "df", "cf")
+        self.terms = qt.join(self.small(self.found), "term", "left").fillna(0, ["df", "cf"])
         self._weighted: DataFrame | None = None
 
     def small(self, df: DataFrame) -> DataFrame:
@@ -192,6 +196,16 @@ class QuerySide:
             .otherwise(F.array(F.lit(0).cast("long")))).alias("salt"))
         return p.join(q, ["term", "salt"]).drop("salt")
 
+    def postings(self) -> DataFrame:
+        """The postings among which the query's are: all of the common terms, and of the
+        others the lists of the query's terms, moved to their documents' buckets."""
+        index = self.index
+        if index.lists is None:
+            return self._scan(index.postings)
+        asked = self.found.filter(F.col("df") <= index.cut).select("term", list_part("term", index.list_parts).alias("part"))
+        rare = list_rows(self._scan(index.lists).join(self.small(asked), ["part", "term"]))
+        return self._scan(index.common).unionByName(rare.repartition(index.buckets, "doc_id"))
+
     def matches(self, vsm: bool = True) -> DataFrame:
         """One row per (query, term, doc) where the doc holds the term.
 
@@ -200,7 +214,7 @@ class QuerySide:
         as with deletions that are not yet merged away.
         """
         right = self.weighted(vsm).filter(F.col("df") > 0).drop("query_id", "form", "cf")
-        postings = self._scan(self.index.postings)
+        postings = self.postings()
         if self.broadcast:
             m = postings.join(F.broadcast(right.drop("df")), "term")
         else:
@@ -271,17 +285,27 @@ def score(index: Index, queries: DataFrame, models: Sequence[str] = ALL_SCORES,
     return scored.select(*unpack_qkey(), "doc_id", *models)
 
 
-def _score(index: Index, side: QuerySide, models: Sequence[str], params: S.ModelParams) -> DataFrame:
-    """(qkey, doc_id, <models>): one hash aggregate, partial then final."""
-    vsm = "vsm" in models
-    m = side.matches(vsm)
+def _match_rows(index: Index, side: QuerySide, vsm: bool, params: S.ModelParams) -> DataFrame:
+    """The match table with what the rankers read."""
     nrm = S.norm(F.col("dl"), params.norm_mode)
     extra = ["clauses", "vsm_qnorm"] if vsm else []
-    m = m.select("qkey", "doc_id", "tf", "qtf", "w_tfidf", "w_bm25", "w_vsm", "p_coll", *extra,
-                 nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
+    return side.matches(vsm).select("qkey", "doc_id", "tf", "qtf", "w_tfidf", "w_bm25", "w_vsm", "p_coll", *extra,
+                                    nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
+
+
+def _score(index: Index, side: QuerySide, models: Sequence[str], params: S.ModelParams, only=None) -> DataFrame:
+    """(qkey, doc_id, <models>): one hash aggregate, partial then final."""
+    m = _match_rows(index, side, "vsm" in models, params)
+    if only is not None:
+        m = only(m)
     return m.groupBy("qkey", "doc_id").agg(*score_columns(index, models, params))
 
 
+def _bucket(index: Index) -> Column:
+    """Bucket of a document: what the bucketed tables and hash exchanges use."""
+    return F.pmod(F.hash("doc_id"), F.lit(index.buckets))
+
+
 def candidate_docs(index: Index, queries: DataFrame) -> DataFrame:
     """Distinct (query_id, form, doc_id) holding at least one query term."""
     m = QuerySide(index, queries).matches(vsm=False).select("qkey", "doc_id").distinct()
@@ -318,16 +342,26 @@ def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int
     _check_models(models)
     prefixes = dict(MODEL_RUN_PREFIX, tfidf=TFIDF_RUN_PREFIX, **(run_prefix or {}))
     side = QuerySide(index, queries, exclude, fetch)
-    scored = _score(index, side, models, params)
     # Models are numbered 0..n-1 for the window key (cheaper to sort than
     # names) and turned into run ids after top-k.
-    if len(models) == 1:
-        long = scored.select("qkey", "doc_id", F.lit(0).alias("model"), F.col(models[0]).alias("score"))
-    else:
+    def scored(only=None) -> DataFrame:
+        rows = _score(index, side, models, params, only)
+        if len(models) == 1:
+            return rows.select("qkey", "doc_id", F.lit(0).alias("model"), F.col(models[0]).alias("score"))
         pairs = ", ".join(f"{i}, `{m}`" for i, m in enumerate(models))
-        long = scored.selectExpr("qkey", "doc_id", f"stack({len(models)}, {pairs}) as (model, score)")
-    # Every bucket yields up to k rows per query: with many buckets they meet in two steps.
-    top = top_k_per_group(long, k, ["model", "qkey"], parts=math.isqrt(index.buckets) if index.buckets > MERGE_AT_ONCE else 1)
+        return rows.selectExpr("qkey", "doc_id", f"stack({len(models)}, {pairs}) as (model, score)")
+
+    def again(cells: DataFrame) -> DataFrame:
+        pairs = cells.select("qkey", "_bucket").distinct()
+        return scored(lambda m: m.withColumn("_bucket", _bucket(index)).join(pairs, ["qkey", "_bucket"], "left_semi"))
+
+    # With many buckets the rows they send meet in two steps.
+    parts = math.isqrt(index.buckets) if index.buckets > MERGE_AT_ONCE else 1
+    group = ["model", "qkey"]
+    if index.buckets > 1 and worth_two_passes(k, index.buckets):
+        top = top_k_of_buckets(scored(), again, k, group, _bucket(index), index.buckets, parts=parts)
+    else:
+        top = top_k_per_group(scored(), k, group, parts=parts)
     run = with_docno(index, top).select("*", *unpack_qkey()).withColumn("q", _form_tag(0))
     prefix = F.array(*[F.lit(prefixes[m]) for m in models])
     return _run_rows(run, F.concat(F.element_at(prefix, F.col("model") + 1), F.lit("_"), _form_tag(1)))

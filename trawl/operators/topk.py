@@ -14,11 +14,14 @@ swap between engines).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trawl.session import scratch_dir
+
 SCORE_DIGITS = 6
 
 
@@ -47,6 +50,53 @@ def top_k_per_group(scored: DataFrame, k: int, group: Sequence[str], score: str
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def bucket_share(k: int, buckets: int) -> int:
+    """Rows a bucket sends at first: its share of k and five standard deviations, as rows are dealt by a hash."""
+    mean = k / buckets
+    return min(k, math.ceil(mean + 5 * math.sqrt(mean) + 5))
+
+
+def worth_two_passes(k: int, buckets: int) -> bool:
+    return bucket_share(k, buckets) * 8 <= k
+
+
+def top_k_of_buckets(scored: DataFrame, again: Callable[[DataFrame], DataFrame], k: int, group: Sequence[str], bucket: Column,
+                     buckets: int, score: str = "score", tie: str = "doc_id", digits: int | None = SCORE_DIGITS,
+                     parts: int = 1) -> DataFrame:
+    """The best ``k`` rows of every group, as :func:`top_k_per_group` gives them, in two passes over hash buckets.
+
+    First every bucket sends its share of k instead of k rows; they are written to the scratch
+    folder (a job).  If the last row a bucket sent is not among the winners, no row behind it
+    can be.  Otherwise the bucket may hold more winners: ``again`` gives the rows of such (group,
+    ``_bucket``) pairs, more being harmless, and those behind the sent ones that beat the group's last
+    winner join the merge.  With rows dealt by a hash that is rare; the result is exact
+    however they lie.  A merge gets about k rows and a few from each bucket, not k from each.
+    """
+    spark, share = scored.sparkSession, bucket_share(k, buckets)
+    best = [F.col(score).desc(), F.col(tie).asc()]
+    cell = [*group, "_bucket"]
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn(score, rounded(score, digits)).withColumn("_bucket", bucket)
+        return rows.withColumn("_sent", F.row_number().over(Window.partitionBy(*cell).orderBy(*best)))
+
+    path = scratch_dir(spark, "top-k")
+    numbered(scored).filter(F.col("_sent") <= share).write.parquet(path)
+    few = spark.read.parquet(path)
+    first = top_k_per_group(few, k, group, score, tie, None, parts)
+    full = first.filter(F.col("_sent") == share).select(*cell)            # one for every ``share`` winners at most
+    path = scratch_dir(spark, "top-k-again")
+    full.write.parquet(path)
+    full = spark.read.schema(full.schema).parquet(path)
+    if full.isEmpty():
+        return first.drop("_bucket", "_sent")
+    # A group's k-th winner so far bounds what can still win.
+    last = first.groupBy(*group).agg(F.count("*").alias("_n"), F.min(score).alias("_least"))
+    more = numbered(again(full)).filter(F.col("_sent").between(share + 1, k)).join(full, cell, "left_semi")
+    more = more.join(last, list(group)).filter((F.col("_n") < k) | (F.col(score) >= F.col("_least"))).select(*few.columns)
+    return top_k_per_group(few.unionByName(more), k, group, score, tie, None, parts).drop("_bucket", "_sent")
+
+
 def top_k(scored: DataFrame, k: int, score: str = "score", tie: str = "doc_id",
           digits: int | None = SCORE_DIGITS) -> DataFrame:
     """Global top-k (planned as TakeOrderedAndProject: k rows per task)."""
