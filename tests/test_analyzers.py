@@ -58,3 +58,44 @@ def test_java_trim_and_tags(spark):
     r = df.select(java_trim(F.col("a")).alias("a"), extract_tag(F.col("h"), "p").alias("p")).first()
     assert r["a"] == "x  "  # only characters <= U+0020 are trimmed
     assert r["p"] == "a\nb c"
+
+
+SCRIPTS = [
+    ("漢字とカタカナ", ["漢", "字", "と", "カタカナ"]),
+    ("東京タワーへ行く", ["東", "京", "タワー", "へ", "行", "く"]),
+    ("ﾊﾝｶｸ全角ＡＢ１２", ["ﾊﾝｶｸ", "全", "角", "ａｂ１２"]),
+    ("日本word語99", ["日", "本", "word", "語", "99"]),
+    ("ภาษาไทย thai", ["ภาษาไทย", "thai"]),
+    ("abcไทย", ["abc", "ไทย"]),
+    ("한국어 텍스트", ["한국어", "텍스트"]),
+    ("soft­ware co‍op", ["soft­ware", "co‍op"]),
+    ("zero​width", ["zero", "width"]),
+    ("かo\u3099\u30acb", ["か", "o\u3099", "\u30ac", "b"]),
+    ("カタ_カナ_x ___ _y_", ["カタ_カナ_x", "_y_"]),
+    ("can't 3.14 a.1 1,000.5 x:y e.g. ’tis", ["can't", "3.14", "1", "1,000.5", "x:y", "e.g", "tis"]),
+    ("צה\"ל שלום", ["צה\"ל", "שלום"]),
+    ("x² ½ Ⅷ", ["x", "ⅷ"]),
+    ("́lone mark", ["lone", "mark"]),
+    ("\U00020000\U00020001b", ["\U00020000", "\U00020001", "b"]),
+    ("カ.カ 漢.漢", ["カ", "カ", "漢", "漢"]),
+]
+
+
+def test_standard_of_other_scripts(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SCRIPTS)], "i int, t string")
+    got = {r.i: r.x for r in df.select("i", analyze("t", "standard").alias("x")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(SCRIPTS)}
+
+
+def test_other_scripts_match_the_sql(spark):
+    import duckdb
+    from trawl.plans.oracle import tokens
+    for t, want in SCRIPTS:
+        if '"' not in t:                                   # gershayim are not in the SQL
+            assert duckdb.execute(f"SELECT {tokens('t')} FROM (SELECT ? AS t)", [t]).fetchone() == (want,)
+
+
+def test_standard_tokens_of_any_length(spark):
+    long = ["a" * 300_000, "a." * 100_000 + "a", "カ" * 200_000, "_a" * 100_000, "ก" * 200_000, "a1" * 150_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(long)], "i int, t string")
+    assert [r.x for r in df.select("i", analyze("t", "standard").alias("x")).orderBy("i").collect()] == [[t] for t in long]

@@ -22,15 +22,40 @@ ENGLISH_STOP_WORDS: tuple[str, ...] = (
     "the", "their", "then", "there", "these", "they", "this", "to", "was",
     "will", "with",
 )
-# Marks that join two letters, and marks that join two digits.
-LETTER_JOINERS = "'.:·’"
-DIGIT_JOINERS = "'.,;’"
+# Marks that join two letters, and marks that join two digits (the Unicode word-break
+# classes MidLetter, MidNum and MidNumLet, and the single quote).
+LETTER_JOINERS = "':·\u0387\u05f4\u2027\ufe13\ufe55\uff1a.‘’\u2024\ufe52\uff07\uff0e"
+DIGIT_JOINERS = "',;\u037e\u0589\u060c\u060d\u066c\u07f8\u2044\ufe10\ufe14\ufe50\ufe54\uff0c\uff1b.‘’\u2024\ufe52\uff07\uff0e"
+# Scripts whose characters, or runs of them, are tokens of their own: ranges of code points.
+HAN = (r"\x{2e80}-\x{2fd5}\x{3005}\x{3007}\x{3021}-\x{3029}\x{3038}-\x{303b}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}"
+       r"\x{f900}-\x{fad9}\x{20000}-\x{323af}")
+HIRAGANA = r"\x{3041}-\x{3096}\x{309d}-\x{309f}\x{1b001}-\x{1b11f}"
+KATAKANA = (r"\x{3031}-\x{3035}\x{309b}\x{309c}\x{30a0}-\x{30fa}\x{30fc}-\x{30ff}\x{31f0}-\x{31ff}\x{32d0}-\x{32fe}"
+            r"\x{3300}-\x{3357}\x{ff66}-\x{ff9d}")
+# Letters and marks of Thai, Lao, Myanmar, Tai Le, New Tai Lue, Tai Tham, Khmer and Tai Viet.
+SOUTH_EAST_ASIAN = (r"\x{0e01}-\x{0e3a}\x{0e40}-\x{0e4e}\x{0e81}-\x{0ece}\x{0edc}-\x{0edf}\x{1000}-\x{103f}\x{1050}-\x{108f}"
+                    r"\x{109a}-\x{109d}\x{1780}-\x{17d3}\x{17d7}\x{17dc}\x{17dd}\x{1950}-\x{1974}\x{1980}-\x{19c9}"
+                    r"\x{1a20}-\x{1a7f}\x{a9e0}-\x{a9ef}\x{a9fa}-\x{a9fe}\x{aa60}-\x{aadf}")
 # ---------------------------------------------------------------------------
 
-# Word breaks by class: runs of letters, marks, digits and '_'; a joining mark
-# keeps a run together only between two letters or between two digits.
-STANDARD_TOKEN = (rf"[\p{{L}}\p{{M}}\p{{N}}_]+(?:(?:(?<=[\p{{L}}\p{{M}}])[{LETTER_JOINERS}](?=\p{{L}})"
-                  rf"|(?<=\p{{N}})[{DIGIT_JOINERS}](?=\p{{N}}))[\p{{L}}\p{{M}}\p{{N}}_]+)*")
+# The default word breaks of Unicode.  Marks and format characters (soft hyphen, joiners)
+# belong to the character before them and break nothing.  Runs of letters and digits
+# are a token, over a joining mark only between two letters or two digits, and over
+# connectors such as '_'; so are runs of katakana.  Each ideograph and each hiragana character is a
+# token.  Scripts written without spaces stay whole runs.
+# Runs and groups are possessive: the matcher then loops where it would recurse, so
+# tokens may be of any length.
+_EXTEND = r"[\p{M}\p{Cf}&&[^\x{200b}]]*+"
+_OTHER_SCRIPTS = HAN + HIRAGANA + KATAKANA + SOUTH_EAST_ASIAN
+_LETTER = rf"[a-z\x{{df}}-\x{{f6}}\x{{f8}}-\x{{ff}}[[\p{{L}}\p{{Nl}}]&&[^{_OTHER_SCRIPTS}]]]"
+_DIGIT = r"[0-9\p{Nd}]"
+_CONNECTOR = r"\p{Pc}"
+_HEBREW = r"\x{05d0}-\x{05f2}"
+_WORD = (rf"(?:{_LETTER}++{_EXTEND}(?:[{LETTER_JOINERS}]{_EXTEND}(?={_LETTER})|(?<=[{_HEBREW}])(?:\"(?=[{_HEBREW}])|'))?+"
+         rf"|{_DIGIT}++{_EXTEND}(?:[{DIGIT_JOINERS}]{_EXTEND}(?={_DIGIT}))?+)++")
+_RUN = rf"(?:{_WORD}|(?:[{KATAKANA}]{_EXTEND})++)"
+STANDARD_TOKEN = (rf"(?:{_CONNECTOR}{_EXTEND})*+{_RUN}(?:(?:{_CONNECTOR}{_EXTEND})++{_RUN})*+(?:{_CONNECTOR}{_EXTEND})*+"
+                  rf"|(?:[{SOUTH_EAST_ASIAN}]{_EXTEND})++|[{HAN}{HIRAGANA}]{_EXTEND}")
 LETTER_TOKEN = r"\p{L}+"
 
 

@@ -8,7 +8,8 @@ SQL and rounds differently.
 
 from __future__ import annotations
 
-from trawl.functions.analyzers import DIGIT_JOINERS, ENGLISH_STOP_WORDS, LETTER_JOINERS, LETTER_TOKEN
+from trawl.functions.analyzers import (DIGIT_JOINERS, ENGLISH_STOP_WORDS, HAN, HIRAGANA, KATAKANA, LETTER_JOINERS, LETTER_TOKEN,
+                                       SOUTH_EAST_ASIAN)
 from trawl.functions.scoring import BM25_B, BM25_K1, DIRICHLET_MU, JM_LAMBDA
 from trawl.operators.rank import FORMS, MODEL_RUN_PREFIX, TFIDF_RUN_PREFIX
 from trawl.operators.topk import SCORE_DIGITS
@@ -30,23 +31,35 @@ def java_trim(expr: str) -> str:
     return f"regexp_replace({expr}, {JAVA_TRIM_RE}, '', 'g')"
 
 
-# The word breaks in two steps, without look-around: a private-use character is
-# put behind every joining mark that joins (twice, as neighbours share a
-# letter), then only marks followed by it keep a token together.
-_MARK = "\ue000"
-_JOINS = (rf"([\p{{L}}\p{{M}}])([{LETTER_JOINERS}])(\p{{L}})|(\p{{N}})([{DIGIT_JOINERS}])(\p{{N}})")
-_JOINED_TOKEN = rf"[\p{{L}}\p{{M}}\p{{N}}_]+(?:['.:,;·’]{_MARK}[\p{{L}}\p{{M}}\p{{N}}_]+)*"
+# The word breaks in steps, without look-around.  A private-use character goes round every
+# ideograph, hiragana character, katakana run and run of a script without spaces (not
+# next to a connector, which joins katakana), and another behind every joining mark that
+# joins (twice, as neighbours share a letter); then only marks followed by it keep a token together.
+_MARK, _EDGE = "\ue000", "\ue001"
+_EXT = r"[\p{M}\x{ad}\x{600}-\x{605}\x{61c}\x{200c}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{feff}]"
+_ALONE = [rf"[{HAN}{HIRAGANA}]{_EXT}*", rf"(?:[{KATAKANA}]{_EXT}*)+", rf"(?:[{SOUTH_EAST_ASIAN}]{_EXT}*)+"]
+_BASE = r"\p{L}\p{Nl}\p{Nd}\p{Pc}"
+_IN_TOKEN = rf"(?:[{_BASE}]|{_EXT})"
+_JOINS = (rf"([\p{{L}}\p{{Nl}}]{_EXT}*)([{LETTER_JOINERS}]{_EXT}*)([\p{{L}}\p{{Nl}}])|(\p{{Nd}}{_EXT}*)([{DIGIT_JOINERS}]{_EXT}*)(\p{{Nd}})")
+_JOINED_TOKEN = rf"[{_BASE}]{_IN_TOKEN}*(?:[{LETTER_JOINERS}{DIGIT_JOINERS}]{_EXT}*{_MARK}{_IN_TOKEN}+)*"
 
 
 def _marked(expr: str) -> str:
     return rf"regexp_replace({expr}, {lit(_JOINS)}, '\1\2\4\5{_MARK}\3\6', 'g')"
 
 
+def _edged(expr: str) -> str:
+    for alone in _ALONE:
+        expr = rf"regexp_replace({expr}, {lit(f'({alone})')}, '{_EDGE}\1{_EDGE}', 'g')"
+    return rf"regexp_replace(regexp_replace({expr}, '(\p{{Pc}}){_EDGE}', '\1', 'g'), '{_EDGE}(\p{{Pc}})', '\1', 'g')"
+
+
 def tokens(expr: str, analyzer: str = "standard") -> str:
     if analyzer == "standard":
-        found = f"regexp_extract_all({_marked(_marked(f"replace(lower({expr}), '{_MARK}', ' ')"))}, {lit(_JOINED_TOKEN)})"
+        clean = _edged(f"translate(lower({expr}), '{_MARK}{_EDGE}', '  ')")
+        found = f"regexp_extract_all({_marked(_marked(clean))}, {lit(_JOINED_TOKEN)})"
         return (f"list_filter(list_transform({found}, lambda t: replace(t, '{_MARK}', '')), "
-                f"lambda t: NOT list_contains({STOP_LIST}, t))")
+                f"lambda t: NOT list_contains({STOP_LIST}, t) AND regexp_matches(t, '[\\p{{L}}\\p{{Nl}}\\p{{Nd}}{KATAKANA}{HAN}{SOUTH_EAST_ASIAN}]'))")
     if analyzer == "keyword":
         return f"[{expr}]"
     if analyzer == "simple":
