@@ -388,10 +388,36 @@ def tfidf_all_docs(index: Index, text: str, params: S.ModelParams = S.ModelParam
     return s.select("doc_id", F.round("score", 6).alias("score")).orderBy("doc_id")
 
 
+def topk_all_docs(index: Index, queries: DataFrame, model: str = "tfidf", k: int = DEFAULT_K,
+                  params: S.ModelParams = S.ModelParams()) -> DataFrame:
+    """(query_id, form, doc_id, rank, score): best k over *all* documents for every query, zero scores included.
+
+    A query that matches fewer than k documents is filled up with the smallest ids that it does not
+    match.  Those are among the k smallest ids of the corpus, as fewer than k of
+    these can match, so one array of k ids serves all queries: no document is paired with a query
+    it does not match, but for the rows that are returned.  Queries without any term are filled too.
+    """
+    if k <= 0:
+        raise ValueError("k must be positive")
+    _check_models([model])
+    scored = _score(index, QuerySide(index, queries), [model], params)
+    best = top_k_per_group(scored.select("qkey", "doc_id", F.col(model).alias("score")), k, ["qkey"]).select(
+        "qkey", "doc_id", F.col("rank").cast("int").alias("rank"), "score")
+    smallest = index.docs.select("doc_id").orderBy("doc_id").limit(k).agg(F.sort_array(F.collect_list("doc_id"))).scalar()
+    found = best.groupBy("qkey").agg(F.count("*").cast("int").alias("n"), F.collect_list("doc_id").alias("ids"))     # k ids at most
+    every = queries.select(qkey().alias("qkey")).distinct()
+    # One row per query on either side.
+    short = every.join(found, "qkey", "left").where(F.col("n").isNull() | (F.col("n") < k))
+    n = F.coalesce("n", F.lit(0))
+    unmatched = F.array_except(smallest, F.coalesce("ids", F.array().cast("array<bigint>")))
+    fill = short.select("qkey", n.alias("n"), F.posexplode(F.slice(unmatched, F.lit(1), F.lit(k) - n)).alias("pos", "doc_id")).select(
+        "qkey", "doc_id", (F.col("n") + F.col("pos") + 1).cast("int").alias("rank"), F.lit(0.0).alias("score"))
+    return best.unionByName(fill).select(*unpack_qkey(), "doc_id", "rank", "score")
+
+
 def tfidf_topk_all_docs(index: Index, text: str, k: int = 10,
                         params: S.ModelParams = S.ModelParams()) -> DataFrame:
     """K2: best k over all documents (zero scores may fill the list),
     listed lowest score first."""
-    s = score_all_docs(index, text, "tfidf", params)
-    best = top_k(s, k)
-    return best.orderBy(F.col("score").asc(), F.col("doc_id").desc())
+    best = topk_all_docs(index, adhoc_queries(index.docs.sparkSession, text), "tfidf", k, params)
+    return best.orderBy(F.desc("rank")).select("doc_id", "score")

@@ -56,10 +56,26 @@ def _analyze_q(name: str):
     return q
 
 
-def _analyze_sql(name: str) -> str:
+def _analyze_sql(name: str, text: str = "text") -> str:
     return f"""SELECT doc_id, CAST(pos AS BIGINT) - 1 AS pos, term FROM (
   SELECT CAST(doc_id AS BIGINT) AS doc_id, generate_subscripts(toks, 1) AS pos, unnest(toks) AS term
-  FROM (SELECT doc_id, {O.tokens('text', name)} AS toks FROM documents))"""
+  FROM (SELECT doc_id, {O.tokens(text, name)} AS toks FROM documents))"""
+
+
+# Letters that a derived corpus replaces by characters of other scripts (an ideograph, a hiragana and a
+# katakana character, Thai, Hangul, Hebrew and Arabic letters, a soft hyphen, a joiner, a combining mark).
+SCRIPTS = ("aeioutnshz", "\u6f22\u3042\u30ab\u0e01\ud55c\u05d0\u0628\u00ad\u200d\u0301")
+
+
+def q_analyze_scripts(spark, sf):
+    """Standard tokens of all documents with some letters moved into other scripts."""
+    d = tables.read_table(spark, sf, "documents")
+    toks = analyze(F.translate("text", *SCRIPTS), "standard")
+    return d.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode_outer(toks).alias("pos", "term")).filter(
+        F.col("term").isNotNull()).select("doc_id", F.col("pos").cast("long").alias("pos"), "term")
+
+
+SQL_ANALYZE_SCRIPTS = _analyze_sql("standard", f"translate(text, '{SCRIPTS[0]}', '{SCRIPTS[1]}')")
 
 
 def q_query_terms(spark, sf):
@@ -245,6 +261,21 @@ SQL_TFIDF_TOPK_ALL_DOCS = (f"SELECT doc_id, score FROM ({_all_docs_sql(ADHOC_QUE
                            f"ORDER BY score DESC, doc_id ASC LIMIT {ADHOC_K}")
 
 
+def q_topk_all_docs(spark, sf):
+    """Every topic's best documents of the whole corpus, zero scores included."""
+    return rank.topk_all_docs(_index(spark, sf), _queries(spark, sf), "tfidf", RUN_K)
+
+
+def _topk_all_docs_sql() -> str:
+    sums = O.model_sums()
+    return f"""WITH {O.corpus_ctes()}, {O.norm_ctes()}, {O.topic_ctes()}, {O.weighted_ctes()},
+sc AS (SELECT query_id, form, doc_id, {sums['tfidf']} AS score FROM m GROUP BY ALL),
+every AS (SELECT q.query_id, q.form, d.doc_id, round(coalesce(sc.score, 0e0), 6) AS score
+          FROM queries q CROSS JOIN docs d LEFT JOIN sc ON sc.query_id = q.query_id AND sc.form = q.form AND sc.doc_id = d.doc_id)
+SELECT query_id, form, doc_id, CAST(rank AS INTEGER) AS rank, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, form ORDER BY score DESC, doc_id) AS rank FROM every) WHERE rank <= {RUN_K}"""
+
+
 def q_adhoc_search(spark, sf):
     idx = _index(spark, sf)
     return rank.ranked_runs(idx, rank.adhoc_queries(spark, ADHOC_QUERY), ["bm25"], ADHOC_K, fetch=True)
@@ -373,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "analyze_keyword": _analyze_q("keyword"),
     "analyze_simple": _analyze_q("simple"),
     "analyze_stop": _analyze_q("stop"),
+    "analyze_scripts": q_analyze_scripts,
     "query_terms": q_query_terms,
     "build_postings": q_build_postings,
     "doc_norms": q_doc_norms,
@@ -399,6 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_models": _runs(list(rank.MODELS)),
     "tfidf_all_docs": q_tfidf_all_docs,
     "tfidf_topk_all_docs": q_tfidf_topk_all_docs,
+    "topk_all_docs": q_topk_all_docs,
     "adhoc_search": q_adhoc_search,
     "corpus_records": q_corpus_records,
     "corpus_documents": q_corpus_documents,
@@ -418,6 +451,7 @@ ORACLES: dict[str, str] = {
     "analyze_keyword": _analyze_sql("keyword"),
     "analyze_simple": _analyze_sql("simple"),
     "analyze_stop": _analyze_sql("stop"),
+    "analyze_scripts": SQL_ANALYZE_SCRIPTS,
     "query_terms": SQL_QUERY_TERMS,
     "build_postings": SQL_BUILD_POSTINGS,
     "doc_norms": SQL_DOC_NORMS,
@@ -444,6 +478,7 @@ ORACLES: dict[str, str] = {
     "compare_models": O.runs_sql(list(rank.MODELS), RUN_K),
     "tfidf_all_docs": SQL_TFIDF_ALL_DOCS,
     "tfidf_topk_all_docs": SQL_TFIDF_TOPK_ALL_DOCS,
+    "topk_all_docs": _topk_all_docs_sql(),
     "adhoc_search": O.runs_sql(["bm25"], ADHOC_K, adhoc=ADHOC_QUERY),
     "corpus_records": SQL_CORPUS_RECORDS,
     "corpus_documents": SQL_CORPUS_DOCUMENTS,
