@@ -1,5 +1,6 @@
 """TREC-text reader on hand-written files (the cases of FIXTURES.md §4)."""
 
+import pytest
 from conftest import write_files
 
 from trawl.sources.trectext import read_records, read_trectext
@@ -114,3 +115,74 @@ def test_number_documents_dense_and_ordered(spark, tmp_path):
     docs, _ = read_trectext(spark, folder)
     got = sorted((r["doc_id"], r["docno"]) for r in number_documents(docs).collect())
     assert got == [(0, "a0"), (1, "a1"), (2, "a2"), (3, "b0"), (4, "b1")]
+
+
+def _both_modes(spark, folder, **kw):
+    got = {}
+    for mode in ("whole", "split"):
+        records, rejected = read_records(spark, folder, mode=mode, **kw)
+        got[mode] = (sorted((r.path.rsplit("/", 1)[1], r.rec_pos, r.record) for r in records.collect()),
+                     sorted((r.path.rsplit("/", 1)[1], r.raw, r.reason) for r in rejected.collect()))
+    assert got["split"] == got["whole"]
+    return got["split"]
+
+
+def test_split_and_whole_read_other_charsets_and_line_ends(spark, tmp_path):
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, "600")
+    body = "".join(f"<DOC>\n<DOCNO>d{i}</DOCNO>\n<TEXT>caf\u00e9 \u00df {'\u00fc ' * (i % 40)}\nna\u00efve</TEXT>\n</DOC> rest\n" for i in range(120))
+    try:
+        for name, encoding, line_end, text in (("latin", "ISO-8859-1", "\n", body + "<DOC>\nopen \u00e9"),
+                                               ("utf16", "UTF-16LE", "\n", body), ("utf16be", "UTF-16BE", "\r", body.replace("\n", "\r")),
+                                               ("cr", "utf-8", "\r", body.replace("\n", "\r") + "<DOC>\ropen"),
+                                               ("latin_cr", "ISO-8859-1", "\r", body.replace("\n", "\r")),
+                                               ("crlf", "ISO-8859-1", "\n", body.replace("\n", "\r\n"))):
+            folder = tmp_path / name
+            folder.mkdir()
+            (folder / "a.txt").write_bytes(text.encode(encoding))
+            (folder / "b.txt").write_bytes(text[:300].encode(encoding))
+            records, rejected = _both_modes(spark, str(folder), encoding=encoding, line_end=line_end)
+            assert len(records) > 120 and "caf\u00e9" in records[0][2] and "</DOC>" not in "".join(r[2] for r in records)
+            assert len(rejected) in (1, 2)
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_an_unreadable_file_is_one_reject(spark, tmp_path):
+    import gzip
+    folder = tmp_path / "c"
+    folder.mkdir()
+    good = "".join(f"<DOC>\n<DOCNO>g{i}</DOCNO>\n</DOC>\n" for i in range(5))
+    (folder / "a.txt").write_text(good)
+    (folder / "b.txt.gz").write_bytes(gzip.compress(good.replace("g", "z").encode()))
+    (folder / "c.txt.gz").write_bytes(b"\x1f\x8b\x08\x00 this is no deflate stream" * 20)
+    (folder / "empty.txt").write_bytes(b"")
+    records, rejected = _both_modes(spark, str(folder))
+    assert [r[0] for r in records] == ["a.txt"] * 5 + ["b.txt.gz"] * 5
+    assert rejected == [("c.txt.gz", None, "nothing could be read of the file")]
+    records, _ = read_records(spark, str(folder), unreadable="fail")
+    with pytest.raises(Exception):
+        records.collect()
+    # A file that breaks off: what came before is kept, the open record is the reject.
+    (folder / "c.txt.gz").unlink()
+    import random
+    text = "".join(f"<DOC>\n<DOCNO>t{i}</DOCNO>\n<TEXT>{random.Random(i).random()}</TEXT>\n</DOC>\n" for i in range(20_000))
+    (folder / "d.txt.gz").write_bytes(gzip.compress(text.encode())[:-60_000])
+    records, rejected = read_records(spark, str(folder))
+    assert records.where("path like '%/d.txt.gz'").count() > 1000
+    assert [r.path.rsplit("/", 1)[1] for r in rejected.collect()] == ["d.txt.gz"]
+
+
+def test_merge_joins_give_the_same_records(spark, tmp_path, monkeypatch):
+    from trawl.sources import trectext
+    folder = write_files(tmp_path / "c", FILES)
+
+    def read():
+        docs, rejected = read_trectext(spark, folder)
+        return (sorted((r.doc_id, r.docno, r.rec_pos) for r in trectext.number_documents(docs).collect()),
+                sorted((r.path, r.raw, r.reason) for r in rejected.collect()))
+    want = read()
+    monkeypatch.setattr(trectext, "BROADCAST_ROWS", 0)
+    assert read() == want
+    docs, _ = read_trectext(spark, folder)
+    assert "SortMergeJoin" in docs._jdf.queryExecution().executedPlan().toString()

@@ -19,7 +19,8 @@ from trawl.sources import runfiles, topics, trectext
 
 
 def _corpus(spark, a):
-    docs, rejected = trectext.read_trectext(spark, a.corpus, mode=a.mode, encoding=a.encoding)
+    docs, rejected = trectext.read_trectext(spark, a.corpus, mode=a.mode, encoding=a.encoding,
+                                              line_end={"lf": "\n", "cr": "\r"}[a.line_end])
     return trectext.number_documents(docs), rejected
 
 
@@ -33,6 +34,7 @@ def main(argv=None) -> None:
     for p in [*reads, p]:
         p.add_argument("--mode", choices=("split", "whole"), default="split")
         p.add_argument("--encoding", default="utf-8")
+        p.add_argument("--line-end", choices=("lf", "cr"), default="lf")
     for name in ("tfidf-runs", "model-runs"):
         p = sub.add_parser(name); p.add_argument("index"); p.add_argument("topics"); p.add_argument("out")
         p.add_argument("--k", type=int, default=rank.DEFAULT_K)

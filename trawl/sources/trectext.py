@@ -10,13 +10,17 @@ Record rules (line based, as a line reader sees the file):
 * a non-blank tail after the last ``</DOC>`` line is an unfinished record:
   it goes to the reject table and the file's earlier records are kept.
 
-``mode="split"`` (default) reads files of any size in splits, cut on
-``\\n</DOC>``; one row per split (its records and bytes) is summed to give every
-record its position in its file, and the bytes against the file's size tell
-whether the last record is closed.  ``mode="whole"`` reads a file as
-one row: for other charsets than UTF-8, for files with bare carriage returns as
-line ends and for files that begin with a ``</DOC>`` line; files must then fit in
+``mode="split"`` (default) reads files of any size in splits, cut on the bytes of
+a line end and ``</DOC>``, and decodes each piece on its own; one row per split (its records and bytes) is
+summed to give every record its position in its file, and the bytes against the file's size tell
+whether the last record is closed.  Files whose only line ends are carriage returns are read
+with ``line_end="\\r"``.  ``mode="whole"`` reads a file as one row: for files that mix line
+ends, that begin with a ``</DOC>`` line or whose charset has no fixed byte order; files must then fit in
 a task.  Both give the same records, rejects and positions.
+
+A file that cannot be read (damaged, say, in its compressed form) fails nothing: what was
+read of it before the damage is kept, and a file of which nothing could be read is a
+row of the reject table without text.  ``unreadable="fail"`` turns that off.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.text import extract_tag, java_trim, split_lines
+from trawl.operators.index import estimated_bytes, spread
 
 # The record tags and the five document fields.
 DOC_OPEN = "<DOC>"
@@ -53,27 +58,53 @@ def _cut(raw: DataFrame, close_line: str) -> DataFrame:
         .select("path", "rec_pos", "chunk", (F.col("rec_pos") == F.col("_last")).alias("is_tail"))
 
 
-def _read_whole(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """(path, value): one row per file.  UTF-8 through the text source;
-    other charsets through the binaryFile source and ``decode``."""
-    if encoding.lower().replace("-", "") in ("utf8",):
-        return (spark.read.text(path, wholetext=True)
-                .select(F.col("_metadata.file_path").alias("path"), "value"))
-    return (spark.read.format("binaryFile").load(path)
-            .select("path", F.decode("content", encoding).alias("value")))
+def _reader(spark: SparkSession, unreadable: str):
+    if unreadable not in ("reject", "fail"):
+        raise ValueError(f"unreadable must be 'reject' or 'fail', not {unreadable!r}")
+    skip = str(unreadable == "reject").lower()
+    return spark.read.option("ignoreCorruptFiles", skip).option("ignoreMissingFiles", skip)
+
+
+def _is_utf8(encoding: str) -> bool:
+    return encoding.lower().replace("-", "") == "utf8"
+
+
+def _decoded(encoding: str):
+    """The text source hands on a file's bytes as they are; other charsets than UTF-8 are decoded here."""
+    return F.col("value") if _is_utf8(encoding) else F.decode(F.col("value").cast("binary"), encoding)
+
+
+def _read_whole(reader, path: str, encoding: str = "utf-8") -> DataFrame:
+    """(path, value): one row per file."""
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), _decoded(encoding).alias("value"))
+
+
+# One-row-per-split and one-row-per-file tables are broadcast up to this many rows.
+BROADCAST_ROWS = 250_000
+
+
+def _most_splits(df: DataFrame) -> int:
+    """No scan of ``df``'s files has more splits than this; from the listing, without a job."""
+    spark = df.sparkSession
+    conf = spark._jsparkSession.sessionState().conf()
+    size = estimated_bytes(df)
+    per = min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), size // spark.sparkContext.defaultParallelism))
+    return len(df.inputFiles()) + size // max(1, per)
 
 
-def _read_split(spark: SparkSession, path: str) -> DataFrame:
-    """(path, rec_pos, chunk, is_tail) from splittable pieces."""
+def _read_split(reader, path: str, encoding: str = "utf-8", line_end: str = "\n") -> tuple[DataFrame, DataFrame]:
+    """(path, rec_pos, chunk, is_tail) from splittable pieces, and the paths of which something was read."""
     meta = F.col("_metadata")
-    pieces = (spark.read.option("lineSep", "\n" + DOC_CLOSE).text(path)
+    separator = line_end + DOC_CLOSE
+    pieces = (reader.option("lineSep", separator).option("encoding", encoding).text(path)
               .select(meta["file_path"].alias("path"), meta["file_block_start"].alias("block"),
                       meta["file_size"].alias("size"), "value", F.monotonically_increasing_id().alias("at")))
+    few = _most_splits(pieces) <= BROADCAST_ROWS
     # A split's pieces are numbered in a row, whichever task reads it.  One
     # row per split: at 128 MB a split, a million rows for 128 TB.
     splits = pieces.groupBy("path", "block").agg(
         F.min("at").alias("first"), F.count("*").alias("n"), F.max("size").alias("size"),
-        F.sum(F.octet_length("value") + len(DOC_CLOSE) + 1).alias("bytes"))
+        F.sum(F.octet_length("value") + len(separator.encode(encoding))).alias("bytes"))
     in_file = Window.partitionBy("path")
     before = in_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     total = F.sum("bytes").over(in_file)
@@ -82,29 +113,36 @@ def _read_split(spark: SparkSession, path: str) -> DataFrame:
     closed = (total == F.col("size")) | (total == F.col("size") - 3)
     splits = splits.select("path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"),
                            F.sum("n").over(in_file).alias("pieces"), closed.alias("closed"))
-    placed = pieces.drop("size").join(F.broadcast(splits), ["path", "block"])
+    read = splits.select("path").distinct()
+    placed = pieces.drop("size").join(F.broadcast(splits) if few else splits.hint("merge"), ["path", "block"])
     pos = F.col("base") + F.col("at") - F.col("first")
-    placed = placed.select("path", pos.alias("pos"), (~F.col("closed") & (pos == F.col("pieces") - 1)).alias("is_tail"), "value")
+    placed = placed.select("path", pos.alias("pos"), (~F.col("closed") & (pos == F.col("pieces") - 1)).alias("is_tail"),
+                           _decoded(encoding).alias("value"))
     # Every piece but a file's first starts with the rest of a </DOC> line.
     rest = F.regexp_replace("value", r"^[^\r\n]*(?:\r\n|\r|\n)?", "")
     chunk = F.when(F.col("pos") > 0, rest).otherwise(F.col("value"))
-    chunk = F.concat(chunk, F.when(F.col("is_tail"), F.lit("")).otherwise(F.lit("\n")))
-    return placed.select("path", F.col("pos").alias("rec_pos"), chunk.alias("chunk"), "is_tail")
+    chunk = F.concat(chunk, F.when(F.col("is_tail"), F.lit("")).otherwise(F.lit(line_end)))
+    return placed.select("path", F.col("pos").alias("rec_pos"), chunk.alias("chunk"), "is_tail"), read
 
 
 def read_records(spark: SparkSession, path: str, line_join: str = "",
-                 mode: str = "split", encoding: str = "utf-8") -> tuple[DataFrame, DataFrame]:
+                 mode: str = "split", encoding: str = "utf-8", line_end: str = "\n",
+                 unreadable: str = "reject") -> tuple[DataFrame, DataFrame]:
     """Return ``(records, rejected)``.
 
     records:  path, rec_pos, record (the joined lines of one ``<DOC>``)
     rejected: path, raw, reason
     """
+    reader = _reader(spark, unreadable)
+    if line_end not in ("\n", "\r"):
+        raise ValueError("line_end must be a line feed (also for pairs of both) or a carriage return")
     if mode == "whole":
-        chunks = _cut(_read_whole(spark, path, encoding), _CLOSE_LINE)
+        raw = _read_whole(reader, path, encoding)
+        chunks, read = _cut(raw, _CLOSE_LINE), raw.select("path")
     elif mode == "split":
-        if encoding.lower().replace("-", "") != "utf8":
-            raise ValueError("the splittable reader reads UTF-8 only; use mode='whole' for other charsets")
-        chunks = _read_split(spark, path)
+        if encoding.lower().replace("-", "") in ("utf16", "utf32"):
+            raise ValueError("without a fixed byte order (UTF-16LE, UTF-16BE) a file cannot be split; use mode='whole'")
+        chunks, read = _read_split(reader, path, encoding, line_end)
     else:
         raise ValueError(f"mode must be 'whole' or 'split', not {mode!r}")
     complete = chunks.filter(~F.col("is_tail"))
@@ -112,6 +150,12 @@ def read_records(spark: SparkSession, path: str, line_join: str = "",
     records = _records_from_chunks(complete, line_join, DOC_OPEN, keep_blank=True)
     rejected = tail.select("path", F.col("chunk").alias("raw"),
                            F.lit("record not closed by </DOC> before end of file").alias("reason"))
+    if unreadable == "reject":
+        # The listing against the files of which a row came; contents are not read for it.
+        listed = reader.format("binaryFile").load(path).where(F.col("length") > 0).select(F.col("_metadata.file_path").alias("path"))
+        lost = listed.join(read, "path", "left_anti").select(
+            "path", F.lit(None).cast("string").alias("raw"), F.lit("nothing could be read of the file").alias("reason"))
+        rejected = rejected.unionByName(lost)
     return records, rejected
 
 
@@ -125,10 +169,10 @@ def documents_from_records(records: DataFrame, text_only: bool = False) -> DataF
 
 
 def read_trectext(spark: SparkSession, path: str, line_join: str = "",
-                  mode: str = "split", text_only: bool = False,
-                  encoding: str = "utf-8") -> tuple[DataFrame, DataFrame]:
+                  mode: str = "split", text_only: bool = False, encoding: str = "utf-8", line_end: str = "\n",
+                  unreadable: str = "reject") -> tuple[DataFrame, DataFrame]:
     """``(documents, rejected)`` of a TREC-text folder."""
-    records, rejected = read_records(spark, path, line_join, mode, encoding)
+    records, rejected = read_records(spark, path, line_join, mode, encoding, line_end, unreadable)
     return documents_from_records(records, text_only), rejected
 
 
@@ -143,7 +187,6 @@ def to_records(corpus: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def write_trectext(corpus: DataFrame, path: str) -> str:
     """Write records as text files, one per task."""
-    from trawl.operators.index import spread
     to_records(spread(corpus)).write.mode("overwrite").text(path)
     return path
 
@@ -159,6 +202,7 @@ def number_documents(docs: DataFrame) -> DataFrame:
     counts = docs.groupBy("path").agg((F.max("rec_pos") + 1).cast("long").alias("n"))
     before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    # One short row per file; a file's documents stay in their splits.
-    return docs.join(F.broadcast(offsets), "path").withColumn(
+    # One short row per file; while the files are few, documents stay in their splits.
+    few = len(docs.inputFiles()) <= BROADCAST_ROWS
+    return docs.join(F.broadcast(offsets) if few else offsets.hint("merge"), "path").withColumn(
         "doc_id", (F.col("offset") + F.col("rec_pos")).cast("long")).drop("offset")
