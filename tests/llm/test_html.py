@@ -99,3 +99,46 @@ def test_copies_of_a_page_are_no_template(spark):
     assert all(got[i][0] == "Same text" for i in range(4)) and got[12][0] == "Other 12"
     plain = [(i, "http://d.example/", "<body><div class='own'>Only here</div></body>") for i in range(4)]
     assert {t for t, _ in _texts(spark, plain).values()} == {"Only here"}
+
+
+def test_article_text_that_looks_like_template_stays(spark):
+    """A heading that all articles share, a linked paragraph, and compound classes with a cue word inside an article."""
+    shared = "<body><nav>Menu</nav><article><h1>Title {i}</h1><p>Lead {i}</p><h2>Summary</h2><p>Text {i}</p><p class='note'>End {i}</p></article></body>"
+    assert _texts(spark, [(i, "http://s.example/", shared.format(i=i)) for i in range(6)]) == {
+        i: (t := f"Title {i}\nLead {i}\nSummary\nText {i}\nEnd {i}", len(t)) for i in range(6)}
+    first = "<body><article><h2>Summary</h2><p>Text {i}</p></article></body>"
+    assert _texts(spark, [(i, "http://s.example/", first.format(i=i)) for i in range(6)])[3][0] == "Summary\nText 3"
+    linked = "<body><div class='post'><p>Text {i}</p><p class='ref'><a href='/{i}'>A long reference {i}</a> x</p><p>End {i}</p></div>" \
+             "<div class='more'><p><a href='/a'>Next {i}</a></p></div></body>"
+    assert _texts(spark, [(i, "http://l.example/", linked.format(i=i)) for i in range(6)])[2][0] == "Text 2\nA long reference 2 x\nEnd 2"
+    classes = "<body><article><div class='search-results-method'><p>Method {i}</p></div><div class='social-history'><p>History {i}</p></div>" \
+              "<div class='share-buttons'>Share {i}</div><div class='comments'><p>Nice {i}</p></div></article></body>"
+    assert _texts(spark, [(i, "http://m.example/", classes.format(i=i)) for i in range(6)])[1][0] == "Method 1\nHistory 1"
+
+
+HOSTS = 12
+_SHELL = ["<div class='top'>Site {h}</div><div class='body'>{c}</div><div class='low'>Legal text of {h}</div>",
+          "<table><tr><td class='left'>Menu of {h}</td><td class='mid'>{c}</td></tr></table><p class='legal'>Site {h}</p>",
+          "<div class='x{h}'><div class='a'>Hello from {h}</div><section class='b'>{c}</section></div>",
+          "<div class='teaser'><article>Card one of {h}</article><article>Card two of {h}</article></div><div class='story'>{c}</div>"]
+_BODY = ["<h2>Head {i}</h2><p>One {i} of {h}</p><p>Two {i}</p>", "<p>One {i} of {h}</p><h3>More</h3><ul><li>Point {i}</li><li>Last {i}</li></ul>"]
+
+
+def test_hosts_without_article_tags(spark):
+    """The plain tag rule finds nothing, or the teasers; the template finds the text, and is a brute-force one's."""
+    rows, want = [], {}
+    for h in range(HOSTS):
+        for i in range(5):
+            content = _BODY[h % 2].format(i=i, h=h)
+            page = "<html><body>" + _SHELL[h % 4].format(h=h, c=content) + "</body></html>"
+            rows.append((100 * h + i, f"https://h{h}.example/{i}", page))
+            want[100 * h + i] = _BODY[h % 2].format(i=i, h=h)
+    got = _texts(spark, rows)
+    read = {k: "\n".join(html.blocks(v)[1]) for k, v in want.items()}
+    assert {k: v[0] for k, v in got.items()} == read
+    # Brute force: the blocks of a host whose text is not the same on all of its pages, and the headings among them.
+    for h in range(HOSTS):
+        pages = [html.blocks(p) for i, _, p in rows if i // 100 == h]
+        for i, (paths, texts, _, _) in enumerate(pages):
+            own = [t for p, t in zip(paths, texts) if not all(t in q[1] for q in pages) or p.endswith("/h3")]
+            assert "\n".join(own) == read[100 * h + i]

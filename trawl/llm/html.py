@@ -13,13 +13,15 @@
    classes nest into the host's template.  Paths of invalid classes are markup inside a slot of the
    template and get that slot's label.
 4. A slot is content if its text varies between the host's distinct pages and
-   is not mostly links.  An article or main element that a page has once is
+   is not mostly links.  A constant or linked slot beside content slots, under the same element
+   and between them on the pages (a heading: before one), is part of the content.  An article or main element that a page has once is
    evidence: links do not count against it, and where too few distinct pages
    show a slot to judge it, it decides.  A path of an invalid class that lies in a
    constant slot is judged by itself.
 5. A page's text is its content blocks in page order, without those under
    a boilerplate tag or cue (menus, headers, footers, sidebars, notices,
-   adverts, forms, comments).  A cue is undone for the wrapper that holds the
+   adverts, forms, comments).  Inside an article a compound class is a cue only if all its
+   words are cues or name a container (``share-buttons``, not ``social-history``).  A cue is undone for the wrapper that holds the
    page's content: a weak one (a form, a cue word in a compound such as
    ``with-sidebar``) if the only article is below it or nothing else but headings is
    left, a strong one if the only article is below it and nothing else is left.
@@ -69,12 +71,18 @@ CUES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert
         "notices", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond",
         "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 
+# Words that name a container whatever it holds.
+CONTAINERS = {"area", "bar", "block", "box", "btn", "button", "buttons", "container", "field", "fields", "icon", "icons", "inner", "item",
+              "items", "link", "links", "list", "outer", "panel", "row", "section", "wrap", "wrapper"}
+
 _TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _ARTICLE = re.compile(r"(?:article|main)(?![a-z])")
+_HEADING = re.compile(r"(?:^|/)h[1-6][^/]*$")
+_PAGE = re.compile(r"(?:^|/)(?:html|body)[^/]*$")
 
 
 def _component(name: str, attrs: str, inside_article: bool) -> str:
@@ -83,7 +91,11 @@ def _component(name: str, attrs: str, inside_article: bool) -> str:
     words = [w for v in values for w in _WORD.findall(v)]
     cue = "!" if name in BOILERPLATE_TAGS - {"form"} or name == "header" and not inside_article else ""
     if not cue and name not in ("html", "body"):
-        cue = "!" if any(v.strip("-_0123456789") in CUES for v in values) else "~" if name == "form" or any(w in CUES for w in words) else ""
+        def compound(value: str) -> bool:
+            own = _WORD.findall(value)
+            return any(w in CUES for w in own) and (not inside_article or all(w in CUES or w in CONTAINERS for w in own))
+
+        cue = "!" if any(v.strip("-_0123456789") in CUES for v in values) else "~" if name == "form" or any(map(compound, values)) else ""
     if "main" in words and any(m[1].lower() == "role" for m in _ATTR.finditer(attrs)):
         name = "main"
     return name + cue + "".join("." + w for w in words)
@@ -177,29 +189,31 @@ def host_of(url: Column) -> Column:
 
 
 PARSED = ("page_id bigint, url string, host string, paths array<string>, texts array<string>, "
-          "slot array<string>, times array<int>, chars array<bigint>, linked array<bigint>, said array<bigint>, "
+          "slot array<string>, times array<int>, first array<int>, last array<int>, chars array<bigint>, linked array<bigint>, said array<bigint>, "
           "article array<boolean>")
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Blocks per page, and per distinct path of the page how often it occurs,
-    its characters, linked characters and a hash of its text."""
+    its first and last block, its characters, linked characters and a hash of its text."""
     def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
             for page in part["html"]:
                 paths, texts, links, repeated = blocks(page)
                 own: dict[str, list] = {}
-                for p, t, n in zip(paths, texts, links, strict=True):
-                    s = own.setdefault(p, [0, 0, 0, []])
+                for i, (p, t, n) in enumerate(zip(paths, texts, links, strict=True)):
+                    s = own.setdefault(p, [0, 0, 0, [], i, i])
+                    s[5] = i
                     s[0] += 1
                     s[1] += len(t)
                     s[2] += n
                     s[3].append(t)
                 words, _ = common.word_hashes(["".join(s[3]).replace(" ", "") for s in own.values()])
-                rows.append((paths, texts, list(own), [s[0] for s in own.values()], [s[1] for s in own.values()],
+                rows.append((paths, texts, list(own), [s[0] for s in own.values()], [s[4] for s in own.values()],
+                             [s[5] for s in own.values()], [s[1] for s in own.values()],
                              [s[2] for s in own.values()], words.view("int64"), [_in_article(p, repeated) for p in own]))
-            out = pd.DataFrame(rows, columns=["paths", "texts", "slot", "times", "chars", "linked", "said", "article"])
+            out = pd.DataFrame(rows, columns=["paths", "texts", "slot", "times", "first", "last", "chars", "linked", "said", "article"])
             yield pd.concat([part[["page_id", "url", "host"]].astype({"page_id": "Int64"}).reset_index(drop=True), out], axis=1)
 
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", host_of(F.col("url")).alias("host"),
@@ -211,7 +225,8 @@ def template(rows: list[dict]) -> dict[str, int]:
     """Label of each path of one host, cues aside: 0 no content, 1 content by its text
     on the pages, 2 content in the pages' article, 3 perhaps content (too few distinct pages).
 
-    ``rows``: path, pages, distinct, times, vector, chars, linked, constant, article; and the host's pages.
+    ``rows``: path, pages, distinct, times, first and last (means over the pages), vector, chars, linked,
+    constant, article; and the host's pages.
     """
     by_path = {r["path"]: r for r in rows}
     classes: dict[tuple, list[str]] = {}
@@ -239,6 +254,19 @@ def template(rows: list[dict]) -> dict[str, int]:
             label[path] = 0
         else:
             label[path] = 2 if r["article"] else 1 if r["distinct"] >= LEAST_PAGES else 3
+    # Where content begins and ends below each element, by the slots that are content themselves.
+    spans: dict[str, tuple[float, float, int]] = {}
+    for path, found in label.items():
+        r, up = by_path[path], path.rpartition("/")[0] if found else ""
+        while up and not _PAGE.search(up):
+            low, high, most = spans.get(up, (r["first"], r["last"], found))
+            spans[up] = min(low, r["first"]), max(high, r["last"]), found if most == 3 else max(most, found if found < 3 else 0)
+            up = up.rpartition("/")[0]
+    for path, found in list(label.items()):
+        low, high, of = spans.get(path.rpartition("/")[0], (0.0, 0.0, 0))
+        r = by_path[path]
+        if not found and of and r["last"] < high and (r["first"] > low or _HEADING.search(path)):
+            label[path] = of
     return label
 
 
@@ -248,9 +276,10 @@ def templates(parsed: DataFrame) -> DataFrame:
     told = F.filter(F.arrays_zip("slot", "said"), lambda s: ~F.contains(s["slot"], F.lit("!")))
     page = F.xxhash64(F.when(F.size(told) > 0, told).otherwise(F.arrays_zip("slot", "said")))
     slots = parsed.select("host", "page_id", page.alias("page"), F.explode(
-        F.arrays_zip("slot", "times", "chars", "linked", "said", "article")).alias("s"))
+        F.arrays_zip("slot", "times", "first", "last", "chars", "linked", "said", "article")).alias("s"))
     token = slots.groupBy("host", F.col("s.slot").alias("path")).agg(
         F.count("*").alias("pages"), F.count_distinct("page").alias("distinct"), F.sum("s.times").alias("times"), F.sum("s.chars").alias("chars"),
+        F.avg("s.first").alias("first"), F.avg("s.last").alias("last"),
         F.sum("s.linked").alias("linked"), F.bit_xor(F.xxhash64("page_id", "s.times")).alias("vector"),
         (F.min("s.said") == F.max("s.said")).alias("constant"), F.min("s.article").alias("article"))
     sizes = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
