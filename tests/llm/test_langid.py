@@ -81,3 +81,25 @@ def test_held_out_accuracy(spark):
     got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id")
     held = got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
     assert held[0] >= 0.98 and held[1] > 100
+
+
+def test_code_lengths_are_those_of_all_grams(spark):
+    """More distinct grams than any cut would keep, and null texts that must not thin the sample."""
+    rng = np.random.default_rng(3)
+    rows = [(i, "xx", "".join(map(chr, rng.integers(0x4E00, 0x9000, 4000)))) for i in range(10)]
+    rows += [(1000 + i, "xx", None) for i in range(5000)] + [(2, "en", "the cat")]
+    model = langid.train(spark.createDataFrame(rows, SCHEMA))
+    text = rows[3][2][:500] + "abc"
+    want = [_brute([r for r in rows if r[2]], lang, text) for lang in model.langs]
+    np.testing.assert_allclose(model.code_lengths([text])[0], want, rtol=1e-5)
+
+
+def test_windows_bound_memory(monkeypatch):
+    texts = ["abc" * 100, "", "x", "déf" * 50]
+    buf, ends = langid._buffer(texts)
+    whole = list(langid._windows(buf, ends))
+    monkeypatch.setattr(langid, "BATCH_BYTES", 7)
+    parts = list(langid._windows(buf, ends))
+    assert max(len(k) for k, _ in parts) <= 7
+    assert np.concatenate([k for k, _ in parts]).tolist() == whole[0][0].tolist()
+    assert np.concatenate([o for _, o in parts]).tolist() == whole[0][1].tolist()

@@ -10,10 +10,9 @@ unrolled once into tables (gram -> code length in each language) and a
 text's exact code lengths are sums of table look-ups, whole batches at a time.
 The language with the shortest code wins.
 
-Training reads at most about ``SAMPLE_DOCS`` whole documents per language, drawn
-by a hash of the id (a documented bound; counting is a Spark aggregation), and
-keeps the ``MAX_GRAMS`` most frequent grams per language and order, so
-the model's size does not grow with the corpus.
+Training reads at most about ``SAMPLE_DOCS`` whole documents and ``SAMPLE_BYTES`` of text per language, drawn
+by a hash of the id (a documented bound; counting is a Spark aggregation).  All grams of
+the sample are kept, so the code lengths are those of its full statistics, and the sample bounds the model.
 
 Cases: null text, or text without a letter, is ``und`` with score 0; without
 any labelled row every text is.  Rows with null ids are predicted and not
@@ -30,14 +29,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm import common
 
 ORDER = 4
 SAMPLE_DOCS = 1500
-MAX_GRAMS = 60_000
+SAMPLE_BYTES = 8 << 20
 BATCH_BYTES = 1 << 19
 UNKNOWN = "und"
 
@@ -70,6 +69,18 @@ def _buffer(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _LOWER[np.frombuffer(b"".join(raws), np.uint8)], np.cumsum([len(r) for r in raws])
 
 
+def _windows(buf: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams of the longest order and the text of each, ``BATCH_BYTES`` positions at a time."""
+    starts = ends - np.diff(ends, prepend=0)
+    for at in range(0, len(buf), BATCH_BYTES):
+        low, to = max(0, at - ORDER), min(len(buf), at + BATCH_BYTES)
+        place = np.arange(at, to)
+        own = np.searchsorted(ends, place, side="right")
+        inside = place - starts[own] >= ORDER               # not the line feeds before a text
+        if inside.any():
+            yield grams(buf[low:to], ORDER)[at - low:][inside], own[inside]
+
+
 class Table:
     """Open-addressing map from 64-bit keys to rows of a matrix."""
 
@@ -151,14 +162,8 @@ class Model:
         """Bits of each whole text in each language."""
         buf, ends = _buffer(texts)
         total = np.zeros((len(texts), len(self.langs)))
-        inside = np.ones(len(buf), dtype=bool)
-        for back in range(ORDER):
-            inside[(ends - np.diff(ends, prepend=0)) + back] = False
-        keys = grams(buf, ORDER)[inside]
-        owner = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0) - ORDER)
-        for at in range(0, len(keys), BATCH_BYTES):
-            bits = self.bits(keys[at:at + BATCH_BYTES], ORDER)
-            own = owner[at:at + BATCH_BYTES]
+        for keys, own in _windows(buf, ends):
+            bits = self.bits(keys, ORDER)
             first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
             total[own[first]] += np.add.reduceat(bits.astype(np.float64), first, axis=0)
         return total
@@ -181,37 +186,32 @@ class Model:
 def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learn from the rows of ``docs`` with a language and a text."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = {r.lang: r.n for r in rows.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.where("lang is not null and text is not null")
+    sizes = {r.lang: max(r.n / SAMPLE_DOCS, r.bytes / SAMPLE_BYTES) for r in rows.groupBy("lang").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], pd.DataFrame({"lang": [], "ord": [], "gram": [], "n": []}))
     number = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
-    share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, SAMPLE_DOCS / sizes[lang]))])
+    share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, 1 / max(1.0, sizes[lang]))])
     draw = F.pmod(F.xxhash64("id", F.lit(0x5EED)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
-    sample = rows.where("lang is not null and text is not null").where(draw).select(
+    sample = rows.where(draw).select(
         number[F.col("lang")].alias("lang"), "text")
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for lang, own in part.groupby("lang"):
                 for run in common.batches(own["text"].tolist(), len, BATCH_BYTES):
-                    buf, ends = _buffer(run)
-                    starts = ends - np.diff(ends, prepend=0)
-                    inside = np.ones(len(buf), dtype=bool)
-                    for back in range(ORDER):
-                        inside[starts + back] = False
-                    keys = grams(buf, ORDER)[inside]
-                    for order in range(ORDER + 1):
-                        gram, n = np.unique(keys & _mask(order), return_counts=True)
-                        yield pd.DataFrame({"lang": np.int32(lang), "ord": np.int32(order),
-                                            "gram": gram.view(np.int64), "n": n.astype(np.int64)})
+                    for keys, _ in _windows(*_buffer(run)):
+                        for order in range(ORDER + 1):
+                            gram, n = np.unique(keys & _mask(order), return_counts=True)
+                            yield pd.DataFrame({"lang": np.int32(lang), "ord": np.int32(order),
+                                                "gram": gram.view(np.int64), "n": n.astype(np.int64)})
 
     counted = common.map_pandas(sample, count, "lang int, ord int, gram bigint, n bigint").groupBy(
         "lang", "ord", "gram").agg(F.sum("n").alias("n"))
-    common_first = Window.partitionBy("lang", "ord").orderBy(F.desc("n"), "gram")
-    kept = counted.withColumn("r", F.row_number().over(common_first)).where(F.col("r") <= MAX_GRAMS).drop("r")
-    # At most languages * (ORDER + 1) * MAX_GRAMS rows of four numbers, by construction, as Arrow columns.
-    return Model(langs, kept.select("lang", "ord", "gram", "n").toArrow().to_pandas())
+    # The grams of a bounded sample, four numbers each, as Arrow columns.
+    return Model(langs, counted.select("lang", "ord", "gram", "n").toArrow().to_pandas())
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
