@@ -53,6 +53,27 @@ def test_awkward_rows(spark):
     assert docs.count() > 0
 
 
+def test_null_ids_are_decided_like_others(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, f"before {item} after", "en", "a", 1), (None, words, "en", "a", 1), (None, words, "en", "b", 2), (7, words + " more", "en", "a", 1),
+            (8, "quite another text of eight words it is", "en", "a", 1), (9, "first of id nine", "en", "z", 1), (9, "another one of id nine", "en", "y", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    left = pipeline.near_dedup(spark, docs, SF)
+    assert sorted((str(r.doc_id), r.text) for r in left.collect()) == sorted(
+        [("None", rows[0][1]), ("7", rows[3][1]), ("8", rows[4][1]), ("9", rows[6][1])])
+    clean = pipeline.decontaminate(spark, docs, SF)
+    assert sorted((str(r.doc_id), r.text) for r in clean.collect()) == sorted((str(r[0]), r[1]) for r in rows[1:])
+
+
+def test_clashing_columns_come_through(spark):
+    docs = spark.createDataFrame([(i, f"some text number {i}", "en", "s", 1, 5, 6, 7) for i in range(4)],
+                                 SCHEMA + ", tokens int, copies int, own_id int")
+    for name, stage in pipeline.STAGES[1:4]:
+        docs = stage(spark, docs, SF)
+        assert {tuple(r)[5:] for r in docs.collect()} == {(5, 6, 7)} and docs.columns[5:] == ["tokens", "copies", "own_id"]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in pipeline.STAGES:

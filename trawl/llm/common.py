@@ -81,6 +81,26 @@ def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if small else ids, key, "left_anti").select(*rows.columns)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def without_texts(rows: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``rows`` whose id (null-safe) and text are not among the (id, own) of ``found``; ``own`` is a text's hash."""
+    found = written(found.select("id", "own").distinct(), "found-texts")
+    small = found.count() * 48 <= BROADCAST_BYTES
+    same = (F.col(f"r.{id_col}").cast("bigint").eqNullSafe(F.col("f.id")) & (text_hash(f"r.{text_col}") == F.col("f.own")))
+    return rows.alias("r").join((F.broadcast(found) if small else found).alias("f"), same, "left_anti").select(*rows.columns)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

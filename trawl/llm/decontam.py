@@ -151,15 +151,16 @@ def _item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[
         yield held
 
 
-PAIR_SCHEMA = "doc_id bigint, item_id bigint, shared bigint, item_shingles bigint"
+PAIR_SCHEMA = "doc_id bigint, own bigint, item_id bigint, shared bigint, item_shingles bigint"
 
 
-def contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80,
+def _pairs(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80,
                  doc_col: str = "doc_id", doc_text: str = "text",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, shared, item_shingles, containment) of every verified pair."""
+    """(doc_id, own, item_id, shared, item_shingles) of every verified pair; ``own`` is a hash of the document's text."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(doc_col).cast("bigint").alias("id"), F.col(doc_text).alias("text")).where("text is not null")
+    texts = docs.select(F.col(doc_col).cast("bigint").alias("id"), common.text_hash(doc_text).alias("own"),
+                        F.col(doc_text).alias("text")).where("text is not null")
     found = spark.createDataFrame([], PAIR_SCHEMA)
     for block in _item_blocks(items, item_col, item_text):
         index = spark.sparkContext.broadcast((block, shingle))
@@ -167,17 +168,30 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: i
         def search(parts: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             own = Items(*index.value)
             for part in parts:
-                ids, texts = part["id"].array, part["text"].tolist()
+                ids, hashes, texts = part["id"].array, part["own"].to_numpy(), part["text"].tolist()
                 rows, start = [], 0
                 for run in common.batches(texts, len, BATCH_CHARS):
-                    rows += [(ids[start + d], own.ids[i], n, len(own.sets[i])) for d, i, n in own.search(run, percent)]
+                    rows += [(ids[start + d], hashes[start + d], own.ids[i], n, len(own.sets[i])) for d, i, n in own.search(run, percent)]
                     start += len(run)
                 if rows:
-                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "shared", "item_shingles"]).astype(
+                    yield pd.DataFrame(rows, columns=["doc_id", "own", "item_id", "shared", "item_shingles"]).astype(
                         {"doc_id": "Int64", "item_id": "Int64"})
 
         found = found.unionAll(common.map_pandas(texts, search, PAIR_SCHEMA))
-    return found.withColumn("containment", F.col("shared") / F.col("item_shingles"))
+    return found
+
+
+def contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80, **columns) -> DataFrame:
+    """(doc_id, item_id, shared, item_shingles, containment) of every verified pair; ``columns`` as in :func:`clean`."""
+    return _pairs(docs, items, shingle, percent, **columns).drop("own").withColumn(
+        "containment", F.col("shared") / F.col("item_shingles"))
+
+
+def clean(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80, doc_col: str = "doc_id",
+          doc_text: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold an item, rows with a null or repeated id decided by their own text."""
+    found = _pairs(docs, items, shingle, percent, doc_col, doc_text, item_col, item_text)
+    return common.without_texts(docs, found.select(F.col("doc_id").alias("id"), "own"), doc_col, doc_text)
 
 
 ORACLE_SQL = r"""

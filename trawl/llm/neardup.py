@@ -251,13 +251,20 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id.
 
-    Of repeated rows with one id one stays; rows with a null id all stay.
+    Rows with a null id are decided like others: equal texts among them are one document, whose id
+    is above all that are given.  Of rows with one id the one with the smallest text stays.
     """
-    found = common.written(near_duplicates(docs, shingle, percent, id_col, text_col), "near-duplicates")
-    kept = common.without(docs, found.where("not kept").select("doc_id"), id_col)
-    repeated = common.written(found.where("kept and doc_id is not null").groupBy("doc_id").agg(
-        F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias(id_col)), "repeated")
+    name = common.free_name(docs, "own_id")
+    # A hash in the upper quarter of the longs stands for a missing id.
+    unnamed = F.lit(1 << 62) + F.shiftrightunsigned(common.text_hash(text_col), 2)
+    docs = docs.withColumn(name, F.coalesce(F.col(id_col).cast("bigint"), unnamed))
+    found = common.written(near_duplicates(docs, shingle, percent, name, text_col), "near-duplicates")
+    kept = common.without(docs, found.where("not kept").select("doc_id"), name)
+    repeated = common.written(found.where("kept").groupBy("doc_id").agg(
+        F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias(name)), "repeated")
     if repeated.isEmpty():
-        return kept
-    single = common.without(kept, repeated, id_col)
-    return single.unionByName(kept.join(repeated, id_col).dropDuplicates([id_col]).select(*docs.columns))
+        return kept.drop(name)
+    single = common.without(kept, repeated, name)
+    one = kept.join(repeated, name).groupBy(name).agg(
+        F.min_by(F.struct(*docs.columns), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("row"))
+    return single.unionByName(one.select("row.*")).drop(name)
