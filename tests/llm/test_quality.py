@@ -36,6 +36,54 @@ def test_kth_largest(spark, k):
     assert sum(v >= cut for v in values) == min(k, 1000)
 
 
+def test_kth_largest_of_keys_in_one_cell(spark, monkeypatch):
+    """One extreme key stretches the range until all others share a cell."""
+    monkeypatch.setattr(quality, "CELL_ROWS", 10)
+    rng = np.random.default_rng(5)
+    values = [1e12, -1e13] + rng.gumbel(size=500).tolist() + [0.25] * 200
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    ranked = sorted(values, reverse=True)
+    for k in (1, 2, 30, 300, 500, 701):
+        assert quality.largest(rows, "v", k) == ranked[k - 1]
+
+
+def test_weights_draw_and_kept_match_brute_force(spark):
+    """Another implementation of the tokens, the two models, the noise and the draw; hashes are the module's."""
+    import math
+    import re
+    from collections import Counter
+    rng = np.random.default_rng(9)
+    words = ["alpha", "Beta", "gamma", "delta!", "e e", "(zeta)"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 25)))) for i in range(120)] + [(200, None), (201, "")]
+    good = {i for i in range(0, 120, 3)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in good)) for i in range(60)], "doc_id long, quality int")
+    good &= set(range(60))
+
+    def grams(text):
+        toks = re.findall(r"[a-z]+|[^a-z\s]", (text or "").lower())
+        return [(t,) for t in toks] + [("=",) if a == b else (a, b) for a, b in zip(toks, toks[1:])]
+    raw = Counter(g for _, t in rows for g in grams(t))
+    target = Counter(g for i, t in rows if i in good for g in grams(t))
+    size = quality.BUCKETS
+    s, n = quality.SMOOTHING, sum(target.values())
+    temper = n / sum(raw.values())
+
+    def ratio(g):
+        return math.log((target[g] + s) / (n + s * size)) - math.log((raw[g] * temper + s) / (n + s * size))
+    got = {r.doc_id: r for r in quality.resample(docs, labels, keep_share=0.3).collect()}
+    # Buckets of 2 ** 20 or so: no collisions among these few grams.
+    for i, t in rows:
+        if grams(t):
+            assert got[i].log_weight == pytest.approx(sum(ratio(g) for g in grams(t)), abs=1e-6)
+        else:
+            assert got[i].log_weight is None and not got[i].kept
+    noise = {r.doc_id: r.g for r in docs.select("doc_id", quality.gumbel(F.col("doc_id"), 29).alias("g")).collect()}
+    keys = sorted((got[i].log_weight + noise[i] for i, t in rows if grams(t)), reverse=True)
+    k = round(0.3 * len(rows))
+    assert {i for i in got if got[i].kept} == {i for i, t in rows if grams(t) and got[i].log_weight + noise[i] >= keys[k - 1]}
+
+
 def test_cases(spark):
     rows = [(1, "good text here"), (2, None), (3, ""), (None, "good text"), (4, "%%% !!"), (4, "%%% !!")]
     docs = spark.createDataFrame([(d, t, 1.0) for d, t in rows], "doc_id long, text string, log_weight double")

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm import common
@@ -38,6 +38,7 @@ BUCKETS = 1 << BUCKET_BITS
 TARGET_DOCS = 20_000
 SMOOTHING = 20.0
 CELLS = 4096
+CELL_ROWS = 20_000
 BATCH_CHARS = 1 << 20
 
 
@@ -140,21 +141,35 @@ def weigh(docs: DataFrame, labels: DataFrame, target_docs: int = TARGET_DOCS) ->
 
 
 def largest(rows: DataFrame, key: str, k: int) -> float:
-    """The k-th largest non-null ``key``; minus infinity if there are not more than k."""
-    ends = rows.agg(F.min(key), F.max(key), F.count(key)).first()
-    if ends[2] <= k or k <= 0:
-        return float("-inf") if k > 0 else float("inf")
-    low, high = ends[0], ends[1]
-    cell = F.least(F.lit(CELLS - 1), F.floor((F.col(key) - low) / ((high - low) / CELLS))) if high > low else F.lit(0)
-    keyed = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), cell.cast("int").alias("cell"))
-    above = 0
-    for r in sorted(keyed.groupBy("cell").count().collect(), reverse=True):      # at most CELLS rows
-        if above + r["count"] >= k:
+    """The k-th largest non-null ``key``; minus infinity if there are not more than k.
+
+    The range is cut into cells, and the cell that holds the k-th is cut again, until it has at most
+    ``CELL_ROWS`` rows or a single key: however the keys are spread, no task sorts more.
+    """
+    keys = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("key"))
+    if k <= 0:
+        return float("inf")
+    low, high, n = keys.agg(F.min("key"), F.max("key"), F.count("*")).first()
+    if n <= k:
+        return float("-inf")
+    while low < high and n > CELL_ROWS:
+        cell = F.least(F.lit(CELLS - 1), F.floor((F.col("key") - low) / (high - low) * CELLS)).cast("int")
+        cells = keys.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+        for r in sorted(cells.collect(), key=lambda r: -r["cell"]):          # at most CELLS rows
+            if k <= r["n"]:
+                break
+            k -= r["n"]
+        if r["n"] == n:                                                      # neighbouring doubles: no cell parts them
             break
-        above += r["count"]
-    inside = keyed.where(F.col("cell") == r["cell"])
-    place = F.row_number().over(Window.orderBy(F.desc("key")))                  # one cell's rows only
-    return inside.withColumn("r", place).where(F.col("r") == k - above).first()["key"]
+        low, high, n = r["low"], r["high"], r["n"]
+        keys = keys.where(F.col("key").between(low, high))
+    if low == high:
+        return low
+    counts = keys.groupBy("key").agg(F.count("*").alias("n")).orderBy(F.desc("key"))     # at most CELL_ROWS rows
+    for value, many in counts.collect():
+        if k <= many:
+            return value
+        k -= many
 
 
 def resample(docs: DataFrame, labels: DataFrame, keep_share: float | None = None, seed: int = 29) -> DataFrame:
