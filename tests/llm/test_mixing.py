@@ -107,3 +107,12 @@ def test_columns_and_empty(spark, docs):
     assert got.columns == ["doc_id", "text", "lang", "source", "tokens", "copies"] and dict(got.dtypes)["tokens"] == "bigint"
     assert {r.copies for r in got.collect()} == {1}            # natural weights and a full budget: all once
     assert mixing.mix(docs.limit(0), mixing.document_levels(), TARGETS).collect() == []
+
+
+def test_clashing_internal_names(spark):
+    rows = [(i, "a b c", "en", i, i, i, i, i) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _level0 long, _cut long, _epochs long, _rest long, _copies long")
+    got = mixing.mix(docs, {"lang": F.col("lang")}, {"lang": {"en": 1.0}}, budget_share=0.5)
+    plain = mixing.mix(docs.select("doc_id", "text", "lang"), {"lang": F.col("lang")}, {"lang": {"en": 1.0}}, budget_share=0.5)
+    assert all(r._cut == r._level0 == r._copies == r.doc_id for r in got.collect())
+    assert sorted((r.doc_id, r.copies) for r in got.collect()) == sorted((r.doc_id, r.copies) for r in plain.collect())

@@ -104,8 +104,8 @@ def cuts(facts: DataFrame, plan: DataFrame, levels: list[str], seed: int) -> Dat
     order = Window.partitionBy(*levels).orderBy("range")
     upto = sums.withColumn("upto", F.sum("sum").over(order))
     # The range in which the running sum passes the rest; none if all fits.
-    at = upto.where("upto > rest and upto - sum <= rest").select(
-        *levels, "range", (F.col("upto") - F.col("sum")).alias("before"))
+    at = common.written(upto.where("upto > rest and upto - sum <= rest").select(
+        *levels, "range", (F.col("upto") - F.col("sum")).alias("before")), "mix-ranges")
     inside = keyed.join(_sized(at), [*levels, "range"])
     run = F.col("before") + F.sum("tokens").over(Window.partitionBy(*levels).orderBy("key"))
     last = inside.withColumn("run", run).where("run <= rest").groupBy(*levels).agg(F.max("key").alias("last"))
@@ -127,7 +127,7 @@ def mix(docs: DataFrame, levels: dict[str, Column], targets: dict[str, dict[str,
     ``levels`` names the tree's levels from the root down, each with the
     expression that gives a row's value.
     """
-    names = [f"_level{i}" for i in range(len(levels))]
+    names = [common.free_name(docs, f"_level{i}") for i in range(len(levels))]
     values = [F.coalesce(c.cast("string"), F.lit(NONE)) for c in levels.values()]
     counted = tokens if tokens is not None else token_count(F.col(text_col))
     facts = common.written(docs.select(
@@ -135,15 +135,16 @@ def mix(docs: DataFrame, levels: dict[str, Column], targets: dict[str, dict[str,
         counted.alias("tokens")), "mix-facts")
     plan = budgets(facts, names, dict(zip(names, [targets.get(x) for x in levels], strict=True)), budget_share, max_epochs)
     plan = common.written(plan, "mix-plan")
+    epochs, rest, cut, copies, counts = (common.free_name(docs, f"_{x}") for x in ("epochs", "rest", "cut", "copies", "tokens"))
     plan = common.written(cuts(facts, plan, names, seed), "mix-cuts").select(
-        *names, F.col("epochs").alias("_epochs"), F.col("rest").alias("_rest"), F.col("cut").alias("_cut"))
+        *names, F.col("epochs").alias(epochs), F.col("rest").alias(rest), F.col("cut").alias(cut))
     drawn = docs.select("*", *[v.alias(n) for n, v in zip(names, values, strict=True)]).join(_sized(plan), names)
-    key = order_key(F.col(id_col), F.col("_epochs") + 1, seed)
-    more = (F.col("_rest") > 0) & (F.col("_cut").isNull() | (key <= F.col("_cut")))
+    key = order_key(F.col(id_col), F.col(epochs) + 1, seed)
+    more = (F.col(rest) > 0) & (F.col(cut).isNull() | (key <= F.col(cut)))
     own = [c for c in docs.columns if c not in ("tokens", "copies")]
-    return (drawn.withColumn("_copies", F.col("_epochs") + more.cast("bigint")).where("_copies > 0")
-            .withColumn("_tokens", counted).where("_tokens > 0")
-            .select(*own, F.col("_tokens").alias("tokens"), F.col("_copies").alias("copies")))
+    return (drawn.withColumn(copies, F.col(epochs) + more.cast("bigint")).where(F.col(copies) > 0)
+            .withColumn(counts, counted).where(F.col(counts) > 0)
+            .select(*own, F.col(counts).alias("tokens"), F.col(copies).alias("copies")))
 
 
 # Production parameters of the registered query and of the pipeline.
