@@ -15,8 +15,8 @@ columns of ``documents``.
    two epochs comes twice.
 5. tokenize: token ids with Elias-Fano bounds, digests read back.
 
-Empty inputs give empty results at every stage.  A null id is kept by every filter;
-repeated rows of one id are one document of the near-dedup stage and one stays.
+Empty inputs give empty results at every stage.  Rows with a null id are decided like others, by
+their text; repeated rows of one id are one document of the near-dedup stage and one stays.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.llm import decontam, langid, mixing, neardup, tokens
-from trawl.llm.common import table, without, written
+from trawl.llm.common import free_name, table, written
 from trawl.llm.queries import tokenizer_file
 
 
@@ -39,13 +39,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"), shingle=5, percent=80)
-    return without(docs, found.select("doc_id"), "doc_id")
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), shingle=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, mixing.document_levels(), {"lang": mixing.LANG_TARGETS}, seed=17)
-    return mixed.withColumn("copies", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    # The operator's own columns must not replace a user's of the same name.
+    names = {c: free_name(docs, f"_{c}") if c in ("tokens", "copies") else c for c in docs.columns}
+    mixed = mixing.mix(docs.withColumnsRenamed(names), mixing.document_levels(), {"lang": mixing.LANG_TARGETS}, seed=17)
+    each = mixed.withColumn("copies", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return each.select(*[F.col(names[c]).alias(c) for c in docs.columns])
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
