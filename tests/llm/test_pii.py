@@ -90,6 +90,36 @@ def test_contexts_find_other_shapes_and_several_tokens(spark):
     assert got == want
 
 
+def test_a_phrase_of_a_third_of_all_mentions(spark, monkeypatch):
+    """The join with the qualified patterns, broadcast and not, with one pattern in most rows."""
+    rows = [(i, f"call me on +1-555-{100 + i}-{4000 + i} today") for i in range(60)]
+    rows += [(100 + i, f"call me on 555-{100 + i % 9}-7777 today") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((r.doc_id, r.spans) for r in pii.find(docs).collect())
+    assert all(s for _, s in want)
+    monkeypatch.setattr(pii.common, "BROADCAST_BYTES", 0)
+    assert sorted((r.doc_id, r.spans) for r in pii.find(docs).collect()) == want
+
+
+def test_texts_are_searched_for_candidates_only_where_a_pattern_could_qualify(spark, monkeypatch):
+    searched = []
+    scan = pii.scan
+    monkeypatch.setattr(pii, "scan", lambda docs, candidates=True, **kw: searched.append(candidates) or scan(docs, candidates=candidates, **kw))
+    for n, phrase in ((4, "my mail is"), (5, "my mail is")):
+        rows = [(i, f"{phrase} user{i}@mail.example ok") for i in range(n)] + [(90, "my mail is jo at mail dot example ok")]
+        got = [r.doc_id for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_found]
+        assert got == ([90] if n == 5 else [])
+    assert searched == [False, False, True]
+
+
+def test_held_out_strings_are_found_again(spark):
+    rows = [(i, f"please call me on +1-555-{100 + i}-{4000 + i} today") for i in range(60)]
+    rows += [(100 + i, f"my address is user{i}@mail.example ok") for i in range(60)]
+    rows += [(200 + i, f"word{i} 4111 1111 1111 1111 word{i} {i}{i}{i}.{i}") for i in range(20)]
+    r = pii.held_out(spark.createDataFrame(rows, "doc_id long, text string"), share=0.3).first()
+    assert 15 < r.hidden < 60 and r.right == r.found >= 0.9 * r.hidden - 1 and r.added == r.found
+
+
 def _cards(n):
     out, x = [], 4000000000000000
     while len(out) < n:

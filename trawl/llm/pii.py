@@ -14,8 +14,11 @@ fit halves a confidence, and strings that reach ``LEAST_SCORE`` seed the next ro
 Patterns need ``LEAST_SUPPORT`` different known strings.  All mentions of the strings
 found this way are added as spans of the pattern's kind; base spans stay.
 
-Only DataFrame functions are used.  The texts are read once; spans,
+Only DataFrame functions are used.  Base mentions and their patterns come first.  Where no pattern has
+``LEAST_SUPPORT`` known strings of a kind and the confidence that they allow, the first round can find nothing,
+and the texts are not searched for candidates.  Otherwise they are read again; spans,
 candidates and contexts are written, and every later step works on those.
+``held_out`` measures discovery: a seeded share of the base strings is hidden and looked for.
 Positions are code points.  They are sums of the lengths of matches and of what
 lies between, taken in blocks so that a text full of matches stays cheap.  The
 expressions are the plain ones with starts inside a run of characters ruled out
@@ -128,15 +131,16 @@ def _mentions(df: DataFrame, name: str, pattern: str, guard: Column) -> DataFram
     return df.withColumn(name, mention).drop("_m", "_p", "_l", "_s")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row (a hash of the text), base and candidate mentions of every row."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", candidates: bool = True) -> DataFrame:
+    """doc_id, row (a hash of the text), base and, if asked for, candidate mentions of every row."""
     df = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     text = F.col("text")
     guards = {"email": text.contains("@"), "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike("[0-9]"), "phone": text.contains("+")}
     for kind, pattern in zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True):
         df = _mentions(df, kind, pattern, guards[kind])
         df = df.withColumn(kind, _passing(kind))
-    df = _mentions(df, "other", CANDIDATE, text.rlike(r"[0-9]|[\x20\[({<][aA][tT][\x20\])}>]"))
+    if candidates:
+        df = _mentions(df, "other", CANDIDATE, text.rlike(r"[0-9]|[\x20\[({<][aA][tT][\x20\])}>]"))
 
     def hashed(m: Column, kind: Column) -> Column:
         return F.struct(kind.alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
@@ -148,6 +152,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     base = F.concat(*[of_kind(i) for i in range(len(KINDS))])
     df = df.withColumn("base", base)
+    if not candidates:
+        return df.select("doc_id", F.xxhash64("text").alias("row"), "base", F.slice("base", F.lit(1), F.lit(0)).alias("other"))
     free = F.filter("other", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
     return df.select("doc_id", F.xxhash64("text").alias("row"), "base",
                      F.transform(free, lambda m: hashed(m, F.lit(None).cast("int"))).alias("other"))
@@ -174,8 +180,10 @@ def discover(mentions: DataFrame, least_support: int = LEAST_SUPPORT, least_conf
                      F.count_if(misfit).alias(f"misfits{i}")]
         kinds = F.array(*[F.struct(F.lit(i).alias("seed"), F.col(f"n{i}").alias("n"), (F.col(f"score{i}") / (
             F.col("all") + MISFIT * F.col(f"misfits{i}"))).alias("confidence")) for i in range(len(KINDS))])
-        patterns = told.groupBy("pattern").agg(*sums).where("unknown > 0").select("pattern", F.inline(kinds)).where(
-            (F.col("n") >= least_support) & (F.col("confidence") >= least_confidence)).drop("n")
+        patterns = common.written(told.groupBy("pattern").agg(*sums).where("unknown > 0").select("pattern", F.inline(kinds)).where(
+            (F.col("n") >= least_support) & (F.col("confidence") >= least_confidence)).drop("n"), "patterns")
+        # Qualified patterns are few; a common phrase among them then meets its strings where these are.
+        patterns = F.broadcast(patterns) if patterns.count() * 128 <= common.BROADCAST_BYTES else patterns
         unknown = told.where("seed is null").select("pattern", "said", "fits")
         doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence") * F.when(fit, 1.0).otherwise(MISFIT))))
         scored = unknown.join(patterns, "pattern").groupBy("said", "seed").agg((1 - F.exp(doubt)).alias("score")).groupBy("said").agg(
@@ -188,6 +196,36 @@ def discover(mentions: DataFrame, least_support: int = LEAST_SUPPORT, least_conf
     return found.select("said", F.col("seed").alias("kind"))
 
 
+def promising(mentions: DataFrame, least_support: int = LEAST_SUPPORT, least_confidence: float = LEAST_CONFIDENCE) -> bool:
+    """Whether some pattern of the base mentions could qualify, were nothing else to contradict it."""
+    known = mentions.where("kind is not null")
+    kinds = known.groupBy("said").agg(F.min("kind").alias("kind"))
+    per = known.select("pattern", "said").distinct().join(kinds, "said").groupBy("pattern", "kind").agg(F.count("*").alias("n"))
+    best = per.groupBy("pattern").agg(F.max("n").alias("n"), F.sum("n").alias("all"))
+    return not best.where((F.col("n") >= least_support) & (F.col("n") >= F.lit(least_confidence) * F.col("all"))).isEmpty()
+
+
+def _edges(scanned: DataFrame) -> DataFrame:
+    """pattern, said, kind, fits of every mention and pattern."""
+    return scanned.select(F.explode(F.concat("base", "other")).alias("m")).select(
+        F.explode("m.patterns").alias("pattern"), "m.said", "m.kind", "m.fits")
+
+
+def held_out(docs: DataFrame, share: float = 0.2, seed: int = 11, **limits) -> DataFrame:
+    """One row: ``hidden`` base strings (their mentions become candidates), how many of them were ``found``,
+    how many with their own kind (``right``), and all strings ``added``."""
+    edges = common.written(_edges(scan(docs)), "pii-edges")
+    hides = F.pmod(F.xxhash64("said", F.lit(seed)), F.lit(1 << 20)) < share * (1 << 20)
+    true = edges.where("kind is not null").where(hides).groupBy("said").agg(F.min("kind").alias("true"))
+    hidden = F.col("kind").isNotNull() & hides
+    told = edges.withColumn("fits", F.when(hidden, F.lit((1 << len(KINDS)) - 1)).otherwise(F.col("fits"))).withColumn(
+        "kind", F.when(~hidden, F.col("kind")))
+    strings = discover(told, **limits)
+    return true.join(strings.withColumn("got", F.lit(True)), "said", "full").agg(
+        F.count("true").alias("hidden"), F.count_if(F.col("true").isNotNull() & F.col("got")).alias("found"),
+        F.count_if(F.col("true") == F.col("kind")).alias("right"), F.count("got").alias("added"))
+
+
 def _listed(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(
@@ -196,10 +234,13 @@ def _listed(spans: Column) -> Column:
 
 def find(docs: DataFrame, **limits) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found of every row."""
-    scanned = common.written(scan(docs), "pii-scan")
-    mentions = scanned.select(F.explode(F.concat("base", "other")).alias("m")).select(
-        F.explode("m.patterns").alias("pattern"), "m.said", "m.kind", "m.fits")
-    strings = common.written(discover(mentions, **limits), "pii-strings")
+    scanned = common.written(scan(docs, candidates=False), "pii-base")
+    bounds = {k: v for k, v in limits.items() if k != "least_score"}
+    if promising(_edges(scanned), **bounds):
+        scanned = common.written(scan(docs), "pii-scan")
+        strings = common.written(discover(_edges(scanned), **limits), "pii-strings")
+    else:
+        strings = docs.sparkSession.createDataFrame([], "said bigint, kind int")
     small = strings.count() * 32 <= common.BROADCAST_BYTES
     other = scanned.where(F.size("other") > 0).select("doc_id", "row", F.explode("other").alias("m")).select(
         "doc_id", "row", "m.start", "m.end", "m.said")
