@@ -10,14 +10,17 @@ lists     part INT, term STRING, docs ARRAY<STRUCT<doc_id, tf, dl>>
           has (most terms are rare) are not read as rows
 docs      doc_id LONG, docno STRING, dl LONG  (every document, dl may be 0)
 terms     term STRING, df LONG, cf LONG
-stats     one row: n_docs, docs_with_terms, tokens, postings, vocabulary
+stats     one row: n_docs, docs_with_terms, tokens, postings, vocabulary, and a
+          sketch of the vocabulary that merges with those of other indexes
+deleted   doc_id LONG, bucketed like the postings, where documents were deleted
 
 Build cost (bucketed layout): the text is read and shuffled once into doc-id
 buckets, then tokenised and counted inside each bucket (no exchange) and
 written to the scratch folder, one file per bucket; document lengths are a per-bucket aggregate
 over these postings, and term statistics one aggregate over them.  The
 postings of the common terms, a set of bounded size, are then copied inside their buckets, and
-only those of the other terms are shuffled, into lists.
+only those of the other terms are shuffled, into lists.  The statistics are observed while the
+tables are written: nothing is read again to count it.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import hashlib
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.analyzers import analyze
@@ -71,6 +74,7 @@ class Index:
     lists: DataFrame | None = None
     cut: int = 0
     list_parts: int = 1
+    deleted: DataFrame | None = None
     _stats: CollectionStats | None = field(default=None, repr=False)
 
     @property
@@ -227,6 +231,15 @@ def _save(df: DataFrame, path: str, buckets: int, sort_cols: list[str], layout:
         (df.sortWithinPartitions(*sort_cols) if sort_cols else df).write.mode("overwrite").parquet(path)
 
 
+# What is observed while the tables are written.  The sketch is a few kilobytes.
+def _seen_in_postings() -> tuple:
+    return F.count(F.lit(1)).alias("postings"), F.sum("tf").alias("tokens"), F.hll_sketch_agg("term", F.lit(14)).alias("sketch")
+
+
+def _seen_in_docs() -> tuple:
+    return F.count(F.lit(1)).alias("n_docs"), F.count(F.when(F.col("dl") > 0, 1)).alias("docs_with_terms")
+
+
 def list_part(term: str, parts: int):
     """Folder of a term's list."""
     return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
@@ -237,7 +250,7 @@ def list_rows(lists: DataFrame) -> DataFrame:
     return lists.select("term", F.explode("docs").alias("d")).select("term", "d.doc_id", "d.tf", "d.dl")
 
 
-def _split_postings(stored: DataFrame, terms: DataFrame, path: str, buckets: int, layout: str) -> tuple[int, int]:
+def _split_postings(stored: DataFrame, terms: DataFrame, total: int, path: str, buckets: int, layout: str) -> tuple[int, int]:
     """Write the postings of common terms, in their buckets, and the lists of the others; the cut and the folders.
 
     Fewer than postings / cut terms are above the cut, so their set can be broadcast at
@@ -245,7 +258,6 @@ def _split_postings(stored: DataFrame, terms: DataFrame, path: str, buckets: int
     shuffled once.
     """
     spark = stored.sparkSession
-    total = int(terms.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"])
     cut = max(LIST_DF, total // MAX_COMMON_TERMS)
     above = F.broadcast(terms.where(F.col("df") > cut).select("term"))
     _save(stored.join(above, "term", "left_semi"), f"{path}/postings", buckets, ["term", "doc_id"], layout)
@@ -259,6 +271,40 @@ def _split_postings(stored: DataFrame, terms: DataFrame, path: str, buckets: int
     return cut, parts
 
 
+def _write_deleted(ids: DataFrame, path: str, buckets: int, layout: str) -> None:
+    _save(ids.select("doc_id").repartition(buckets, "doc_id"), f"{path}/deleted", buckets, ["doc_id"], layout if layout != "range" else "docpart")
+
+
+def delete_documents(index: Index, ids: DataFrame) -> Index:
+    """The index with the documents of ``ids`` (a doc_id column) deleted, besides those that were before.
+
+    They are no longer ranked; statistics stay as they are, as with deletions not yet merged away.
+    Their ids are written beside the postings in the same buckets, so runs meet them without a shuffle,
+    however many they are.
+    """
+    spark, path = index.docs.sparkSession, index.path
+    stats = spark.read.parquet(f"{path}/stats")
+    meta = stats.first()
+    gone = ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    if index.deleted is not None:
+        gone = gone.unionByName(index.deleted)
+    held = scratch_dir(spark, "deleted")                       # the table that is replaced is read for this
+    gone.distinct().write.parquet(held)
+    gone = spark.read.parquet(held)
+    _write_deleted(gone, path, meta["buckets"], meta["layout"])
+    # The one row of the statistics says that there is such a table; a rebuilt index has none.
+    row = meta.asDict() | {"deletions": gone.count()}
+    spark.createDataFrame([tuple(row[c] for c in stats.columns)], stats.schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+    return open_index(spark, path)
+
+
+def vocabulary_estimate(indexes: list[Index]) -> DataFrame:
+    """Distinct terms of several indexes together, from their stored sketches (about 1 % off)."""
+    spark = indexes[0].docs.sparkSession
+    sketches = spark.read.parquet(*[f"{i.path}/stats" for i in indexes]).select("sketch")
+    return sketches.agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).alias("vocabulary"))
+
+
 def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
                 layout: str = "bucketed", buckets: int | None = None) -> Index:
     """Build and write the tables under ``path`` (overwrite), then open.
@@ -283,7 +329,8 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
         # inside each bucket with no further exchange.
         postings = build_postings(corpus.repartition(n, "doc_id"), analyzer, placed=True)
         raw = scratch_dir(spark, "postings")
-        _save(postings, raw, n, [], layout)
+        seen = Observation()
+        _save(postings.observe(seen, *_seen_in_postings()), raw, n, [], layout)
         # Document lengths without a second pass over the text: every
         # posting carries dl, so a per-bucket aggregate over the written
         # postings gives it; documents without terms come from the id and
@@ -294,25 +341,32 @@ def write_index(corpus: DataFrame, path: str, analyzer: str = "standard",
         ids = corpus.select("doc_id", docno.alias("docno")).repartition(n, "doc_id")
         docs_df = ids.join(lengths, "doc_id", "left").select(
             "doc_id", "docno", F.coalesce(F.col("dl"), F.lit(0)).cast("long").alias("dl"))
-        _save(docs_df if layout == "bucketed" else docs_df.repartition(n, "doc_id"), f"{path}/docs", n, ["doc_id"], layout)
+        docs_seen = Observation()
+        docs_df = (docs_df if layout == "bucketed" else docs_df.repartition(n, "doc_id")).observe(docs_seen, *_seen_in_docs())
+        _save(docs_df, f"{path}/docs", n, ["doc_id"], layout)
     elif layout == "range":
         docs_df = doc_lengths(corpus, analyzer)
         postings = build_postings(corpus, analyzer)
-        (postings.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
+        seen, docs_seen = Observation(), Observation()
+        (postings.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id").observe(seen, *_seen_in_postings())
          .write.mode("overwrite").parquet(f"{path}/postings"))
-        docs_df.write.mode("overwrite").parquet(f"{path}/docs")
+        docs_df.observe(docs_seen, *_seen_in_docs()).write.mode("overwrite").parquet(f"{path}/docs")
         stored = spark.read.parquet(f"{path}/postings")
     else:
         raise ValueError(f"layout must be 'bucketed' or 'range', not {layout!r}")
-    term_stats(stored).write.mode("overwrite").parquet(f"{path}/terms")
-    docs = spark.read.parquet(f"{path}/docs")
+    terms_seen = Observation()
+    term_stats(stored).observe(terms_seen, F.count(F.lit(1)).alias("vocabulary")).write.mode("overwrite").parquet(f"{path}/terms")
     terms = spark.read.parquet(f"{path}/terms")
+    counts = {**docs_seen.get, **seen.get, **terms_seen.get}
     cut, parts = 0, 1
     if layout != "range":
-        cut, parts = _split_postings(stored, terms, path, n, layout)
-    (stats_frame(docs, stored, terms)
-     .withColumn("analyzer", F.lit(analyzer)).withColumn("layout", F.lit(layout))
-     .withColumn("buckets", F.lit(n)).withColumn("cut", F.lit(cut).cast("long")).withColumn("list_parts", F.lit(parts)).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats"))
+        cut, parts = _split_postings(stored, terms, int(counts["postings"]), path, n, layout)
+    # One row, from the observed figures.
+    figures = [F.lit(int(counts[c] or 0)).cast("long").alias(c) for c in STATS_COLUMNS]
+    sketch = F.lit(bytes(counts["sketch"]) if counts["sketch"] is not None else None).cast("binary")
+    (spark.range(1).select(*figures, F.lit(analyzer).alias("analyzer"), F.lit(layout).alias("layout"), F.lit(n).alias("buckets"),
+                           F.lit(cut).cast("long").alias("cut"), F.lit(parts).alias("list_parts"), sketch.alias("sketch"), F.lit(0).cast("long").alias("deletions"))
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/stats"))
     if layout == "bucketed":
         _drop_table(spark, raw)
     return open_index(spark, path)
@@ -327,6 +381,9 @@ def open_index(spark: SparkSession, path: str) -> Index:
     else:
         postings = spark.read.parquet(f"{path}/postings")
         docs = spark.read.parquet(f"{path}/docs")
+    deleted = spark.read.schema("doc_id BIGINT").parquet(f"{path}/deleted") if meta["deletions"] else None
+    if meta["deletions"] and meta["layout"] == "bucketed":
+        deleted = _register_bucketed(spark, f"{path}/deleted", "doc_id BIGINT", meta["buckets"], ["doc_id"])
     common, lists = postings, None
     if meta["layout"] != "range":
         # No list, no file: the schema is stated.
@@ -336,6 +393,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
         postings=postings,
         common=common,
         lists=lists,
+        deleted=deleted,
         cut=int(meta["cut"]),
         list_parts=int(meta["list_parts"]),
         docs=docs,

@@ -209,8 +209,8 @@ class QuerySide:
     def matches(self, vsm: bool = True) -> DataFrame:
         """One row per (query, term, doc) where the doc holds the term.
 
-        With ``exclude`` set (a table of deleted doc ids) those documents are
-        dropped with an anti-join before scoring; statistics are unchanged,
+        Deleted documents, those of the index and those of ``exclude`` (a table of
+        doc ids), are dropped before scoring; statistics are unchanged,
         as with deletions that are not yet merged away.
         """
         right = self.weighted(vsm).filter(F.col("df") > 0).drop("query_id", "form", "cf")
@@ -219,12 +219,19 @@ class QuerySide:
             m = postings.join(F.broadcast(right.drop("df")), "term")
         else:
             m = self._salted_join(postings, right)
+        if self.index.deleted is not None:
+            m = self._without(m, self.index.deleted)
         if self.exclude is not None:
-            ex = self.exclude.select("doc_id").distinct()
-            small = estimated_bytes(ex) <= BROADCAST_TABLE_BYTES
-            m = m.join(F.broadcast(ex) if small else ex, "doc_id", "left_anti")
+            m = self._without(m, self.exclude.select("doc_id").distinct())
         return m
 
+    def _without(self, m: DataFrame, ids: DataFrame) -> DataFrame:
+        """``m`` without the documents of ``ids``: broadcast while that is small, else hashed bucket
+        by bucket, to which the match rows are not moved, nor sorted."""
+        if estimated_bytes(ids) <= BROADCAST_TABLE_BYTES:
+            return m.join(F.broadcast(ids), "doc_id", "left_anti")
+        return m.join(ids.hint("shuffle_hash"), "doc_id", "left_anti")
+
 
 def _tfidf(st, p: S.ModelParams) -> Column:
     # Distinct query terms: repetitions do not count in the home-made model.

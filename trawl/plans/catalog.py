@@ -16,7 +16,7 @@ from trawl.functions.analyzers import analyze
 from trawl.functions.scoring import quantized_norm, tfidf_idf
 from trawl.functions.text import extract_tag
 from trawl.operators import rank, stats
-from trawl.operators.index import build_postings, index_for, open_index
+from trawl.operators.index import build_postings, delete_documents, index_for, open_index, write_index
 from trawl.plans import oracle as O
 from trawl.session import scratch_dir
 from trawl.sources import runfiles, tables, topics as topic_files, trectext
@@ -338,6 +338,15 @@ def q_ranked_without_deleted(spark, sf):
     return rank.ranked_runs(_index(spark, sf), _queries(spark, sf), ["bm25"], RUN_K, exclude=gone)
 
 
+def q_deleted_documents(spark, sf):
+    """Runs of an index of which half of all documents were deleted, in two steps."""
+    corpus = tables.corpus(spark, sf)
+    idx = write_index(corpus, scratch_dir(spark, "index-deleted"))
+    ids = corpus.select("doc_id")
+    idx = delete_documents(delete_documents(idx, ids.where("doc_id % 4 = 1")), ids.where("doc_id % 2 = 1"))
+    return rank.ranked_runs(idx, _queries(spark, sf), ["tfidf", "bm25"], RUN_K)
+
+
 def q_field_equals(spark, sf):
     return tables.corpus(spark, sf).filter(F.col("head") == FIELD_VALUE).drop("text")
 
@@ -442,6 +451,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topics_parse": q_topics_parse,
     "topics_rejected": q_topics_rejected,
     "ranked_without_deleted": q_ranked_without_deleted,
+    "deleted_documents": q_deleted_documents,
     "run_file_tfidf": q_run_file_tfidf,
     "run_file_models": q_run_file_models,
 }
@@ -489,6 +499,7 @@ ORACLES: dict[str, str] = {
     "topics_parse": SQL_TOPICS_PARSE,
     "topics_rejected": SQL_TOPICS_REJECTED,
     "ranked_without_deleted": O.runs_sql(["bm25"], RUN_K, exclude="doc_id % 7 = 0"),
+    "deleted_documents": O.runs_sql(["tfidf", "bm25"], RUN_K, exclude="doc_id % 2 = 1"),
     "run_file_tfidf": O.runs_sql(["tfidf"], RUN_K),
     "run_file_models": O.runs_sql(list(rank.MODELS), RUN_K),
 }
