@@ -45,7 +45,9 @@ def qnorm(dl: int) -> float:
 
 
 def tokens(text: str) -> list[str]:
-    out = regex.findall(STANDARD_TOKEN, text.lower())
+    # The same pattern in this module's notation of code points and nested classes.
+    pattern = regex.sub(r"\\x\{([0-9a-f]+)\}", lambda m: chr(int(m[1], 16)), STANDARD_TOKEN)
+    out = regex.findall(pattern, text.lower(), flags=regex.V1)
     return [t for t in out if len(t) <= 255 and t not in ENGLISH_STOP_WORDS]
 
 

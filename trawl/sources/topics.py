@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.text import extract_labelled, java_trim, split_lines
-from trawl.sources.trectext import _cut, _read_whole
+from trawl.sources.trectext import _cut, _read_whole, _reader
 
 # Field delimiters of a topic block (start tag, label, next tag).
 NUM_FIELD = ("<num>", "Number:", "<dom>")
@@ -24,7 +24,7 @@ _TOP_CLOSE_LINE = r"(?<![^\r\n])</top>[^\r\n]*(?:\r\n|\r|\n)?"
 
 def topic_blocks(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
     """path, rec_pos, block (non-blank lines, each followed by one space)."""
-    chunks = _cut(_read_whole(spark, path, encoding), _TOP_CLOSE_LINE).filter(~F.col("is_tail"))
+    chunks = _cut(_read_whole(_reader(spark, "fail"), path, encoding), _TOP_CLOSE_LINE).filter(~F.col("is_tail"))
     lines = F.filter(split_lines(F.col("chunk")), lambda l: F.length(java_trim(l)) > 0)
     block = F.concat(F.array_join(lines, " "), F.when(F.size(lines) > 0, F.lit(" ")).otherwise(F.lit("")))
     return chunks.select("path", "rec_pos", block.alias("block"))
