@@ -81,6 +81,13 @@ def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if small else ids, key, "left_anti").select(*rows.columns)
 
 
+def only(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is among the distinct, written or cheap ``keys``; these are broadcast while they are small."""
+    keys = written(keys, "keys")
+    small = keys.count() * 32 <= BROADCAST_BYTES
+    return rows.join(F.broadcast(keys) if small else keys, key, "left_semi").select(*rows.columns)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
