@@ -81,7 +81,10 @@ TARGETS = {"domain": mixing.DOMAIN_TARGETS, "lang": mixing.LANG_TARGETS}
 def _mixed(docs, share=1.0, epochs=2, targets=TARGETS):
     named = docs.select("doc_id", "text", *[F.coalesce(c, F.lit(mixing.NONE)).alias(n) for n, c in mixing.document_levels().items()])
     got = mixing.mix(named, {n: F.col(n) for n in ("domain", "lang", "source")}, targets, share, epochs)
-    return sorted((tuple(r) for r in got.select("doc_id", "domain", "lang", "source", "tokens", "copies").collect()), key=str)
+    rows = sorted((tuple(r) for r in got.select("doc_id", "domain", "lang", "source", "tokens", "copies").collect()), key=str)
+    # The same rows without their other columns, from a table whose own columns have the levels' names.
+    assert sorted((tuple(r) for r in mixing.draw(docs, mixing.document_levels(), targets, share, epochs).collect()), key=str) == rows
+    return rows
 
 
 @pytest.mark.parametrize("share,epochs,targets", [(1.0, 2, TARGETS), (0.4, 1, TARGETS), (1.9, 2, {"lang": mixing.LANG_TARGETS}),
@@ -109,6 +112,15 @@ def test_columns_and_empty(spark, docs):
     assert mixing.mix(docs.limit(0), mixing.document_levels(), TARGETS).collect() == []
 
 
+def test_words_are_counted_once(docs):
+    """Drawing without the texts does not read them again; drawing with them counts only where the count is read."""
+    drawn = mixing.draw(docs, mixing.document_levels(), TARGETS)
+    assert drawn.columns == ["doc_id", "domain", "lang", "source", "tokens", "copies"]
+    kept = mixing.mix(docs, mixing.document_levels(), TARGETS).select("doc_id", "text")
+    for frame in (drawn, kept):
+        assert "regexp_count" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_clashing_internal_names(spark):
     rows = [(i, "a b c", "en", i, i, i, i, i) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _level0 long, _cut long, _epochs long, _rest long, _copies long")

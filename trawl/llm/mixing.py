@@ -35,13 +35,14 @@ from pyspark.sql import functions as F
 from trawl.llm import common
 
 NONE = "(none)"
+WORD = r"[^\x20\x09-\x0D]"
 BUCKET_DIGITS = 3              # hex digits of the order key that name its range
 BROADCAST_LEAVES = 100_000
 
 
 def token_count(text: Column) -> Column:
     """Words between white space."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
+    return F.coalesce(F.regexp_count(text, F.lit(f"{WORD}+")), F.lit(0)).cast("bigint")
 
 
 def order_key(id_col: Column, epoch: Column, seed: int) -> Column:
@@ -119,32 +120,54 @@ def _sized(leaves: DataFrame) -> DataFrame:
     return F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
 
 
+def _planned(docs: DataFrame, levels: dict[str, Column], targets: dict[str, dict[str, float] | None], budget_share: float,
+             max_epochs: int, seed: int, id_col: str, counted: Column) -> tuple[list[str], list[Column], DataFrame, DataFrame]:
+    """Names and values of the level columns, the facts (id, levels, tokens) of every row, and the leaves' plan with its cuts."""
+    names = [common.free_name(docs, f"_level{i}") for i in range(len(levels))]
+    values = [F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for n, c in zip(names, levels.values(), strict=True)]
+    facts = common.written(docs.select(F.col(id_col).alias("id"), *values, counted.alias("tokens")), "mix-facts")
+    plan = budgets(facts, names, dict(zip(names, [targets.get(x) for x in levels], strict=True)), budget_share, max_epochs)
+    plan = common.written(plan, "mix-plan")
+    return names, values, facts, common.written(cuts(facts, plan, names, seed), "mix-cuts")
+
+
+def _copies(id_col: Column, epochs: Column, rest: Column, cut: Column, seed: int) -> Column:
+    """Epochs that a row is drawn in."""
+    more = (rest > 0) & (cut.isNull() | (order_key(id_col, epochs + 1, seed) <= cut))
+    return epochs + more.cast("bigint")
+
+
+def draw(docs: DataFrame, levels: dict[str, Column], targets: dict[str, dict[str, float] | None],
+         budget_share: float = 1.0, max_epochs: int = 2, seed: int = 17, id_col: str = "doc_id",
+         text_col: str = "text", tokens: Column | None = None) -> DataFrame:
+    """Id, levels, ``tokens`` and ``copies`` of the drawn rows of :func:`mix`, without their other columns.
+
+    The texts are read and counted once.
+    """
+    counted = tokens if tokens is not None else token_count(F.col(text_col))
+    names, _, facts, plan = _planned(docs, levels, targets, budget_share, max_epochs, seed, id_col, counted)
+    drawn = facts.where("tokens > 0").join(_sized(plan.drop("tokens", "quota")), names).withColumn(
+        "copies", _copies(F.col("id"), F.col("epochs"), F.col("rest"), F.col("cut"), seed)).where("copies > 0")
+    return drawn.select(F.col("id").alias(id_col), *[F.col(n).alias(level) for n, level in zip(names, levels, strict=True)], "tokens", "copies")
+
+
 def mix(docs: DataFrame, levels: dict[str, Column], targets: dict[str, dict[str, float] | None],
         budget_share: float = 1.0, max_epochs: int = 2, seed: int = 17, id_col: str = "doc_id",
         text_col: str = "text", tokens: Column | None = None) -> DataFrame:
     """The drawn rows of ``docs`` with ``tokens`` and ``copies`` (epochs drawn) added or replaced.
 
     ``levels`` names the tree's levels from the root down, each with the
-    expression that gives a row's value.
+    expression that gives a row's value.  Words are counted again only where ``tokens`` is read.
     """
-    names = [common.free_name(docs, f"_level{i}") for i in range(len(levels))]
-    values = [F.coalesce(c.cast("string"), F.lit(NONE)) for c in levels.values()]
     counted = tokens if tokens is not None else token_count(F.col(text_col))
-    facts = common.written(docs.select(
-        F.col(id_col).alias("id"), *[v.alias(n) for n, v in zip(names, values, strict=True)],
-        counted.alias("tokens")), "mix-facts")
-    plan = budgets(facts, names, dict(zip(names, [targets.get(x) for x in levels], strict=True)), budget_share, max_epochs)
-    plan = common.written(plan, "mix-plan")
-    epochs, rest, cut, copies, counts = (common.free_name(docs, f"_{x}") for x in ("epochs", "rest", "cut", "copies", "tokens"))
-    plan = common.written(cuts(facts, plan, names, seed), "mix-cuts").select(
-        *names, F.col("epochs").alias(epochs), F.col("rest").alias(rest), F.col("cut").alias(cut))
-    drawn = docs.select("*", *[v.alias(n) for n, v in zip(names, values, strict=True)]).join(_sized(plan), names)
-    key = order_key(F.col(id_col), F.col(epochs) + 1, seed)
-    more = (F.col(rest) > 0) & (F.col(cut).isNull() | (key <= F.col(cut)))
+    some = tokens > 0 if tokens is not None else F.col(text_col).rlike(WORD)
+    names, values, _, plan = _planned(docs, levels, targets, budget_share, max_epochs, seed, id_col, counted)
+    epochs, rest, cut, copies = (common.free_name(docs, f"_{x}") for x in ("epochs", "rest", "cut", "copies"))
+    plan = plan.select(*names, F.col("epochs").alias(epochs), F.col("rest").alias(rest), F.col("cut").alias(cut))
+    drawn = docs.select("*", *values).where(some).join(_sized(plan), names)
     own = [c for c in docs.columns if c not in ("tokens", "copies")]
-    return (drawn.withColumn(copies, F.col(epochs) + more.cast("bigint")).where(F.col(copies) > 0)
-            .withColumn(counts, counted).where(F.col(counts) > 0)
-            .select(*own, F.col(counts).alias("tokens"), F.col(copies).alias("copies")))
+    return (drawn.withColumn(copies, _copies(F.col(id_col), F.col(epochs), F.col(rest), F.col(cut), seed)).where(F.col(copies) > 0)
+            .select(*own, counted.alias("tokens"), F.col(copies).alias("copies")))
 
 
 # Production parameters of the registered query and of the pipeline.

@@ -22,11 +22,8 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents drawn for the target weights, with the number of epochs of each."""
-    docs = table(spark, sf_dir, "documents")
-    docs = docs.select("doc_id", "text", *[F.coalesce(c, F.lit(mixing.NONE)).alias(n) for n, c in mixing.document_levels().items()])
-    mixed = mixing.mix(docs, {n: F.col(n) for n in ("domain", "lang", "source")},
+    return mixing.draw(table(spark, sf_dir, "documents"), mixing.document_levels(),
                        {"domain": mixing.DOMAIN_TARGETS, "lang": mixing.LANG_TARGETS}, seed=17)
-    return mixed.select("doc_id", "domain", "lang", "source", "tokens", "copies")
 
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
