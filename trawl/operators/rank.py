@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from trawl.functions import scoring as S
 from trawl.functions.analyzers import analyze
 from trawl.operators.index import Index, estimated_bytes, list_part, list_rows
-from trawl.operators.topk import top_k, top_k_of_buckets, top_k_per_group, worth_two_passes
+from trawl.operators.topk import numbered, top_k, top_k_of_buckets, top_k_per_group, worth_two_passes
 
 # ---------------------------------------------------------------------------
 # Query forms of a topic (field, query tag, run suffix) and
@@ -428,3 +428,32 @@ def tfidf_topk_all_docs(index: Index, text: str, k: int = 10,
     listed lowest score first."""
     best = topk_all_docs(index, adhoc_queries(index.docs.sparkSession, text), "tfidf", k, params)
     return best.orderBy(F.desc("rank")).select("doc_id", "score")
+
+
+def all_docs_listing(index: Index, text: str, params: S.ModelParams = S.ModelParams()) -> DataFrame:
+    """K1 as the table that is listed: (position, doc_id, score) from 1 in doc id order."""
+    scores = score_all_docs(index, text, "tfidf", params).select("doc_id", F.round("score", 6).alias("score"))
+    return numbered(scores, ["doc_id"], "position", start=1).select("position", "doc_id", "score")
+
+
+def topk_listing(index: Index, text: str, k: int = 10, params: S.ModelParams = S.ModelParams()) -> DataFrame:
+    """K2 as the table that is listed: (position, doc_id, score) from 1, the lowest of the best k first."""
+    best = topk_all_docs(index, adhoc_queries(index.docs.sparkSession, text), "tfidf", k, params)
+    return numbered(best.select("doc_id", "rank", "score"), [F.desc("rank")], "position", start=1).select("position", "doc_id", "score")
+
+
+def runs_at_depths(index: Index, queries: DataFrame, depths: DataFrame, models: Sequence[str],
+                   params: S.ModelParams = S.ModelParams()) -> tuple[DataFrame, DataFrame]:
+    """Runs with a depth of their own for every query, and the rejects.
+
+    ``depths``: (query_id, k), one row per query.  The rows of a query end at its k; queries whose k is null or
+    not positive are not ranked and are rejects (query_id, reason); queries without a depth are left out.
+    """
+    known = depths.select(F.col("query_id").cast("int").alias("query_id"), F.col("k").cast("long").alias("k"))
+    good = known.where("k > 0")
+    deepest = good.agg(F.max("k")).first()[0]
+    asked = queries.join(good.select("query_id"), "query_id", "left_semi")
+    runs = ranked_runs(index, asked, models, int(deepest or 1), params)
+    runs = runs.join(good, "query_id").where("rank <= k").drop("k")
+    reason = F.concat(F.lit("k must be positive, not "), F.coalesce(F.col("k").cast("string"), F.lit("null")))
+    return runs, known.where("k is null or k <= 0").select("query_id", reason.alias("reason"))

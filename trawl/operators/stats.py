@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions.analyzers import ENGLISH_STOP_WORDS, analyze
 from trawl.operators.index import Index, spread
+from trawl.operators.topk import numbered
 
 # Analyzers of the comparison report, in report order.
 COMPARED_ANALYZERS = ("standard", "keyword", "simple", "stop")
@@ -62,6 +63,11 @@ def vocabulary(index: Index) -> DataFrame:
     return index.terms.select("term").orderBy("term")
 
 
+def vocabulary_ids(index: Index) -> DataFrame:
+    """The vocabulary as a dictionary: (term, term_id), ids dense from 0 in the order of the terms."""
+    return numbered(index.terms.select("term"), ["term"], "term_id")
+
+
 def term_postings(index: Index, term: str) -> DataFrame:
     """Postings of one term: an equality filter pushed into the parquet scan."""
     return index.postings.filter(F.col("term") == term).select("term", "doc_id", "tf")

@@ -104,3 +104,27 @@ def top_k(scored: DataFrame, k: int, score: str = "score", tie: str = "doc_id",
         raise ValueError("k must be positive")
     s = scored.withColumn(score, rounded(score, digits))
     return s.orderBy(F.col(score).desc(), F.col(tie).asc()).limit(k)
+
+
+_ROW_BITS = (1 << 33) - 1                 # of monotonically_increasing_id, the row in its partition
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str, start: int = 0) -> DataFrame:
+    """``df`` with ``name``: dense numbers from ``start`` in the global order of ``order``.
+
+    Rows are range-partitioned and sorted; a row's number is its place in its partition plus the rows of the partitions
+    before, of which there is one figure each, so no task sees more than its partition.  The sorted rows are
+    written once, as range bounds are sampled anew by every run.  Rows that tie get different numbers in
+    no stated order, and meet in one partition: end ``order`` with a key.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, "numbered")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("_row"))
+    placed.write.parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)                # one row per partition
+    offsets = rows.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(offsets), "_part").select(
+        *df.columns, (F.col("_before") + F.col("_row") + F.lit(start)).cast("long").alias(name))

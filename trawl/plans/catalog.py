@@ -29,6 +29,7 @@ COMPARE_TERM = "the"            # term of the analyzer comparison (a stop word)
 ADHOC_QUERY = "from der rewh"   # ad-hoc query text
 FIELD_VALUE = "src3"            # value of the keyword-field filter
 PAGE_TAGS = ("title", "p", "li")
+DEPTH_STEP = 7                  # depths of the runs with a depth per topic: -1 to 3 times this
 FILE_DOCS = 200                 # documents of a written TREC-text file with a broken end
 
 
@@ -115,6 +116,10 @@ def q_vocabulary(spark, sf):
     return stats.vocabulary(_index(spark, sf))
 
 
+def q_vocabulary_ids(spark, sf):
+    return stats.vocabulary_ids(_index(spark, sf))
+
+
 def q_term_postings(spark, sf):
     return stats.term_postings(_index(spark, sf), PROBE_TERM)
 
@@ -170,6 +175,7 @@ _C = f"WITH {O.corpus_ctes()} "
 SQL_TERM_DF = _C + "SELECT term, df FROM terms"
 SQL_TERM_CF = _C + "SELECT term, cf FROM terms"
 SQL_VOCABULARY = _C + "SELECT term FROM terms ORDER BY term"
+SQL_VOCABULARY_IDS = _C + "SELECT term, row_number() OVER (ORDER BY encode(term)) - 1 AS term_id FROM terms"
 SQL_TERM_POSTINGS = _C + f"SELECT term, doc_id, tf FROM postings WHERE term = {O.lit(PROBE_TERM)}"
 SQL_STAT_NUM_DOCS = _C + "SELECT CAST(count(*) AS BIGINT) AS n_docs FROM docs"
 SQL_STAT_VOCABULARY = _C + "SELECT CAST(count(*) AS BIGINT) AS vocabulary FROM terms"
@@ -276,6 +282,30 @@ SELECT query_id, form, doc_id, CAST(rank AS INTEGER) AS rank, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id, form ORDER BY score DESC, doc_id) AS rank FROM every) WHERE rank <= {RUN_K}"""
 
 
+def q_all_docs_listing(spark, sf):
+    return rank.all_docs_listing(_index(spark, sf), PROBE_TERM)
+
+
+def q_topk_listing(spark, sf):
+    return rank.topk_listing(_index(spark, sf), ADHOC_QUERY, ADHOC_K)
+
+
+def q_ranked_depths(spark, sf):
+    """BM25 runs with a depth for each topic; those that are not positive are rejects."""
+    queries = _queries(spark, sf)
+    depths = queries.select("query_id").distinct().withColumn("k", (F.col("query_id") % 5 - 1) * DEPTH_STEP)
+    runs, rejected = rank.runs_at_depths(_index(spark, sf), queries, depths, ["bm25"])
+    return runs.unionByName(rejected, allowMissingColumns=True)
+
+
+SQL_ALL_DOCS_LISTING = f"SELECT row_number() OVER (ORDER BY doc_id) AS position, doc_id, score FROM ({_all_docs_sql(PROBE_TERM)})"
+SQL_TOPK_LISTING = f"""SELECT row_number() OVER (ORDER BY score, doc_id DESC) AS position, doc_id, score
+FROM ({SQL_TFIDF_TOPK_ALL_DOCS})"""
+SQL_RANKED_DEPTHS = f"""WITH depth AS (SELECT query_id, (query_id % 5 - 1) * {DEPTH_STEP} AS k FROM ({O.TOPICS_SQL}))
+SELECT r.*, CAST(NULL AS VARCHAR) AS reason FROM ({O.runs_sql(["bm25"], 3 * DEPTH_STEP)}) r JOIN depth USING (query_id) WHERE rank <= k
+UNION ALL SELECT query_id, NULL, NULL, NULL, NULL, NULL, concat('k must be positive, not ', k) FROM depth WHERE k <= 0"""
+
+
 def q_adhoc_search(spark, sf):
     idx = _index(spark, sf)
     return rank.ranked_runs(idx, rank.adhoc_queries(spark, ADHOC_QUERY), ["bm25"], ADHOC_K, fetch=True)
@@ -420,6 +450,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "term_df": q_term_df,
     "term_cf": q_term_cf,
     "vocabulary": q_vocabulary,
+    "vocabulary_ids": q_vocabulary_ids,
     "term_postings": q_term_postings,
     "stat_num_docs": q_stat_num_docs,
     "stat_vocabulary": q_stat_vocabulary,
@@ -441,6 +472,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfidf_all_docs": q_tfidf_all_docs,
     "tfidf_topk_all_docs": q_tfidf_topk_all_docs,
     "topk_all_docs": q_topk_all_docs,
+    "all_docs_listing": q_all_docs_listing,
+    "topk_listing": q_topk_listing,
+    "ranked_depths": q_ranked_depths,
     "adhoc_search": q_adhoc_search,
     "corpus_records": q_corpus_records,
     "corpus_documents": q_corpus_documents,
@@ -468,6 +502,7 @@ ORACLES: dict[str, str] = {
     "term_df": SQL_TERM_DF,
     "term_cf": SQL_TERM_CF,
     "vocabulary": SQL_VOCABULARY,
+    "vocabulary_ids": SQL_VOCABULARY_IDS,
     "term_postings": SQL_TERM_POSTINGS,
     "stat_num_docs": SQL_STAT_NUM_DOCS,
     "stat_vocabulary": SQL_STAT_VOCABULARY,
@@ -489,6 +524,9 @@ ORACLES: dict[str, str] = {
     "tfidf_all_docs": SQL_TFIDF_ALL_DOCS,
     "tfidf_topk_all_docs": SQL_TFIDF_TOPK_ALL_DOCS,
     "topk_all_docs": _topk_all_docs_sql(),
+    "all_docs_listing": SQL_ALL_DOCS_LISTING,
+    "topk_listing": SQL_TOPK_LISTING,
+    "ranked_depths": SQL_RANKED_DEPTHS,
     "adhoc_search": O.runs_sql(["bm25"], ADHOC_K, adhoc=ADHOC_QUERY),
     "corpus_records": SQL_CORPUS_RECORDS,
     "corpus_documents": SQL_CORPUS_DOCUMENTS,
