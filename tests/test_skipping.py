@@ -1,0 +1,84 @@
+"""Runs that score only possible winners are the whole runs, from fewer match rows."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from trawl.functions.scoring import ModelParams
+from trawl.operators import rank
+from trawl.operators.index import write_index
+
+WORDS = 300
+
+
+@pytest.fixture(scope="module")
+def index(spark, tmp_path_factory):
+    rng = random.Random(11)
+    weights = [1 / (i + 1) for i in range(WORDS)]
+    rows = [(d, str(d), " ".join(f"w{i}" for i in rng.choices(range(WORDS), weights, k=rng.choice((3, 10, 60, 400))))) for d in range(1500)]
+    rows += [(2000 + d, f"copy{d}", "w0 w1 w250") for d in range(30)]           # ties
+    corpus = spark.createDataFrame([*rows, (3000, "empty", ""), (3001, "null", None)], "doc_id long, docno string, text string")
+    return write_index(corpus, str(tmp_path_factory.mktemp("skipping") / "i"), buckets=4)
+
+
+@pytest.fixture(scope="module")
+def queries(spark, tmp_path_factory):
+    rng = random.Random(12)
+    rows = [(i, "title", f"w{i % 3} w{rng.randrange(20, 90)} w{rng.randrange(90, WORDS)}") for i in range(15)]
+    rows += [(i, "desc", " ".join(f"w{int(WORDS * rng.random() ** 3)}" for _ in range(25))) for i in range(5)]
+    rows += [(50, "title", "w250 w0 w1 w0"), (51, "title", "w0"), (52, "title", "nowhere"), (53, "title", "w299 nowhere"), (54, "title", ""), (55, "title", None)]
+    path = str(tmp_path_factory.mktemp("queries") / "q")
+    spark.createDataFrame(rows, "query_id int, form string, text string").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _runs(index, queries, models, k, **kw):
+    return sorted(tuple(r) for r in rank.ranked_runs(index, queries, models, k, **kw).collect())
+
+
+@pytest.mark.parametrize("models", [[m] for m in rank.ALL_SCORES] + [list(rank.ALL_SCORES)], ids="-".join)
+def test_the_same_run(index, queries, models):
+    for k in (10,) if len(models) == 1 else (1, 5000):
+        assert _runs(index, queries, models, k, skip=True) == _runs(index, queries, models, k)
+
+
+def test_parameters_and_deletions(spark, index, queries):
+    gone = index.docs.select("doc_id").where("doc_id % 3 = 0")
+    for params in (ModelParams(norm_mode="exact", coord=False, query_norm=False), ModelParams(b=1.0, k1=0.4, mu=10.0, lam=0.1)):
+        whole = _runs(index, queries, list(rank.ALL_SCORES), 7, params=params, exclude=gone)
+        assert whole and _runs(index, queries, list(rank.ALL_SCORES), 7, params=params, exclude=gone, skip=True) == whole
+
+
+def test_a_query_side_that_is_not_broadcast(index, queries, monkeypatch):
+    whole = _runs(index, queries, ["bm25"], 10)
+    monkeypatch.setattr(rank, "BROADCAST_QUERY_BYTES", 0)
+    assert _runs(index, queries, ["bm25"], 10, skip=True) == whole
+
+
+@pytest.mark.parametrize("model,share", [("bm25", 0.5), ("lm_jm", 0.7), ("vsm", 0.8)])
+def test_fewer_match_rows(index, queries, model, share):
+    side = rank.QuerySide(index, queries.where("form = 'title'"))
+    docs = rank.possible_winners(index, side, [model], 10)
+    few, every = side.matches(docs=docs).count(), side.matches().count()
+    print(model, few, every)
+    assert 0 < few < share * every
+
+
+def test_winners_meet_postings_in_their_buckets(index, queries):
+    side = rank.QuerySide(index, queries)
+    docs = rank.possible_winners(index, side, ["bm25"], 10)
+    plan = side.matches(docs=docs)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [doc_id" in plan and "SortMergeJoin" not in plan
+
+
+def test_the_limits_hold(index, queries):
+    side = rank.QuerySide(index, queries)
+    params = ModelParams(coord=False)
+    limits = rank._limits(index, side, list(rank.ALL_SCORES), params)
+    rows = rank._scorable(side.matches(), ["qkey", "term", "doc_id"], True, params).groupBy("qkey", "term", "doc_id").agg(
+        *rank.score_columns(index, rank.ALL_SCORES, params))
+    most = rows.groupBy("qkey", "term").agg(*[F.max(m).alias(f"x_{m}") for m in rank.ALL_SCORES])
+    over = " or ".join(f"x_{m} > {m} * (1 + 1e-12)" for m in rank.ALL_SCORES)
+    both = most.join(limits, ["qkey", "term"])
+    assert both.count() == most.count() > 0 and both.where(over).count() == 0

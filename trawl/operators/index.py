@@ -9,7 +9,7 @@ lists     part INT, term STRING, docs ARRAY<STRUCT<doc_id, tf, dl>>
           of its own terms, and the postings of rare terms that no query
           has (most terms are rare) are not read as rows
 docs      doc_id LONG, docno STRING, dl LONG  (every document, dl may be 0)
-terms     term STRING, df LONG, cf LONG
+terms     term STRING, df LONG, cf LONG, max_tf LONG, min_dl LONG, max_dl LONG
 stats     one row: n_docs, docs_with_terms, tokens, postings, vocabulary, and a
           sketch of the vocabulary that merges with those of other indexes
 deleted   doc_id LONG, bucketed like the postings, where documents were deleted
@@ -142,8 +142,9 @@ def build_postings(corpus: DataFrame, analyzer: str = "standard", placed: bool =
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
-    """term, df, cf."""
-    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    """term, df, cf, and between what its postings lie: max_tf, min_dl, max_dl."""
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"), F.max("tf").alias("max_tf"),
+                                        F.min("dl").alias("min_dl"), F.max("dl").alias("max_dl"))
 
 
 def stats_frame(docs: DataFrame, postings: DataFrame, terms: DataFrame) -> DataFrame:

@@ -17,20 +17,26 @@ queries (query_id, form, text)
 The query side is broadcast while its estimated size is within
 ``BROADCAST_QUERY_BYTES``; above it the joins shuffle on ``term``, with very common
 terms salted.
+
+``ranked_runs(..., skip=True)`` first finds, from the bounds of the terms' postings, the documents
+that can be among the best k (see ``operators.skipping``), and scores only these.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import scoring as S
 from trawl.functions.analyzers import analyze
+from trawl.operators import skipping
 from trawl.operators.index import Index, estimated_bytes, list_part, list_rows
 from trawl.operators.topk import numbered, top_k, top_k_of_buckets, top_k_per_group, worth_two_passes
+from trawl.session import scratch_dir
 
 # ---------------------------------------------------------------------------
 # Query forms of a topic (field, query tag, run suffix) and
@@ -196,29 +202,38 @@ class QuerySide:
             .otherwise(F.array(F.lit(0).cast("long")))).alias("salt"))
         return p.join(q, ["term", "salt"]).drop("salt")
 
-    def postings(self) -> DataFrame:
+    def postings(self, chosen: DataFrame | None = None) -> DataFrame:
         """The postings among which the query's are: all of the common terms, and of the
-        others the lists of the query's terms, moved to their documents' buckets."""
+        others the lists of the query's terms (of ``chosen``'s, if given), moved to their documents' buckets."""
         index = self.index
         if index.lists is None:
             return self._scan(index.postings)
-        asked = self.found.filter(F.col("df") <= index.cut).select("term", list_part("term", index.list_parts).alias("part"))
+        found = self.found if chosen is None else self.found.join(self.small(chosen.select("term").distinct()), "term", "left_semi")
+        asked = found.filter(F.col("df") <= index.cut).select("term", list_part("term", index.list_parts).alias("part"))
         rare = list_rows(self._scan(index.lists).join(self.small(asked), ["part", "term"]))
         return self._scan(index.common).unionByName(rare.repartition(index.buckets, "doc_id"))
 
-    def matches(self, vsm: bool = True) -> DataFrame:
+    def matches(self, vsm: bool = True, chosen: DataFrame | None = None, docs: DataFrame | None = None) -> DataFrame:
         """One row per (query, term, doc) where the doc holds the term.
 
+        ``chosen`` (qkey, term): of these terms only; ``docs`` (doc_id, qkeys): of these documents
+        and queries only, met in the documents' buckets before the terms are joined.
         Deleted documents, those of the index and those of ``exclude`` (a table of
         doc ids), are dropped before scoring; statistics are unchanged,
         as with deletions that are not yet merged away.
         """
         right = self.weighted(vsm).filter(F.col("df") > 0).drop("query_id", "form", "cf")
-        postings = self.postings()
+        if chosen is not None:
+            right = right.join(self.small(chosen), ["qkey", "term"], "left_semi")
+        postings = self.postings(chosen)
+        if docs is not None:
+            postings = postings.join(docs.hint("shuffle_hash"), "doc_id")
         if self.broadcast:
             m = postings.join(F.broadcast(right.drop("df")), "term")
         else:
             m = self._salted_join(postings, right)
+        if docs is not None:
+            m = m.filter(F.array_contains("qkeys", F.col("qkey"))).drop("qkeys")
         if self.index.deleted is not None:
             m = self._without(m, self.index.deleted)
         if self.exclude is not None:
@@ -292,22 +307,62 @@ def score(index: Index, queries: DataFrame, models: Sequence[str] = ALL_SCORES,
     return scored.select(*unpack_qkey(), "doc_id", *models)
 
 
-def _match_rows(index: Index, side: QuerySide, vsm: bool, params: S.ModelParams) -> DataFrame:
-    """The match table with what the rankers read."""
+def _scorable(rows: DataFrame, keys: Sequence[str], vsm: bool, params: S.ModelParams) -> DataFrame:
+    """``rows`` of the match table with what the rankers read."""
     nrm = S.norm(F.col("dl"), params.norm_mode)
     extra = ["clauses", "vsm_qnorm"] if vsm else []
-    return side.matches(vsm).select("qkey", "doc_id", "tf", "qtf", "w_tfidf", "w_bm25", "w_vsm", "p_coll", *extra,
-                                    nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
+    return rows.select(*keys, "tf", "qtf", "w_tfidf", "w_bm25", "w_vsm", "p_coll", *extra,
+                       nrm.alias("nrm")).withColumn("length", F.lit(1.0) / (F.col("nrm") * F.col("nrm")))
 
 
-def _score(index: Index, side: QuerySide, models: Sequence[str], params: S.ModelParams, only=None) -> DataFrame:
+def _score(index: Index, side: QuerySide, models: Sequence[str], params: S.ModelParams, only=None,
+           chosen: DataFrame | None = None, docs: DataFrame | None = None) -> DataFrame:
     """(qkey, doc_id, <models>): one hash aggregate, partial then final."""
-    m = _match_rows(index, side, "vsm" in models, params)
+    vsm = "vsm" in models
+    m = _scorable(side.matches(vsm, chosen, docs), ["qkey", "doc_id"], vsm, params)
     if only is not None:
         m = only(m)
     return m.groupBy("qkey", "doc_id").agg(*score_columns(index, models, params))
 
 
+def _limits(index: Index, side: QuerySide, models: Sequence[str], params: S.ModelParams) -> DataFrame:
+    """(qkey, term, df, <models>): the most that a term can add to a document's score.
+
+    Every model grows with tf and with the document's norm or against it, so its largest
+    value is at the term's largest tf and shortest or longest document.
+    """
+    vsm = "vsm" in models
+    bounds = index.terms.join(side.small(side.found.select("term")), "term", "left_semi").select("term", "max_tf", "min_dl", "max_dl")
+    rows = side.weighted(vsm).filter(F.col("df") > 0).join(side.small(bounds), "term")
+    corners = rows.withColumn("tf", F.col("max_tf")).withColumn("dl", F.explode(F.array_distinct(F.array("min_dl", "max_dl"))))
+    keys = ["qkey", "term", "df"]
+    at_corner = _scorable(corners, [*keys, "dl"], vsm, params).groupBy(*keys, "dl").agg(*score_columns(index, models, params))
+    return at_corner.groupBy(*keys).agg(*[F.max(m).alias(m) for m in models])
+
+
+def possible_winners(index: Index, side: QuerySide, models: Sequence[str], k: int,
+                     params: S.ModelParams = S.ModelParams()) -> DataFrame:
+    """(doc_id, qkeys): the documents that can be among the best ``k`` of a query for one of the models.
+
+    All that are, and few others: see :mod:`trawl.operators.skipping`.  What each step finds is
+    written to the scratch folder (three jobs).
+    """
+    spark = index.docs.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_dir(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    # The share of matched clauses is one at most, and known only with all terms.
+    loose = replace(params, coord=False)
+    limits = stored(_limits(index, side, models, loose), "term-limits")
+    partial = _score(index, side, models, params, chosen=skipping.seeds(limits, models, k))
+    marked = stored(skipping.essential(limits, side.small(skipping.thresholds(partial, models, k)), models), "essential-terms")
+    part = _score(index, side, models, loose, chosen=marked.filter("essential").select("qkey", "term"))
+    return stored(skipping.survivors(part, side.small(skipping.rests(marked, models)), models), "possible-winners")
+
+
 def _bucket(index: Index) -> Column:
     """Bucket of a document: what the bucketed tables and hash exchanges use."""
     return F.pmod(F.hash("doc_id"), F.lit(index.buckets))
@@ -338,21 +393,24 @@ def _run_rows(df: DataFrame, run_id) -> DataFrame:
 
 def ranked_runs(index: Index, queries: DataFrame, models: Sequence[str], k: int = DEFAULT_K,
                 params: S.ModelParams = S.ModelParams(), run_prefix: dict | None = None,
-                exclude: DataFrame | None = None, fetch: bool = False) -> DataFrame:
+                exclude: DataFrame | None = None, fetch: bool = False, skip: bool = False) -> DataFrame:
     """Run table for each model × form: query_id, q, docno, rank, score, run_id.
 
     ``exclude``: optional table with a ``doc_id`` column of deleted documents;
-    ``fetch``: see :class:`QuerySide`.
+    ``fetch``: see :class:`QuerySide`; ``skip``: score only documents that can be among the best
+    k (the same run; it pays where k is a small part of what a query matches).
     """
     if k <= 0:
         raise ValueError("k must be positive")
     _check_models(models)
     prefixes = dict(MODEL_RUN_PREFIX, tfidf=TFIDF_RUN_PREFIX, **(run_prefix or {}))
     side = QuerySide(index, queries, exclude, fetch)
+    docs = possible_winners(index, side, models, k, params) if skip else None
+
     # Models are numbered 0..n-1 for the window key (cheaper to sort than
     # names) and turned into run ids after top-k.
     def scored(only=None) -> DataFrame:
-        rows = _score(index, side, models, params, only)
+        rows = _score(index, side, models, params, only, docs=docs)
         if len(models) == 1:
             return rows.select("qkey", "doc_id", F.lit(0).alias("model"), F.col(models[0]).alias("score"))
         pairs = ", ".join(f"{i}, `{m}`" for i, m in enumerate(models))

@@ -24,6 +24,7 @@ from trawl.sources import runfiles, tables, topics as topic_files, trectext
 # Parameters of the registered queries (inputs, not results).
 RUN_K = rank.DEFAULT_K          # depth of the topic runs
 ADHOC_K = 10                    # depth of the ad-hoc runs
+SKIP_MODELS = ["bm25", "lm_jm"]  # models of the run that skips
 PROBE_TERM = "from"             # term of the single-term statistics
 COMPARE_TERM = "the"            # term of the analyzer comparison (a stop word)
 ADHOC_QUERY = "from der rewh"   # ad-hoc query text
@@ -217,6 +218,11 @@ SQL_COMPARE_ANALYZERS = _compare_sql()
 
 # -- rankers -----------------------------------------------------------------
 
+def q_topk_skipping(spark, sf):
+    """The topics' best documents, of which only those that can be among them are scored."""
+    return rank.ranked_runs(_index(spark, sf), _queries(spark, sf), SKIP_MODELS, ADHOC_K, skip=True)
+
+
 def _runs(models, k=RUN_K):
     def q(spark, sf):
         return rank.ranked_runs(_index(spark, sf), _queries(spark, sf), models, k)
@@ -475,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "all_docs_listing": q_all_docs_listing,
     "topk_listing": q_topk_listing,
     "ranked_depths": q_ranked_depths,
+    "topk_skipping": q_topk_skipping,
     "adhoc_search": q_adhoc_search,
     "corpus_records": q_corpus_records,
     "corpus_documents": q_corpus_documents,
@@ -527,6 +534,7 @@ ORACLES: dict[str, str] = {
     "all_docs_listing": SQL_ALL_DOCS_LISTING,
     "topk_listing": SQL_TOPK_LISTING,
     "ranked_depths": SQL_RANKED_DEPTHS,
+    "topk_skipping": O.runs_sql(SKIP_MODELS, ADHOC_K),
     "adhoc_search": O.runs_sql(["bm25"], ADHOC_K, adhoc=ADHOC_QUERY),
     "corpus_records": SQL_CORPUS_RECORDS,
     "corpus_documents": SQL_CORPUS_DOCUMENTS,
