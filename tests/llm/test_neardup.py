@@ -66,6 +66,18 @@ def test_blocks_do_not_change_the_result(spark, monkeypatch):
     assert sorted(tuple(r) for r in neardup.near_duplicates(docs, 2, 80).collect()) == _brute(rows, 2, 80)
 
 
+def test_chains_at_and_below_the_threshold(spark):
+    # Windows of 100 words, 99 shingles: 11 words on, 88 of 110 shingles are shared; 12 words on, 87 of 111.
+    ids = list(range(5000))
+    random.Random(4).shuffle(ids)
+    rows = [(i, " ".join(f"{'ab'[at % 2]}{w}" for w in range(at // 2 * (11 + at % 2), at // 2 * (11 + at % 2) + 100)))
+            for at, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 2, 80).collect()}
+    assert {found[i] for i in ids[0::2]} == {min(ids[0::2])}
+    assert all(found[i] == i for i in ids[1::2])
+
+
 def test_drop_keeps_one_of_each_group(spark):
     rows = [(4, "a b c d e f"), (2, "a b c d e f"), (9, "other words here entirely now ok"), (9, "other words here entirely now ok"),
             (None, "a b c d e f"), (7, None), (8, "")]
@@ -95,6 +107,12 @@ def test_components(spark, monkeypatch, hub):
     assert got == label
 
 
+def test_a_hub_is_more_than_a_tasks_share():
+    assert graph._hub_size(100, 8) == graph.HUB
+    assert graph._hub_size(400_000, 200) == 4000 and graph._hub_size(10 ** 9, 10 ** 5) == 20_000
+    assert graph._hub_size(10 ** 12, 10 ** 7) * graph.BROADCAST_BYTES >= 10 ** 12 * graph.ROW_BYTES
+
+
 def test_needed_matches():
     rng = np.random.default_rng(1)
     for p, n in ((0.8, neardup.COORDS), (0.8 ** neardup.WIDTH, neardup.POSTED)):

@@ -2,9 +2,9 @@
 
 Each step is a min per vertex (combined before the shuffle) and a join; every
 round is written to the shared folder, so neither lineage nor driver memory
-grows.  Rounds end when the edge set stays the same.  A vertex with very many
-neighbours is not a key that one task joins: the minima of such hubs, of
-which there can only be few, are broadcast, and their edges stay where they are.
+grows.  Rounds end when the edge set stays the same.  A vertex with more
+neighbours than a task gets rows on average is not a key that one task joins: the
+minima of such hubs, fewer than partitions, are broadcast, and their edges stay where they are.
 """
 
 from __future__ import annotations
@@ -12,15 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import BROADCAST_BYTES, written
+from trawl.llm.common import BROADCAST_BYTES, partitions, written
 
-HUB = 200_000                  # neighbours of a hub, at least: fewer are no load for a task
+HUB = 1000                     # neighbours of a hub, at least: fewer are no load for a task
 ROW_BYTES = 32
 
 
-def _hub_size(edges: int) -> int:
-    """Neighbours that make a hub: all hubs together then fit a broadcast."""
-    return max(HUB, 2 * edges * ROW_BYTES // BROADCAST_BYTES)
+def _hub_size(edges: int, parts: int) -> int:
+    """Neighbours that make a hub: more than a task's share of rows, and all hubs together fit a broadcast."""
+    return max(HUB, 2 * edges // parts, 2 * edges * ROW_BYTES // BROADCAST_BYTES)
 
 
 def _least(rows: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         F.greatest(a, b).cast("bigint").alias("u"), F.least(a, b).cast("bigint").alias("v")).distinct(), "edges")
     state = _state(now)
     while True:
-        hub = _hub_size(state[0])
+        hub = _hub_size(state[0], partitions(now.sparkSession))
         hubs = 2 * state[0] > hub and 2 * _most(now) > hub      # no vertex has more neighbours than edges
         now = written(_round(now, hub if hubs else None), "stars")
         before, state = state, _state(now)
