@@ -107,6 +107,30 @@ def test_components(spark, monkeypatch, hub):
     assert got == label
 
 
+@pytest.mark.parametrize("hub", [0, 1000])
+def test_the_plans_of_a_round_are_short(spark, monkeypatch, hub):
+    exchanges = []
+
+    def noted(df, name):
+        exchanges.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        return common.written(df, name)
+
+    monkeypatch.setattr(graph, "HUB", hub)
+    monkeypatch.setattr(graph, "written", noted)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(0, 100 + i) for i in range(60)], "a long, b long")
+    assert {r.component for r in graph.components(chain).collect()} == {0}
+    assert max(exchanges) <= 8
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(graph, "written", lambda df, name: names.append(name) or common.written(df, name))
+    stars = spark.createDataFrame([(1, i) for i in range(10, 20)] + [(20, 2), (21, 2), (2, 20)], "a long, b long")
+    got = {r.id: r.component for r in graph.components(stars).collect()}
+    assert got == {i: 1 if i < 20 and i != 2 else 2 for i in [1, 2, *range(10, 22)]}
+    assert "stars" not in names
+
+
 def test_a_hub_is_more_than_a_tasks_share():
     assert graph._hub_size(100, 8) == graph.HUB
     assert graph._hub_size(400_000, 200) == 4000 and graph._hub_size(10 ** 9, 10 ** 5) == 20_000

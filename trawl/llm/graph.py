@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
-Each step is a min per vertex (combined before the shuffle) and a join; every
-round is written to the shared folder, so neither lineage nor driver memory
-grows.  Rounds end when the edge set stays the same.  A vertex with more
+Each step is a min per vertex (combined before the shuffle) and a join.  The minima and
+the edges of each step are written to the shared folder, so a plan is one aggregate or
+one join long, and neither lineage nor driver memory grows.  Rounds end as soon
+as the edges are stars.  A vertex with more
 neighbours than a task gets rows on average is not a key that one task joins: the
 minima of such hubs, fewer than partitions, are broadcast, and their edges stay where they are.
 """
@@ -24,7 +25,9 @@ def _hub_size(edges: int, parts: int) -> int:
 
 
 def _least(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    """u, its least neighbour m, the number of its neighbours n and of smaller ones."""
+    return written(rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"),
+                                         F.count_if(F.col("v") < F.col("u")).alias("smaller")), "minima")
 
 
 def _told(rows: DataFrame, least: DataFrame, hub: int | None) -> DataFrame:
@@ -37,25 +40,19 @@ def _told(rows: DataFrame, least: DataFrame, hub: int | None) -> DataFrame:
     return marked.where("h is not null").select("u", "v", F.col("h").alias("m")).unionAll(rest.select("u", "v", "m"))
 
 
-def _round(edges: DataFrame, hub: int | None) -> DataFrame:
-    """One large-star and one small-star step on edges (u > v)."""
-    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _least(both).select("u", F.least("u", "m").alias("m"), "n")
-    large = _told(both.where("v > u"), least, hub).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = _least(large)
-    small = _told(large, least, hub).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return small.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+def _large_star(both: DataFrame, least: DataFrame, hub: int | None) -> DataFrame:
+    """The larger neighbours of each vertex move to the least of it and its neighbours."""
+    least = least.select("u", F.least("u", "m").alias("m"), "n")
+    large = _told(both.where("v > u"), least, hub)
+    return written(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-stars")
 
 
-def _most(edges: DataFrame) -> int:
-    """Most neighbours on one side of any vertex."""
-    ends = [edges.groupBy(c).count().agg(F.max("count")) for c in ("u", "v")]
-    return max(r[0] or 0 for r in ends[0].unionAll(ends[1]).collect())
-
-
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _small_star(edges: DataFrame, hub: int | None) -> DataFrame:
+    """Each vertex and its smaller neighbours move to the least of these."""
+    least = _least(edges)
+    hubs = hub is not None and (least.agg(F.max("n")).first()[0] or 0) > hub
+    small = _told(edges, least, hub if hubs else None).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return written(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -66,13 +63,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     now = written(edges.where(f"{a} <> {b}").select(
         F.greatest(a, b).cast("bigint").alias("u"), F.least(a, b).cast("bigint").alias("v")).distinct(), "edges")
-    state = _state(now)
     while True:
-        hub = _hub_size(state[0], partitions(now.sparkSession))
-        hubs = 2 * state[0] > hub and 2 * _most(now) > hub      # no vertex has more neighbours than edges
-        now = written(_round(now, hub if hubs else None), "stars")
-        before, state = state, _state(now)
-        if state == before:
+        both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = _least(both)
+        # In a star the centre has no smaller neighbour, and the others have no second one.
+        ends, most, unfinished = least.agg(F.sum("n"), F.max("n"), F.bool_or((F.col("smaller") > 0) & (F.col("n") > 1))).first()
+        if not unfinished:
             break
-    stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return stars.unionAll(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+        hub = _hub_size(ends // 2, partitions(now.sparkSession))
+        large = _large_star(both, least, hub if most > hub else None)
+        now = _small_star(large, hub if ends > hub else None)
+    return least.select(F.col("u").alias("id"), F.least("u", "m").alias("component"))
